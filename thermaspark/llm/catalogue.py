@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, packing, rans, secret_scan
+from . import decontaminate, jaccard, packing, rans, secret_scan, toxicity, transducer
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -49,3 +49,13 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op4_decontamination"] = decontaminate.ORACLE
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transducer.token_counts(table(spark, sf_dir, "documents"), TOKENIZER)
