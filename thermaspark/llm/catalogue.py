@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, packing, rans, secret_scan, toxicity, transducer
+from . import chat, decontaminate, jaccard, near_vectors, packing, rans, secret_scan, toxicity, transducer, warc
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -59,3 +60,27 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.token_counts(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op8_warc"] = warc.ORACLE
+
+
+@query
+def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_and_digest(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op10_chat_format"] = chat.ORACLE
+
+
+QUERIES["pipeline"] = corpus_pipeline.run

@@ -226,15 +226,18 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
     """docs with every secret in `text` replaced and n_chars counted again; other columns as they are."""
-    key = F.xxhash64("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    out = docs.withColumn("__key", key).join(candidates(keyed(docs), rules).select(F.col("key").alias("__key"), "rules"), "__key", "left")
+    key, open_rules = "__secret_key", "__secret_rules"
+    named = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    out = named.join(candidates(keyed(docs), rules).select(F.col("key").alias(key), F.col("rules").alias(open_rules)), key, "left")
     text = F.col("text")
     for i, r in enumerate(rules):
-        pattern = r.scan or longer(r)
         query = required_trigrams(r.pattern)
-        hit = F.lit(True) if query is None else F.coalesce("rules", F.lit(0)).bitwiseAND(F.lit(1 << i)) != 0
-        text = F.when(hit, F.regexp_replace(text, pattern, mark.replace("$", r"\$"))).otherwise(text)
-    return out.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
+        hit = F.lit(True) if query is None else F.coalesce(open_rules, F.lit(0)).bitwiseAND(F.lit(1 << i)) != 0
+        text = F.when(hit, F.regexp_replace(text, r.scan or longer(r), mark)).otherwise(text)
+    out = out.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
 
 
 def longer(rule: Rule) -> str:

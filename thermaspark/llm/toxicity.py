@@ -374,3 +374,16 @@ def score(docs: DataFrame, weights: dict[str, np.ndarray]) -> DataFrame:
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
     return score(docs, train(*training_rows(docs, labels, sample)))
+
+
+def keep_clean(docs: DataFrame, weights: dict[str, np.ndarray]) -> DataFrame:
+    """docs without those whose score is 0.5 or more."""
+    bounded_batches(docs.sparkSession)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(weights)
+        for b in batches:
+            yield b.filter(pa.array(scorer.scores(*utf8(b.column(at).cast(pa.string()))) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
