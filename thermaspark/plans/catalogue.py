@@ -1,10 +1,695 @@
-"""Registered queries of the library and their DuckDB equivalents."""
+"""Registered queries of the library and their DuckDB equivalents. Doubles are rounded to six decimals on both sides."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..fixtures import fixture, with_fixtures
+from ..functions import bands as B
+from ..functions import physics as P
+from ..operators import analysis as H
+from ..operators import composite as D
+from ..operators import grid as G
+from ..operators import mask as C
+from ..operators import matchup as M
+from ..operators import points as J
+from ..operators import sharpen as I
+from ..operators import temporal as E
+from ..sources import catalog as A
+from . import pipelines as K
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None, fixtures: str = ""):
+    """Registers a query; oracle: the SELECT behind the named fixtures."""
+
+    def register(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            head = with_fixtures(*fixtures.split()) if fixtures else ""
+            ORACLES[f.__name__] = f"{head}{', ' if head and oracle.lstrip().startswith('+') else chr(10)}{oracle.lstrip().removeprefix('+')}"
+        return f
+
+    return register
+
+
+def r6(c) -> F.Column:
+    return F.round(c, 6)
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    return df.select(*(r6(F.col(c)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
+
+
+def cells(spark: SparkSession, d: str) -> DataFrame:
+    return fixture(spark, d, "dem").select(F.col("row_hr").alias("row"), F.col("col_hr").alias("col"), "alt")
+
+
+# -- minimum slice ---------------------------------------------------------------
+
+DAYTIME = "ok AS (SELECT acq_id, MIN(acq_time) AS t, 100.0*AVG((confidence_in >> 14) & 1) AS pct FROM s3_obs GROUP BY acq_id HAVING MAX(sza) <= 90)"
+BEST = f"{DAYTIME}, best AS (SELECT acq_id FROM (SELECT acq_id, pct, ROW_NUMBER() OVER (PARTITION BY CAST(t AS DATE) ORDER BY pct, t, acq_id) AS n FROM ok) WHERE n = 1 AND pct <= 95)"
+
+
+@query(
+    f"""+ {BEST},
+good AS (SELECT px_id, MOD(px_id,4) AS cell_id, acq_time, ((lst+{-K.OFFSET})/{K.GAIN}) - ({K.DIRECTIONAL})*(1-COS(RADIANS(vza))) AS l FROM s3_obs WHERE acq_id IN (SELECT acq_id FROM best) AND (confidence_in >> 14) & 1 = 0 AND lst_uncertainty <= 1.0),
+br AS (SELECT g.*, (SELECT MAX(valid_time) FROM era5_hourly e WHERE e.cell_id = g.cell_id AND e.valid_time <= g.acq_time) AS b, (SELECT MIN(valid_time) FROM era5_hourly e WHERE e.cell_id = g.cell_id AND e.valid_time >= g.acq_time) AS a FROM good g),
+f AS (SELECT br.*, CASE WHEN a = b THEN 1.0 ELSE (epoch_us(a)-epoch_us(acq_time))/CAST(epoch_us(a)-epoch_us(b) AS DOUBLE) END AS frac FROM br WHERE a IS NOT NULL AND b IS NOT NULL)
+SELECT CAST(acq_time AS DATE) AS day, COUNT(*) AS n, ROUND(AVG(l - (x.t2m*frac + y.t2m*(1-frac))), 6) AS lst_ta FROM f JOIN era5_hourly x ON x.cell_id=f.cell_id AND x.valid_time=b JOIN era5_hourly y ON y.cell_id=f.cell_id AND y.valid_time=a GROUP BY 1""",
+    "s3_obs era5_hourly",
+)
+def minimum_slice(spark: SparkSession, d: str) -> DataFrame:
+    return K.daily_lst_ta(fixture(spark, d, "s3_obs"), fixture(spark, d, "era5_hourly"))
+
+
+# -- A -----------------------------------------------------------------------------
+
+
+@query("SELECT px_id, CAST(CASE WHEN lst*100 BETWEEN 0 AND 65535 THEN TRUNC(lst/0.01) ELSE 0 END AS INT) AS stored, ROUND(CASE WHEN TRUNC(lst/0.01)=0 THEN NULL ELSE TRUNC(lst/0.01)*0.01 END, 6) AS back FROM s3_obs", "s3_obs")
+def a2_a3_encode_decode(spark, d):
+    stored = fixture(spark, d, "s3_obs").select("px_id", B.encoded(F.col("lst"), B.band("S3-LST")).alias("stored"))
+    return stored.withColumn("back", r6(B.decoded(F.col("stored"), B.band("S3-LST"))))
+
+
+CAT = "+ c AS (SELECT path, '31PDR' AS tile, 'LST_SHARPENED' AS collection, strptime(regexp_extract(path, '(\\d{8}T\\d{6})', 1), '%Y%m%dT%H%M%S') AS acq_time FROM catalog)"
+
+
+@query(CAT + " SELECT *, CAST(acq_time AS DATE) AS day FROM c", "catalog")
+def a5_scan_catalog(spark, d):
+    return A.scan_catalog(fixture(spark, d, "catalog"))
+
+
+@query(CAT + " SELECT tile, CAST(acq_time AS DATE) AS day, COUNT(*) AS n FROM c WHERE day(acq_time) <= 5 GROUP BY 1, 2", "catalog")
+def a6_filter_catalog(spark, d):
+    df = A.scan_catalog(fixture(spark, d, "catalog"))
+    days = df.filter(F.dayofmonth("day") <= 5).select("day")
+    return A.filter_catalog(df, ["31PDR"], days).groupBy("tile", "day").agg(F.count("*").alias("n"))
+
+
+@query(CAT + " SELECT CAST(x AS DATE) AS day FROM range(DATE '2023-12-19', DATE '2024-02-12', INTERVAL 1 DAY) t(x) WHERE CAST(x AS DATE) NOT IN (SELECT CAST(acq_time AS DATE) FROM c)", "catalog")
+def a7_missing_days(spark, d):
+    return A.missing_days(A.scan_catalog(fixture(spark, d, "catalog")), "31PDR", "2023-12-20", "2024-02-10")
+
+
+@query(CAT + " SELECT '' AS geometry, strftime(acq_time, '%Y-%m-%dT%H:%M:%SZ') AS startTime, strftime(acq_time + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%SZ') AS endTime, regexp_extract(path, '([^/]*)$', 1) AS filename, 'NDVI' AS description FROM c", "catalog")
+def a12_manifest(spark, d):
+    return A.manifest(A.scan_catalog(fixture(spark, d, "catalog")).withColumn("description", F.lit("NDVI")), 1)
+
+
+@query("SELECT MIN(lon)-0.2 AS minx, MIN(lat)-0.2 AS miny, MAX(lon)+0.2 AS maxx, MAX(lat)+0.2 AS maxy FROM points", "points")
+def a14_polygon_bounds(spark, d):
+    p = fixture(spark, d, "points").select(F.array(F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"))).alias("vertices"))
+    return A.polygon_bounds(p, buffer=0.2)
+
+
+@query("SELECT DISTINCT path FROM catalog WHERE path NOT LIKE '%T1000%'", "catalog")
+def a16_pending(spark, d):
+    c = fixture(spark, d, "catalog").distinct()
+    return A.pending(c, c.filter(F.contains("path", F.lit("T1000"))), ["path"])
+
+
+@query("SELECT acq_date, row_hr, col_hr, 'b04' AS band, ROUND(b04, 6) AS value FROM s2_obs UNION ALL SELECT acq_date, row_hr, col_hr, 'b08', ROUND(b08, 6) FROM s2_obs", "s2_obs")
+def a17_split_bands(spark, d):
+    return rounded(A.split_bands(fixture(spark, d, "s2_obs"), ["acq_date", "row_hr", "col_hr"], ["b04", "b08"]))
+
+
+@query("SELECT acq_date, row_hr, col_hr, b04, b08 FROM s2_obs", "s2_obs")
+def a17_stack_bands(spark, d):
+    long = A.split_bands(fixture(spark, d, "s2_obs"), ["acq_date", "row_hr", "col_hr"], ["b04", "b08"])
+    return A.stack_bands(long, ["acq_date", "row_hr", "col_hr"], ["b04", "b08"])
+
+
+@query("SELECT px_id, acq_id FROM s3_obs WHERE acq_id IN (SELECT acq_id FROM s3_obs GROUP BY 1 HAVING 100.0*AVG((confidence_in >> 14) & 1) <= 20)", "s3_obs")
+def a19_filter_scenes(spark, d):
+    s3 = fixture(spark, d, "s3_obs")
+    scenes = C.cloud_share(s3).select("acq_id", F.col("cloud_pct").alias("cloud_cover"))
+    return A.filter_scenes(s3, scenes, 20.0).select("px_id", "acq_id")
+
+
+@query("SELECT DISTINCT p_name AS name FROM part WHERE (p_name LIKE '%1%' OR p_name LIKE '%7%') AND p_partkey % 3 <> 0 AND p_name NOT IN (SELECT p_name FROM part WHERE p_partkey % 3 = 0)")
+def a21_missing_products(spark, d):
+    part = spark.read.parquet(f"{d}/part.parquet").select(F.col("p_name").alias("name"), "p_partkey")
+    done = part.filter("p_partkey % 3 = 0").select("name")
+    return A.missing_products(part.filter("p_partkey % 3 != 0"), done, ["1", "7"]).select("name").distinct()
+
+
+# -- B -----------------------------------------------------------------------------
+
+DEM = "+ c AS (SELECT row_hr AS row, col_hr AS col, alt FROM dem)"
+ALIGNED = "FLOOR(row/{k}) AS row, FLOOR(col/{k}) AS col"
+
+
+def agg_sql(k: int, what: str) -> str:
+    return f"{DEM} SELECT CAST(FLOOR(row/{k}) AS INT) AS row, CAST(FLOOR(col/{k}) AS INT) AS col, {what} FROM c GROUP BY 1, 2"
+
+
+@query("SELECT point_id, CAST(FLOOR((lat - (-14.9))/(-0.01)) AS INT) AS r, CAST(FLOOR((lon-24.9)/0.01) AS INT) AS c FROM points", "points")
+def b1_rowcol(spark, d):
+    r, c = G.Grid(24.9, 0.01, -14.9, -0.01, 100, 100).rowcol(F.col("lon"), F.col("lat"))
+    return fixture(spark, d, "points").select("point_id", r.alias("r"), c.alias("c"))
+
+
+@query("SELECT px_id, ROUND(lon, 6) AS lon2, ROUND(lat, 6) AS lat2 FROM swath", "swath")
+def b3_reproject_round_trip(spark, d):
+    x, y = G.reproject(F.col("lon"), F.col("lat"), 4326, 32735)
+    at = fixture(spark, d, "swath").select("px_id", x.alias("x"), y.alias("y"))
+    lon, lat = G.reproject(F.col("x"), F.col("y"), 32735, 4326)
+    return at.select("px_id", r6(lon).alias("lon2"), r6(lat).alias("lat2"))
+
+
+@query(DEM + ", t AS (SELECT r AS row, q AS col, CAST(FLOOR((r+0.5)*1.5) AS INT) AS sr, CAST(FLOOR((q+0.5)*1.5) AS INT) AS sc FROM range(60) a(r), range(14) b(q)) SELECT CAST(t.row AS INT) AS row, CAST(t.col AS INT) AS col, alt FROM t JOIN c ON c.row=sr AND c.col=sc", "dem")
+def b4_regrid_nearest(spark, d):
+    return G.regrid(cells(spark, d), spark, G.Grid(0, 1.5, 0, 1.5, 14, 60), G.Grid(0, 1, 0, 1, 20, 1000), ["alt"])
+
+
+WEIGHTED = """, t AS (SELECT r AS row, q AS col, (r+0.5)*1.5-0.5 AS fr, (q+0.5)*1.5-0.5 AS fc FROM range(60) a(r), range(14) b(q)),
+n AS (SELECT t.*, CAST(FLOOR(fr)+i AS INT) AS sr, CAST(FLOOR(fc)+j AS INT) AS sc FROM t, range({lo}, {hi}) x(i), range({lo}, {hi}) y(j)),
+w AS (SELECT *, {wr} AS wr, {wc} AS wc FROM (SELECT *, ABS(fr-sr) AS dr, ABS(fc-sc) AS dc FROM n))
+SELECT CAST(w.row AS INT) AS row, CAST(w.col AS INT) AS col, ROUND(SUM(wr*wc*alt)/SUM(wr*wc), 6) AS alt FROM w JOIN c ON c.row=sr AND c.col=sc WHERE wr*wc > 0 GROUP BY 1, 2"""
+
+
+def spline_sql(v: str) -> str:
+    return f"CASE WHEN {v}<1 THEN 2.0/3-{v}*{v}+{v}*{v}*{v}/2 WHEN {v}<2 THEN POWER(2-{v},3)/6 ELSE 0 END"
+
+
+@query(DEM + WEIGHTED.format(lo=0, hi=2, wr="GREATEST(0,1-dr)", wc="GREATEST(0,1-dc)"), "dem")
+def b7_regrid_bilinear(spark, d):
+    return rounded(G.regrid(cells(spark, d), spark, G.Grid(0, 1.5, 0, 1.5, 14, 60), G.Grid(0, 1, 0, 1, 20, 1000), ["alt"], "bilinear"))
+
+
+@query(DEM + WEIGHTED.format(lo=-1, hi=3, wr=spline_sql("dr"), wc=spline_sql("dc")), "dem")
+def b5_regrid_cubicspline(spark, d):
+    return rounded(G.regrid(cells(spark, d), spark, G.Grid(0, 1.5, 0, 1.5, 14, 60), G.Grid(0, 1, 0, 1, 20, 1000), ["alt"], "cubicspline"))
+
+
+@query(agg_sql(3, "ROUND(AVG(alt), 6) AS alt"), "dem")
+def b6_regrid_average(spark, d):
+    return rounded(G.regrid_average(cells(spark, d), 3, ["alt"]))
+
+
+@query(agg_sql(3, "MAX(alt) AS alt"), "dem")
+def b8_regrid_max(spark, d):
+    return G.regrid_max(cells(spark, d), 3, ["alt"])
+
+
+@query(DEM + ", m AS (SELECT FLOOR(row/2) AS row, FLOOR(col/2) AS col, CAST(FLOOR(alt/50) AS INT) AS k, COUNT(*) AS n FROM c GROUP BY 1, 2, 3) SELECT CAST(row AS INT) AS row, CAST(col AS INT) AS col, k FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY row, col ORDER BY n DESC, k) AS o FROM m) WHERE o = 1", "dem")
+def b10_block_majority(spark, d):
+    return G.block_majority(cells(spark, d).withColumn("k", F.floor(F.col("alt") / 50).cast("int")), "k")
+
+
+@query("SELECT row_hr AS row, col_hr AS col, COALESCE(arg_min(scl, acq_date) FILTER (scl <> 0), 0) AS scl FROM s2_obs GROUP BY 1, 2", "s2_obs")
+def b9_mosaic_first_nonzero(spark, d):
+    s2 = fixture(spark, d, "s2_obs").select(F.col("row_hr").alias("row"), F.col("col_hr").alias("col"), "scl", "acq_date")
+    return G.mosaic_first_nonzero(s2, "scl", "acq_date")
+
+
+@query(agg_sql(4, "ROUND(AVG(alt), 6) AS alt_mean, ROUND(STDDEV_POP(alt), 6) AS alt_std"), "dem")
+def b11_aggregate_to_lowres(spark, d):
+    return rounded(G.aggregate_to_lowres(cells(spark, d), 4, ["alt"]))
+
+
+@query(DEM + " SELECT * FROM c WHERE row BETWEEN 2 AND 5 AND col BETWEEN 1 AND 9", "dem")
+def b12_b13_snap_and_clip(spark, d):
+    return G.snap_subset(cells(spark, d), (8, 23, 4, 39), 4)
+
+
+@query("SELECT acq_id, CAST(FLOOR(row_lr/3) AS INT) AS row, CAST(FLOOR(col_lr/3) AS INT) AS col, ROUND(POWER(AVG(5.670374e-8*POWER(lst,4))/5.670374e-8, 0.25), 6) AS lst, MAX((confidence_in >> 14) & 1) AS cloud FROM s3_obs GROUP BY 1, 2, 3", "s3_obs")
+def b14_regrid_in_radiance(spark, d):
+    s3 = fixture(spark, d, "s3_obs").select("acq_id", F.col("row_lr").alias("row"), F.col("col_lr").alias("col"), "lst", C.flag(F.col("confidence_in"), "summary_cloud").alias("cloud"))
+    return rounded(G.regrid_in_radiance(s3, 3, "lst", ["cloud"], ["acq_id"]))
+
+
+@query(DEM + " SELECT level, CAST(FLOOR(row/level) AS INT) AS row, CAST(FLOOR(col/level) AS INT) AS col, ROUND(AVG(alt), 6) AS alt FROM c, (VALUES (4), (8), (16)) v(level) GROUP BY 1, 2, 3", "dem")
+def b15_overviews(spark, d):
+    return rounded(G.overviews(cells(spark, d), ["alt"]))
+
+
+@query(DEM + " SELECT CAST(FLOOR(row/7) AS INT) || '_' || CAST(FLOOR(col/6) AS INT) AS block_id, COUNT(*) AS n, MIN(alt) AS low FROM c GROUP BY 1", "dem")
+def b16_blocks(spark, d):
+    return G.blocks(cells(spark, d), 7, 6).groupBy("block_id").agg(F.count("*").alias("n"), F.min("alt").alias("low"))
+
+
+@query("SELECT point_id, lon, lat, alt FROM points LEFT JOIN dem ON row_hr = FLOOR((lat - (-14.99999))/(-0.0007)) AND col_hr = FLOOR((lon-24.99999)/0.0021)", "points dem")
+def b17_sample_points(spark, d):
+    g = G.Grid(24.99999, 0.0021, -14.99999, -0.0007, 20, 1000)
+    return G.sample_points(fixture(spark, d, "points"), cells(spark, d), g, ["alt"])
+
+
+NEAR = "(VALUES (-1),(0),(1)) a(dr), (VALUES (-1),(0),(1)) b(dc)"
+
+
+@query(
+    DEM + f""", e AS (SELECT MIN(row) AS r0, MAX(row) AS r1, MIN(col) AS c0, MAX(col) AS c1 FROM c),
+n AS (SELECT c.row, c.col, (2-ABS(dr))*(2-ABS(dc)) AS w, LEAST(r1, GREATEST(r0, c.row+dr)) AS sr, LEAST(c1, GREATEST(c0, c.col+dc)) AS sc FROM c, e, {NEAR})
+SELECT n.row, n.col, ROUND(SUM(w*c.alt)/SUM(w), 6) AS alt FROM n JOIN c ON c.row=sr AND c.col=sc GROUP BY 1, 2""",
+    "dem",
+)
+def b20_binomial_smooth(spark, d):
+    return rounded(G.binomial_smooth(cells(spark, d), "alt"))
+
+
+@query(
+    DEM + """, h AS (SELECT row, col, CASE WHEN (row*7+col) % 11 <> 0 THEN alt END AS alt FROM c)
+SELECT h.row, h.col, ROUND(COALESCE(h.alt, (SELECT CASE WHEN COUNT(*)=4 THEN AVG(n.alt) END FROM h n WHERE ABS(n.row-h.row)+ABS(n.col-h.col)=1)), 6) AS alt FROM h""",
+    "dem",
+)
+def b19_fill_edge_missing(spark, d):
+    holes = cells(spark, d).withColumn("alt", F.when((F.col("row") * 7 + F.col("col")) % 11 != 0, F.col("alt")))
+    return rounded(G.fill_edge_missing(holes, "alt").select("row", "col", "alt"))
+
+
+@query(
+    DEM + f""", s AS (SELECT c.row, c.col, COUNT(*) AS n, SUM(dc*(2-ABS(dr))*x.alt)/(8*20.0) AS gx, SUM(dr*(2-ABS(dc))*x.alt)/(8*20.0) AS gy FROM c, {NEAR}, c x WHERE x.row=c.row+dr AND x.col=c.col+dc GROUP BY 1, 2)
+SELECT row, col, CASE WHEN n=9 THEN ROUND(SQRT(gx*gx+gy*gy), 6) END AS slope, CASE WHEN n=9 AND (gx<>0 OR gy<>0) THEN ROUND(CASE WHEN ATAN2(-gx,gy)<0 THEN ATAN2(-gx,gy)+2*PI() ELSE ATAN2(-gx,gy) END, 6) END AS aspect FROM s""",
+    "dem",
+)
+def b23_terrain(spark, d):
+    return rounded(G.terrain(cells(spark, d)).select("row", "col", "slope", "aspect"))
+
+
+@query(
+    """+ b AS (SELECT MIN(lon) AS minx, MIN(lat)-4 AS miny, MAX(lon)+4 AS maxx, MAX(lat) AS maxy FROM points)
+SELECT CASE WHEN y>=0 THEN 'N' ELSE 'S' END || LPAD(CAST(ABS(y) AS VARCHAR), 2, '0') || CASE WHEN x>=0 THEN 'E' ELSE 'W' END || LPAD(CAST(ABS(x) AS VARCHAR), 3, '0') AS tile, 'v200/2021' AS version
+FROM b, range(-180, 180, 3) p(x), range(-90, 90, 3) q(y) WHERE x BETWEEN FLOOR(minx/3)*3 AND FLOOR(maxx/3)*3 AND y BETWEEN FLOOR(miny/3)*3 AND FLOOR(maxy/3)*3""",
+    "points",
+)
+def b22_worldcover_tiles(spark, d):
+    b = fixture(spark, d, "points").agg(F.min("lon").alias("minx"), (F.min("lat") - 4).alias("miny"), (F.max("lon") + 4).alias("maxx"), F.max("lat").alias("maxy"))
+    return G.worldcover_tiles(b, 2022).select("tile", "version")
+
+
+@query(
+    """+ g AS (SELECT r AS row, q AS col, 25.0+(q+0.5)*0.0007 AS x, -15.0-(r+0.5)*0.0007 AS y FROM range(30) a(r), range(50) b(q)),
+m AS (SELECT row, col, lst, px_id, ROUND(SQRT(POWER((lon-x)*111320.0*COS(RADIANS(-15.0105)),2)+POWER((lat-y)*111320.0,2)),6) AS far FROM g, swath),
+n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY row, col ORDER BY far, px_id) AS o FROM m WHERE far <= 210)
+SELECT CAST(row AS INT) AS row, CAST(col AS INT) AS col, far AS distance, lst FROM n WHERE o = 1""",
+    "swath",
+)
+def b18_grid_swath(spark, d):
+    return G.grid_swath(fixture(spark, d, "swath"), G.Grid(25.0, 0.0007, -15.0, -0.0007, 50, 30), ["lst"]).select(F.col("row").cast("int"), F.col("col").cast("int"), "distance", "lst")
+
+
+# -- C -----------------------------------------------------------------------------
+
+
+@query("SELECT acq_id, COUNT(*) AS n FROM s3_obs GROUP BY 1 HAVING MAX(sza) <= 90", "s3_obs")
+def c1_filter_daytime(spark, d):
+    return C.filter_daytime(fixture(spark, d, "s3_obs")).groupBy("acq_id").agg(F.count("*").alias("n"))
+
+
+@query("+ ok AS (SELECT acq_id, MIN(acq_time) AS t, 100.0*AVG((confidence_in >> 14) & 1) AS pct FROM s3_obs GROUP BY acq_id) SELECT acq_id FROM (SELECT acq_id, pct, ROW_NUMBER() OVER (PARTITION BY CAST(t AS DATE) ORDER BY pct, t, acq_id) AS n FROM ok) WHERE n = 1 AND pct <= 95", "s3_obs")
+def c2_least_cloudy_per_day(spark, d):
+    return C.least_cloudy_per_day(fixture(spark, d, "s3_obs")).select("acq_id").distinct()
+
+
+@query("SELECT px_id, CASE WHEN (confidence_in >> 14) & 1 = 0 THEN lst END AS lst, sza FROM s3_obs", "s3_obs")
+def c3_mask_clouds(spark, d):
+    return C.mask_clouds(fixture(spark, d, "s3_obs")).select("px_id", "lst", "sza")
+
+
+@query("SELECT px_id, " + ", ".join(f"CAST((confidence_in >> {i}) & 1 AS INT) AS bit_{n}" for i, n in enumerate(C.BITS)) + " FROM s3_obs", "s3_obs")
+def c4_flag_layers(spark, d):
+    return C.flag_layers(fixture(spark, d, "s3_obs").select("px_id", "confidence_in")).drop("confidence_in")
+
+
+@query("SELECT px_id, CASE WHEN (confidence_in >> 14) & 1 = 0 AND lst_uncertainty <= 1 THEN 1 ELSE 0 END AS quality FROM s3_obs", "s3_obs")
+def c5_quality_flag(spark, d):
+    return fixture(spark, d, "s3_obs").select("px_id", C.quality_flag(F.col("confidence_in"), F.col("lst_uncertainty")).alias("quality"))
+
+
+def spread_sql(name: str, source: str, value: str, reach: int, f: str, axis: str) -> str:
+    other = "col_hr" if axis == "row_hr" else "row_hr"
+    return f"{name} AS (SELECT a.acq_date, a.row_hr, a.col_hr, {f}(b.{value}) AS {value} FROM {source} a JOIN {source} b ON a.acq_date=b.acq_date AND a.{other}=b.{other} AND b.{axis} BETWEEN a.{axis}-{reach} AND a.{axis}+{reach} GROUP BY 1,2,3)"
+
+
+def scl_sql() -> str:
+    steps = ["m AS (SELECT acq_date, row_hr, col_hr, CASE WHEN scl IN (2,4,5,6,7) THEN 0 ELSE 1 END AS m1, CASE WHEN scl IN (3,8,9,10,11) THEN 1 ELSE 0 END AS m2 FROM s2_obs)"]
+    for v, k in (("m1", 9), ("m2", 39)):
+        last = "m"
+        for n, (reach, f, axis) in enumerate(((1, "MIN", "row_hr"), (1, "MIN", "col_hr"), (k // 2, "MAX", "row_hr"), (k // 2, "MAX", "col_hr"))):
+            steps.append(spread_sql(f"{v}_{n}", last, v, reach, f, axis))
+            last = f"{v}_{n}"
+    return "+ " + ", ".join(steps) + " SELECT acq_date, row_hr, col_hr, GREATEST(m1, m2) AS masked FROM m1_3 JOIN m2_3 USING (acq_date, row_hr, col_hr)"
+
+
+@query(scl_sql(), "s2_obs")
+def c6_scl_mask(spark, d):
+    return C.scl_mask(fixture(spark, d, "s2_obs"))
+
+
+@query("SELECT row_hr, col_hr, MAX(b08) AS b08 FROM s2_obs GROUP BY 1, 2", "s2_obs")
+def c8_max_over_time(spark, d):
+    return C.max_over_time(fixture(spark, d, "s2_obs"), ["row_hr", "col_hr"], ["b08"])
+
+
+@query("SELECT COUNT(*) AS n FROM matchup WHERE s3_vza<=180 AND validation_vza<=180 AND s3_vaa<=360 AND validation_vaa<=360 AND s3_vaa<>0", "matchup")
+def c9_valid_angles(spark, d):
+    ok = C.valid_angles(F.col("s3_vza"), F.col("validation_vza"), F.col("s3_vaa"), F.col("validation_vaa"))
+    return fixture(spark, d, "matchup").filter(ok).agg(F.count("*").alias("n"))
+
+
+# -- D -----------------------------------------------------------------------------
+
+DEK = "+ k AS (SELECT row_hr, col_hr, CAST(DATE_TRUNC('month', acq_date) AS DATE) + CASE WHEN day(acq_date)<=10 THEN 0 WHEN day(acq_date)<=20 THEN 10 ELSE 20 END AS dekad, b04, b08 FROM s2_obs), m AS (SELECT row_hr, col_hr, dekad, MEDIAN(b04) AS b04, MEDIAN((b08-b04)/(b08+b04)) AS ndvi FROM k GROUP BY 1,2,3)"
+
+
+@query(DEK + " SELECT row_hr, col_hr, dekad, ROUND(b04,6) AS b04, ROUND(ndvi,6) AS ndvi FROM m", "s2_obs")
+def d1_d2_dekad_composite(spark, d):
+    s2 = fixture(spark, d, "s2_obs").withColumn("ndvi", D.ndvi(F.col("b08"), F.col("b04")))
+    return rounded(D.dekad_composite(s2, ["b04", "ndvi"]))
+
+
+@query(
+    DEK + """, x AS (SELECT MIN(dekad) AS a, MAX(dekad) AS b FROM m), s AS (SELECT DISTINCT CAST(DATE_TRUNC('month', CAST(t AS DATE)) AS DATE) + CASE WHEN day(t)<=10 THEN 0 WHEN day(t)<=20 THEN 10 ELSE 20 END AS dekad FROM x, range(a, b + INTERVAL 1 DAY, INTERVAL 1 DAY) r(t)),
+f AS (SELECT p.row_hr, p.col_hr, s.dekad, m.ndvi FROM (SELECT DISTINCT row_hr, col_hr FROM m) p CROSS JOIN s LEFT JOIN m ON m.row_hr=p.row_hr AND m.col_hr=p.col_hr AND m.dekad=s.dekad),
+g AS (SELECT *, LAST_VALUE(ndvi IGNORE NULLS) OVER w AS v0, LAST_VALUE(CASE WHEN ndvi IS NOT NULL THEN dekad END IGNORE NULLS) OVER w AS t0, FIRST_VALUE(ndvi IGNORE NULLS) OVER u AS v1, FIRST_VALUE(CASE WHEN ndvi IS NOT NULL THEN dekad END IGNORE NULLS) OVER u AS t1 FROM f
+ WINDOW w AS (PARTITION BY row_hr, col_hr ORDER BY dekad ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), u AS (PARTITION BY row_hr, col_hr ORDER BY dekad ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+SELECT row_hr, col_hr, dekad, ROUND(COALESCE(ndvi, v0+(v1-v0)*(dekad-t0)/CAST(NULLIF(t1-t0,0) AS DOUBLE)),6) AS ndvi FROM g""",
+    "s2_obs",
+)
+def d3_interpolate_linear(spark, d):
+    s2 = fixture(spark, d, "s2_obs").withColumn("ndvi", D.ndvi(F.col("b08"), F.col("b04")))
+    return rounded(D.interpolate_linear(D.dekad_composite(s2, ["ndvi"]), ["ndvi"]))
+
+
+# -- E -----------------------------------------------------------------------------
+
+
+@query("+ a AS (SELECT DISTINCT CAST(acq_time AS DATE) AS day FROM s3_obs), b AS (SELECT DISTINCT acq_date FROM s2_obs) SELECT day, (SELECT acq_date FROM b ORDER BY ABS(acq_date-day), acq_date LIMIT 1) AS nearest FROM a", "s3_obs s2_obs")
+def e1_nearest_date(spark, d):
+    s3 = fixture(spark, d, "s3_obs").select(F.to_date("acq_time").alias("day"))
+    return E.nearest_date(s3, fixture(spark, d, "s2_obs"), "day", "acq_date")
+
+
+OBS = "+ o AS (SELECT DISTINCT CAST(MOD(px_id,4) AS INT) AS cell_id, acq_time FROM s3_obs), br AS (SELECT o.*, (SELECT MAX(valid_time) FROM era5_hourly e WHERE e.cell_id=o.cell_id AND valid_time<=acq_time) AS b, (SELECT MIN(valid_time) FROM era5_hourly e WHERE e.cell_id=o.cell_id AND valid_time>=acq_time) AS a FROM o), f AS (SELECT *, CASE WHEN a=b THEN 1.0 ELSE (epoch_us(a)-epoch_us(acq_time))/CAST(epoch_us(a)-epoch_us(b) AS DOUBLE) END AS frac FROM br WHERE a IS NOT NULL AND b IS NOT NULL)"
+
+
+def observations(spark, d):
+    return fixture(spark, d, "s3_obs").select(F.expr("CAST(px_id % 4 AS INT)").alias("cell_id"), "acq_time").distinct()
+
+
+@query(OBS + " SELECT cell_id, acq_time, b AS before, a AS after, ROUND(frac,6) AS frac FROM f", "s3_obs era5_hourly")
+def e2_bracket(spark, d):
+    return rounded(E.bracket(observations(spark, d), fixture(spark, d, "era5_hourly"), "acq_time", "valid_time", ["cell_id"]))
+
+
+@query(OBS + " SELECT f.cell_id, acq_time, ROUND(x.t2m*frac+y.t2m*(1-frac),6) AS t2m, ROUND(x.sp*frac+y.sp*(1-frac),6) AS sp FROM f JOIN era5_hourly x ON x.cell_id=f.cell_id AND x.valid_time=b JOIN era5_hourly y ON y.cell_id=f.cell_id AND y.valid_time=a", "s3_obs era5_hourly")
+def e3_interp_meteo(spark, d):
+    return rounded(E.interp_meteo(observations(spark, d), fixture(spark, d, "era5_hourly"), ["t2m", "sp"]))
+
+
+@query("+ o AS (SELECT DISTINCT CAST(MOD(px_id,4) AS INT) AS cell_id, acq_time FROM s3_obs), l AS (SELECT o.*, CAST(CAST(acq_time + INTERVAL 2 HOUR AS DATE) AS TIMESTAMP) - INTERVAL 2 HOUR AS s FROM o) SELECT cell_id, acq_time, ROUND(COALESCE((SELECT SUM(sp) FROM era5_hourly e WHERE e.cell_id=l.cell_id AND valid_time>s AND valid_time<=s+INTERVAL 24 HOUR),0)/86400,6) AS sp FROM l", "s3_obs era5_hourly")
+def e4_integrated_flux(spark, d):
+    return rounded(E.integrated_flux(observations(spark, d), fixture(spark, d, "era5_hourly"), "sp", 24, 2.0))
+
+
+@query("+ c AS (SELECT DISTINCT acq_id, acq_time FROM s3_obs) SELECT a.acq_id AS left_id, b.acq_id AS right_id FROM c a JOIN c b ON a.acq_id<b.acq_id AND ABS(epoch_us(a.acq_time)-epoch_us(b.acq_time)) < 120*60*1000000::BIGINT", "s3_obs")
+def e5_simultaneous(spark, d):
+    c = fixture(spark, d, "s3_obs").select("acq_id", "acq_time").distinct()
+    left, right = c.select(F.col("acq_id").alias("left_id"), F.col("acq_time").alias("lt")), c.select(F.col("acq_id").alias("right_id"), F.col("acq_time").alias("rt"))
+    return E.simultaneous(left, right, 120, left_time="lt", right_time="rt").filter("left_id < right_id").select("left_id", "right_id")
+
+
+@query("SELECT a.row_lr, a.col_lr, a.acq_id, a.lst AS left_lst, b.lst AS right_lst FROM s3_obs a JOIN s3_obs b ON a.acq_id+1=b.acq_id AND a.row_lr=b.row_lr AND a.col_lr=b.col_lr WHERE a.lst<>0 AND b.lst<>0", "s3_obs")
+def e8_align_grids(spark, d):
+    s3 = fixture(spark, d, "s3_obs")
+    return E.align_grids(s3, s3.withColumn("acq_id", F.col("acq_id") - 1), ["acq_id", "row_lr", "col_lr"], "lst")
+
+
+# -- F -----------------------------------------------------------------------------
+
+DECL = "RADIANS(23.45)*SIN(2*PI()*doy/365-1.39)"
+SUN = f"+ t AS (SELECT px_id, dayofyear(acq_time) AS doy, hour(acq_time)+minute(acq_time)/60.0 AS ft, -15.0+row_lr AS lat, 25.0+col_lr AS lon, RADIANS(saa) AS asp, ATAN(vza/100) AS slo FROM s3_obs), d AS (SELECT *, {DECL} AS dec FROM t), h AS (SELECT *, RADIANS((12-(ft-(-(0.258*COS(dec)-7.416*SIN(dec)-3.648*COS(2*dec)-9.228*SIN(2*dec))/60.0+(0-lon)/15.0)))*15) AS w FROM d)"
+
+
+@query(SUN + " SELECT px_id, ROUND(dec,6) AS decl, ROUND(w,6) AS omega, ROUND(SIN(dec)*SIN(RADIANS(lat))*COS(slo)+SIN(dec)*COS(RADIANS(lat))*SIN(slo)*COS(asp)+COS(dec)*COS(RADIANS(lat))*COS(slo)*COS(w)-COS(dec)*SIN(RADIANS(lat))*SIN(slo)*COS(asp)*COS(w)-COS(dec)*SIN(slo)*SIN(asp)*SIN(w),6) AS inc FROM h", "s3_obs")
+def f1_f3_sun_angles(spark, d):
+    t = fixture(spark, d, "s3_obs").select("px_id", F.dayofyear("acq_time").alias("doy"), P.decimal_hour(F.col("acq_time")).alias("ft"), (-15.0 + F.col("row_lr")).alias("lat"), (25.0 + F.col("col_lr")).alias("lon"), F.radians("saa").alias("asp"), P.slope_angle(F.col("vza") / 100).alias("slo"))
+    decl = P.declination(F.col("doy"))
+    inc = P.cos_incidence(F.col("lat"), F.col("lon"), F.col("doy"), F.col("ft"), F.col("asp"), F.col("slo"))
+    return t.select("px_id", r6(decl).alias("decl"), r6(P.hour_angle(F.col("ft"), decl, F.col("lon"))).alias("omega"), r6(inc).alias("inc"))
+
+
+AIR = "+ v AS (SELECT *, 6.1078*EXP(17.27*(d2m-273.15)/(d2m-273.15+237.3)) AS ea, sp/100 AS p FROM era5_hourly), q AS (SELECT *, 0.622*ea/(p-ea) AS r, (1-0.622*ea/(p-0.378*ea))*1003.5+0.622*ea/(p-0.378*ea)*1865 AS cp, 1e6*(2.501-2.361e-3*(t2m-273.15)) AS lv FROM v), g AS (SELECT *, 9.8*(287.04*t2m*t2m+lv*r*t2m)/(cp*287.04*t2m*t2m+lv*lv*r*0.622) AS lapse FROM q)"
+
+
+@query(AIR + " SELECT valid_time, cell_id, ROUND(ea,6) AS ea, ROUND(r,6) AS r, ROUND(cp,6) AS cp, ROUND(lv,1) AS lv, ROUND(lapse,6) AS lapse, ROUND(t2m-lapse*(0-(z/9.80665+2)),6) AS t_datum FROM g", "era5_hourly")
+def f4_f11_air(spark, d):
+    h = fixture(spark, d, "era5_hourly").withColumns({"ea": P.vapour_pressure(F.col("d2m")), "p": P.air_pressure(F.col("sp"))})
+    t, ea, p = F.col("t2m"), F.col("ea"), F.col("p")
+    return h.select("valid_time", "cell_id", r6(ea).alias("ea"), r6(P.mixing_ratio(ea, p)).alias("r"), r6(P.heat_capacity(p, ea)).alias("cp"), F.round(P.latent_heat(t), 1).alias("lv"), r6(P.lapse_rate_moist(t, ea, p)).alias("lapse"), r6(P.datum_temperature(t, F.col("d2m"), F.col("sp"), F.col("z"))).alias("t_datum"))
+
+
+SESA = "DEGREES(ACOS(LEAST(1,GREATEST(-1,COS(RADIANS({a}))*COS(RADIANS({b}))+SIN(RADIANS({a}))*SIN(RADIANS({b}))*COS(RADIANS({c}-{d}))))))"
+
+
+def lsf_sql(v: str) -> str:
+    c = f"COS(RADIANS({v}))"
+    return f"((1+2*{c})/(SQRT(0.96)+1.92*{c})-0.25*{c}/(1+2*{c})+0.15*(1-EXP(-0.75/{c}))-1.0304)"
+
+
+@query(f"SELECT COUNT(*) AS n, ROUND(AVG({SESA.format(a='s3_vza', b='validation_vza', c='s3_vaa', d='validation_vaa')}),6) AS sesa, ROUND(AVG(s3_vza-validation_vza),6) AS vza_diff, ROUND(AVG(((s3_vaa-400)%360+360)%360),6) AS norm, ROUND(AVG(1-COS(RADIANS(s3_vza))),6) AS vin, ROUND(AVG({lsf_sql('s3_vza')}),6) AS lsf, ROUND(AVG({lsf_sql('s3_vza')}-{lsf_sql('validation_vza')}),6) AS mlsf, ROUND(AVG(COS(RADIANS(validation_vza))-COS(RADIANS(s3_vza))),6) AS mvin FROM matchup", "matchup")
+def f13_f20_angles(spark, d):
+    c = F.col
+    return rounded(
+        fixture(spark, d, "matchup").agg(
+            F.count("*").alias("n"),
+            F.avg(P.sun_sensor_angle(c("s3_vza"), c("validation_vza"), c("s3_vaa"), c("validation_vaa"))).alias("sesa"),
+            F.avg(P.zenith_difference(c("s3_vza"), c("validation_vza"), F.lit(True))).alias("vza_diff"),
+            F.avg(P.normalize_angle(c("s3_vaa") - 400)).alias("norm"),
+            F.avg(P.kernel_vinnikov(c("s3_vza"))).alias("vin"),
+            F.avg(P.kernel_lsf(c("s3_vza"))).alias("lsf"),
+            F.avg(P.model_lsf(F.lit(1.0), c("s3_vza"), c("validation_vza"))).alias("mlsf"),
+            F.avg(P.model_vinnikov(F.lit(1.0), c("s3_vza"), c("validation_vza"))).alias("mvin"),
+        )
+    )
+
+
+@query(f"SELECT px_id, ROUND(((lst+{-K.OFFSET})/{K.GAIN}) - ({K.DIRECTIONAL})*(1-COS(RADIANS(vza))),6) AS lst, CAST(TRUNC((((lst+{-K.OFFSET})/{K.GAIN}) - ({K.DIRECTIONAL})*(1-COS(RADIANS(vza))))/0.01) AS INT) AS stored FROM s3_obs", "s3_obs")
+def f22_f24_correct_lst(spark, d):
+    lst = P.correct_lst(F.col("lst"), F.col("vza"), K.GAIN, K.OFFSET, K.DIRECTIONAL)
+    return fixture(spark, d, "s3_obs").select("px_id", r6(lst).alias("lst"), B.encoded(lst, B.band("S3-LST")).alias("stored"))
+
+
+@query("SELECT s3_time, COUNT(*) AS n, ROUND(CASE WHEN COUNT(*)<=1000 THEN 1.0/1000 ELSE (1+LOG10(COUNT(*)/1000.0))/COUNT(*) END,9) AS w, ROUND(0.5-0.5*COS(2*PI()*(((strptime(s3_time[1:8],'%Y%m%d')::DATE - DATE '2023-12-01')%180+180)%180)/180),6) AS season FROM matchup GROUP BY s3_time", "matchup")
+def f25_f26_weights(spark, d):
+    day = F.to_date(F.substring("s3_time", 1, 8), "yyyyMMdd")
+    w = fixture(spark, d, "matchup").groupBy("s3_time").agg(F.count("*").alias("n"))
+    return w.select("s3_time", "n", F.round(P.sample_weight(F.col("n"), 1000), 9).alias("w"), r6(P.seasonal_weight(day, F.lit("2023-12-01").cast("date"))).alias("season"))
+
+
+# -- G, H -----------------------------------------------------------------------------
+
+
+@query("SELECT ROUND(AVG(CASE WHEN lst_s3hr>0 AND validation_lst>0 THEN lst_s3hr-validation_lst END),6) AS mean, ROUND(STDDEV_POP(CASE WHEN lst_s3hr>0 AND validation_lst>0 THEN lst_s3hr-validation_lst END),6) AS std FROM matchup WHERE lst_s3hr>250 AND lst_s3hr<380 AND validation_lst>250 AND validation_lst<380", "matchup")
+def g4_g6_difference_stats(spark, d):
+    m = M.clean_pairs(fixture(spark, d, "matchup")).withColumn("diff", M.difference(F.col("lst_s3hr"), F.col("validation_lst")))
+    return rounded(M.basic_stats(m, "diff"))
+
+
+@query("+ v AS (SELECT lst_s3hr-validation_lst AS v FROM matchup) SELECT CAST(LEAST(39, FLOOR((v+4)/0.2)) AS INT) AS bin, COUNT(*) AS n FROM v WHERE ABS(v)<=100 AND v BETWEEN -4 AND 4 GROUP BY 1", "matchup")
+def g7_histogram(spark, d):
+    return M.histogram(fixture(spark, d, "matchup"), F.col("lst_s3hr") - F.col("validation_lst"), bins=40)
+
+
+HOT = " AND ".join(f"{SESA.format(a=f'{p}_sza', b=f'{p}_vza', c=f'{p}_saa', d=f'{p}_vaa')} > 10" for p in ("s3", "validation"))
+GOOD = f"+ good AS (SELECT * FROM matchup WHERE validation_cloudmask <> 1 AND {HOT})"
+TRIM = "near AS (SELECT *, lst_s3hr-validation_lst AS dd FROM {s} WHERE ABS(s3_vza-validation_vza)<10), qq AS (SELECT s3_time, quantile_cont(dd,0.1) AS lo, quantile_cont(dd,0.9) AS hi FROM near GROUP BY 1), kept AS (SELECT near.* FROM near JOIN qq USING (s3_time) WHERE dd BETWEEN lo AND hi)"
+
+
+def good(spark, d):
+    return H.load_analysis_frame(fixture(spark, d, "matchup"))
+
+
+@query(GOOD + " SELECT land_cover, COUNT(*) AS n FROM good WHERE CAST(s3_time[10:11] AS INT) < 12 AND ABS(s3_vza-validation_vza) < 20 GROUP BY 1", "matchup")
+def h1_h5_load_analysis_frame(spark, d):
+    m = H.load_analysis_frame(fixture(spark, d, "matchup"), morning=True, filters=["abs(s3_vza - validation_vza) < 20"])
+    return m.groupBy("land_cover").agg(F.count("*").alias("n"))
+
+
+@query("SELECT s3_time, CASE WHEN COUNT(*)<200 THEN COUNT(*) ELSE CAST(FLOOR((CASE WHEN COUNT(*)<=200 THEN 1.0/200 ELSE (1+LOG10(COUNT(*)/200.0))/COUNT(*) END)*200*COUNT(*)) AS BIGINT) END AS n FROM matchup GROUP BY 1", "matchup")
+def h6_balanced_sample_sizes(spark, d):
+    m = fixture(spark, d, "matchup")
+    return H.balanced_sample(m, m.columns, 3, 200).groupBy("s3_time").agg(F.count("*").alias("n"))
+
+
+@query(GOOD + ", " + TRIM.format(s="good") + " SELECT s3_time, COUNT(*) AS n, ROUND(SUM(dd),6) AS total FROM kept GROUP BY 1", "matchup")
+def h7_trim_quantiles(spark, d):
+    diff = F.col("lst_s3hr") - F.col("validation_lst")
+    return rounded(H.trim_quantiles(H.close_views(good(spark, d)), diff).groupBy("s3_time").agg(F.count("*").alias("n"), F.sum(diff).alias("total")))
+
+
+@query(GOOD + ", " + TRIM.format(s="good") + ' SELECT ROUND(REGR_SLOPE(lst_s3hr,validation_lst),6) AS gain, ROUND(REGR_INTERCEPT(lst_s3hr,validation_lst),6) AS "offset", ROUND(REGR_R2(lst_s3hr,validation_lst),6) AS r2, COUNT(*) AS n FROM kept', "matchup")
+def h8_fit_bias(spark, d):
+    return rounded(H.fit_bias(good(spark, d)))
+
+
+@query(
+    GOOD + ", " + TRIM.format(s="good") + ', ww AS (SELECT s3_time, CASE WHEN COUNT(*)<=1000 THEN 1.0/1000 ELSE (1+LOG10(COUNT(*)/1000.0))/COUNT(*) END AS w FROM near GROUP BY 1), k AS (SELECT w, validation_lst AS x, lst_s3hr AS y FROM kept JOIN ww USING (s3_time)), m AS (SELECT SUM(w*x)/SUM(w) AS mx, SUM(w*y)/SUM(w) AS my FROM k), g AS (SELECT SUM(w*(x-mx)*(y-my))/SUM(w*(x-mx)*(x-mx)) AS gain, ANY_VALUE(mx) AS mx, ANY_VALUE(my) AS my FROM k, m) SELECT ROUND(gain,6) AS gain, ROUND(my-gain*mx,6) AS "offset" FROM g',
+    "matchup",
+)
+def h9_fit_bias_weighted(spark, d):
+    return rounded(H.fit_bias_weighted(good(spark, d), 1000))
+
+
+XY = "xy AS (SELECT *, COS(RADIANS(validation_vza))-COS(RADIANS(s3_vza)) AS x, (lst_s3hr+22)/1.08-validation_lst AS y FROM good)"
+FIT = "ROUND(SUM(x*y)/SUM(x*x),6) AS dir_par, ROUND(SQRT(GREATEST(0,SUM(y*y)-SUM(x*y)*SUM(x*y)/SUM(x*x))/(COUNT(*)-1)/SUM(x*x)),6) AS dir_par_std, COUNT(*) AS n"
+
+
+@query(GOOD + f", {XY} SELECT land_cover, {FIT} FROM xy GROUP BY ROLLUP(land_cover)", "matchup")
+def h10_h12_fit_directional_by(spark, d):
+    return rounded(H.fit_directional_by(good(spark, d), gain=1.08, offset=-22.0))
+
+
+@query(GOOD + f", {XY}, s AS (SELECT *, 0.5-0.5*COS(2*PI()*(((strptime(s3_time[1:8],'%Y%m%d')::DATE - DATE '2023-12-01')%180+180)%180)/180) AS sg FROM xy), w AS (SELECT *, 1/NULLIF(sg*sg,0) AS w FROM s) SELECT s3_time, ROUND(SUM(w*x*y)/SUM(w*x*x),6) AS dir_par, ROUND(SQRT(1/SUM(w*x*x)),6) AS dir_par_std, CAST(s3_time[10:11] AS INT) > 12 AS is_afternoon, COUNT(*) AS n FROM w WHERE w > 0 GROUP BY s3_time", "matchup")
+def h13_fit_directional_per_overpass(spark, d):
+    return rounded(H.fit_directional_per_overpass(good(spark, d), "2023-12-01", 1.08, -22.0))
+
+
+@query(GOOD + f", {XY}, f AS (SELECT s3_time, SUM(x*y)/SUM(x*x) AS a, SQRT(GREATEST(0,SUM(y*y)-SUM(x*y)*SUM(x*y)/SUM(x*x))/(COUNT(*)-1)/SUM(x*x)) AS s, COUNT(*) AS n FROM xy GROUP BY 1), t AS (SELECT *, CASE WHEN n-1<=30 THEN list_value({','.join(map(str, H.T975))})[n-1] ELSE 1.959964+(POWER(1.959964,3)+1.959964)/(4*(n-1))+(5*POWER(1.959964,5)+16*POWER(1.959964,3)+3*1.959964)/(96.0*(n-1)*(n-1)) END AS t FROM f) SELECT s3_time, ROUND(a,6) AS dir_par, ROUND(a-t*s,6) AS low, ROUND(a+t*s,6) AS high, n FROM t", "matchup")
+def h14_directional_time_series(spark, d):
+    return rounded(H.directional_time_series(good(spark, d), 1.08, -22.0))
+
+
+@query(GOOD + " SELECT land_cover, ROUND(REGR_SLOPE(lst_s3hr,validation_lst),6) AS slope, ROUND(REGR_INTERCEPT(lst_s3hr,validation_lst),6) AS intercept, ROUND(REGR_R2(lst_s3hr,validation_lst),6) AS r2, COUNT(*) AS n FROM good GROUP BY ROLLUP(land_cover)", "matchup")
+def h15_regression_by_class(spark, d):
+    return rounded(H.regression_by_class(good(spark, d)))
+
+
+@query(GOOD + ", l AS (SELECT REGR_SLOPE(lst_s3hr,validation_lst) AS m, REGR_INTERCEPT(lst_s3hr,validation_lst) AS c FROM good) SELECT land_cover, ROUND(1-SUM(POWER(lst_s3hr-m*validation_lst-c,2))/(VAR_POP(lst_s3hr)*COUNT(*)),6) AS score FROM good, l GROUP BY 1", "matchup")
+def h15_score_overall_line(spark, d):
+    return rounded(H.score_overall_line(good(spark, d)))
+
+
+@query(GOOD + ", b AS (SELECT s3_vza-validation_vza AS v, lst_s3hr-validation_lst AS dd FROM good) SELECT CASE WHEN v<-10 THEN 'below -10' WHEN v<10 THEN '-10 to 10' WHEN v<20 THEN '10 to 20' ELSE '20 and above' END AS band, ROUND(AVG(dd),6) AS bias, COUNT(*) AS n FROM b GROUP BY 1", "matchup")
+def h17_vza_band_bias(spark, d):
+    return rounded(H.vza_band_bias(good(spark, d)))
+
+
+@query(GOOD + ", d AS (SELECT s3_time, lst_s3hr-validation_lst AS dd FROM good), q AS (SELECT s3_time, COUNT(*) AS n, quantile_cont(dd,0.1) AS p10, quantile_cont(dd,0.25) AS p25, quantile_cont(dd,0.5) AS p50, quantile_cont(dd,0.75) AS p75, quantile_cont(dd,0.9) AS p90 FROM d GROUP BY 1) SELECT q.s3_time, n, ROUND(p10,6) AS p10, ROUND(p25,6) AS p25, ROUND(p50,6) AS p50, ROUND(p75,6) AS p75, ROUND(p90,6) AS p90, (SELECT COUNT(*) FROM d WHERE d.s3_time=q.s3_time AND (dd<p10 OR dd>p90)) AS outliers, ROUND(SQRT(n/(SELECT AVG(n) FROM q)),6) AS width FROM q", "matchup")
+def h19_difference_boxplot(spark, d):
+    return rounded(H.difference_boxplot(good(spark, d)))
+
+
+@query(GOOD + ", picked AS (SELECT * FROM good WHERE land_cover IN (10, 40)) SELECT lst_s3hr, validation_lst, CASE land_cover WHEN 10 THEN 'Tree Cover' ELSE 'Cropland' END AS class_name, (SELECT LEAST(MIN(lst_s3hr),MIN(validation_lst)) FROM picked) AS axis_min, (SELECT GREATEST(MAX(lst_s3hr),MAX(validation_lst)) FROM picked) AS axis_max FROM picked", "matchup")
+def h20_h22_scatter_frame(spark, d):
+    return H.scatter_frame(good(spark, d), [10, 40])
+
+
+@query(
+    "+ near AS (SELECT *, land_cover // 30 AS sid, lst_s3hr-validation_lst AS dd FROM matchup WHERE ABS(s3_vza-validation_vza)<10), qq AS (SELECT sid, s3_time, quantile_cont(dd,0.1) AS lo, quantile_cont(dd,0.9) AS hi FROM near GROUP BY 1, 2), b AS (SELECT sid, REGR_SLOPE(lst_s3hr,validation_lst) AS gain, REGR_INTERCEPT(lst_s3hr,validation_lst) AS o, REGR_R2(lst_s3hr,validation_lst) AS r2 FROM near JOIN qq USING (sid, s3_time) WHERE dd BETWEEN lo AND hi GROUP BY 1), xy AS (SELECT sid, COS(RADIANS(validation_vza))-COS(RADIANS(s3_vza)) AS x, (lst_s3hr-o)/gain-validation_lst AS y FROM matchup JOIN b ON sid = land_cover // 30), f AS (SELECT sid, SUM(x*y)/SUM(x*x) AS a, SQRT(GREATEST(0,SUM(y*y)-SUM(x*y)*SUM(x*y)/SUM(x*x))/(COUNT(*)-1)/SUM(x*x)) AS sd FROM xy GROUP BY 1) SELECT CAST(sid AS INT) AS sample_id, ROUND(gain,6) AS gain, ROUND(o,6) AS \"offset\", ROUND(r2,6) AS r2, ROUND(a,6) AS dir_par, ROUND(sd,6) AS dir_par_std FROM b JOIN f USING (sid)",
+    "matchup",
+)
+def h21_estimate_parameters(spark, d):
+    m = fixture(spark, d, "matchup").withColumn("sample_id", F.floor(F.col("land_cover") / 30).cast("int"))
+    return rounded(H.estimate_parameters(m))
+
+
+@query("SELECT land_cover, COUNT(*) AS n, DENSE_RANK() OVER (ORDER BY land_cover) - 1 AS code FROM matchup GROUP BY 1", "matchup")
+def h23_class_codes(spark, d):
+    return H.class_codes(fixture(spark, d, "matchup")).withColumn("code", F.col("code").cast("long"))
+
+
+@query()
+def h11_fit_directional_rl(spark, d):
+    return H.fit_directional_rl(good(spark, d), 1.08, -22.0, refine=1)
+
+
+@query()
+def h16_robust_line(spark, d):
+    m = good(spark, d)
+    return H.robust_line(m, m.columns)
+
+
+@query()
+def h18_difference_distribution(spark, d):
+    return H.difference_distribution(good(spark, d))
+
+
+# -- I, J, K -------------------------------------------------------------------------
+
+
+def fine_features(spark, d):
+    s2 = fixture(spark, d, "s2_obs").filter("acq_date = DATE '2023-10-01'")
+    return s2.groupBy(F.col("row_hr").alias("row"), F.col("col_hr").alias("col")).agg(F.avg("b04").alias("b04"), F.avg("b08").alias("b08"))
+
+
+def low_temperature(spark, d):
+    return fixture(spark, d, "s3_obs").groupBy(F.col("row_lr").alias("row"), F.col("col_lr").alias("col")).agg(F.avg("lst").alias("lst"), F.lit(1).alias("quality"))
+
+
+FEATURES = "+ fine AS (SELECT row_hr AS row, col_hr AS col, AVG(b04) AS b04, AVG(b08) AS b08 FROM s2_obs WHERE acq_date = DATE '2023-10-01' GROUP BY 1, 2), low AS (SELECT row_lr AS row, col_lr AS col, AVG(lst) AS lst FROM s3_obs GROUP BY 1, 2)"
+
+
+@query(FEATURES + ", m AS (SELECT CAST(FLOOR(row/2) AS INT) AS row, CAST(FLOOR(col/2) AS INT) AS col, AVG(b04) AS b04, STDDEV_POP(b04) AS s04, AVG(b08) AS b08, STDDEV_POP(b08) AS s08 FROM fine GROUP BY 1, 2), k AS (SELECT m.*, lst, (s04/b04+s08/b08)/2 AS cv FROM m JOIN low USING (row, col)) SELECT row, col, ROUND(lst,6) AS lst, ROUND(cv,6) AS cv, ROUND(1/cv,5) AS weight, ROUND(b04,6) AS b04, ROUND(b08,6) AS b08 FROM k WHERE cv > 0 AND cv < 0.8", "s2_obs s3_obs")
+def i1_training_samples(spark, d):
+    out = I.training_samples(fine_features(spark, d), low_temperature(spark, d), ["b04", "b08"], 2)
+    return rounded(out.withColumn("weight", F.round("weight", 5)))
+
+
+@query()
+def i3_i4_sharpen(spark, d):
+    fine = fine_features(spark, d)
+    samples = I.training_samples(fine, low_temperature(spark, d), ["b04", "b08"], 2, cv_max=10.0)
+    model, leaf_models = I.fit_sharpener(samples, ["b04", "b08"], trees=10)
+    return I.apply_sharpener(fine, model, leaf_models, ["b04", "b08"])
+
+
+@query(
+    FEATURES + ", hr AS (SELECT row, col, 280+b04*40 AS t FROM fine), m AS (SELECT CAST(FLOOR(row/2) AS INT) AS row, CAST(FLOOR(col/2) AS INT) AS col, AVG(POWER(t,4)) AS m FROM hr GROUP BY 1, 2), r AS (SELECT row, col, POWER(lst,4)-m AS r FROM m JOIN low USING (row, col)) SELECT hr.row, hr.col, ROUND(POWER(COALESCE(r,0)+POWER(t,4),0.25),6) AS lst FROM hr LEFT JOIN r ON r.row=FLOOR(hr.row/2) AND r.col=FLOOR(hr.col/2)",
+    "s2_obs s3_obs",
+)
+def i6_i7_residual_correction(spark, d):
+    fine = fine_features(spark, d).select("row", "col", (280 + F.col("b04") * 40).alias("lst"))
+    return rounded(I.correct_residuals(fine, I.residuals(fine, low_temperature(spark, d), 2), 2))
+
+
+@query("+ p AS (SELECT point_id, lon+0.0005 AS x, lat+0.0005 AS y FROM points) SELECT point_id AS poly_id, ROUND(x,6) AS x, ROUND(y,6) AS y FROM p", "points")
+def j1_polygon_centroids(spark, d):
+    corner = lambda dx, dy: F.struct((F.col("lon") + dx).alias("x"), (F.col("lat") + dy).alias("y"))
+    p = fixture(spark, d, "points").select(F.col("point_id").alias("poly_id"), F.array(*(corner(*c) for c in ((0, 0), (0.001, 0), (0.001, 0.001), (0, 0.001)))).alias("vertices"))
+    return rounded(J.polygon_centroids(p))
+
+
+SERIES = "+ v AS (SELECT row_hr AS row, col_hr AS col, acq_date AS day, b04, b08 FROM s2_obs WHERE acq_date BETWEEN DATE '2023-10-01' AND DATE '2023-12-31'), p AS (SELECT point_id, FLOOR((lat - (-14.99999))/(-0.0007)) AS r, FLOOR((lon-24.99999)/0.0021) AS c FROM points), s AS (SELECT 'lst' AS series, point_id, day, b04 AS value FROM p JOIN v ON row=r AND col=c UNION ALL SELECT 'ndvi', point_id, day, b08 FROM p JOIN v ON row=r AND col=c)"
+
+
+def point_values(spark, d):
+    g = G.Grid(24.99999, 0.0021, -14.99999, -0.0007, 20, 1000)
+    s2 = fixture(spark, d, "s2_obs").select(F.col("row_hr").alias("row"), F.col("col_hr").alias("col"), F.col("acq_date").alias("day"), "b04", "b08")
+    stacks = {n: s2.withColumn("value", F.col(b)).drop("b04", "b08") for n, b in (("lst", "b04"), ("ndvi", "b08"))}
+    return J.point_series(stacks, fixture(spark, d, "points"), g, "2023-10-01", "2023-12-31")
+
+
+@query(SERIES + " SELECT * FROM s", "s2_obs points")
+def j2_point_series(spark, d):
+    return point_values(spark, d)
+
+
+@query(SERIES + ", n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY series, point_id ORDER BY day, value) AS nth FROM s) SELECT a.point_id, a.nth, a.day AS lst_day, a.value AS lst, b.day AS ndvi_day, b.value AS ndvi FROM n a JOIN n b ON a.point_id=b.point_id AND a.nth=b.nth AND a.series='lst' AND b.series='ndvi'", "s2_obs points")
+def j3_paired_series(spark, d):
+    return J.paired_series(point_values(spark, d), "lst", "ndvi").withColumn("nth", F.col("nth").cast("long"))
+
+
+@query(f"+ {BEST} SELECT px_id, CASE WHEN (confidence_in >> 14) & 1 = 0 THEN lst END AS lst FROM s3_obs WHERE acq_id IN (SELECT acq_id FROM best)", "s3_obs")
+def k1_prepare_s3(spark, d):
+    return K.prepare_s3(fixture(spark, d, "s3_obs")).select("px_id", "lst")
+
+
+@query()
+def k2_prepare_s2(spark, d):
+    s2 = fixture(spark, d, "s2_obs")
+    return K.prepare_s2(s2, C.scl_mask(s2, kernel1=3, kernel2=5))
+
+
+@query(AIR + ", o AS (SELECT DISTINCT CAST(MOD(px_id,4) AS INT) AS cell_id, acq_time, 1000.0e0 AS elev FROM s3_obs), x AS (SELECT o.*, g.t2m, g.ea, g.p, t2m-lapse*(0-(z/9.80665+2)) AS td FROM o JOIN g ON g.cell_id=o.cell_id AND g.valid_time=o.acq_time) SELECT cell_id, acq_time, ROUND(t2m,6) AS t2m, ROUND(td,6) AS t_datum FROM x", "s3_obs era5_hourly")
+def k5_era5_on_the_hour(spark, d):
+    hours = fixture(spark, d, "era5_hourly").select("cell_id", F.col("valid_time").alias("acq_time"))
+    obs = observations(spark, d).join(hours, ["cell_id", "acq_time"]).withColumn("elev", F.lit(1000.0))
+    return rounded(K.era5_at(obs, fixture(spark, d, "era5_hourly"), "elev").select("cell_id", "acq_time", "t2m", "t_datum"))
