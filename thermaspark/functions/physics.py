@@ -144,7 +144,7 @@ def hotspot_distance(sza: Column, saa: Column, vza: Column, vaa: Column) -> Colu
 
 def kernel_hotspot(k: Column, sza: Column, saa: Column, vza: Column, vaa: Column) -> Column:
     nadir = F.exp(-k * F.tan(F.radians(sza)))
-    return (F.exp(-k * hotspot_distance(sza, saa, vza, vaa)) - nadir) / (1 - nadir)
+    return (F.exp(-k * hotspot_distance(sza, saa, vza, vaa)) - nadir) / F.nullif(1 - nadir, F.lit(0.0))
 
 
 def model_vinnikov_rl(a: Column, b: Column, k: Column, s3: tuple[Column, ...], val: tuple[Column, ...]) -> Column:

@@ -151,7 +151,7 @@ def fit_directional_rl(df: DataFrame, gain: float = 1.0, offset: float = 0.0, ks
         val = [F.col(f"validation_{c}") for c in ("vza", "vaa", "sza", "saa")]
         u = KERNELS["vinnikov"]()
         v = P.model_vinnikov_rl(F.lit(0.0), F.lit(1.0), F.col("k"), tuple(s3), tuple(val))
-        rows = rows.select("k", u.alias("u"), v.alias("v"), residual_difference(gain, offset).alias("y")).filter(~F.isnan("v"))
+        rows = rows.select("k", u.alias("u"), v.alias("v"), residual_difference(gain, offset).alias("y")).filter("v is not null AND NOT isnan(v)")
         s = rows.groupBy("k").agg(*(F.sum(F.col(a) * F.col(b)).alias(a + b) for a, b in ("uu", "uv", "vv", "uy", "vy", "yy")), F.count("*").alias("n"))
         det = F.nullif(F.col("uu") * F.col("vv") - F.col("uv") ** 2, F.lit(0.0))
         s = s.withColumns({"a": (F.col("uy") * F.col("vv") - F.col("vy") * F.col("uv")) / det, "b": (F.col("vy") * F.col("uu") - F.col("uy") * F.col("uv")) / det})
@@ -161,7 +161,7 @@ def fit_directional_rl(df: DataFrame, gain: float = 1.0, offset: float = 0.0, ks
         if not found:
             return best
         step = (max(ks) - min(ks)) / max(1, len(ks) - 1)
-        ks = [v for v in (found[0]["k"] + step * (i - 10) / 10 for i in range(21)) if v > 0]
+        ks = [v for v in (found[0]["k"] + step * (i - 10) / 10 for i in range(21)) if v > 1e-3]
     return best
 
 
