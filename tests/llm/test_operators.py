@@ -1,0 +1,357 @@
+"""The ten operators and the pipeline on small tables against plain versions, and odd inputs."""
+
+import hashlib
+import math
+import re
+import zlib
+
+import corpus_pipeline
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from thermaspark.llm import chat, decontaminate, jaccard, near_vectors, packing, rans, secret_scan, toxicity, transducer, warc
+from thermaspark.llm.common import components
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+LIBRARY = Tokenizer.from_file(TOKENIZER)
+WORDS = "the of and to in is that for was with on as by at from or an be this which one had not but what all were when we there can".split()
+
+
+def ids_of(text):
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def prose(n, seed=0):
+    rng = np.random.default_rng(seed)
+    return " ".join(WORDS[i] + str(rng.integers(40)) for i in rng.integers(len(WORDS), size=n))
+
+
+@pytest.fixture(scope="module")
+def texts():
+    base = prose(60)
+    words = base.split()
+    near = " ".join([*words[:58], "other", "end"])
+    return [(1, base), (2, base), (3, near), (4, None), (5, ""), (6, " \n "), (7, "two words"), (7, "two words"), (8, "TWO words"), (None, base), (9, prose(30_000, 3)), (10, "token = abcdefgh1234 <|endoftext|> AKIAABCDEFGHIJKL é " + "0123456789abcdef" * 3), (11, prose(40, 5))]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    extra = {c: F.lit("x") for c in ("piece", "start", "key", "h", "component_id", "score", "lang", "source", "row", "fp")}
+    return df.withColumns(extra).withColumn("n_chars", F.length("text").cast("long")).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(docs):
+    return docs.limit(0)
+
+
+def rows(df, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
+
+
+def test_components(spark):
+    edges = [(5, 3), (3, 9), (9, 1), (20, 21), (7, 7), *((k, k + 1) for k in range(100, 140))]
+    got = dict(rows(components(spark.createDataFrame(edges, "a long, b long")), "node", "component"))
+    assert got[5] == got[9] == 1 and got[21] == 20 and 7 not in got and {got[k] for k in range(100, 141)} == {100}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_token_files(docs, empty, texts, spark):
+    got = rans.read_ids(spark, rans.write_ids(docs, TOKENIZER), with_ids=True).collect()
+    assert sorted(((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got), key=repr) == sorted(((d, len(i := [*ids_of(t), 0]), crc(i)) for d, t in texts), key=repr)
+    assert all(list(r["ids"])[-1] == 0 and len(r["ids"]) == r["n_tokens"] for r in got)
+    order = sorted(got, key=lambda r: r["start"])
+    assert [r["doc_id"] for r in order] == sorted((d for d, _ in texts), key=lambda d: -1 if d is None else d)
+    at = 0
+    for r in order:
+        assert r["start"] == at
+        at += r["n_tokens"]
+    assert rans.read_ids(spark, rans.write_ids(empty, TOKENIZER)).count() == 0
+
+
+def test_token_counts(docs, empty, texts):
+    want = sorted(((d, len((t or "").encode()), n := len(ids_of(t)), n > 512) for d, t in texts), key=repr)
+    assert rows(transducer.token_counts(docs, TOKENIZER), "doc_id", "n_bytes", "n_tokens", "over_limit") == want
+    assert transducer.token_counts(empty, TOKENIZER).count() == 0
+
+
+def test_packing(docs, empty, texts):
+    got = packing.pack(docs, TOKENIZER).collect()
+    want = []
+    for d, t in texts:
+        ids = [*ids_of(t), 2]
+        many = -(-len(ids) // 1024)
+        first = len(ids) - 1024 * (many - 1)
+        cuts = [0, *(first + 1024 * k for k in range(many))]
+        want += [(d, k, a, b - a, crc(ids[a:b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+    assert sorted(((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got), key=repr) == sorted(want, key=repr)
+    places = {}
+    for r in got:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for p in places.values():
+        end = 0
+        for o, n in sorted(p):
+            assert o == end
+            end += n
+        assert end <= 1024
+    assert len(places) <= -(-sum(r["length"] for r in got) // 1024) + 1
+    assert packing.pack(empty, TOKENIZER).count() == 0
+
+
+def word_sets(texts):
+    out = []
+    for _, t in texts:
+        low = (t or "").translate({65 + i: 97 + i for i in range(26)})
+        w = re.findall(r"[^\x20\x09-\x0D]+", low)
+        out.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    return out
+
+
+def brute_components(texts):
+    sets = word_sets(texts)
+    parent = list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * both >= 80 * len(sets[i] | sets[j]):
+                parent[root(i)] = root(j)
+    groups = {}
+    for i, (d, _) in enumerate(texts):
+        if d is not None:
+            groups[root(i)] = min(groups.get(root(i), d), d)
+    return sorted(((d, len(s), groups.get(root(i)) if s else d) for i, ((d, _), s) in enumerate(zip(texts, sets, strict=True))), key=repr)
+
+
+def test_jaccard_join(docs, empty, texts):
+    assert rows(jaccard.join(docs), "doc_id", "n_shingles", "component_id") == brute_components(texts)
+    assert jaccard.join(empty).count() == 0
+
+
+def test_jaccard_join_with_heavy_shingles(spark, monkeypatch):
+    """A large family of near copies and a passage in many documents, with a low bound for heavy shingles."""
+    monkeypatch.setattr(jaccard, "HEAVY", 4)
+    rng = np.random.default_rng(2)
+    base, passage = prose(80, 9).split(), prose(30, 11)
+    family = []
+    for _ in range(40):
+        w = list(base)
+        for k in rng.choice(len(w), rng.integers(1, 5), replace=False):
+            w[k] = f"edit{rng.integers(1000)}"
+        family.append(" ".join(w))
+    shared = [prose(int(rng.integers(5, 60)), 100 + i) + " " + passage for i in range(40)]
+    some = list(enumerate([*family, *shared, *family[:5]]))
+    df = spark.createDataFrame(some, "doc_id long, text string").repartition(4)
+    assert rows(jaccard.join(df), "doc_id", "n_shingles", "component_id") == brute_components(some)
+
+
+def test_least_shared_bounds_hold(spark):
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        n = int(rng.integers(5, 60))
+        a = set(rng.choice(200, n, replace=False).tolist())
+        b = set(a)
+        for _ in range(int(rng.integers(0, n // 5 + 1))):
+            b.discard(int(rng.choice(sorted(b))))
+            b.add(int(rng.integers(200)))
+        both = len(a & b)
+        if 100 * both < 80 * len(a | b):
+            continue
+        ea, eb = (jaccard.prefix(len(s)) + jaccard.slack(len(s)) for s in (a, b))
+        seen = len(set(sorted(a)[:ea]) & set(sorted(b)[:eb]))
+        least = -(-80 * (len(a) + len(b)) // 180) - max(len(a) - ea, len(b) - eb)
+        assert seen >= max(1, least)
+
+
+def brute_spans(text):
+    text = text or ""
+    out = []
+    rules = [("assign", secret_scan.RULES[0].pattern, 2, 8), ("access", "AKIA[A-Z0-9]+", 0, 16), ("hex", "[0-9a-f]+", 0, 32)]
+    for nth, (kind, pattern, group, least) in enumerate(rules):
+        out += [(m.start(), nth, kind, m.end()) for m in re.finditer(pattern, text, re.ASCII) if len(m[group]) >= least]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_secret_scan(spark, docs, texts, empty, seed):
+    rng = np.random.default_rng(seed)
+    bits = ["token", "Password", "api_key", "APIKEY", "secret", " ", ":", "=", "'", '"', "abcdefgh", "AKIA", "AKIAAKIA", "ABCDEFGHIJKLM", "0123456789abcdef", "ff", "é", "😀", "\n", "x", "pass", "wd"]
+    some = [(i, "".join(bits[k] for k in rng.integers(len(bits), size=rng.integers(0, 60)))) for i in range(150)]
+    df = spark.createDataFrame(some, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in secret_scan.scan(df).collect()}
+    for d, t in some:
+        spans = brute_spans(t)
+        named = ",".join(f"{k}:{s}:{e}" for s, _, k, e in spans)
+        r = got[d]
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(x[2] == k for x in spans) for k in ("assign", "access", "hex")]
+        assert r["base_sha256"] == hashlib.sha256(named.encode()).hexdigest()
+        assert set(named.split(",")) <= set(r["spans"].split(","))
+    if not seed:
+        assert secret_scan.scan(docs).count() == len(texts) and secret_scan.scan(empty).count() == 0
+        clean = secret_scan.redact(docs).filter("doc_id = 10").collect()[0]
+        assert clean["text"].count("[SECRET]") == 3 and clean["n_chars"] == len(clean["text"])
+        assert secret_scan.redact(docs).columns == docs.columns and secret_scan.redact(docs).count() == len(texts)
+
+
+def test_decontamination(spark, docs, empty):
+    long = prose(30_000, 3).split()
+    items = [(1, " ".join(long[9000:9040])), (2, prose(30, 77)), (3, None), (4, ""), (5, "two words"), (6, " ".join([*long[200:225], "new"])), (7, " ".join([*long[300:310], *prose(30, 4).split()]))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(1))
+    assert rows(decontaminate.leaks(docs, benchmark), "doc_id", "item_id") == [(7, 5), (8, 5), (9, 1), (9, 6)]
+    assert decontaminate.leaks(empty, benchmark).count() == 0 and decontaminate.leaks(docs, benchmark.limit(0)).count() == 0
+
+
+def test_decontamination_beyond_the_partitions(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PARTITIONS", (8, 16))
+    parts = [prose(30, 50 + i) for i in range(20)]
+    benchmark = spark.createDataFrame(list(enumerate(parts)), "item_id long, text string")
+    df = spark.createDataFrame([(1, " ".join(parts)), (2, parts[3])], "doc_id long, text string")
+    assert rows(decontaminate.leaks(df, benchmark), "doc_id", "item_id") == sorted([*((1, i) for i in range(20)), (2, 3)], key=repr)
+
+
+def test_values_for_meets_its_bound():
+    for most in decontaminate.PARTITIONS:
+        k, similarity = decontaminate.values_for(most, 16, 80), 0.8 * 16 / (most + 0.2 * 16)
+        assert (1 - min(similarity, 1 - 1e-9)) ** k <= decontaminate.MISS * 1.0001 or math.isclose(similarity, 1)
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    bad = ["horrid", "vileness", "grubby"]
+    out, labels = [], []
+    for i in range(600):
+        words = prose(80, 1000 + i).split()
+        if i % 4 == 0:
+            for k in range(0, 80, 12):
+                words[k] = bad[(i + k) % 3]
+        out.append((i, " ".join(words)))
+        labels.append((i, i % 2, int(i % 4 == 0)))
+    more = [*out, (1000, None), (1001, ""), (1002, " \n"), (None, "horrid")]
+    return spark.createDataFrame(more, "doc_id long, text string"), spark.createDataFrame([*labels, (5, 1, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
+
+
+def test_toxicity(spark, labelled):
+    docs, labels = labelled
+    got = toxicity.toxicity(docs, labels, 150).collect()
+    by = {r["doc_id"]: r for r in got}
+    assert len(got) == 604 and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got)
+    assert all(r["held_out"] == (zlib.crc32(str(d).encode()) % 5 == 0) for d, r in by.items() if d is not None)
+    wrong = sum(by[i]["predicted"] != int(i % 4 == 0) for i in range(600) if by[i]["held_out"])
+    assert wrong <= 3
+    assert by[1000]["score"] == by[1001]["score"] == by[1002]["score"] == 0.0
+    assert toxicity.toxicity(docs.limit(0), labels).count() == 0
+    one = toxicity.toxicity(docs.limit(20), labels.filter("toxic = 0")).collect()
+    assert {r["predicted"] for r in one} == {0}
+
+
+def test_gradients_match_differences():
+    rng = np.random.default_rng(0)
+    x = rng.standard_normal((5, 3, 3 * toxicity.HIDDEN)).astype(np.float32)
+    mask = np.ones((5, 3, 1), bool)
+    U = (rng.standard_normal((toxicity.HIDDEN, 3 * toxicity.HIDDEN)) * 0.3).astype(np.float32)
+    weight = rng.standard_normal((5, 3, toxicity.HIDDEN)).astype(np.float32)
+    steps = []
+    toxicity.run_side(x, mask, U, steps)
+    dx, dU = toxicity.side_gradients(weight, steps, mask, U)
+    loss = lambda x, U: float((toxicity.run_side(x, mask, U, None) * weight).sum())
+    for at in ((0, 0, 1), (2, 1, 9), (4, 2, 20)):
+        d = np.zeros_like(x)
+        d[at] = 1e-2
+        assert (loss(x + d, U) - loss(x - d, U)) / 2e-2 == pytest.approx(dx[at], rel=0.05, abs=0.02)
+    d = np.zeros_like(U)
+    d[1, 4] = 1e-2
+    assert (loss(x, U + d) - loss(x, U - d)) / 2e-2 == pytest.approx(dU[1, 4], rel=0.05, abs=0.02)
+
+
+def test_windows_cover_every_word():
+    first, text = toxicity.windows_of(np.array([0, 0, 5, 29, 100]))
+    for t, (a, b) in enumerate([(0, 0), (0, 5), (5, 29), (29, 100)]):
+        own = first[text == t]
+        covered = {k for f in own for k in range(f, min(f + toxicity.WINDOW, b))}
+        assert covered == set(range(a, b)) and all(f >= a for f in own)
+
+
+def test_archives(spark):
+    same, short = "<p>" + "é" * 900, "tiny"
+    pages = [(1, "http://a/1", same), (9, "u", same), (5, None, same), (2, "u", short), (3, "u", short), (4, "u", None), (6, "u", ""), (7, "u", "x" * 200_000), (None, "u", same), (7, "u", "x" * 200_000)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("last", F.lit(1))
+    got = sorted(((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in warc.archive(df).collect()), key=repr)
+    want = []
+    for p, _, h in pages:
+        raw = (h or "").encode()
+        to = 9 if h == same and p != 9 else None
+        want.append((p, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if to else "response", to))
+    assert got == sorted(want, key=repr)
+    assert warc.archive(df.limit(0)).count() == 0
+
+
+def test_near_vectors(spark):
+    rng = np.random.default_rng(1)
+    base = rng.standard_normal((30, 32))
+    vectors = [(i, v.tolist(), i % 3) for i, v in enumerate(base)]
+    vectors += [(100 + i, (v + 0.05 * rng.standard_normal(32)).tolist(), i % 3) for i, v in enumerate(base[:12])]
+    vectors += [(200 + k, base[0].tolist(), 0) for k in range(5)]
+    vectors += [(300, None, 0), (301, [0.0] * 32, 0), (302, [float("nan")] * 32, 0), (303, base[0].tolist(), None), (304, [], 0), (305, [None] * 32, 0), (306, base[0].tolist(), 1), (307, [1.0, 2.0], 0), (None, base[1].tolist(), 1)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>, label int").withColumn("cls", F.lit(0))
+    got = {r["vec_id"]: r for r in near_vectors.near_duplicates(df).collect()}
+    assert len(got) == len(vectors)
+    assert got[0]["n_links"] == 6 and got[204]["component_id"] == 0 and not got[204]["kept"] and got[0]["kept"]
+    assert all(got[100 + i]["component_id"] == i for i in range(12))
+    assert all(got[k]["n_links"] == 0 and got[k]["kept"] for k in (300, 301, 302, 303, 304, 305, 306, 307))
+    assert near_vectors.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_near_vectors_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_vectors, "BLOCK", 8)
+    rng = np.random.default_rng(3)
+    centre = rng.standard_normal(16)
+    vectors = np.array([centre + 0.02 * rng.standard_normal(16) for _ in range(60)])
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    got = near_vectors.near_duplicates(df).collect()
+    assert all(r["n_links"] == 59 and r["component_id"] == 0 for r in got)
+
+
+def test_chat_format(spark):
+    turns = [(1, 0, "system", "be"), (1, 1, "user", "hi \\ </s>"), (1, 2, "assistant", "[INST] ok"), (2, 5, None, None), (2, 5, "assistant", "x"), (2, 5, "assistant", "x"), (None, None, "user", "q")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("loss", F.lit(1))
+    got = {r["conv_id"]: r for r in chat.format_and_digest(df).collect()}
+    digest = lambda pairs: hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in pairs).encode()).hexdigest()
+    assert got[1]["turns_sha256"] == digest([(r, t) for _, _, r, t in turns[:3]]) and got[1]["n_turns"] == 3
+    assert got[1]["loss_sha256"] == hashlib.sha256(b"[INST] ok").hexdigest() and got[1]["loss_chars"] == 9
+    assert got[2]["turns_sha256"] == digest([("", ""), ("assistant", "x"), ("assistant", "x")]) and got[2]["loss_chars"] == 2
+    assert got[-1]["n_turns"] == 2 and got[-1]["loss_sha256"] == hashlib.sha256(b"</s>[INST] ok [/INST]").hexdigest() and None in got
+
+
+def test_pipeline_stages(spark, tmp_path, labelled):
+    docs, labels = labelled
+    leak = prose(40, 5000)
+    more = [(2001, leak + " " + prose(100, 5001)), (2002, prose(90, 5002)), (2003, prose(90, 5002)), (2004, "token = abcdefgh12345678 " + prose(50, 5003))]
+    own = docs.unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    own = own.select("doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.length("text").cast("long").alias("n_chars"))
+    own.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    now = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = []
+    for name, stage in corpus_pipeline.STAGES:
+        was, now = now, stage(spark, now, str(tmp_path)).cache()
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert now.columns == was.columns
+        kept.append({r["doc_id"] for r in now.select("doc_id").collect()})
+    assert not {i for i in range(0, 600, 4)} & kept[0] and len({i for i in range(600) if i % 4} & kept[0]) >= 445
+    assert {2002, 2003} & kept[1] == {2002} and {2001} <= kept[1] and 2001 not in kept[2]
+    assert kept[3] == kept[2] == kept[4] and kept[2] == kept[1] - {2001}
+    assert {c for c in now.columns} == {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}
