@@ -693,3 +693,42 @@ def k5_era5_on_the_hour(spark, d):
     hours = fixture(spark, d, "era5_hourly").select("cell_id", F.col("valid_time").alias("acq_time"))
     obs = observations(spark, d).join(hours, ["cell_id", "acq_time"]).withColumn("elev", F.lit(1000.0))
     return rounded(K.era5_at(obs, fixture(spark, d, "era5_hourly"), "elev").select("cell_id", "acq_time", "t2m", "t_datum"))
+
+
+@query(
+    f"""+ a AS (SELECT acq_id AS pair_id, row_lr AS row, col_lr AS col, lst, vza, vaa, sza, saa, acq_time FROM s3_obs),
+b AS (SELECT acq_id-1 AS pair_id, row_lr AS row, col_lr AS col, lst, vza, vaa, sza, saa, acq_time, (confidence_in >> 14) & 1 AS cm FROM s3_obs)
+SELECT a.pair_id, a.row, a.col, ROUND(a.lst,6) AS lst_s3hr, ROUND(b.lst,6) AS validation_lst, 10*((a.row+a.col)%9+1) AS land_cover, b.cm AS validation_cloudmask, a.acq_time AS s3_time, b.acq_time AS validation_time,
+ ROUND({SESA.format(a='a.vza', b='b.vza', c='a.vaa', d='b.vaa')},4) AS sesa FROM a JOIN b USING (pair_id, row, col) WHERE a.lst<>0 AND b.lst<>0""",
+    "s3_obs",
+)
+def g1_build_matchups(spark, d):
+    s3 = fixture(spark, d, "s3_obs").select(F.col("acq_id").alias("pair_id"), F.col("row_lr").alias("row"), F.col("col_lr").alias("col"), "lst", "vza", "vaa", "sza", "saa", "acq_time", "confidence_in")
+    val = s3.select("*", C.flag(F.col("confidence_in"), "summary_cloud").alias("cloudmask"), F.lit(1.0).alias("land_fraction")).withColumn("pair_id", F.col("pair_id") - 1)
+    cover = s3.select("row", "col", (10 * ((F.col("row") + F.col("col")) % 9 + 1)).alias("land_cover")).distinct()
+    out = M.build_matchups(s3, val, cover)
+    return out.select("pair_id", "row", "col", r6("lst_s3hr").alias("lst_s3hr"), r6("validation_lst").alias("validation_lst"), "land_cover", "validation_cloudmask", "s3_time", "validation_time", F.round("sesa", 4).alias("sesa"))
+
+
+NAMES = "+ n AS (SELECT event_id, LPAD(CAST(event_id AS VARCHAR), 5, '0') || '_001_' || CAST(20240101+MOD(event_id,28) AS VARCHAR) || 'T101010' AS k, event_type, value FROM events)"
+
+
+@query(NAMES + " SELECT k AS key, 'ECO_LSTE_' || k || '.h5' AS lste, 'ECO_GEO_' || k || '.h5' AS geo, 'ECO_CLOUD_' || k || '.h5' AS cloud, strptime(k[11:], '%Y%m%dT%H%M%S') AS acq_time FROM n WHERE event_type <> 'error' AND value > 50", "points")
+def e6_match_granules(spark, d):
+    e = spark.read.parquet(f"{d}/events.parquet")
+    k = F.concat(F.lpad(F.col("event_id").cast("string"), 5, "0"), F.lit("_001_"), (20240101 + F.col("event_id") % 28).cast("string"), F.lit("T101010.h5"))
+    name = lambda df, kind: df.select(F.concat(F.lit(f"ECO_{kind}_"), k).alias("name"))
+    return E.match_granules(name(e, "LSTE").union(name(e.filter("event_type != 'error'"), "GEO")).union(name(e.filter("value > 50"), "CLOUD")))
+
+
+@query(
+    """+ b AS (SELECT CAST(acq_time AS DATE) AS day, acq_id, MIN(row_lr) + acq_id % 3 AS miny FROM s3_obs GROUP BY 1, 2, acq_id),
+c AS (SELECT CAST(acq_date + 92 AS DATE) AS day, row_hr, col_hr FROM s2_obs)
+SELECT acq_id, day, COUNT(*) AS n FROM b JOIN c USING (day) WHERE 0.0 <= col_hr+0.5 AND 5.0 >= col_hr AND miny <= row_hr+0.5 AND miny+4.0 >= row_hr GROUP BY 1, 2""",
+    "s3_obs s2_obs",
+)
+def a22_find_scenes(spark, d):
+    b = fixture(spark, d, "s3_obs").groupBy(F.to_date("acq_time").alias("day"), "acq_id").agg((F.min("row_lr") + F.col("acq_id") % 3).cast("double").alias("miny"))
+    b = b.select("day", "acq_id", F.lit("landsat 8").alias("platform"), F.lit(0.0).alias("minx"), "miny", F.lit(5.0).alias("maxx"), (F.col("miny") + 4).alias("maxy"))
+    c = fixture(spark, d, "s2_obs").select(F.date_add("acq_date", 92).alias("day"), F.lit("L8").alias("platform"), F.col("col_hr").cast("double").alias("minx"), (F.col("col_hr") + 0.5).alias("maxx"), F.col("row_hr").cast("double").alias("miny"), (F.col("row_hr") + 0.5).alias("maxy"))
+    return A.find_scenes(b, c).groupBy("a.acq_id", "a.day").agg(F.count("*").alias("n"))
