@@ -1,12 +1,14 @@
 """Exact n-gram Jaccard join by prefix filtering with set-relation skipping.
 
 Documents with the same shingle set are one set. Sets are ordered by size and their shingles by one global order:
-shingles that are heavy (in very many sets) last, the others by hash. Two sets that link share a shingle among the
-first shingles of both, so only those are indexed. Skipping works on two levels. Index: lists are kept in blocks
-by size, and a pair is skipped where sizes and positions in the prefixes bound its overlap below the threshold.
-Answers: a list's sets are first compared with its smallest set only; what these answers join into one component
-needs no answers of its own, and only pairs of a list that lie in different components are compared after that.
-No step emits all pairs of a group; comparisons are exact, over 64-bit hashes of shingles.
+shingles that are heavy (in more than HEAVY documents) last, the others by hash. Sets that link share shingles among the
+first of both, so only those are indexed; how often shingles occur is counted over all documents. Skipping works on
+two levels. Index: lists are kept in order of size, and a pair is skipped where sizes, positions in the lists or the
+number of lists that it shares bound its overlap below the threshold (least_shared). Lists with the same sets are read
+once. Answers: long lists hold only sets made of heavy shingles, mostly families of near copies; such a list's sets
+are compared with its smallest set first, what these answers join into one component needs no answers of its own, and
+only pairs of a list in different components are compared after that. Comparisons are exact, over 64-bit hashes of
+shingles.
 
 Defined results: a null or empty text has no shingles and links with nothing; every row counts as a document, so
 repeated rows come back each, in one component if their texts are alike; a row with a null doc_id comes back and
@@ -23,19 +25,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, components, staged, utf8
-from .pieces import mix
+from .pieces import gather, mix
 from .shingles import fingerprint, shingle_sets
 
 #: Links: HUNDREDTHS * union <= 100 * intersection.
 HUNDREDTHS = 80
-#: A shingle is heavy in a batch from so many sets, and in the index beyond so many.
-HEAVY_BATCH, HEAVY = 12, 64
+#: A shingle is heavy beyond so many documents; of heavy ones at most so many are told apart, the most frequent.
+HEAVY, MOST_HEAVY = 48, 2_000_000
 #: Bytes of input for each part of the index; bits of the filter on documents whose sets are wanted.
 PART_BYTES, FILTER_BUCKETS = 2 << 20, 256
 POSTINGS = "part int, postings binary"
-LISTS = "h long, fp long, n int, pos int, spare int, heavy boolean"
-RECORD = np.dtype([("h", "<u8"), ("fp", "<i8"), ("n", "<u4"), ("pos", "<u4"), ("spare", "<u2")])
-HOT_MARK = np.uint32(0xFFFFFFFF)
+#: A set in a long list (h not null), or two sets of short lists. e: how many shingles of a set are indexed.
+LISTS = "h long, fp long, n int, pos int, e int, fp2 long, n2 int, e2 int, times int"
+RECORD = np.dtype([("h", "<u8"), ("fp", "<i8"), ("n", "<u4"), ("pos", "<u4"), ("e", "<u4")])
 
 
 def prefix(n: int, hundredths: int = HUNDREDTHS) -> int:
@@ -44,8 +46,8 @@ def prefix(n: int, hundredths: int = HUNDREDTHS) -> int:
 
 
 def slack(n: int) -> int:
-    """Shingles indexed beyond the prefix, in place of heavy ones."""
-    return 4 + n // 50
+    """Shingles indexed beyond the prefix: pairs that link share as many more."""
+    return 2 + n // 50
 
 
 def _own(docs: DataFrame) -> DataFrame:
@@ -63,95 +65,127 @@ def set_sizes(docs: DataFrame) -> DataFrame:
     return _own(docs).mapInArrow(run, "doc_id long, n_shingles long, fp long")
 
 
-def postings(docs: DataFrame, parts: int, hundredths: int) -> DataFrame:
-    """The indexed shingles of all sets, packed by part of the index: the first prefix + slack that are not hot in the task, and the hot ones between."""
+def key_of(h: np.ndarray, parts: int) -> np.ndarray:
+    """What heavy shingles are told apart by: the part and 32 bits in it. Shingles that share a key are heavy together."""
+    return (h % np.uint64(parts)) << np.uint64(32) | h >> np.uint64(32)
+
+
+def dealt(rows: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
+    """Rows packed by part."""
+    order = np.argsort(part, kind="stable")
+    rows, part = rows[order], part[order]
+    which, first = np.unique(part, return_index=True)
+    ends = np.append(first[1:], len(part))
+    return pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), pa.array([rows[i:j].tobytes() for i, j in zip(first, ends, strict=True)], pa.binary())], names=["part", "postings"])
+
+
+def by_part(packed: DataFrame, close, schema: str) -> DataFrame:
+    """close(blobs of a part) for all parts, one after another in a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for b in batches:
+            for part, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if part != now:
+                    if held:
+                        yield from close(now, held)
+                    now, held = part, []
+                held.append(blob)
+        if held:
+            yield from close(now, held)
+
+    return packed.repartition("part").sortWithinPartitions("part").mapInArrow(run, schema)
+
+
+def heavy_shingles(docs: DataFrame, parts: int) -> np.ndarray:
+    """Sorted keys of shingles in more than HEAVY documents, counted over all documents."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = np.concatenate([np.zeros(0, np.uint64), *shingle_sets(*utf8(b.column(1)))])
+            if len(own):
+                yield dealt((own >> np.uint64(32)).astype("<u4"), own % np.uint64(parts))
+
+    def count(part: int, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        key, n = np.unique(np.frombuffer(b"".join(blobs), "<u4"), return_counts=True)
+        key, n = key[n > HEAVY].astype(np.int64) | part << 32, n[n > HEAVY]
+        if len(key):
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
+
+    found = staged(by_part(_own(docs).mapInArrow(keys, POSTINGS), count, "key long, n long"), "heavy")
+    rows = found.orderBy(F.desc("n"), "key").limit(MOST_HEAVY).select("key").toArrow() if found.take(1) else None
+    return np.sort(rows.column(0).to_numpy().astype(np.uint64)) if rows is not None else np.zeros(0, np.uint64)
+
+
+def postings(docs: DataFrame, parts: int, hundredths: int, heavy: np.ndarray) -> DataFrame:
+    """The first shingles of all sets, packed by part of the index."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = np.zeros(0, np.uint64)
         known: set[int] = set()
         for b in batches:
-            sets = shingle_sets(*utf8(b.column(1)))
-            fps = [fingerprint(s) for s in sets]
+            rows = []
             if len(known) > 1_000_000:
                 known.clear()
-            new = []
-            for s, f in zip(sets, fps, strict=True):
-                if len(s) and f not in known:
-                    known.add(f)
-                    new.append((s, f))
-            if not new:
-                continue
-            some = np.concatenate([s[: prefix(len(s), hundredths) + slack(len(s))] for s, _ in new])
-            values, counts = np.unique(some, return_counts=True)
-            fresh_hot = values[counts >= HEAVY_BATCH]
-            hot = np.union1d(hot, fresh_hot) if len(fresh_hot) else hot
-            rows = []
-            for s, f in new:
+            for s in shingle_sets(*utf8(b.column(1))):
+                f = fingerprint(s)
+                if not len(s) or f in known:
+                    continue
+                known.add(f)
                 n = len(s)
-                need = prefix(n, hundredths)
-                end = need + slack(n)
-                if len(hot):
-                    cold = np.ones(n, bool)
-                    where = np.searchsorted(hot, s)
-                    cold[hot[np.minimum(where, len(hot) - 1)] == s] = False
-                    end = max(end, int(np.searchsorted(np.cumsum(cold), end)) + 1)
-                r = np.zeros(min(n, end), RECORD)
-                r["h"], r["fp"], r["n"], r["pos"] = s[:end], f, n, np.arange(len(r))
-                r["spare"] = min(65535, len(r) - need)
+                if len(heavy):
+                    key = key_of(s, parts)
+                    last = heavy[np.minimum(np.searchsorted(heavy, key), len(heavy) - 1)] == key
+                    s = np.concatenate([s[~last], s[last]]) if last.any() else s
+                r = np.zeros(min(n, prefix(n, hundredths) + slack(n)), RECORD)
+                r["h"], r["fp"], r["n"], r["pos"], r["e"] = s[: len(r)], f, n, np.arange(len(r)), len(r)
                 rows.append(r)
-            if len(fresh_hot):
-                marks = np.zeros(len(fresh_hot), RECORD)
-                marks["h"], marks["n"] = fresh_hot, HOT_MARK
-                rows.append(marks)
-            every = np.concatenate(rows)
-            part = (every["h"] % np.uint64(parts)).astype(np.int32)
-            order = np.argsort(part, kind="stable")
-            every, part = every[order], part[order]
-            which, first = np.unique(part, return_index=True)
-            ends = np.append(first[1:], len(part))
-            yield pa.RecordBatch.from_arrays([pa.array(which), pa.array([every[i:j].tobytes() for i, j in zip(first, ends, strict=True)], pa.binary())], names=["part", "postings"])
+            if rows:
+                every = np.concatenate(rows)
+                yield dealt(every, every["h"] % np.uint64(parts))
 
     return _own(docs).mapInArrow(run, POSTINGS)
 
 
-def shared_lists(packed: DataFrame) -> DataFrame:
-    """Lists with two sets or more, a row per set in a list. Parts are read one after another."""
+def shared_lists(packed: DataFrame, hundredths: int) -> DataFrame:
+    """The sets of long lists, and the pairs of sets in short ones with the number of lists they share in a part."""
 
-    def lists(blobs: list[bytes]) -> pa.RecordBatch | None:
+    def lists(_: int, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
         every = np.concatenate([np.frombuffer(x, RECORD) for x in blobs])
         every = every[np.lexsort((every["fp"], every["n"], every["h"]))]
-        again = np.append(False, (every["h"][1:] == every["h"][:-1]) & (every["fp"][1:] == every["fp"][:-1]) & (every["n"][1:] == every["n"][:-1]))
+        again = np.append(False, (every["h"][1:] == every["h"][:-1]) & (every["fp"][1:] == every["fp"][:-1]))
         every = every[~again]
         first = np.flatnonzero(np.append(True, every["h"][1:] != every["h"][:-1]))
         size = np.diff(np.append(first, len(every)))
-        marked = every["n"][first + size - 1] == HOT_MARK
-        heavy = marked | (size > HEAVY)
-        keep = np.repeat(size - marked >= 2, size) & (every["n"] != HOT_MARK)
-        if not keep.any():
-            return None
-        # a list whose sets are those of a list before it has the same answers
+        n, e, pos, fp = (np.ascontiguousarray(every[c]) for c in ("n", "e", "pos", "fp"))
+        long = size > HEAVY
+        at = gather(first[long], size[long])
+        if len(at):
+            yield batch(h=np.ascontiguousarray(every["h"])[at].view("<i8"), fp=fp[at], n=n[at], pos=pos[at], e=e[at])
+        # lists with the same sets have the same answers
+        light = np.flatnonzero(~long & (size >= 2))
+        if not len(light):
+            return
         with np.errstate(over="ignore"):
-            sets = np.add.reduceat(mix(np.ascontiguousarray(every["fp"]).view("<u8")), first) + size.astype(np.uint64)
-        _, once = np.unique(sets, return_index=True)
-        new = heavy.copy()
-        new[once] = True
-        keep &= np.repeat(new, size)
-        h, rows = np.repeat(heavy, size)[keep], every[keep]
-        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows["h"]).view("<i8")), pa.array(rows["fp"]), pa.array(rows["n"].astype(np.int32)), pa.array(rows["pos"].astype(np.int32)), pa.array(rows["spare"].astype(np.int32)), pa.array(h)], names=["h", "fp", "n", "pos", "spare", "heavy"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
-        for b in batches:
-            for part, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if part != now:
-                    if held and (out := lists(held)) is not None:
-                        yield out
-                    now, held = part, []
-                held.append(blob)
-        if held and (out := lists(held)) is not None:
-            yield out
-
-    return packed.repartition("part").sortWithinPartitions("part").mapInArrow(run, LISTS)
+            sums = np.add.reduceat(mix(fp.view("<u8")), first) + size.astype(np.uint64)
+        _, once, times = np.unique(sums[light], return_index=True, return_counts=True)
+        light = light[once]
+        for k in np.unique(size[light]).tolist():
+            those = size[light] == k
+            i, j = np.triu_indices(k, 1)
+            one = (first[light[those]][:, None] + i).reshape(-1)
+            other = (first[light[those]][:, None] + j).reshape(-1)
+            many = np.repeat(times[those], len(i))
+            fits = n[one].astype(np.int64) * 100 >= n[other].astype(np.int64) * hundredths  # ordered by size
+            one, other, many = one[fits], other[fits], many[fits]
+            if len(one):
+                yield batch(fp=fp[one], n=n[one], e=e[one], fp2=fp[other], n2=n[other], e2=e[other], times=many)
+
+    def batch(**columns: np.ndarray) -> pa.RecordBatch:
+        size = len(columns["fp"])
+        kinds = {"h": pa.int64(), "fp": pa.int64(), "n": pa.int32(), "pos": pa.int32(), "e": pa.int32(), "fp2": pa.int64(), "n2": pa.int32(), "e2": pa.int32(), "times": pa.int32()}
+        return pa.RecordBatch.from_arrays([pa.array(columns[c]).cast(k) if c in columns else pa.nulls(size, k) for c, k in kinds.items()], names=list(kinds))
+
+    return by_part(packed, lists, LISTS)
 
 
 # -- comparing -------------------------------------------------------------------
@@ -189,6 +223,13 @@ def wanted_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return one.dropDuplicates(["fp"]).select("fp", "n", "own")
 
 
+def sets_of(docs: DataFrame, sizes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The sets of all fingerprints in pairs(a, b)."""
+    members = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
+    ids = staged(sizes.join(members, "fp").groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "ids")
+    return staged(wanted_sets(docs, ids), "sets")
+
+
 def compare(pairs: DataFrame, sets: DataFrame, hundredths: int) -> DataFrame:
     """The pairs (a, b) that link."""
 
@@ -216,15 +257,22 @@ def may_link(n1: Column, p1: Column, n2: Column, p2: Column, hundredths: int) ->
     return (n1 * 100 >= n2 * hundredths) & (most * (100 + hundredths) >= (n1 + n2) * hundredths)
 
 
+def least_shared(n1: Column, e1: Column, n2: Column, e2: Column, hundredths: int) -> Column:
+    """Of the first e1 and e2 shingles, in one order, of two sets that link, at least so many are in both."""
+    overlap = F.floor((F.lit(hundredths) * (n1 + n2) + (99 + hundredths)) / F.lit(100 + hundredths))
+    return overlap - F.greatest(n1 - e1, n2 - e2)
+
+
 def join(docs: DataFrame, hundredths: int = HUNDREDTHS) -> DataFrame:
     """doc_id, n_shingles, component_id of all documents."""
     spark = docs.sparkSession
     bounded_batches(spark)
     size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())  # of the files
     parts = 1024 if size >> 50 else max(64, size // PART_BYTES)
-    packed = postings(docs, parts, hundredths)
+    heavy = heavy_shingles(docs, parts)
+    release(spark)
     sizes = staged(set_sizes(docs), "sizes")
-    lists = staged(shared_lists(packed), "lists")
+    lists = staged(shared_lists(postings(docs, parts, hundredths, heavy), hundredths), "lists")
     release(spark)
     links = _links(docs, sizes, lists, hundredths)
     labels = components(links)
@@ -245,34 +293,51 @@ def release(spark) -> None:
 
 
 def _links(docs: DataFrame, sizes: DataFrame, lists: DataFrame, hundredths: int) -> DataFrame:
-    # sets with more heavy shingles than they have to spare cannot rely on the others
-    heavies = lists.groupBy("fp").agg(F.count(F.when(F.col("heavy"), 1)).alias("heavies"), F.min("spare").alias("spare"))
-    over = heavies.filter("heavies > spare").select("fp", F.lit(True).alias("over"))
-    lists = lists.join(over, "fp", "left").withColumn("free", ~F.col("heavy") | F.coalesce("over", F.lit(False))).drop("over")
-    useful = staged(lists.join(lists.groupBy("h").agg(F.max("free").alias("any"), F.count("*").alias("k")).filter("any AND k > 1").select("h"), "h"), "useful")
-    ids = sizes.join(useful.select("fp").distinct(), "fp").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
-    sets = staged(wanted_sets(docs, staged(ids, "ids")), "sets")
-    # answers of each list's smallest set
-    centre = useful.filter("free").groupBy("h").agg(F.min(F.struct("n", "fp", "pos")).alias("c"))
-    star = useful.join(centre, "h").filter(F.col("fp") != F.col("c.fp"))
-    one, other = F.col("c.fp"), F.col("fp")
-    small = F.col("c.n") <= F.col("n")
-    fit = F.when(small, may_link(F.col("c.n"), F.col("c.pos"), F.col("n"), F.col("pos"), hundredths)).otherwise(may_link(F.col("n"), F.col("pos"), F.col("c.n"), F.col("c.pos"), hundredths))
-    first = star.filter(fit).select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct()
-    tried = staged(first, "tried")
-    links = staged(compare(tried, sets, hundredths), "links")
+    """Links (a, b) that join all that link: all links of sets that meet in short lists only, and enough of the others."""
+    shared = lists.filter("h is null").groupBy("fp", "fp2").agg(F.sum("times").alias("times"), *(F.first(c).alias(c) for c in ("n", "e", "n2", "e2")))
+    shared = staged(shared.select(F.least("fp", "fp2").alias("a"), F.greatest("fp", "fp2").alias("b"), "times", least_shared(*map(F.col, ("n", "e", "n2", "e2")), hundredths).alias("least")), "shared")
+    short = shared.filter("times >= least").select("a", "b")
+    long = staged(lists.filter("h is not null").select("h", "fp", "n", "pos", "e"), "long")
+    tried = staged(_stars(long, hundredths).unionByName(short).distinct(), "tried")
+    links = staged(compare(tried, sets_of(docs, sizes, tried), hundredths), "links")
     release(docs.sparkSession)
-    # pairs of a list in different components
-    labels = components(links)
-    known = useful.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    known = staged(known, "known")
-    mixed = known.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("h")
+    # once more among the sets of a list that are not joined yet, a set for each component
+    left = _unjoined(long, links)
+    if left.take(1):
+        nth = left.groupBy("h", "component").agg(F.min(F.struct("n", "fp", "pos", "e")).alias("x")).select("h", "x.*")
+        more = staged(_stars(nth, hundredths).join(tried, ["a", "b"], "left_anti"), "tried")
+        links = staged(links.unionByName(compare(more, sets_of(docs, sizes, more), hundredths)), "links")
+        tried = tried.unionByName(more)
+        left = _unjoined(long, links)
+    if not left.take(1):
+        return links
+    # the pairs of a list that are still in different components, counted over all lists
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / hundredths)))
-    left = staged(known.join(mixed, "h").withColumn("band", band), "left")
-    x = left.filter("free").select("h", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), *(F.col(c).alias(f"x_{c}") for c in ("fp", "n", "pos", "component")), F.col("free").alias("x_free"))
-    pairs = x.join(left, ["h", "band"]).filter((F.col("component") != F.col("x_component")) & (~F.col("free") | (F.col("x_fp") < F.col("fp"))))
-    small = F.col("x_n") <= F.col("n")
-    fit = F.when(small, may_link(F.col("x_n"), F.col("x_pos"), F.col("n"), F.col("pos"), hundredths)).otherwise(may_link(F.col("n"), F.col("pos"), F.col("x_n"), F.col("x_pos"), hundredths))
-    rest = pairs.filter(fit).select(F.least("x_fp", "fp").alias("a"), F.greatest("x_fp", "fp").alias("b")).distinct()
+    left = staged(left.withColumn("band", band), "left")
+    x = left.select("h", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), *(F.col(c).alias(f"x_{c}") for c in ("fp", "n", "pos", "e", "component")))
+    pairs = x.join(left, ["h", "band"]).filter((F.col("component") != F.col("x_component")) & (F.col("x_fp") < F.col("fp")) & ordered_fit("x_n", "x_pos", "n", "pos", hundredths))
+    met = pairs.groupBy(F.col("x_fp").alias("a"), F.col("fp").alias("b")).agg(F.count("*").alias("times"), F.first(least_shared(*map(F.col, ("x_n", "x_e", "n", "e")), hundredths)).alias("least"))
+    both = met.join(shared.select("a", "b", F.col("times").alias("more")), ["a", "b"], "left")
+    rest = both.filter(F.col("times") + F.coalesce("more", F.lit(0)) >= F.col("least")).select("a", "b")
     rest = staged(rest.join(tried, ["a", "b"], "left_anti"), "rest")
-    return links.unionByName(compare(rest, sets, hundredths))
+    return links.unionByName(compare(rest, sets_of(docs, sizes, rest), hundredths)) if rest.take(1) else links
+
+
+def ordered_fit(n1: str, p1: str, n2: str, p2: str, hundredths: int) -> Column:
+    one, other = (F.col(n1), F.col(p1)), (F.col(n2), F.col(p2))
+    return F.when(F.col(n1) <= F.col(n2), may_link(*one, *other, hundredths)).otherwise(may_link(*other, *one, hundredths))
+
+
+def _stars(lists: DataFrame, hundredths: int) -> DataFrame:
+    """Each list's smallest set beside its others, if they meet so in more than two lists; what is left out is looked at later."""
+    centre = lists.groupBy("h").agg(F.min(F.struct("n", "fp", "pos")).alias("c")).select("h", F.col("c.n").alias("c_n"), F.col("c.fp").alias("c_fp"), F.col("c.pos").alias("c_pos"))
+    met = lists.join(centre, "h").filter((F.col("fp") != F.col("c_fp")) & ordered_fit("c_n", "c_pos", "n", "pos", hundredths))
+    return met.groupBy(F.least("fp", "c_fp").alias("a"), F.greatest("fp", "c_fp").alias("b")).agg(F.count("*").alias("times")).filter("times > 2").select("a", "b")
+
+
+def _unjoined(lists: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows of lists, with `component`, whose sets lie in more than one."""
+    labels = components(links).withColumnRenamed("node", "fp")
+    known = staged(lists.join(labels, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "known")
+    mixed = known.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("h")
+    return staged(known.join(mixed, "h"), "unjoined")
