@@ -5,16 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bounds of an Arrow batch sent to a Python worker.
-BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 3 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,12 +56,6 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Texts as they lie in the files: no shuffle, the scan's splits are the tasks."""
-    bounded_batches(df.sparkSession)
-    return df
-
-
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes and the n+1 offsets of a string array; nulls count as empty texts."""
     if isinstance(column, pa.ChunkedArray):
@@ -77,19 +70,6 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def pieces(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of rows that hold about `most` bytes each; a longer row stands alone."""
-    i, n = 0, len(offsets) - 1
-    while i < n:
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, "right")) - 1)
-        yield i, j
-        i = j
-
-
-def binaries(parts: list[bytes]) -> pa.Array:
-    return pa.array(parts, pa.binary())
-
-
 # -- files ---------------------------------------------------------------
 
 
@@ -144,6 +124,3 @@ def components(edges: DataFrame) -> DataFrame:
         return spark.createDataFrame([], "node long, component long").select(F.col("node").cast(kind), F.col("component").cast(kind))
     return labels
 
-
-def sha256_hex(text: Column) -> Column:
-    return F.sha2(text.cast("binary"), 256)
