@@ -11,22 +11,24 @@ BASE_INVERSE = pow(BASE, -1, 1 << 64)
 VALUES = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
-_powers: dict[str, np.ndarray] = {}
+#: Exponents start anew every so many bytes, which bounds the tables of powers.
+PERIOD = 1 << 20
 
+_powers: list[np.ndarray] = []
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE^i and BASE^-i for i up to n."""
-    if "up" not in _powers or len(_powers["up"]) <= n:
-        size = max(1 << 21, 1 << int(n).bit_length())
-        for name, base in (("up", BASE), ("down", BASE_INVERSE)):
-            out = np.ones(size, np.uint64)
-            step, k = np.uint64(base & (2**64 - 1)), 1
+
+def powers() -> list[np.ndarray]:
+    """BASE^i and BASE^-i for i below PERIOD."""
+    if not _powers:
+        for base in (BASE, BASE_INVERSE):
+            out = np.ones(PERIOD, np.uint64)
+            step, k = np.uint64(base), 1
             with np.errstate(over="ignore"):
-                while k < size:  # out[k:2k] = out[:k] * base^k
+                while k < PERIOD:  # out[k:2k] = out[:k] * base^k
                     out[k : 2 * k] = out[:k] * step
                     step, k = step * step, 2 * k
-            _powers[name] = out
-    return _powers["up"], _powers["down"]
+            _powers.append(out)
+    return _powers
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -37,19 +39,31 @@ def mix(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
-def prefix_sums(raw: np.ndarray, values: np.ndarray = VALUES) -> np.ndarray:
+def prefix_sums(raw: np.ndarray) -> np.ndarray:
     """From these, range_hashes() has the hash of any range."""
-    up, _ = powers(len(raw))
+    up = powers()[0]
     sums = np.zeros(len(raw) + 1, np.uint64)
     with np.errstate(over="ignore"):
-        np.cumsum(values[raw] * up[: len(raw)], out=sums[1:])
+        for at in range(0, len(raw), PERIOD):
+            part = raw[at : at + PERIOD]
+            np.cumsum(VALUES[part] * up[: len(part)], out=sums[at + 1 : at + 1 + len(part)])
+            sums[at + 1 : at + 1 + len(part)] += sums[at]
     return sums
 
 
 def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    _, down = powers(len(sums))
+    up, down = powers()
     with np.errstate(over="ignore"):
-        h = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+        body = sums[ends] - sums[starts]
+        for k in np.flatnonzero(starts // PERIOD != (ends - 1) // PERIOD).tolist():  # over a place where exponents start anew
+            s, e, total, factor = int(starts[k]), int(ends[k]), np.uint64(0), np.uint64(1)
+            if s == e:
+                continue
+            for at in range(s // PERIOD * PERIOD, e, PERIOD):
+                total += (sums[min(e, at + PERIOD)] - sums[max(s, at)]) * factor
+                factor = factor * up[PERIOD - 1] * up[1]
+            body[k] = total
+        h = mix(body * down[starts % PERIOD] + (ends - starts).astype(np.uint64))
     h[h == 0] = 1
     return h
 

@@ -33,10 +33,12 @@ SAMPLE, TRAIN_WINDOWS = 1500, 8_000
 LEAST_DOCUMENTS = 5
 #: Weight of a clean document in the calibration; the sample has as many of both classes.
 CLEAN_WEIGHT = 6.0
+#: Share of clean training windows that are turned into a repeated word.
+JUNK = 0.1
 HIDDEN, WORD_DIM, CHAR_DIM, ATTEND = 8, 8, 12, 8
 CHAR_BITS = 15
 #: Slots of a worker's table of projected words, and windows run in step.
-TABLE_BITS, STEP_WINDOWS = 19, 4096
+TABLE_BITS, STEP_WINDOWS = 19, 2048
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 
@@ -59,6 +61,18 @@ def word_bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return h, starts, ends, at
 
 
+def in_parts(raw: np.ndarray, offsets: np.ndarray, most: int = 1 << 18) -> tuple[np.ndarray, ...]:
+    """word_bounds() of many texts in bounded memory: a few texts at a time."""
+    found, before, i = [], 0, 0
+    while i < len(offsets) - 1:
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, "right")) - 1)
+        h, starts, ends, at = word_bounds(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        found.append((h, starts + offsets[i], ends + offsets[i], at[:-1] + before))
+        before, i = before + len(h), j
+    parts = [np.concatenate(x) for x in zip(*found, strict=True)]
+    return parts[0], parts[1], parts[2], np.append(parts[3], before)
+
+
 def trigram_rows(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows of the character table for all trigrams of the words with a mark at both ends, and how many each word has."""
     raw = LOWER[raw]
@@ -183,7 +197,7 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 1) -> dict[str, np.nd
         w = new_weights(rng, np.zeros(0, np.uint64), np.zeros(1 << CHAR_BITS, bool))
         return w | {"scale": np.zeros(1), "shift": np.array([np.log(max(rate, 1e-9) / max(1 - rate, 1e-9))])}
     raw, offsets = utf8(pa.array(texts, pa.string()))
-    h, starts, ends, at = word_bounds(raw, offsets)
+    h, starts, ends, at = in_parts(raw, offsets)
     vocabulary = Vocabulary(raw, h, starts, ends)
     doc = np.repeat(np.arange(len(texts)), np.diff(at))
     word_doc = np.unique(vocabulary.of * len(texts) + doc)
@@ -219,6 +233,9 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 1) -> dict[str, np.nd
         nonlocal count
         count += 1
         word, mask = batch(ids)
+        # some clean windows become one of their words over and over, as in junk
+        junk = np.flatnonzero((label[ids] == 0) & (rng.random(len(ids)) < JUNK))
+        word[:, junk] = word[rng.integers(0, n[ids[junk]]), junk]
         some, back = np.unique(word, return_inverse=True)
         back = back.reshape(word.shape)
         x, rows = vocabulary.inputs(some, w)
@@ -272,6 +289,7 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 1) -> dict[str, np.nd
     guilty = own[((label == 0) | (y >= np.minimum(clean_high, top[text])))[own]]
     hard = guilty[np.argsort(-np.where(label[guilty] == 0, y[guilty], 0))[: TRAIN_WINDOWS // 2]]
     rounds(np.unique(np.concatenate([hard, rng.permutation(guilty[label[guilty] == 0])[: TRAIN_WINDOWS // 2], guilty[label[guilty] == 1]])), 3, 0.01)
+    rounds(guilty, 3, 0.003)
     y = logits(every)
     top = np.full(len(texts), -20.0)
     np.maximum.at(top, text, y)
