@@ -158,9 +158,10 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def index(docs: DataFrame, wanted: list[str]) -> DataFrame:
     """Postings (trigram, key) of the trigrams that any rule asks for."""
-    low = F.lower("text")
-    found = F.filter(F.array(*(F.when(F.contains(low, F.lit(t)), F.lit(i)) for i, t in enumerate(wanted))), lambda x: x.isNotNull())
-    return docs.select("key", F.explode(found).alias("trigram"))
+    # lower-cased once, as a column of its own, for all trigrams
+    low = docs.select("key", F.lower("text").alias("low")).filter("low is not null")
+    found = F.array(*(F.when(F.contains(F.col("low"), F.lit(t)), F.lit(i)) for i, t in enumerate(wanted)))
+    return low.select("key", F.explode(found).alias("trigram")).filter("trigram is not null")
 
 
 def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
