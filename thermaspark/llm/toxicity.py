@@ -324,15 +324,14 @@ class Scorer:
         self.rows = np.zeros((4096, 6 * HIDDEN), np.float32)
 
     def entries(self, raw: np.ndarray, h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Rows of words, good until the next call; the caller gives no more words than the table has room for."""
         found = self.table.find(h)
         new = np.flatnonzero(found < 0)
         if len(new):
             keys, first, inverse = np.unique(h[new], return_index=True, return_inverse=True)
             if self.table.size + len(keys) > self.table.room:
                 self.clear()
-                if len(keys) <= self.table.room:
-                    return self.entries(raw, h, starts, ends)
-                raise ValueError("a batch has more distinct words than the table has room for")
+                return self.entries(raw, h, starts, ends)
             at = new[first]
             v = Vocabulary(raw, keys, starts[at], ends[at])
             x = v.inputs(np.arange(len(keys)), self.w)[0]
@@ -347,10 +346,23 @@ class Scorer:
 
     def scores(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         h, starts, ends, at = word_bounds(raw, offsets)
-        entries = self.entries(raw, h, starts, ends)
         first, text = windows_of(at)
         n = np.minimum(np.diff(at)[text], WINDOW)
         top = np.full(len(offsets) - 1, -np.inf)
+        i = 0
+        while i < len(first):
+            # windows whose words fit into an empty table, however long the text; at least one
+            j = max(i + 1, int(np.searchsorted(first + n, first[i] + self.table.room, "right")))
+            own = slice(first[i], first[j - 1] + n[j - 1])
+            y = self.logits(self.entries(raw, h[own], starts[own], ends[own]), first[i:j] - first[i], n[i:j])
+            np.maximum.at(top, text[i:j], y)
+            i = j
+        out = 1 / (1 + np.exp(-np.clip(self.w["scale"][0] * np.where(np.isfinite(top), top, 0) + self.w["shift"][0], -30, 30)))
+        return np.where(np.isfinite(top), out, 0.0)
+
+    def logits(self, entries: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Of windows of n words from `first` on; entries: rows of the words."""
+        out = np.empty(len(first), np.float32)
         step = np.arange(WINDOW)[:, None]
         order = np.argsort(n < WINDOW, kind="stable")
         full = int((n == WINDOW).sum())
@@ -358,11 +370,9 @@ class Scorer:
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             k = order[a:b]
             mask = None if b <= full else (step < n[k])[:, :, None]
-            x = self.rows[entries[np.minimum(first[k] + step, len(h) - 1)]]
-            y = forward(x[:, :, : 3 * HIDDEN], x[:, :, 3 * HIDDEN :], mask, self.w)
-            np.maximum.at(top, text[k], y)
-        out = 1 / (1 + np.exp(-np.clip(self.w["scale"][0] * np.where(np.isfinite(top), top, 0) + self.w["shift"][0], -30, 30)))
-        return np.where(np.isfinite(top), out, 0.0)
+            x = self.rows[entries[np.minimum(first[k] + step, len(entries) - 1)]]
+            out[k] = forward(x[:, :, : 3 * HIDDEN], x[:, :, 3 * HIDDEN :], mask, self.w)
+        return out
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[list[str], np.ndarray]:
