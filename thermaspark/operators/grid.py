@@ -224,10 +224,10 @@ def fill_edge_missing(cells: DataFrame, band: str, keys: Sequence[str] = (), row
 
 
 def binomial_smooth(cells: DataFrame, band: str, keys: Sequence[str] = (), row: str = "row", col: str = "col") -> DataFrame:
-    """3 by 3 weights 1-2-1 by 1-2-1; missing centres stay missing, missing neighbours are left out. Beyond an edge lies the edge cell again."""
-    ends = cells.agg(*(f(c).alias(f"{n}_{a}") for a, c in (("r", row), ("c", col)) for n, f in (("lo", F.min), ("hi", F.max))))
+    """3 by 3 weights 1-2-1 by 1-2-1; missing centres stay missing, missing neighbours are left out. Beyond an edge of its key's grid lies the edge cell again."""
+    ends = cells.groupBy(*keys).agg(*(f(c).alias(f"{n}_{a}") for a, c in (("r", row), ("c", col)) for n, f in (("lo", F.min), ("hi", F.max))))
     o = F.explode(F.array(*(F.struct(F.lit(r).alias("dr"), F.lit(c).alias("dc")) for r, c in AROUND))).alias("o")
-    at = cells.crossJoin(F.broadcast(ends)).select(*keys, row, col, F.col(band).isNotNull().alias("__own"), o, "lo_r", "hi_r", "lo_c", "hi_c")
+    at = (cells.join(ends, list(keys)) if keys else cells.crossJoin(F.broadcast(ends))).select(*keys, row, col, F.col(band).isNotNull().alias("__own"), o, "lo_r", "hi_r", "lo_c", "hi_c")
     at = at.withColumns({"__r": F.least("hi_r", F.greatest("lo_r", F.col(row) + F.col("o.dr"))), "__c": F.least("hi_c", F.greatest("lo_c", F.col(col) + F.col("o.dc")))})
     near = cells.select(*keys, F.col(row).alias("__r"), F.col(col).alias("__c"), F.col(band).alias("__v"))
     w = F.when(F.col("__v").isNotNull(), (2 - F.abs("o.dr")) * (2 - F.abs("o.dc")))

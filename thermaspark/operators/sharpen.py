@@ -13,7 +13,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .grid import aggregate_to_lowres
+from .grid import Grid, aggregate_to_lowres, binomial_smooth, fill_edge_missing, regrid
 
 LEAF_MODELS = "tree int, leaf int, coef array<double>, intercept double, ymin double, ymax double"
 
@@ -76,13 +76,33 @@ def residuals(fine: DataFrame, low: DataFrame, factor: int, keys: Sequence[str]
 
 
 def correct_residuals(fine: DataFrame, residual: DataFrame, factor: int, keys: Sequence[str] = ()) -> DataFrame:
-    """Fine temperatures with their coarse cell's residual added in fourth powers."""
+    """Fine temperatures with their coarse cell's own residual added in fourth powers, 0 where there is none. smoothed_residuals() and correct_smoothed() are the whole step."""
     at = fine.withColumns({"__r": F.floor(F.col("row") / factor).cast("int"), "__c": F.floor(F.col("col") / factor).cast("int")})
     own = residual.select(*keys, F.col("row").alias("__r"), F.col("col").alias("__c"), "residual")
     met = at.join(own, [*keys, "__r", "__c"], "left").withColumn("lst", F.pow(F.coalesce("residual", F.lit(0.0)) + F.pow("lst", F.lit(4)), F.lit(0.25)))
     return met.drop("__r", "__c", "residual")
 
 
+def smoothed_residuals(fine: DataFrame, low: DataFrame, factor: int, keys: Sequence[str] = ()) -> DataFrame:
+    """Per fine cell the residual: of good coarse cells, smoothed, resampled bilinearly, gaps of one cell off the border filled.
+
+    Coarse cells that are bad or absent have no residual and give none to their neighbours. Coarse cells are those of the
+    fine ones, so that their grid reaches as far and no edge needs padding.
+    """
+    cells = fine.select(*keys, F.floor(F.col("row") / factor).cast("int").alias("row"), F.floor(F.col("col") / factor).cast("int").alias("col")).distinct()
+    every = binomial_smooth(cells.join(residuals(fine, low, factor, keys), [*keys, "row", "col"], "left"), "residual", keys)
+    n_rows, n_cols = fine.agg(F.coalesce(F.max("row") + 1, F.lit(0)), F.coalesce(F.max("col") + 1, F.lit(0))).first()
+    near = regrid(every, fine.sparkSession, Grid(0, 1, 0, 1, n_cols, n_rows), Grid(0, factor, 0, factor, 0, 0), ["residual"], "bilinear", keys)
+    own = fine.select(*keys, "row", "col").join(near, [*keys, "row", "col"], "left")
+    return fill_edge_missing(own, "residual", keys)
+
+
+def correct_smoothed(fine: DataFrame, residual: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Fine temperatures with their own residual added in fourth powers; without a residual they are missing."""
+    met = fine.join(residual.select(*keys, "row", "col", "residual"), [*keys, "row", "col"], "left")
+    return met.withColumn("lst", F.pow(F.col("residual") + F.pow("lst", F.lit(4)), F.lit(0.25))).drop("residual")
+
+
 def residual_stats(residual: DataFrame) -> DataFrame:
     """bias and rmsd of the residuals as temperatures around 273.15 K."""
     t = residual.select((F.pow(F.col("residual") + 273.15**4, F.lit(0.25)) - 273.15).alias("t"))

@@ -627,6 +627,32 @@ def low_temperature(spark, d):
 FEATURES = "+ fine AS (SELECT row_hr AS row, col_hr AS col, AVG(b04) AS b04, AVG(b08) AS b08 FROM s2_obs WHERE acq_date = DATE '2023-10-01' GROUP BY 1, 2), low AS (SELECT row_lr AS row, col_lr AS col, AVG(lst) AS lst FROM s3_obs GROUP BY 1, 2)"
 
 
+def scene_pairs(spark, d):
+    """acq_date, day: each optical date with the nearest day of temperatures, and each such day with the nearest optical date."""
+    s2 = fixture(spark, d, "s2_obs").select("acq_date")
+    s3 = fixture(spark, d, "s3_obs").select(F.to_date("acq_time").alias("day"))
+    there = E.nearest_date(s2, s3, "acq_date", "day").select("acq_date", F.col("nearest").alias("day"))
+    back = E.nearest_date(s3, s2, "day", "acq_date").select(F.col("nearest").alias("acq_date"), "day")
+    return there.unionByName(back).filter("acq_date is not null AND day is not null").distinct()
+
+
+def dated_features(spark, d):
+    return fixture(spark, d, "s2_obs").groupBy("acq_date", F.col("row_hr").alias("row"), F.col("col_hr").alias("col")).agg(F.avg("b04").alias("b04"), F.avg("b08").alias("b08"))
+
+
+def paired_temperature(spark, d):
+    """Of each pair the day's coarse cells: the mean of good pixels; quality 0 where there is none."""
+    good = C.quality_flag(F.col("confidence_in"), F.col("lst_uncertainty"))
+    s3 = fixture(spark, d, "s3_obs").groupBy(F.to_date("acq_time").alias("day"), F.col("row_lr").alias("row"), F.col("col_lr").alias("col"))
+    return s3.agg(F.avg(F.when(good == 1, F.col("lst"))).alias("lst"), F.max(good).alias("quality")).join(scene_pairs(spark, d), "day")
+
+
+DATED = """+ fine AS (SELECT acq_date, row_hr AS row, col_hr AS col, AVG(b04) AS b04, AVG(b08) AS b08 FROM s2_obs GROUP BY 1, 2, 3),
+low AS (SELECT CAST(acq_time AS DATE) AS day, row_lr AS row, col_lr AS col, AVG(lst) AS lst FROM s3_obs WHERE (confidence_in >> 14) & 1 = 0 AND lst_uncertainty <= 1 GROUP BY 1, 2, 3),
+ds AS (SELECT DISTINCT CAST(acq_time AS DATE) AS day FROM s3_obs), da AS (SELECT DISTINCT acq_date FROM s2_obs),
+pairs AS (SELECT acq_date, (SELECT day FROM ds ORDER BY ABS(day-acq_date), day LIMIT 1) AS day FROM da UNION SELECT (SELECT acq_date FROM da ORDER BY ABS(acq_date-day), acq_date LIMIT 1), day FROM ds)"""
+
+
 @query(FEATURES + ", m AS (SELECT CAST(FLOOR(row/2) AS INT) AS row, CAST(FLOOR(col/2) AS INT) AS col, AVG(b04) AS b04, STDDEV_POP(b04) AS s04, AVG(b08) AS b08, STDDEV_POP(b08) AS s08 FROM fine GROUP BY 1, 2), k AS (SELECT m.*, lst, (s04/b04+s08/b08)/2 AS cv FROM m JOIN low USING (row, col)) SELECT row, col, ROUND(lst,6) AS lst, ROUND(cv,6) AS cv, ROUND(1/cv,5) AS weight, ROUND(b04,6) AS b04, ROUND(b08,6) AS b08 FROM k WHERE cv > 0 AND cv < 0.8", "s2_obs s3_obs")
 def i1_training_samples(spark, d):
     out = I.training_samples(fine_features(spark, d), low_temperature(spark, d), ["b04", "b08"], 2)
@@ -650,6 +676,27 @@ def i6_i7_residual_correction(spark, d):
     return rounded(I.correct_residuals(fine, I.residuals(fine, low_temperature(spark, d), 2), 2))
 
 
+@query(
+    DATED + f""", hr AS (SELECT acq_date, day, row, col, 280+b04*40 AS t FROM fine JOIN pairs USING (acq_date)),
+m AS (SELECT acq_date, day, CAST(FLOOR(row/2) AS INT) AS row, CAST(FLOOR(col/2) AS INT) AS col, AVG(POWER(t,4)) AS m FROM hr GROUP BY 1, 2, 3, 4),
+r AS (SELECT m.acq_date, m.day, m.row, m.col, POWER(low.lst,4)-m AS r FROM m LEFT JOIN low ON low.day=m.day AND low.row=m.row AND low.col=m.col),
+e AS (SELECT acq_date, day, MIN(row) AS r0, MAX(row) AS r1, MIN(col) AS c0, MAX(col) AS c1 FROM r GROUP BY 1, 2),
+x AS (SELECT r.*, (2-ABS(dr))*(2-ABS(dc)) AS w, LEAST(r1, GREATEST(r0, row+dr)) AS sr, LEAST(c1, GREATEST(c0, col+dc)) AS sc FROM r JOIN e USING (acq_date, day), {NEAR}),
+s AS (SELECT x.acq_date, x.day, x.row, x.col, CASE WHEN MAX(x.r) IS NOT NULL THEN SUM(w*y.r)/SUM(CASE WHEN y.r IS NOT NULL THEN w END) END AS r FROM x JOIN r y ON y.acq_date=x.acq_date AND y.day=x.day AND y.row=sr AND y.col=sc GROUP BY 1, 2, 3, 4),
+q AS (SELECT *, (row+0.5)/2-0.5 AS fr, (col+0.5)/2-0.5 AS fc FROM hr),
+n AS (SELECT q.*, FLOOR(fr)+i AS sr, FLOOR(fc)+j AS sc, (1-ABS(fr-FLOOR(fr)-i))*(1-ABS(fc-FLOOR(fc)-j)) AS w FROM q, range(2) a(i), range(2) b(j)),
+f AS (SELECT n.acq_date, n.day, n.row, n.col, n.t, SUM(w*s.r)/SUM(CASE WHEN s.r IS NOT NULL THEN w END) AS r FROM n LEFT JOIN s ON s.acq_date=n.acq_date AND s.day=n.day AND s.row=sr AND s.col=sc GROUP BY 1, 2, 3, 4, 5),
+z AS (SELECT f.acq_date, f.day, f.row, f.col, CASE WHEN COUNT(*)=4 THEN AVG(g.r) END AS near FROM f JOIN f g ON f.acq_date=g.acq_date AND f.day=g.day AND ABS(f.row-g.row)+ABS(f.col-g.col)=1 GROUP BY 1, 2, 3, 4)
+SELECT acq_date, day, row, col, ROUND(POWER(COALESCE(r, near)+POWER(t,4),0.25),6) AS lst FROM f LEFT JOIN z USING (acq_date, day, row, col)""",
+    "s2_obs s3_obs",
+)
+def i6_i7_smoothed_correction(spark, d):
+    """The whole step over all dates; i6_i7_residual_correction is its shortcut on one date."""
+    fine = dated_features(spark, d).select("acq_date", "row", "col", (280 + F.col("b04") * 40).alias("lst")).join(scene_pairs(spark, d), "acq_date")
+    keys = ["acq_date", "day"]
+    return rounded(I.correct_smoothed(fine, I.smoothed_residuals(fine, paired_temperature(spark, d), 2, keys), keys)).select(*keys, "row", "col", "lst")
+
+
 @query("+ p AS (SELECT point_id, lon+0.0005 AS x, lat+0.0005 AS y FROM points) SELECT point_id AS poly_id, ROUND(x,6) AS x, ROUND(y,6) AS y FROM p", "points")
 def j1_polygon_centroids(spark, d):
     corner = lambda dx, dy: F.struct((F.col("lon") + dx).alias("x"), (F.col("lat") + dy).alias("y"))
