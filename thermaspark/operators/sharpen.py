@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -41,20 +41,29 @@ def leaves(df: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 def fit_sharpener(samples: DataFrame, features: Sequence[str], trees: int = 30, seed: int = 0, ridge: float = 1e-3) -> tuple[PipelineModel, DataFrame]:
-    """The forest and its leaf models: ridge lines on centred features and the range of the target. A leaf's rows are a bounded share of a bounded sample."""
+    """The forest and its leaf models: ridge lines on centred features and the range of the target. A leaf's line comes from sums over its rows."""
     forest = RandomForestRegressor(featuresCol="features", labelCol="lst", weightCol="weight", numTrees=trees, subsamplingRate=0.8, featureSubsetStrategy="0.8", maxDepth=5, minInstancesPerNode=10, leafCol="leaves", seed=seed)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
     ready = assembler.transform(samples)
     model = PipelineModel([assembler, forest.fit(ready)])
 
-    def solve(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        x, y = rows[list(features)].to_numpy(float), rows["lst"].to_numpy(float)
-        mx, my = x.mean(axis=0), y.mean()
-        c = x - mx
-        coef = np.linalg.solve(c.T @ c + ridge * np.eye(len(mx)), c.T @ (y - my))
-        return pd.DataFrame([{"tree": key[0], "leaf": key[1], "coef": coef.tolist(), "intercept": my - coef @ mx, "ymin": y.min(), "ymax": y.max()}])
-
-    return model, leaves(samples, model).groupBy("tree", "leaf").applyInPandas(solve, LEAF_MODELS)
+    k = len(features)
+    centre = samples.agg(*(F.coalesce(F.avg(f), F.lit(0.0)) for f in (*features, "lst"))).first()
+    x, y = [F.col(f) - centre[i] for i, f in enumerate(features)], F.col("lst") - centre[k]
+    sums = [F.count("*").alias("n"), F.sum(y).alias("y"), F.min("lst").alias("ymin"), F.max("lst").alias("ymax")]
+    sums += [F.array(*(F.sum(v) for v in x)).alias("x"), F.array(*(F.sum(v * y) for v in x)).alias("xy"), F.array(*(F.sum(v * u) for v in x for u in x)).alias("xx")]
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            out = []
+            for r in rows.itertuples():
+                mx, my = np.array(r.x) / r.n, r.y / r.n
+                c = np.array(r.xx).reshape(k, k) - r.n * np.outer(mx, mx)
+                coef = np.linalg.solve(c + ridge * np.eye(k), np.array(r.xy) - r.n * mx * my)
+                out.append((r.tree, r.leaf, coef.tolist(), my + centre[k] - coef @ (mx + np.array(centre[:k])), r.ymin, r.ymax))
+            yield pd.DataFrame(out, columns=["tree", "leaf", "coef", "intercept", "ymin", "ymax"])
+
+    return model, leaves(samples, model).groupBy("tree", "leaf").agg(*sums).mapInPandas(solve, LEAF_MODELS)
 
 
 def apply_sharpener(fine: DataFrame, model: PipelineModel, leaf_models: DataFrame, features: Sequence[str], keys: Sequence[str] = ("row", "col"), margin: float = 0.25) -> DataFrame:

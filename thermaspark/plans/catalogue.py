@@ -659,12 +659,23 @@ def i1_training_samples(spark, d):
     return rounded(out.withColumn("weight", F.round("weight", 5)))
 
 
+@query(DATED + ", m AS (SELECT acq_date, CAST(FLOOR(row/2) AS INT) AS row, CAST(FLOOR(col/2) AS INT) AS col, AVG(b04) AS b04, STDDEV_POP(b04) AS s04, AVG(b08) AS b08, STDDEV_POP(b08) AS s08 FROM fine GROUP BY 1, 2, 3), k AS (SELECT m.*, day, lst, (s04/b04+s08/b08)/2 AS cv FROM m JOIN pairs USING (acq_date) JOIN low USING (day, row, col)) SELECT acq_date, day, row, col, ROUND(lst,6) AS lst, ROUND(cv,6) AS cv, ROUND(1/cv,5) AS weight, ROUND(b04,6) AS b04, ROUND(b08,6) AS b08 FROM k WHERE cv > 0 AND cv < 0.8", "s2_obs s3_obs")
+def i1_dated_samples(spark, d):
+    """Samples of all dates; i1_training_samples has those of one date."""
+    out = dated_samples(spark, d)
+    return rounded(out.withColumn("weight", F.round("weight", 5)))
+
+
+def dated_samples(spark, d):
+    fine = dated_features(spark, d).join(scene_pairs(spark, d), "acq_date")
+    return I.training_samples(fine, paired_temperature(spark, d), ["b04", "b08"], 2, keys=["acq_date", "day"])
+
+
 @query()
 def i3_i4_sharpen(spark, d):
-    fine = fine_features(spark, d)
-    samples = I.training_samples(fine, low_temperature(spark, d), ["b04", "b08"], 2, cv_max=10.0)
-    model, leaf_models = I.fit_sharpener(samples, ["b04", "b08"], trees=10)
-    return I.apply_sharpener(fine, model, leaf_models, ["b04", "b08"])
+    """One model from the samples of all dates, applied to all cells of all dates."""
+    model, leaf_models = I.fit_sharpener(dated_samples(spark, d), ["b04", "b08"], trees=10)
+    return I.apply_sharpener(dated_features(spark, d), model, leaf_models, ["b04", "b08"], ["acq_date", "row", "col"])
 
 
 @query(
