@@ -598,7 +598,7 @@ def h23_class_codes(spark, d):
 
 @query()
 def h11_fit_directional_rl(spark, d):
-    return H.fit_directional_rl(good(spark, d), 1.08, -22.0, refine=1)
+    return H.fit_directional_rl(good(spark, d), 1.08, -22.0)
 
 
 @query()
@@ -674,7 +674,7 @@ def dated_samples(spark, d):
 @query()
 def i3_i4_sharpen(spark, d):
     """One model from the samples of all dates, applied to all cells of all dates."""
-    model, leaf_models = I.fit_sharpener(dated_samples(spark, d), ["b04", "b08"], trees=10)
+    model, leaf_models = I.fit_sharpener(dated_samples(spark, d), ["b04", "b08"])
     return I.apply_sharpener(dated_features(spark, d), model, leaf_models, ["b04", "b08"], ["acq_date", "row", "col"])
 
 
@@ -743,7 +743,7 @@ def k1_prepare_s3(spark, d):
 @query()
 def k2_prepare_s2(spark, d):
     s2 = fixture(spark, d, "s2_obs")
-    return K.prepare_s2(s2, C.scl_mask(s2, kernel1=3, kernel2=5))
+    return K.prepare_s2(s2, C.scl_mask(s2))
 
 
 @query(AIR + ", o AS (SELECT DISTINCT CAST(MOD(px_id,4) AS INT) AS cell_id, acq_time, 1000.0e0 AS elev FROM s3_obs), x AS (SELECT o.*, g.t2m, g.ea, g.p, t2m-lapse*(0-(z/9.80665+2)) AS td FROM o JOIN g ON g.cell_id=o.cell_id AND g.valid_time=o.acq_time) SELECT cell_id, acq_time, ROUND(t2m,6) AS t2m, ROUND(td,6) AS t_datum FROM x", "s3_obs era5_hourly")
