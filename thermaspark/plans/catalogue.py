@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -188,6 +189,33 @@ def b5_regrid_cubicspline(spark, d):
     return rounded(G.regrid(cells(spark, d), spark, G.Grid(0, 1.5, 0, 1.5, 14, 60), G.Grid(0, 1, 0, 1, 20, 1000), ["alt"], "cubicspline"))
 
 
+#: Targets over all of the source; the queries above keep to their first 60 rows.
+WHOLE = ", e AS (SELECT CAST(CEIL((MAX(row)+1)/1.5) AS BIGINT) AS nr, CAST(CEIL((MAX(col)+1)/1.5) AS BIGINT) AS nc FROM c), t AS (SELECT r AS row, q AS col, (r+0.5)*1.5-0.5 AS fr, (q+0.5)*1.5-0.5 AS fc FROM (SELECT UNNEST(range(nr)) AS r FROM e), (SELECT UNNEST(range(nc)) AS q FROM e))"
+WEIGHTED_WHOLE = WHOLE + "," + WEIGHTED[WEIGHTED.index("\nn AS") :]
+
+
+def regrid_whole(spark, d, method):
+    dem = cells(spark, d)
+    rows, cols = dem.agg(*(F.coalesce(F.max(c) + 1, F.lit(0)) for c in ("row", "col"))).first()
+    target = G.Grid(0, 1.5, 0, 1.5, math.ceil(cols / 1.5), math.ceil(rows / 1.5))
+    return G.regrid(dem, spark, target, G.Grid(0, 1, 0, 1, cols, rows), ["alt"], method)
+
+
+@query(DEM + WHOLE + " SELECT CAST(t.row AS INT) AS row, CAST(t.col AS INT) AS col, alt FROM t JOIN c ON c.row=FLOOR(fr+0.5) AND c.col=FLOOR(fc+0.5)", "dem")
+def b4_nearest_whole(spark, d):
+    return regrid_whole(spark, d, "nearest")
+
+
+@query(DEM + WEIGHTED_WHOLE.format(lo=0, hi=2, wr="GREATEST(0,1-dr)", wc="GREATEST(0,1-dc)"), "dem")
+def b7_bilinear_whole(spark, d):
+    return rounded(regrid_whole(spark, d, "bilinear"))
+
+
+@query(DEM + WEIGHTED_WHOLE.format(lo=-1, hi=3, wr=spline_sql("dr"), wc=spline_sql("dc")), "dem")
+def b5_cubicspline_whole(spark, d):
+    return rounded(regrid_whole(spark, d, "cubicspline"))
+
+
 @query(agg_sql(3, "ROUND(AVG(alt), 6) AS alt"), "dem")
 def b6_regrid_average(spark, d):
     return rounded(G.regrid_average(cells(spark, d), 3, ["alt"]))
@@ -295,6 +323,22 @@ def b18_grid_swath(spark, d):
     return G.grid_swath(fixture(spark, d, "swath"), G.Grid(25.0, 0.0007, -15.0, -0.0007, 50, 30), ["lst"]).select(F.col("row").cast("int"), F.col("col").cast("int"), "distance", "lst")
 
 
+@query(
+    """+ e AS (SELECT MIN(lon) AS x0, MAX(lat) AS y0, CAST(FLOOR((MAX(lon)-MIN(lon))/0.0007+1e-6) AS BIGINT)+1 AS nc, CAST(FLOOR((MAX(lat)-MIN(lat))/0.0007+1e-6) AS BIGINT)+1 AS nr FROM swath),
+g AS (SELECT r AS row, q AS col, x0+(q+0.5)*0.0007 AS x, y0-(r+0.5)*0.0007 AS y, RADIANS(y0-0.0007*nr/2) AS mid FROM (SELECT *, UNNEST(range(nr)) AS r FROM e), (SELECT UNNEST(range(nc)) AS q FROM e)),
+m AS (SELECT row, col, lst, px_id, ROUND(SQRT(POWER((lon-x)*111320.0*COS(mid),2)+POWER((lat-y)*111320.0,2)),6) AS far FROM g, swath),
+n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY row, col ORDER BY far, px_id) AS o FROM m WHERE far <= 210)
+SELECT CAST(row AS INT) AS row, CAST(col AS INT) AS col, far AS distance, lst FROM n WHERE o = 1""",
+    "swath",
+)
+def b18_swath_whole(spark, d):
+    """The grid from the swath's bounds; b18_grid_swath keeps to 30 rows."""
+    swath = fixture(spark, d, "swath")
+    x0, x1, y0, y1 = swath.agg(*(F.coalesce(f(c), F.lit(0.0)) for c, f in (("lon", F.min), ("lon", F.max), ("lat", F.max), ("lat", F.min)))).first()
+    g = G.Grid(x0, 0.0007, y0, -0.0007, math.floor((x1 - x0) / 0.0007 + 1e-6) + 1, math.floor((y0 - y1) / 0.0007 + 1e-6) + 1)
+    return G.grid_swath(swath, g, ["lst"]).select(F.col("row").cast("int"), F.col("col").cast("int"), "distance", "lst")
+
+
 # -- C -----------------------------------------------------------------------------
 
 
