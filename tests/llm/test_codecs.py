@@ -61,13 +61,15 @@ def test_chunk_maps_are_associative(counter):
     assert left == right and counter.scan([a, b, c]) == len(LIBRARY.encode("the question is here. And now", add_special_tokens=False).ids)
 
 
-def test_hashes_do_not_depend_on_place():
-    word = np.frombuffer(b"somewhere", np.uint8)
-    seen = set()
-    for at in (0, 5, pieces.PERIOD - 4, 2 * pieces.PERIOD - 1):
-        raw = np.concatenate([np.full(at, 120, np.uint8), word, np.zeros(3, np.uint8)])
-        seen.add(int(pieces.range_hashes(pieces.prefix_sums(raw), np.array([at]), np.array([at + 9]))[0]))
-    assert len(seen) == 1
+@pytest.mark.parametrize("size", [1, 7, 8, 9, 16, 40, pieces.LONG, pieces.LONG + 1])
+def test_hashes_depend_on_bytes_alone(size):
+    word = np.random.default_rng(size).integers(0, 256, size).astype(np.uint8)
+    seen, others = set(), set()
+    for at in (0, 5, 1000):
+        raw = np.concatenate([np.full(at, 120, np.uint8), word, np.full(at % 7, 9, np.uint8)])
+        seen.add(int(pieces.range_hashes(raw, np.array([at]), np.array([at + size]))[0]))
+        others |= {int(h) for h in pieces.range_hashes(np.append(raw, 0), np.array([at, at]), np.array([at + size + 1, at + size - 1]))}
+    assert len(seen) == 1 and not seen & others
 
 
 @pytest.mark.parametrize("n", [0, 1, 255, 256, 257, rans.BLOCK - 1, rans.BLOCK, rans.BLOCK + 1, 3 * rans.BLOCK + 77])

@@ -141,39 +141,115 @@ def test_jaccard_join(docs, empty, texts):
     assert jaccard.join(empty).count() == 0
 
 
-def test_jaccard_join_with_heavy_shingles(spark, monkeypatch):
-    """A large family of near copies and a passage in many documents, with a low bound for heavy shingles."""
-    monkeypatch.setattr(jaccard, "HEAVY", 4)
+def edited(rng, words, edits):
+    w = list(words)
+    for k in rng.choice(len(w), edits, replace=False):
+        w[k] = f"edit{rng.integers(1000)}"
+    return " ".join(w)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_jaccard_join_of_families_and_passages(spark, monkeypatch, small):
+    """Near copies at and under the threshold, parts of a text, chains, and a passage in many documents."""
+    if small:  # bounds that make every reducer work in several steps
+        for name, value in (("COMMON", 4), ("GATHERED", 300), ("REMEMBERED", 10), ("BLOCK", 2)):
+            monkeypatch.setattr(jaccard, name, value)
     rng = np.random.default_rng(2)
     base, passage = prose(80, 9).split(), prose(30, 11)
-    family = []
-    for _ in range(40):
-        w = list(base)
-        for k in rng.choice(len(w), rng.integers(1, 5), replace=False):
-            w[k] = f"edit{rng.integers(1000)}"
-        family.append(" ".join(w))
+    family = [edited(rng, base, int(rng.integers(1, 5))) for _ in range(40)]
+    parts = [" ".join(w for k, w in enumerate(prose(300, 12).split()) if k // 30 != int(d)) for d in rng.integers(0, 10, 12)]
+    halves = [" ".join([*prose(90, 13).split()[: 60 + 2 * k]]) for k in range(16)]
     shared = [prose(int(rng.integers(5, 60)), 100 + i) + " " + passage for i in range(40)]
-    some = list(enumerate([*family, *shared, *family[:5]]))
+    chain = [base]
+    for _ in range(6):
+        chain.append(edited(rng, chain[-1], 1).split())
+    some = list(enumerate([*family, *shared, *family[:5], *parts, *halves, *(" ".join(w) for w in chain)]))
     df = spark.createDataFrame(some, "doc_id long, text string").repartition(4)
     assert rows(jaccard.join(df), "doc_id", "n_shingles", "component_id") == brute_components(some)
 
 
-def test_least_shared_bounds_hold(spark):
+def test_answers_are_derived_from_differences(spark):
+    """Sets too far from their list's head to link with it, and two of them that link with each other."""
+    rng = np.random.default_rng(5)
+    base = prose(200, 21).split()
+    far = [edited(rng, base, 6) for _ in range(12)]
+    near = [edited(rng, base, 1) for _ in range(12)]
+    twins = [" ".join([*t.split()[:-1], "twin"]) for t in far[:4]]
+    some = list(enumerate([*near, *far, *twins, " ".join(base)]))
+    want = brute_components(some)
+    assert len({c for _, _, c in want}) > 3
+    df = spark.createDataFrame(some, "doc_id long, text string").repartition(3)
+    assert rows(jaccard.join(df), "doc_id", "n_shingles", "component_id") == want
+
+
+def test_derived_links_equal_plain_ones(spark):
+    """All pairs of strays found through differences to one head."""
+    rng = np.random.default_rng(6)
+    head = np.sort(rng.choice(1 << 40, 100, replace=False)).astype(np.uint64)
+    sets = {1: head}
+    for k in range(2, 40):
+        from_ = sets[int(rng.integers(2, k))] if k > 8 and k % 3 == 0 else head
+        own = set(from_[np.sort(rng.choice(len(from_), len(from_) - int(rng.integers(0, 25)), replace=False))].tolist())
+        own |= set(rng.choice(1 << 40, int(rng.integers(0, 25))).tolist())
+        sets[k] = np.array(sorted(own), np.uint64)
+    frame = spark.createDataFrame([(k, bytearray(s.tobytes())) for k, s in sets.items()], "fp long, own binary")
+    pairs = spark.createDataFrame([(1, k) for k in sets if k > 1], "head long, fp long")
+    deltas = jaccard.differences(pairs, frame).cache()
+    link = lambda s, t: 100 * len(np.intersect1d(s, t)) >= 80 * len(np.union1d(s, t))
+    direct = {(1, k) for k in sets if k > 1 and link(head, sets[k])}
+    assert {(r["a"], r["b"]) for r in jaccard.answers(deltas, 80).collect()} == direct
+    labels = components(jaccard.answers(deltas, 80))
+    got = {(min(r["a"], r["b"]), max(r["a"], r["b"])) for r in jaccard.derived(deltas, labels, 80).collect()}
+    joined = {1} | {k for _, k in direct}
+    want = {(a, b) for a in sets for b in sets if 1 < a < b and not {a, b} <= joined and link(sets[a], sets[b])}
+    assert got == want and want
+
+
+def test_jaccard_join_over_a_row_without_id(spark):
+    """1 and 3 link only through a row whose doc_id is null."""
+    w = prose(120, 31).split()
+    some = [(1, " ".join(["x", "y", *w[2:]])), (None, " ".join(w)), (3, " ".join([*w[:-3], "p", "q", "r"])), (None, None)]
+    some[0] = (1, " ".join(["x", "y", "z", "v", *w[4:]]))
+    want = brute_components(some)
+    assert dict((d, c) for d, _, c in want)[3] == 1
+    df = spark.createDataFrame(some, "doc_id long, text string")
+    assert rows(jaccard.join(df), "doc_id", "n_shingles", "component_id") == want
+
+
+def thue_morse(n=12):
+    x, y = "a", "b"
+    for _ in range(n):
+        x, y = x + y, y + x
+    return x, y
+
+
+def test_words_that_a_polynomial_hash_confuses(spark):
+    """Each of two such words has its own ids, counts and shingles."""
+    x, y = thue_morse()
+    some = [(1, x), (2, y), (3, " ".join([x] * 3)), (4, " ".join([y] * 3)), (5, x)]
+    df = spark.createDataFrame(some, "doc_id long, text string").coalesce(1)
+    assert rows(jaccard.join(df), "doc_id", "n_shingles", "component_id") == brute_components(some)
+    assert rows(rans.read_ids(spark, rans.write_ids(df, TOKENIZER)), "doc_id", "ids_crc32") == [(d, crc([*ids_of(t), 0])) for d, t in some]
+    assert rows(transducer.token_counts(df, TOKENIZER), "doc_id", "n_tokens") == [(d, len(ids_of(t))) for d, t in some]
+    first = packing.pack(df, TOKENIZER).filter("piece = 0").select("doc_id", "length", "ids_crc32").collect()
+    assert all(r["ids_crc32"] == crc([*ids_of(dict(some)[r["doc_id"]]), 2][: r["length"]]) for r in first)
+
+
+def test_sets_that_link_meet_often_enough():
+    """least_met and missing hold for pairs that link, small and large."""
     rng = np.random.default_rng(0)
-    for _ in range(200):
-        n = int(rng.integers(5, 60))
-        a = set(rng.choice(200, n, replace=False).tolist())
-        b = set(a)
-        for _ in range(int(rng.integers(0, n // 5 + 1))):
-            b.discard(int(rng.choice(sorted(b))))
-            b.add(int(rng.integers(200)))
-        both = len(a & b)
-        if 100 * both < 80 * len(a | b):
+    for _ in range(2000):
+        n = int(rng.integers(1, 200))
+        a = rng.choice(1 << 30, n, replace=False)
+        b = np.concatenate([a[: n - int(rng.integers(0, n // 5 + 1))], rng.choice(1 << 30, int(rng.integers(0, n // 4 + 1)))])
+        a, b = np.unique(a), np.unique(b)
+        both = np.intersect1d(a, b)
+        if 100 * len(both) < 80 * len(np.union1d(a, b)):
             continue
-        ea, eb = (jaccard.prefix(len(s)) + jaccard.slack(len(s)) for s in (a, b))
-        seen = len(set(sorted(a)[:ea]) & set(sorted(b)[:eb]))
-        least = -(-80 * (len(a) + len(b)) // 180) - max(len(a) - ea, len(b) - eb)
-        assert seen >= max(1, least)
+        seen = len(np.intersect1d(*(s[: jaccard.missing(len(s)) + jaccard.slack(len(s))] for s in (a, b))))
+        for s in (a, b):
+            assert seen >= max(1, min(jaccard.slack(len(s)) - 1, len(s) - jaccard.missing(len(s))))
+            assert len(both) >= len(s) - jaccard.missing(len(s))
 
 
 def brute_spans(text):

@@ -14,7 +14,7 @@ from functools import cache
 
 import numpy as np
 
-from .pieces import HashTable, gather, prefix_sums, range_hashes, safe_cuts
+from .pieces import HashTable, gather, range_hashes, safe_cuts
 
 #: Slots (2^n) of a worker's table, about 80 MB with its ids; bytes handled at once.
 TABLE_BITS, CALL_BYTES = 22, 1 << 20
@@ -78,7 +78,7 @@ class Encoder:
         return entries
 
     def _entries(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        h = range_hashes(prefix_sums(raw), starts, ends)
+        h = range_hashes(raw, starts, ends)
         entries = self.table.find(h)
         new = np.flatnonzero(entries < 0)
         if len(new):

@@ -1,73 +1,91 @@
-"""Exact n-gram Jaccard join by prefix filtering with set-relation skipping.
-
-Documents with the same shingle set are one set. Sets are ordered by size and their shingles by one global order:
-shingles that are heavy (in more than HEAVY documents) last, the others by hash. Sets that link share shingles among the
-first of both, so only those are indexed; how often shingles occur is counted over all documents. Skipping works on
-two levels. Index: lists are kept in order of size, and a pair is skipped where sizes, positions in the lists or the
-number of lists that it shares bound its overlap below the threshold (least_shared). Lists with the same sets are read
-once. Answers: long lists hold only sets made of heavy shingles, mostly families of near copies; such a list's sets
-are compared with its smallest set first, what these answers join into one component needs no answers of its own, and
-only pairs of a list in different components are compared after that. Comparisons are exact, over 64-bit hashes of
-shingles.
+"""Exact n-gram Jaccard join by set-relation skipping.
+
+Documents with the same shingle set are one set. The join looks for sets that may link, in three steps that lose none:
+
+1. Of every set of n the first n/5 + n/20 + 3 shingles by hash are indexed. Sets that link share so many of them that
+   most sets, whose shingles are their own, drop out (`met`).
+2. The shingles of those that are left are counted. A set of which fewer than 80 % occur in another one drops out, too.
+   The others are ordered rarest first, and the first n/5 + 1 make the lists of the index.
+3. Index-level skipping: lists are kept by position, in blocks that carry their bounds of size and position; blocks, and
+   then rows, whose bounds leave too small an overlap are skipped. Answer-level skipping: a list's head, the set with the
+   fewest rarer shingles, is the only one whose answers are computed from whole sets. What it joins into one component
+   needs no answers of its own. Where a list still holds several components, the others' answers are derived from the
+   head's: with D lacking from the head and A added to it, |x & y| = |head| - |Dx| - |Dy| + |Dx & Dy| + |Ax & Ay|, so that
+   sets which do not both link with the head link only if they share differences. Only these are indexed, rarest first.
 
 Defined results: a null or empty text has no shingles and links with nothing; every row counts as a document, so
-repeated rows come back each, in one component if their texts are alike; a row with a null doc_id comes back and
-never names a component; an empty table gives no rows; other columns of the input are ignored.
+repeated rows come back each, in one component if their texts are alike; a row with a null doc_id comes back, links
+like any other and never names a component; an empty table gives no rows; other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, components, staged, utf8
-from .pieces import gather, mix
 from .shingles import fingerprint, shingle_sets
 
 #: Links: HUNDREDTHS * union <= 100 * intersection.
 HUNDREDTHS = 80
-#: A shingle is heavy beyond so many documents; of heavy ones at most so many are told apart, the most frequent.
-HEAVY, MOST_HEAVY = 48, 2_000_000
-#: Bytes of input for each part of the index; bits of the filter on documents whose sets are wanted.
-PART_BYTES, FILTER_BUCKETS = 2 << 20, 256
+#: Shingles of at least so many sets come last in the order, whatever their number.
+COMMON = 64
+#: Bytes of input for each part of the index, and the most parts.
+PART_BYTES, MOST_PARTS = 2 << 20, 1 << 20
+#: Records that a task gathers before it deals or reduces them; fingerprints that it remembers as dealt.
+GATHERED, REMEMBERED = 1 << 20, 1_000_000
+#: Positions in a block of a list.
+BLOCK = 16
 POSTINGS = "part int, postings binary"
-#: A set in a long list (h not null), or two sets of short lists. e: how many shingles of a set are indexed.
-LISTS = "h long, fp long, n int, pos int, e int, fp2 long, n2 int, e2 int, times int"
-RECORD = np.dtype([("h", "<u8"), ("fp", "<i8"), ("n", "<u4"), ("pos", "<u4"), ("e", "<u4")])
+PAIR = np.dtype([("h", "<u8"), ("fp", "<i8")])
+RANKED = np.dtype([("fp", "<i8"), ("rank", "<u2"), ("h", "<u8")])
+#: Stands for sets that a mapper has counted itself; fingerprints are never negative.
+SEVERAL = -1
+
+
+def missing(n, hundredths: int = HUNDREDTHS):
+    """Shingles of a set of n that a set which links may lack. For numbers, arrays and, in SQL, columns' names."""
+    return f"({n} - ({hundredths} * {n} + 99) div 100)" if isinstance(n, str) else n - (hundredths * n + 99) // 100
 
 
-def prefix(n: int, hundredths: int = HUNDREDTHS) -> int:
-    """Shingles of a set of n of which one is shared with any set that links."""
-    return n - -(-hundredths * n // 100) + 1 if n else 0
+def slack(n):
+    """Shingles that are indexed first beyond those."""
+    return f"({n} div 20 + 3)" if isinstance(n, str) else n // 20 + 3
 
 
-def slack(n: int) -> int:
-    """Shingles indexed beyond the prefix: pairs that link share as many more."""
-    return 2 + n // 50
+def least_met(n: str, hundredths: int) -> Column:
+    """Of the first missing + slack shingles of a set of n, at least so many are met by a set that links."""
+    return F.expr(f"greatest(1, least({slack(n)} - 1, {n} - {missing(n, hundredths)}))")
+
+
+def overlap(n1: Column, n2: Column, hundredths: int) -> Column:
+    """Shingles that sets of these sizes share if they link."""
+    return F.ceil((n1 + n2) * hundredths / F.lit(100.0 + hundredths) - 1e-9)
 
 
 def _own(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """doc_id, text and key, a hash that names the text."""
+    text = F.col("text").cast("string").alias("text")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).withColumn("key", F.xxhash64("text"))
 
 
 def set_sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, fp: the fingerprint of its set."""
+    """doc_id, key, n_shingles, fp: the fingerprint of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = shingle_sets(*utf8(b.column(1)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) for s in sets], pa.int64())], names=["doc_id", "n_shingles", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) for s in sets], pa.int64())], names=["doc_id", "key", "n_shingles", "fp"])
 
-    return _own(docs).mapInArrow(run, "doc_id long, n_shingles long, fp long")
+    return _own(docs).mapInArrow(run, "doc_id long, key long, n_shingles long, fp long")
 
 
-def key_of(h: np.ndarray, parts: int) -> np.ndarray:
-    """What heavy shingles are told apart by: the part and 32 bits in it. Shingles that share a key are heavy together."""
-    return (h % np.uint64(parts)) << np.uint64(32) | h >> np.uint64(32)
+# -- parts of the index --------------------------------------------------------
 
 
 def dealt(rows: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
@@ -79,265 +97,401 @@ def dealt(rows: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), pa.array([rows[i:j].tobytes() for i, j in zip(first, ends, strict=True)], pa.binary())], names=["part", "postings"])
 
 
-def by_part(packed: DataFrame, close, schema: str) -> DataFrame:
-    """close(blobs of a part) for all parts, one after another in a task."""
+def by_part(packed: DataFrame, reducer: Callable[[int], object], schema: str) -> DataFrame:
+    """reducer(part).add(blob) for all blobs of a part, then .end(); both yield batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        now, one = None, None
         for b in batches:
             for part, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 if part != now:
-                    if held:
-                        yield from close(now, held)
-                    now, held = part, []
-                held.append(blob)
-        if held:
-            yield from close(now, held)
+                    if one is not None:
+                        yield from one.end()
+                    now, one = part, reducer(part)
+                yield from one.add(blob)
+        if one is not None:
+            yield from one.end()
 
     return packed.repartition("part").sortWithinPartitions("part").mapInArrow(run, schema)
 
 
-def heavy_shingles(docs: DataFrame, parts: int) -> np.ndarray:
-    """Sorted keys of shingles in more than HEAVY documents, counted over all documents."""
+def starts_of(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            own = np.concatenate([np.zeros(0, np.uint64), *shingle_sets(*utf8(b.column(1)))])
-            if len(own):
-                yield dealt((own >> np.uint64(32)).astype("<u4"), own % np.uint64(parts))
 
-    def count(part: int, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        key, n = np.unique(np.frombuffer(b"".join(blobs), "<u4"), return_counts=True)
-        key, n = key[n > HEAVY].astype(np.int64) | part << 32, n[n > HEAVY]
-        if len(key):
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
+def in_order(held: list[np.ndarray], *fields: str) -> np.ndarray:
+    """Records sorted by these fields, without repeats."""
+    rec = np.concatenate(held)
+    rec = rec[np.lexsort([rec[f] for f in reversed(fields)])]
+    again = np.logical_and.reduce([rec[f][1:] == rec[f][:-1] for f in fields])
+    return rec[np.append(True, ~again)] if len(rec) else rec
 
-    found = staged(by_part(_own(docs).mapInArrow(keys, POSTINGS), count, "key long, n long"), "heavy")
-    rows = found.orderBy(F.desc("n"), "key").limit(MOST_HEAVY).select("key").toArrow() if found.take(1) else None
-    return np.sort(rows.column(0).to_numpy().astype(np.uint64)) if rows is not None else np.zeros(0, np.uint64)
 
+def is_in(values: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether, where) values are in the sorted `known`."""
+    at = np.searchsorted(known, values)
+    return (known[np.minimum(at, len(known) - 1)] == values if len(known) else np.zeros(len(values), bool)), at
 
-def postings(docs: DataFrame, parts: int, hundredths: int, heavy: np.ndarray) -> DataFrame:
-    """The first shingles of all sets, packed by part of the index."""
+
+def spread(docs: DataFrame, parts: int, cut: Callable[[int], int] | None, enough: int, local: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """Postings (h, fp) of all distinct sets, packed by part; of a set of n the first cut(n).
+
+    Shingles of at least `enough` sets that a task has gathered are settled there: their own records go through the
+    shuffle as local(h, fp), in parts below 0, and one record of SEVERAL stands for them in the index. So a shingle of
+    very many sets is a few records for each task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
+        own, fps, size, turn = [], [], 0, TaskContext.get().partitionId()
+
+        def deal() -> Iterator[pa.RecordBatch]:
+            rec = np.zeros(size, PAIR)
+            rec["h"], rec["fp"] = np.concatenate(own), np.repeat(np.array(fps, np.int64), [len(s) for s in own])
+            rec = rec[np.argsort(rec["h"], kind="stable")]
+            first = starts_of(rec["h"])
+            many = np.diff(np.append(first, len(rec)))
+            here = np.repeat(many >= enough, many)
+            marks = rec[first[many >= enough]]
+            marks["fp"] = SEVERAL
+            out = np.concatenate([rec[~here], marks])
+            yield dealt(out, out["h"] % np.uint64(parts))
+            if here.any():
+                mine = local(rec["h"][here], rec["fp"][here])
+                yield pa.RecordBatch.from_arrays([pa.array([-1 - turn % parts], pa.int32()), pa.array([mine.tobytes()], pa.binary())], names=["part", "postings"])
+
         for b in batches:
-            rows = []
-            if len(known) > 1_000_000:
+            if len(known) > REMEMBERED:
                 known.clear()
-            for s in shingle_sets(*utf8(b.column(1))):
+            for s in shingle_sets(*utf8(b.column(0))):
                 f = fingerprint(s)
                 if not len(s) or f in known:
                     continue
                 known.add(f)
-                n = len(s)
-                if len(heavy):
-                    key = key_of(s, parts)
-                    last = heavy[np.minimum(np.searchsorted(heavy, key), len(heavy) - 1)] == key
-                    s = np.concatenate([s[~last], s[last]]) if last.any() else s
-                r = np.zeros(min(n, prefix(n, hundredths) + slack(n)), RECORD)
-                r["h"], r["fp"], r["n"], r["pos"], r["e"] = s[: len(r)], f, n, np.arange(len(r)), len(r)
-                rows.append(r)
-            if rows:
-                every = np.concatenate(rows)
-                yield dealt(every, every["h"] % np.uint64(parts))
-
-    return _own(docs).mapInArrow(run, POSTINGS)
-
-
-def shared_lists(packed: DataFrame, hundredths: int) -> DataFrame:
-    """The sets of long lists, and the pairs of sets in short ones with the number of lists they share in a part."""
-
-    def lists(_: int, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        every = np.concatenate([np.frombuffer(x, RECORD) for x in blobs])
-        every = every[np.lexsort((every["fp"], every["n"], every["h"]))]
-        again = np.append(False, (every["h"][1:] == every["h"][:-1]) & (every["fp"][1:] == every["fp"][:-1]))
-        every = every[~again]
-        first = np.flatnonzero(np.append(True, every["h"][1:] != every["h"][:-1]))
-        size = np.diff(np.append(first, len(every)))
-        n, e, pos, fp = (np.ascontiguousarray(every[c]) for c in ("n", "e", "pos", "fp"))
-        long = size > HEAVY
-        at = gather(first[long], size[long])
-        if len(at):
-            yield batch(h=np.ascontiguousarray(every["h"])[at].view("<i8"), fp=fp[at], n=n[at], pos=pos[at], e=e[at])
-        # lists with the same sets have the same answers
-        light = np.flatnonzero(~long & (size >= 2))
-        if not len(light):
+                own.append(s[: cut(len(s))] if cut else s)
+                fps.append(f)
+                size += len(own[-1])
+            if size >= max(GATHERED, 4 * parts):
+                yield from deal()
+                own, fps, size, turn = [], [], 0, turn + 7919
+        if size:
+            yield from deal()
+
+    return docs.select("text").mapInArrow(run, POSTINGS)
+
+
+class Settled:
+    """Takes what mappers have settled themselves."""
+
+    def __init__(self, say: Callable[[bytes], pa.RecordBatch]):
+        self.say = say
+
+    def add(self, blob: bytes) -> Iterator[pa.RecordBatch]:
+        yield self.say(blob)
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        return iter(())
+
+
+# -- step 1: sets that meet others ---------------------------------------------
+
+
+def counted(fps: np.ndarray) -> np.ndarray:
+    """How often each set occurs, as pairs whose h is the number."""
+    fp, k = np.unique(fps, return_counts=True)
+    rec = np.zeros(len(fp), PAIR)
+    rec["h"], rec["fp"] = k, fp
+    return rec
+
+
+def meetings(blob: bytes) -> pa.RecordBatch:
+    rec = np.frombuffer(blob, PAIR)
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rec["fp"])), pa.array(rec["h"].astype(np.int64))], names=["fp", "k"])
+
+
+class Met:
+    """For a part's postings, how many of each set's shingles another set has. Remembers one set for each shingle.
+
+    A set that several tasks have dealt may be counted more than once: more sets stay then, none is lost.
+    """
+
+    def __init__(self, part: int):
+        self.held, self.size = [], 0
+        self.h, self.fp, self.shared = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def add(self, blob: bytes) -> Iterator[pa.RecordBatch]:
+        self.held.append(np.frombuffer(blob, PAIR))
+        self.size += len(self.held[-1])
+        if self.size >= GATHERED:
+            yield from self.end()
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        if not self.held:
             return
-        with np.errstate(over="ignore"):
-            sums = np.add.reduceat(mix(fp.view("<u8")), first) + size.astype(np.uint64)
-        _, once, times = np.unique(sums[light], return_index=True, return_counts=True)
-        light = light[once]
-        for k in np.unique(size[light]).tolist():
-            those = size[light] == k
-            i, j = np.triu_indices(k, 1)
-            one = (first[light[those]][:, None] + i).reshape(-1)
-            other = (first[light[those]][:, None] + j).reshape(-1)
-            many = np.repeat(times[those], len(i))
-            fits = n[one].astype(np.int64) * 100 >= n[other].astype(np.int64) * hundredths  # ordered by size
-            one, other, many = one[fits], other[fits], many[fits]
-            if len(one):
-                yield batch(fp=fp[one], n=n[one], e=e[one], fp2=fp[other], n2=n[other], e2=e[other], times=many)
-
-    def batch(**columns: np.ndarray) -> pa.RecordBatch:
-        size = len(columns["fp"])
-        kinds = {"h": pa.int64(), "fp": pa.int64(), "n": pa.int32(), "pos": pa.int32(), "e": pa.int32(), "fp2": pa.int64(), "n2": pa.int32(), "e2": pa.int32(), "times": pa.int32()}
-        return pa.RecordBatch.from_arrays([pa.array(columns[c]).cast(k) if c in columns else pa.nulls(size, k) for c, k in kinds.items()], names=list(kinds))
-
-    return by_part(packed, lists, LISTS)
-
-
-# -- comparing -------------------------------------------------------------------
-
-
-def id_filter(ids: DataFrame) -> tuple[dict[int, bytes], int]:
-    """A bitmap of fixed size (1 MB) over hashed ids, for keeping rows that may be among them."""
-    bits = FILTER_BUCKETS * 32768
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("bit")
-    maps = ids.select(F.expr("1"), bit).groupBy(F.floor(F.col("bit") / 32768).alias("bucket")).agg(F.expr("bitmap_construct_agg(bit % 32768)").alias("map"))
-    return {int(r["bucket"]): bytes(r["map"]) for r in maps.collect()}, bits
-
-
-def wanted_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(fp, n, own: the sorted hashes) of the documents ids(doc_id, fp)."""
-    maps, bits = id_filter(ids)
-    flat = np.zeros(bits // 8, np.uint8)
-    for bucket, m in maps.items():
-        flat[bucket * 4096 : bucket * 4096 + len(m)] = np.frombuffer(m, np.uint8)
-    wire = flat.tobytes()
+        rec = in_order(self.held, "h", "fp")
+        self.held, self.size = [], 0
+        first = starts_of(rec["h"])
+        many = np.diff(np.append(first, len(rec)))
+        h, fp = rec["h"][first], rec["fp"][first]
+        shared = (many > 1) | (fp == SEVERAL)
+        hit, at = is_in(h, self.h)
+        old = at[hit]
+        shared[hit] |= self.shared[old] | (self.fp[old] != fp[hit])
+        now = old[shared[hit] & ~self.shared[old]]
+        met = np.concatenate([rec["fp"][np.repeat(shared, many)], self.fp[now]])
+        self.shared[now] = True
+        self.h, self.fp, self.shared = (np.insert(a, at[~hit], b[~hit]) for a, b in ((self.h, h), (self.fp, fp), (self.shared, shared)))
+        if (met >= 0).any():
+            yield meetings(counted(met[met >= 0]).tobytes())
+
+
+def survivors(docs: DataFrame, sizes: DataFrame, parts: int, hundredths: int) -> DataFrame:
+    """(fp, n, key: a text with this set) of the sets whose first shingles other sets have."""
+    packed = spread(docs, parts, lambda n: missing(n, hundredths) + slack(n), 2, lambda h, fp: counted(fp))
+    met = by_part(packed, lambda part: Met(part) if part >= 0 else Settled(meetings), "fp long, k long").groupBy("fp").agg(F.sum("k").alias("k"))
+    sets = sizes.filter("n_shingles > 0").groupBy("fp").agg(F.first("n_shingles").alias("n"), F.min("key").alias("key"))
+    return sets.join(met, "fp").filter(F.col("k") >= least_met("n", hundredths)).select("fp", "n", "key")
+
+
+# -- step 2: lists, rarest shingles first ------------------------------------------
+
+
+def ranked(h: np.ndarray, fp: np.ndarray, rank: np.ndarray | int) -> np.ndarray:
+    rec = np.zeros(len(h), RANKED)
+    rec["fp"], rec["rank"], rec["h"] = fp, rank, h
+    return rec
+
+
+class Ranks:
+    """For a part's postings, in how many sets each shingle is, up to COMMON; once it is in so many, its records go on at once."""
+
+    def __init__(self, parts: int):
+        self.parts, self.held, self.size, self.most = parts, [], 0, GATHERED
+        self.common = np.zeros(0, np.uint64)
+
+    def say(self, rec: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(rec):
+            yield dealt(rec, rec["fp"] % self.parts)
+
+    def add(self, blob: bytes) -> Iterator[pa.RecordBatch]:
+        self.held.append(np.frombuffer(blob, PAIR))
+        self.size += len(self.held[-1])
+        if self.size >= self.most:
+            yield from self.reduce(last=False)
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            yield from self.reduce(last=True)
+
+    def reduce(self, last: bool) -> Iterator[pa.RecordBatch]:
+        rec = in_order(self.held, "h", "fp")
+        first = starts_of(rec["h"])
+        many = np.diff(np.append(first, len(rec)))
+        h, fp = rec["h"][first], rec["fp"][first]
+        common = (many >= COMMON) | (fp == SEVERAL) | is_in(h, self.common)[0]
+        self.common = np.union1d(self.common, h[common])
+        of = np.repeat(common, many)
+        yield from self.say(ranked(rec["h"][of & (rec["fp"] >= 0)], rec["fp"][of & (rec["fp"] >= 0)], COMMON))
+        if last:
+            rest = np.repeat(~common & (many > 1), many)
+            yield from self.say(ranked(rec["h"][rest], rec["fp"][rest], np.repeat(many, many)[rest]))
+        else:
+            self.held = [rec[~of]]
+            self.size = len(self.held[0])
+            self.most = max(GATHERED, 2 * self.size)
+
+
+class Prefixes:
+    """Of each set of a part the first shingles, rarest first, if enough of all are shared. A set's size comes as rank 0."""
+
+    def __init__(self, hundredths: int):
+        self.hundredths, self.held = hundredths, []
+
+    def add(self, blob: bytes) -> Iterator[pa.RecordBatch]:
+        self.held.append(np.frombuffer(blob, RANKED))
+        return iter(())
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        rec = in_order(self.held, "fp", "rank", "h")
+        self.held = []
+        first = starts_of(rec["fp"])
+        many = np.diff(np.append(first, len(rec)))
+        n = rec["h"][first].astype(np.int64)
+        lacking = missing(n, self.hundredths)
+        alive = (rec["rank"][first] == 0) & (many - 1 >= n - lacking)
+        nth = np.arange(len(rec)) - np.repeat(first, many)  # 1 for the first shared shingle
+        pos = nth - 1 + np.repeat(n - (many - 1), many)
+        keep = np.repeat(alive, many) & (nth > 0) & (pos <= np.repeat(lacking, many))
+        if keep.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rec["h"][keep].view(np.int64)), pa.array(rec["fp"][keep]), pa.array(np.repeat(n, many)[keep], pa.int32()), pa.array(pos[keep], pa.int32())],
+                names=["h", "fp", "n", "pos"],
+            )
+
+
+def index_lists(docs: DataFrame, alive: DataFrame, parts: int, hundredths: int) -> DataFrame:
+    """(h, fp, n, pos): the lists of the index."""
+    texts = docs.join(alive.select("key").distinct(), "key", "left_semi")
+    packed = spread(texts, parts, None, COMMON, lambda h, fp: ranked(h, fp, COMMON))
+
+    def resend(blob: bytes) -> pa.RecordBatch:
+        rec = np.frombuffer(blob, RANKED)
+        return dealt(rec, rec["fp"] % parts)
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if len(b):
+                rec = ranked(b.column(1).to_numpy().astype(np.uint64), b.column(0).to_numpy(), 0)
+                yield dealt(rec, rec["fp"] % parts)
+
+    shared = by_part(packed, lambda part: Ranks(parts) if part >= 0 else Settled(resend), POSTINGS)
+    both = shared.unionByName(alive.select("fp", "n").mapInArrow(heads, POSTINGS))
+    return by_part(both, lambda part: Prefixes(hundredths), "h long, fp long, n int, pos int")
+
+
+# -- step 3: answers ---------------------------------------------------------------
+
+
+def set_of(docs: DataFrame, alive: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(fp, own: the sorted hashes) of the sets in wanted(fp)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = np.frombuffer(wire, np.uint8)
         for b in batches:
-            bit = b.column(2).to_numpy()
-            keep = pa.array((have[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool))
-            b = b.filter(keep)
-            if len(b):
-                sets = shingle_sets(*utf8(b.column(1)))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([fingerprint(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "fp", "n", "own"])
+            sets = shingle_sets(*utf8(b.column(0)))
+            yield pa.RecordBatch.from_arrays([pa.array([fingerprint(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["fp", "own"])
 
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("bit")
-    found = _own(docs).select("doc_id", "text", bit).mapInArrow(run, "doc_id long, fp long, n int, own binary")
-    one = found.join(ids.select("doc_id", "fp"), ["doc_id", "fp"])
-    return one.dropDuplicates(["fp"]).select("fp", "n", "own")
+    keys = alive.join(wanted.select("fp").distinct(), "fp", "left_semi").select("key")
+    # a text of many rows is one row before its set is made
+    texts = docs.select("key", "text").join(keys, "key", "left_semi").dropDuplicates(["key", "text"])
+    return texts.select("text").mapInArrow(run, "fp long, own binary").dropDuplicates(["fp"])
 
 
-def sets_of(docs: DataFrame, sizes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The sets of all fingerprints in pairs(a, b)."""
-    members = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
-    ids = staged(sizes.join(members, "fp").groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "ids")
-    return staged(wanted_sets(docs, ids), "sets")
+def common_of(s: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Whether each of s is in t; both sorted."""
+    return t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s if len(t) else np.zeros(len(s), bool)
 
 
-def compare(pairs: DataFrame, sets: DataFrame, hundredths: int) -> DataFrame:
-    """The pairs (a, b) that link."""
+def differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs(head, fp, ...) with n_head, n, lost, delta: how many of the head's shingles are lacking, and the hashes of these (complemented) and of those added, sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yes = []
+            sizes, lost, delta = [], [], []
             for x, y in zip(b.column(2), b.column(3), strict=True):
-                s, t = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-                if len(s) > len(t):
-                    s, t = t, s
-                where = np.searchsorted(t, s)
-                both = int((t[np.minimum(where, len(t) - 1)] == s).sum())
-                yes.append(100 * both >= hundredths * (len(s) + len(t) - both))
-            kept = b.filter(pa.array(yes, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
-
-    one, other = (sets.select(F.col("fp").alias(c), F.col("own").alias(f"own_{c}")) for c in "ab")
-    both = pairs.join(other, "b").join(one, "a").select("a", "b", "own_a", "own_b")
-    return both.mapInArrow(run, "a long, b long")
+                head, own = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
+                gone, more = head[~common_of(head, own)], own[~common_of(own, head)]
+                sizes.append((len(head), len(own)))
+                lost.append(len(gone))
+                delta.append(np.sort(np.concatenate([~gone, more])).tobytes())
+            kinds = [b.column(0), b.column(1), *(pa.array([s[k] for s in sizes], pa.int32()) for k in (0, 1)), pa.array(lost, pa.int32()), pa.array(delta, pa.binary())]
+            yield pa.RecordBatch.from_arrays(kinds, names=["head", "fp", "n_head", "n", "lost", "delta"])
+
+    one, other = sets.select(F.col("fp").alias("head"), F.col("own").alias("own_head")), sets.select("fp", "own")
+    both = pairs.select("head", "fp").join(other, "fp").join(one, "head").select("head", "fp", "own_head", "own")
+    return both.mapInArrow(run, "head long, fp long, n_head int, n int, lost int, delta binary")
+
+
+def answers(deltas: DataFrame, hundredths: int) -> DataFrame:
+    """The links (a, b) of heads."""
+    both = F.col("n_head") - F.col("lost")
+    return deltas.filter(both * (100 + hundredths) >= (F.col("n_head") + F.col("n")) * hundredths).select(F.col("head").alias("a"), F.col("fp").alias("b"))
+
+
+def heads_of(lists: DataFrame) -> DataFrame:
+    """(h, head, n_head, p_head): the set of a list with the fewest rarer shingles; lists of one set have no answers."""
+    first = lists.groupBy("h").agg(F.min(F.struct("pos", F.negative("n").alias("n"), "fp")).alias("x"), F.count("*").alias("k")).filter("k > 1")
+    return first.select("h", F.col("x.fp").alias("head"), (-F.col("x.n")).alias("n_head"), F.col("x.pos").alias("p_head"))
+
+
+def skipped(lists: DataFrame, heads: DataFrame, hundredths: int) -> DataFrame:
+    """The pairs (head, fp) of lists that sizes and positions allow to link: blocks first, then rows."""
+    block = F.floor(F.col("pos") / BLOCK).alias("block")
+    blocks = lists.groupBy("h", block).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("pos").alias("near"))
+    # before the shared shingle lie p_head shingles of the head, at most, that are in both; after it the rest of either set
+    most = F.col("p_head") + F.least(F.col("n_head") - F.col("p_head"), F.col("high") - F.col("near"))
+    fits = (F.col("high") * 100 >= F.col("n_head") * hundredths) & (F.col("low") * hundredths <= F.col("n_head") * 100) & (most >= overlap(F.col("n_head"), F.col("low"), hundredths))
+    read = heads.join(blocks, "h").filter(fits).select("h", "block", "head", "n_head", "p_head")
+    most = F.least("p_head", "pos") + F.least(F.col("n_head") - F.col("p_head"), F.col("n") - F.col("pos"))
+    fits = (F.col("n") * 100 >= F.col("n_head") * hundredths) & (F.col("n") * hundredths <= F.col("n_head") * 100) & (most >= overlap(F.col("n_head"), F.col("n"), hundredths))
+    return lists.withColumn("block", block).join(read, ["h", "block"]).filter(fits & (F.col("fp") != F.col("head"))).select("head", "fp").distinct()
+
+
+def derived(deltas: DataFrame, labels: DataFrame, hundredths: int) -> DataFrame:
+    """Links (a, b) between sets of different components, from their differences to a head that they share.
+
+    Where a and b do not both link with the head, |head| - |Da| - |Db| is below the overlap that they need (`lack`), so
+    the first of all differences that they share has that many at or after it in both.
+    """
+    label = lambda c, name: labels.select(F.col("node").alias(c), F.col("component").alias(name))
+    known = deltas.join(label("fp", "own"), "fp", "left").join(label("head", "of_head"), "head", "left")
+    known = known.select("head", "fp", "n_head", "n", "lost", "delta", F.coalesce("own", "fp").alias("own"), F.coalesce("of_head", "head").alias("of_head"))
+    stray = known.filter("own != of_head").select("head").distinct()
+    known = staged(known.join(stray, "head", "left_semi"), "differences")
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            each = [np.frombuffer(x.as_buffer(), "<i8") for x in b.column(6)]
+            row = np.repeat(np.arange(len(b)), [len(x) for x in each])
+            columns = [b.column(k).take(pa.array(row)) for k in range(6)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate([np.zeros(0, np.int64), *each]))], names=["head", "fp", "room", "n", "size", "stray", "e"])
+
+    # room: what is left of the head
+    rows = known.select("head", "fp", (F.col("n_head") - F.col("lost")).alias("room"), "n", (F.octet_length("delta") / 8).cast("int").alias("size"), (F.col("own") != F.col("of_head")).alias("stray"), "delta")
+    rows = staged(rows.mapInArrow(single, "head long, fp long, room int, n int, size int, stray boolean, e long"), "elements")
+    often = rows.groupBy("head", "e").agg(F.count("*").alias("k")).filter("k > 1")
+    order = Window.partitionBy("head", "fp").orderBy("k", "e")
+    # differences of one set come first and are not looked up
+    placed = rows.join(often, ["head", "e"]).withColumn("back", F.count("*").over(Window.partitionBy("head", "fp")) - F.row_number().over(order) + 1)
+    placed = staged(placed.join(known.select("head", "fp", "n_head", "own"), ["head", "fp"]), "places")
+    y = placed.select("head", "e", *(F.col(c).alias(f"y_{c}") for c in ("fp", "room", "n", "back", "stray", "own")))
+    lack = overlap(F.col("n"), F.col("y_n"), hundredths) + F.col("n_head") - F.col("room") - F.col("y_room")
+    sizes = (F.least("n", "y_n") * 100 >= F.greatest("n", "y_n") * hundredths) & (F.least("back", "y_back") >= lack)
+    met = placed.filter("stray").join(y, ["head", "e"]).filter((F.col("own") != F.col("y_own")) & (~F.col("y_stray") | (F.col("fp") < F.col("y_fp"))) & sizes)
+    pairs = met.groupBy(F.col("fp").alias("a"), F.col("y_fp").alias("b")).agg(F.min("head").alias("head"))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n_head, na, lost_a, nb, lost_b = (b.column(k).to_numpy().astype(np.int64) for k in (2, 3, 4, 6, 7))
+            same = np.array([int(common_of(np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")).sum()) for x, y in zip(b.column(5), b.column(8), strict=True)], np.int64)
+            both = n_head - lost_a - lost_b + same
+            kept = b.filter(pa.array(both * (100 + hundredths) >= (na + nb) * hundredths))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
 
-def may_link(n1: Column, p1: Column, n2: Column, p2: Column, hundredths: int) -> Column:
-    """What sizes, and the positions of a shared shingle in hash order, still allow. n1 is the smaller size."""
-    most = F.least(p1, p2) + F.least(n1 - p1, n2 - p2)
-    return (n1 * 100 >= n2 * hundredths) & (most * (100 + hundredths) >= (n1 + n2) * hundredths)
+    one, other = (known.select("head", F.col("fp").alias(c), "n_head", F.col("n").alias(f"n{c}"), F.col("lost").alias(f"lost_{c}"), F.col("delta").alias(f"delta_{c}")) for c in "ab")
+    whole = pairs.join(one, ["head", "a"]).join(other.drop("n_head"), ["head", "b"])
+    return whole.select("a", "b", "n_head", "na", "lost_a", "delta_a", "nb", "lost_b", "delta_b").mapInArrow(run, "a long, b long")
 
 
-def least_shared(n1: Column, e1: Column, n2: Column, e2: Column, hundredths: int) -> Column:
-    """Of the first e1 and e2 shingles, in one order, of two sets that link, at least so many are in both."""
-    overlap = F.floor((F.lit(hundredths) * (n1 + n2) + (99 + hundredths)) / F.lit(100 + hundredths))
-    return overlap - F.greatest(n1 - e1, n2 - e2)
+def set_links(docs: DataFrame, sizes: DataFrame, parts: int, hundredths: int) -> DataFrame:
+    """Links (a, b) of sets that join all sets which link."""
+    alive = staged(survivors(docs, sizes, parts, hundredths), "survivors")
+    lists = staged(index_lists(docs, alive, parts, hundredths), "lists")
+    heads = staged(heads_of(lists), "heads")
+    pairs = staged(skipped(lists, heads, hundredths), "pairs")
+    fps = lambda p: p.select("fp").union(p.select("head")).distinct()
+    links = staged(answers(differences(pairs, staged(set_of(docs, alive, fps(pairs)), "sets")), hundredths), "links")
+    labels = components(links)
+    of = labels.select(F.col("node").alias("fp"), "component")
+    known = lists.join(heads.select("h"), "h", "left_semi").join(of, "fp", "left").select("h", "fp", F.coalesce("component", "fp").alias("own"))
+    mixed = known.groupBy("h").agg(F.min("own").alias("low"), F.max("own").alias("high")).filter("low != high").select("h")
+    left = staged(lists.join(heads.join(mixed, "h").select("h", "head"), "h").filter("fp != head").select("head", "fp").distinct(), "left")
+    if not left.take(1):
+        return links
+    deltas = staged(differences(left, staged(set_of(docs, alive, fps(left)), "sets")), "deltas")
+    return links.unionByName(derived(deltas, labels, hundredths))
 
 
 def join(docs: DataFrame, hundredths: int = HUNDREDTHS) -> DataFrame:
     """doc_id, n_shingles, component_id of all documents."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(docs.sparkSession)
     size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())  # of the files
-    parts = 1024 if size >> 50 else max(64, size // PART_BYTES)
-    heavy = heavy_shingles(docs, parts)
-    release(spark)
+    parts = 1024 if size >> 60 else min(max(64, size // PART_BYTES), MOST_PARTS)
+    own = _own(docs)
     sizes = staged(set_sizes(docs), "sizes")
-    lists = staged(shared_lists(postings(docs, parts, hundredths, heavy), hundredths), "lists")
-    release(spark)
-    links = _links(docs, sizes, lists, hundredths)
-    labels = components(links)
-    reps = sizes.filter("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("first"))
-    named = reps.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    roots = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_set = named.join(roots, "component").select("fp", "component_id")
-    out = sizes.join(of_set, "fp", "left")
+    labels = components(set_links(own, sizes, parts, hundredths))
+    joined = sizes.join(labels.select(F.col("node").alias("fp"), "component"), "fp", "left").filter("n_shingles > 0")
+    names = joined.groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("doc_id").alias("component_id"))
+    of = labels.select(F.col("node").alias("fp"), "component")
+    out = sizes.join(of, "fp", "left").withColumn("component", F.coalesce("component", "fp")).join(names, "component", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
-
-
-def release(spark) -> None:
-    """Lets Spark delete the shuffle files of plans that are no longer referred to."""
-    import gc
-
-    gc.collect()
-    spark._jvm.System.gc()
-
-
-def _links(docs: DataFrame, sizes: DataFrame, lists: DataFrame, hundredths: int) -> DataFrame:
-    """Links (a, b) that join all that link: all links of sets that meet in short lists only, and enough of the others."""
-    shared = lists.filter("h is null").groupBy("fp", "fp2").agg(F.sum("times").alias("times"), *(F.first(c).alias(c) for c in ("n", "e", "n2", "e2")))
-    shared = staged(shared.select(F.least("fp", "fp2").alias("a"), F.greatest("fp", "fp2").alias("b"), "times", least_shared(*map(F.col, ("n", "e", "n2", "e2")), hundredths).alias("least")), "shared")
-    short = shared.filter("times >= least").select("a", "b")
-    long = staged(lists.filter("h is not null").select("h", "fp", "n", "pos", "e"), "long")
-    tried = staged(_stars(long, hundredths).unionByName(short).distinct(), "tried")
-    links = staged(compare(tried, sets_of(docs, sizes, tried), hundredths), "links")
-    release(docs.sparkSession)
-    # once more among the sets of a list that are not joined yet, a set for each component
-    left = _unjoined(long, links)
-    if left.take(1):
-        nth = left.groupBy("h", "component").agg(F.min(F.struct("n", "fp", "pos", "e")).alias("x")).select("h", "x.*")
-        more = staged(_stars(nth, hundredths).join(tried, ["a", "b"], "left_anti"), "tried")
-        links = staged(links.unionByName(compare(more, sets_of(docs, sizes, more), hundredths)), "links")
-        tried = tried.unionByName(more)
-        left = _unjoined(long, links)
-    if not left.take(1):
-        return links
-    # the pairs of a list that are still in different components, counted over all lists
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / hundredths)))
-    left = staged(left.withColumn("band", band), "left")
-    x = left.select("h", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), *(F.col(c).alias(f"x_{c}") for c in ("fp", "n", "pos", "e", "component")))
-    pairs = x.join(left, ["h", "band"]).filter((F.col("component") != F.col("x_component")) & (F.col("x_fp") < F.col("fp")) & ordered_fit("x_n", "x_pos", "n", "pos", hundredths))
-    met = pairs.groupBy(F.col("x_fp").alias("a"), F.col("fp").alias("b")).agg(F.count("*").alias("times"), F.first(least_shared(*map(F.col, ("x_n", "x_e", "n", "e")), hundredths)).alias("least"))
-    both = met.join(shared.select("a", "b", F.col("times").alias("more")), ["a", "b"], "left")
-    rest = both.filter(F.col("times") + F.coalesce("more", F.lit(0)) >= F.col("least")).select("a", "b")
-    rest = staged(rest.join(tried, ["a", "b"], "left_anti"), "rest")
-    return links.unionByName(compare(rest, sets_of(docs, sizes, rest), hundredths)) if rest.take(1) else links
-
-
-def ordered_fit(n1: str, p1: str, n2: str, p2: str, hundredths: int) -> Column:
-    one, other = (F.col(n1), F.col(p1)), (F.col(n2), F.col(p2))
-    return F.when(F.col(n1) <= F.col(n2), may_link(*one, *other, hundredths)).otherwise(may_link(*other, *one, hundredths))
-
-
-def _stars(lists: DataFrame, hundredths: int) -> DataFrame:
-    """Each list's smallest set beside its others, if they meet so in more than two lists; what is left out is looked at later."""
-    centre = lists.groupBy("h").agg(F.min(F.struct("n", "fp", "pos")).alias("c")).select("h", F.col("c.n").alias("c_n"), F.col("c.fp").alias("c_fp"), F.col("c.pos").alias("c_pos"))
-    met = lists.join(centre, "h").filter((F.col("fp") != F.col("c_fp")) & ordered_fit("c_n", "c_pos", "n", "pos", hundredths))
-    return met.groupBy(F.least("fp", "c_fp").alias("a"), F.greatest("fp", "c_fp").alias("b")).agg(F.count("*").alias("times")).filter("times > 2").select("a", "b")
-
-
-def _unjoined(lists: DataFrame, links: DataFrame) -> DataFrame:
-    """Rows of lists, with `component`, whose sets lie in more than one."""
-    labels = components(links).withColumnRenamed("node", "fp")
-    known = staged(lists.join(labels, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "known")
-    mixed = known.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("h")
-    return staged(known.join(mixed, "h"), "unjoined")

@@ -2,33 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
-_RNG = np.random.default_rng(20240229)
-#: A random odd base and a random value per byte: a range's hash is a polynomial in the base modulo 2^64, mixed.
-BASE = int(_RNG.integers(1 << 62, dtype=np.int64)) * 2 + 1
-BASE_INVERSE = pow(BASE, -1, 1 << 64)
-VALUES = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-
-#: Exponents start anew every so many bytes, which bounds the tables of powers.
-PERIOD = 1 << 20
-
-_powers: list[np.ndarray] = []
-
-
-def powers() -> list[np.ndarray]:
-    """BASE^i and BASE^-i for i below PERIOD."""
-    if not _powers:
-        for base in (BASE, BASE_INVERSE):
-            out = np.ones(PERIOD, np.uint64)
-            step, k = np.uint64(base), 1
-            with np.errstate(over="ignore"):
-                while k < PERIOD:  # out[k:2k] = out[:k] * base^k
-                    out[k : 2 * k] = out[:k] * step
-                    step, k = step * step, 2 * k
-            _powers.append(out)
-    return _powers
+STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Masks of the first i of eight bytes.
+LANES = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+#: Longer ranges are hashed one at a time.
+LONG = 256
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -39,31 +22,19 @@ def mix(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
-def prefix_sums(raw: np.ndarray) -> np.ndarray:
-    """From these, range_hashes() has the hash of any range."""
-    up = powers()[0]
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    with np.errstate(over="ignore"):
-        for at in range(0, len(raw), PERIOD):
-            part = raw[at : at + PERIOD]
-            np.cumsum(VALUES[part] * up[: len(part)], out=sums[at + 1 : at + 1 + len(part)])
-            sums[at + 1 : at + 1 + len(part)] += sums[at]
-    return sums
-
-
-def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    up, down = powers()
+def range_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes, never 0, of byte ranges. Eight bytes at a time are mixed into the hash so far, all ranges in step."""
+    size = ends - starts
+    lanes = np.ndarray((len(raw) + 1,), "<u8", np.append(raw, np.zeros(8, np.uint8)), strides=(1,))
     with np.errstate(over="ignore"):
-        body = sums[ends] - sums[starts]
-        for k in np.flatnonzero(starts // PERIOD != (ends - 1) // PERIOD).tolist():  # over a place where exponents start anew
-            s, e, total, factor = int(starts[k]), int(ends[k]), np.uint64(0), np.uint64(1)
-            if s == e:
-                continue
-            for at in range(s // PERIOD * PERIOD, e, PERIOD):
-                total += (sums[min(e, at + PERIOD)] - sums[max(s, at)]) * factor
-                factor = factor * up[PERIOD - 1] * up[1]
-            body[k] = total
-        h = mix(body * down[starts % PERIOD] + (ends - starts).astype(np.uint64))
+        h = mix(size.astype(np.uint64) + STEP)
+        live, at = np.flatnonzero((size > 0) & (size <= LONG)), 0
+        while len(live):
+            left = size[live] - at
+            h[live] = mix((h[live] ^ (lanes[starts[live] + at] & LANES[np.minimum(left, 8)])) + STEP)
+            live, at = live[left > 8], at + 8
+    for i in np.flatnonzero(size > LONG).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(raw[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
     h[h == 0] = 1
     return h
 

@@ -6,7 +6,7 @@ import hashlib
 
 import numpy as np
 
-from .pieces import mix, prefix_sums, range_hashes
+from .pieces import mix, range_hashes
 
 WIDTH = 5
 _B = np.arange(256)
@@ -26,7 +26,7 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     starts = np.flatnonzero(solid[1:] & (~solid[:-1] | bound))
     ends = np.flatnonzero(solid[:-1] & (~solid[1:] | bound))
     starts = starts[starts < n]
-    return range_hashes(prefix_sums(raw), starts, ends), starts, np.searchsorted(starts, offsets, "left")
+    return range_hashes(raw, starts, ends), starts, np.searchsorted(starts, offsets, "left")
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> list[np.ndarray]:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, utf8
 from .encode import CALL_BYTES, WORD, byte_values
-from .pieces import HashTable, mix, prefix_sums, range_hashes, safe_cuts
+from .pieces import HashTable, mix, range_hashes, safe_cuts
 
 MOST_STATES, TABLE_BITS, CHUNK = 250_000, 22, 1 << 20
 #: Text whose split needs no table of Unicode classes.
@@ -185,7 +185,7 @@ class Counter:
         return np.bincount(np.array(owner, np.int64), self.machine.count(words), len(pieces)).astype(np.int32) if words else np.zeros(len(pieces), np.int32)
 
     def entries(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        h = range_hashes(prefix_sums(raw), starts, ends)
+        h = range_hashes(raw, starts, ends)
         found = self.table.find(h)
         new = np.flatnonzero(found < 0)
         if len(new):
