@@ -21,9 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset (tests) a folder of this session."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset (tests, one machine) a folder of this session."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -42,6 +44,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
+def bounded(df: DataFrame, most: int) -> DataFrame:
+    """df, staged, to be broadcast if it has at most so many rows; a larger one is joined by a shuffle, with the same result."""
+    kept = staged(df, "side")
+    return F.broadcast(kept) if kept.count() <= most else kept
+
+
 def drop_staged(df: DataFrame) -> None:
     """Deletes a table that staged() made and that nothing reads any more."""
     spark = df.sparkSession
