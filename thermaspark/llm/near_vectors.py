@@ -2,8 +2,10 @@
 
 A rotation is learned on a bounded sample of vectors so that the signs of the rotated coordinates are balanced binary
 codes close to the vectors. Codes are cut into substrings, one hash table each; vectors of one label that agree in a
-substring up to `radius` bits are candidates, and their cosine in double precision decides. The length of substrings
-follows from the size of the largest label, so that buckets stay small at any size.
+substring are candidates, and their cosine in double precision decides. The length of substrings follows from the size
+of the largest label, so that buckets stay small; the number of tables follows from that length and from RECALL, the
+share of pairs at the threshold that is to be met. Where one code has too few substrings, rotations learned from other
+starts give more.
 
 Equal vectors of a label are one class and are never paired. A bucket's pairs are counted in the first table in which
 they meet, so that links are sums over buckets and no pair leaves its task but those of a spanning forest. Buckets
@@ -16,8 +18,8 @@ vec_id is kept and names no component; an empty table gives no rows; other colum
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,22 +28,39 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, components, staged
 
-COSINE, SAMPLE, ROUNDS, BITS, BLOCK = 0.93, 4096, 40, 64, 1024
-#: (vectors of a label up to, bits of a substring, radius within it)
-INDEX = ((16_000, 8, 0), (250_000, 12, 1), (1 << 62, 16, 2))
-ROWS = "key long, label long, dim int, side int, role int, tab int, cls long, code long, copies long, vector binary"
+COSINE, RECALL, SAMPLE, ROUNDS, BITS, BLOCK = 0.93, 0.97, 4096, 40, 64, 1024
+#: Bits of a substring at least, and vectors that a bucket of the largest label has in the mean at most.
+LEAST_WIDTH, BUCKET = 8, 64
+INDEXED = "label long, dim int, tab int, value long, cls long, codes binary, copies long, vector binary"
 FOUND = "cls long, other long, links long"
 
 
-def rotation(sample: np.ndarray) -> np.ndarray:
+def width_for(vectors: int) -> int:
+    """Bits of a substring for a label of so many vectors."""
+    return max(LEAST_WIDTH, math.ceil(math.log2(max(1, vectors) / BUCKET)))
+
+
+def tables_for(width: int, cosine: float) -> int:
+    """A bit of vectors at the threshold differs with a probability of their angle / pi; enough tables for RECALL of them to meet."""
+    agree = (1 - math.acos(cosine) / math.pi) ** width
+    return math.ceil(math.log(1 - RECALL) / math.log(1 - agree)) if 0 < agree < 1 else 1
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1; scaled by their largest component first, so that no square over- or underflows."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def rotation(sample: np.ndarray, start: int = 0) -> np.ndarray:
     """(dim, bits): principal directions, then the rotation that brings their signs closest to the vectors."""
     dim = sample.shape[1]
     bits = min(BITS, dim)
-    x = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    x = unit(sample)
     _, vectors = np.linalg.eigh(x.T @ x)
     top = vectors[:, ::-1][:, :bits]
     v = x @ top
-    r = np.linalg.qr(np.random.default_rng(5).standard_normal((bits, bits)))[0]
+    r = np.linalg.qr(np.random.default_rng(5 + start).standard_normal((bits, bits)))[0]
     for _ in range(ROUNDS):
         b = np.where(v @ r >= 0, 1.0, -1.0)
         u, _, w = np.linalg.svd(b.T @ v)
@@ -49,9 +68,15 @@ def rotation(sample: np.ndarray) -> np.ndarray:
     return top @ r
 
 
-def code_of(x: np.ndarray, r: np.ndarray) -> np.ndarray:
-    on = (x @ r >= 0).astype(np.uint64)
-    return (on << np.arange(r.shape[1], dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+def substrings(x: np.ndarray, rotations: list[np.ndarray], width: int, tables: int) -> np.ndarray:
+    """(vectors, tables): of each unit vector the substrings of its codes."""
+    out = []
+    for r in rotations:
+        on = (x @ r >= 0).astype(np.uint64)
+        for at in range(0, max(1, r.shape[1] - width + 1), width):
+            bits = on[:, at : at + width]
+            out.append((bits << np.arange(bits.shape[1], dtype=np.uint64)).sum(axis=1, dtype=np.uint64))
+    return np.stack(out[:tables], axis=1)
 
 
 def usable(embedding: Column) -> Column:
@@ -59,10 +84,10 @@ def usable(embedding: Column) -> Column:
     return F.coalesce(embedding.isNotNull() & (F.size(embedding) > 0) & finite & F.exists(embedding, lambda v: v != 0), F.lit(False))
 
 
-def bucket_links(rows: np.ndarray, vectors: np.ndarray, bits: int, width: int, radius: int, cosine: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Links of each row's class within a bucket, and a spanning forest of them (row numbers)."""
+def bucket_links(rows: np.ndarray, vectors: np.ndarray, codes: np.ndarray, cosine: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Links of each row's class within a bucket, and a spanning forest of them (row numbers). Pairs that met in an earlier table are left out."""
     links, forest = np.zeros(len(rows), np.int64), []
-    x = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    x = unit(vectors)
     parent = list(range(len(rows)))
 
     def root(i: int) -> int:
@@ -71,7 +96,6 @@ def bucket_links(rows: np.ndarray, vectors: np.ndarray, bits: int, width: int, r
             i = parent[i]
         return i
 
-    code = rows["code"]
     tab = int(rows["tab"][0])
     for at in range(0, len(rows), 256):
         near = x[at : at + 256] @ x.T >= cosine
@@ -80,15 +104,12 @@ def bucket_links(rows: np.ndarray, vectors: np.ndarray, bits: int, width: int, r
         i, j = np.nonzero(near)
         i += at
         a, b = rows[i], rows[j]
-        # index with index once; a probe with the index; blocks i and j across
-        keep = np.where((a["role"] == 0) & (b["role"] == 0), a["cls"] < b["cls"], (a["role"] == 1) & (b["role"] == 0) & (a["cls"] < b["cls"]))
-        keep &= (a["side"] == 0) | (a["side"] != b["side"])
+        # each pair once; of two blocks only pairs across
+        keep = (a["cls"] < b["cls"]) & ((a["side"] == 0) | (a["side"] != b["side"]))
         keep &= (a["label"] == b["label"]) & (a["dim"] == b["dim"])
-        for t in range(tab):  # met before
-            low = np.uint64(t * width)
-            part = np.uint64((1 << min(width, bits - t * width)) - 1)
-            keep &= np.bitwise_count(((code[i] ^ code[j]) >> low) & part) > radius
         i, j = i[keep], j[keep]
+        fresh = ~(codes[i, :tab] == codes[j, :tab]).any(axis=1)
+        i, j = i[fresh], j[fresh]
         np.add.at(links, i, rows["copies"][j])
         np.add.at(links, j, rows["copies"][i])
         for p, q in zip(i.tolist(), j.tolist(), strict=True):
@@ -109,13 +130,15 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     good = own.filter("cls is not null")
     classes = staged(good.groupBy("cls").agg(F.count("*").alias("copies"), F.min("vec_id").alias("first"), F.first("label").alias("label"), F.first("embedding").alias("embedding")), "classes")
     sizes = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).collect()[0][0] or 0
-    width, radius = next((w, r) for most, w, r in INDEX if sizes <= most)
+    width = width_for(sizes)
+    tables = tables_for(width, cosine)
     # a fixed number of vectors for each length that occurs in the sample
     sample = classes.orderBy(F.hash("cls"), "cls").limit(SAMPLE).select("embedding").collect()
     by_dim: dict[int, list] = {}
     for r in sample:
         by_dim.setdefault(len(r[0]), []).append(r[0])
-    rotations = {d: rotation(np.array(v)) for d, v in by_dim.items()}
+    many = lambda d: -(-tables // max(1, min(BITS, d) // width))
+    rotations = {d: [rotation(np.array(v), k) for k in range(many(d))] for d, v in by_dim.items()}
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -125,31 +148,26 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
             for d in np.unique(dims).tolist():
                 pick = np.flatnonzero(dims == d)
                 x = np.array([vectors[i] for i in pick])
-                r = rotations[d] if d in rotations else np.eye(d)[:, : min(d, BITS)]
-                code = code_of(x / np.linalg.norm(x, axis=1, keepdims=True), r)
-                bits = r.shape[1]
-                raw = [v.tobytes() for v in x]
-                for t in range(-(-bits // width)):
-                    size = min(width, bits - t * width)
-                    value = (code >> np.uint64(t * width)) & np.uint64((1 << size) - 1)
-                    for k in range(min(radius, size) + 1):
-                        for flip in combinations(range(size), k):
-                            probe = value ^ np.uint64(sum(1 << f for f in flip))
-                            n = len(pick)
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array(label[pick]), pa.array(np.full(n, d), pa.int32()), pa.array(np.full(n, int(k > 0)), pa.int32()), pa.array(np.full(n, t), pa.int32()), pa.array(probe.view(np.int64)), pa.array(cls[pick]), pa.array(code.view(np.int64)), pa.array(copies[pick]), pa.array(raw, pa.binary())],
-                                names=["label", "dim", "role", "tab", "value", "cls", "code", "copies", "vector"],
-                            )
-
-    rows = classes.select("cls", "copies", "label", "embedding").mapInArrow(index, "label long, dim int, role int, tab int, value long, cls long, code long, copies long, vector binary")
+                # a length that is not in the sample
+                own = rotations.get(d) or [rotation(np.eye(d), k) for k in range(many(d))]
+                codes = substrings(unit(x), own, width, tables)
+                raw, wire = [v.tobytes() for v in x], [c.tobytes() for c in codes]
+                n = len(pick)
+                for t in range(codes.shape[1]):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(label[pick]), pa.array(np.full(n, d), pa.int32()), pa.array(np.full(n, t), pa.int32()), pa.array(codes[:, t].astype(np.int64)), pa.array(cls[pick]), pa.array(wire, pa.binary()), pa.array(copies[pick]), pa.array(raw, pa.binary())],
+                        names=["label", "dim", "tab", "value", "cls", "codes", "copies", "vector"],
+                    )
+
+    rows = classes.select("cls", "copies", "label", "embedding").mapInArrow(index, INDEXED)
     bucket = ["label", "dim", "tab", "value"]
     counts = rows.groupBy(*bucket).agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK).select(*bucket, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     dealt = rows.join(counts, bucket, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     # a block meets every other block once, and itself
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("i"), F.greatest(o, F.col("block")).alias("j")))
     dealt = dealt.withColumn("m", F.explode(meets)).withColumn("side", F.when(F.col("m.i") == F.col("m.j"), 0).when(F.col("block") == F.col("m.i"), 1).otherwise(2))
-    dealt = dealt.select(F.xxhash64(*bucket, "m.i", "m.j").alias("key"), "label", "dim", "side", "role", "tab", "cls", "code", "copies", "vector")
-    kind = np.dtype([("label", "<i8"), ("dim", "<i4"), ("side", "<i4"), ("role", "<i4"), ("tab", "<i4"), ("cls", "<i8"), ("code", "<u8"), ("copies", "<i8")])
+    dealt = dealt.select(F.xxhash64(*bucket, "m.i", "m.j").alias("key"), "label", "dim", "side", "tab", "cls", "codes", "copies", "vector")
+    kind = np.dtype([("label", "<i8"), ("dim", "<i4"), ("side", "<i4"), ("tab", "<i4"), ("cls", "<i8"), ("copies", "<i8")])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(held: list[pa.RecordBatch]) -> pa.RecordBatch | None:
@@ -158,8 +176,7 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
                 return None
             rows = np.zeros(t.num_rows, kind)
             for c in kind.names:
-                values = t.column(c).to_numpy()
-                rows[c] = values.view(np.uint64) if c == "code" else values
+                rows[c] = t.column(c).to_numpy()
             outs = []
             for d in np.unique(rows["dim"]).tolist():
                 for tab in np.unique(rows["tab"][rows["dim"] == d]).tolist():
@@ -167,8 +184,9 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
                     if len(pick) < 2:
                         continue
                     vectors = np.frombuffer(b"".join(t.column("vector").take(pa.array(pick)).to_pylist()), np.float64).reshape(len(pick), d)
+                    codes = np.frombuffer(b"".join(t.column("codes").take(pa.array(pick)).to_pylist()), np.uint64).reshape(len(pick), -1)
                     some = rows[pick]
-                    links, forest = bucket_links(some, vectors, min(BITS, d), width, radius, cosine)
+                    links, forest = bucket_links(some, vectors, codes, cosine)
                     hit = np.flatnonzero(links)
                     outs += [(int(some["cls"][i]), None, int(links[i])) for i in hit] + [(int(some["cls"][p]), int(some["cls"][q]), 0) for p, q in forest]
             if not outs:
