@@ -11,13 +11,14 @@ that start together the rule listed first comes first; an empty table gives no r
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import bounded
+
 try:
     from re import _constants as sre, _parser as sre_parser
 except ImportError:  # before Python 3.11
@@ -41,11 +42,13 @@ RULES = (
     Rule("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8, True),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 16, True),
     Rule("hex", r"[0-9a-f]+", 0, 32, True, r"[0-9a-f]{32,}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----([A-Za-z0-9+/=\r\n]*-----END [A-Z ]*PRIVATE KEY-----)?"),
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
+#: Candidates, of 16 bytes each, that may be broadcast; more meet the texts in a shuffle.
+MOST_BROADCAST = 1_000_000
 #: Sets of exact strings larger than this are given up for a weaker query.
 MOST_STRINGS = 24
 
@@ -176,10 +179,14 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return met.select("key", reduce(lambda a, b: a.bitwiseOR(b), bits).alias("rules")).filter("rules != 0")
 
 
+def opened(found: Column, rules: tuple[Rule, ...]) -> Column:
+    always = sum(1 << i for i, r in enumerate(rules) if required_trigrams(r.pattern) is None)
+    return F.coalesce(found, F.lit(0)).bitwiseOR(F.lit(always))
+
+
 def with_candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """keyed() rows with `open`, the rules to verify: those whose query holds and those without a query."""
-    always = sum(1 << i for i, r in enumerate(rules) if required_trigrams(r.pattern) is None)
-    return docs.join(candidates(docs, rules), "key", "left").withColumn("open", F.coalesce("rules", F.lit(0)).bitwiseOR(F.lit(always)))
+    return docs.join(bounded(candidates(docs, rules), MOST_BROADCAST), "key", "left").withColumn("open", opened(F.col("rules"), rules))
 
 
 def cell_of(nth: int, least: int):
@@ -190,20 +197,26 @@ def cell_of(nth: int, least: int):
     return cell
 
 
-def find(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row per document and span, or one with null kind where there is none: row, doc_id, kind, nth, start, end (code points)."""
-    rows = with_candidates(keyed(docs), rules)
+def matches(text: Column, open_rules: Column, rules: tuple[Rule, ...]) -> list[Column]:
+    """For each rule the cells of all its matches in a text."""
     none = F.array().cast("array<struct<nth:int,at:int,gap:int,size:int,ok:boolean>>")
     found = []
     for i, r in enumerate(rules):
-        p, text = F.lit(r.scan or r.pattern), F.col("text")
+        p = F.lit(r.scan or r.pattern)
         whole, part = F.regexp_extract_all(text, p, F.lit(0)), F.regexp_extract_all(text, p, F.lit(r.group))
         gaps = F.split(text, r.scan or r.pattern, -1)
         zipped = F.arrays_zip(whole.alias("w"), part.alias("p"), F.slice(gaps, F.lit(1), F.size(whole)).alias("g"))
         cells = F.transform(zipped, cell_of(i, r.least))
-        is_open = F.col("open").bitwiseAND(F.lit(1 << i)) != 0
+        is_open = open_rules.bitwiseAND(F.lit(1 << i)) != 0
         found.append(F.when(is_open & F.regexp_like(text, p), cells).otherwise(none))
-    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.concat(*found).alias("found"))
+    return found
+
+
+def find(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """One row per document and span, or one with null kind where there is none: row, doc_id, kind, nth, start, end (code points)."""
+    rows = with_candidates(keyed(docs), rules)
+    found = F.concat(*matches(F.col("text"), F.col("open"), rules))
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", found.alias("found"))
     cells = numbered.select("row", "doc_id", F.explode_outer("found").alias("c")).select("row", "doc_id", "c.*")
     run = Window.partitionBy("row", "nth").orderBy("at")
     end = F.sum(F.col("gap") + F.col("size")).over(run)
@@ -225,28 +238,39 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return got.select("doc_id", *(f"n_{rules[i].kind}" for i in base), F.sha2(names(own), 256).alias("base_sha256"), names(F.col("all")).alias("spans"))
 
 
+def without_spans(text: Column, cells: list[Column], mark: str) -> Column:
+    """The text with each of the spans that scan() reports, or run of overlapping ones, replaced by the mark."""
+    kind = "struct<at:int,spans:array<struct<start:int,end:int>>>"
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + x["gap"]
+        end = start + x["size"]
+        own = F.array(F.struct(start.alias("start"), end.alias("end")))
+        return F.struct(end.alias("at"), F.when(x["ok"], F.concat(acc["spans"], own)).otherwise(acc["spans"]).alias("spans")).cast(kind)
+
+    spans = F.array_sort(F.concat(*(F.aggregate(c, none.cast(kind), step, lambda acc: acc["spans"]) for c in cells)))
+
+    def cut(acc: Column, x: Column) -> Column:
+        apart = F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark))
+        out = F.when(x["start"] >= acc["at"], apart).otherwise(acc["out"])
+        return F.struct(out.alias("out"), F.greatest(acc["at"], x["end"]).alias("at")).cast("struct<out:string,at:int>")
+
+    first = F.struct(F.lit("").alias("out"), F.lit(0).alias("at")).cast("struct<out:string,at:int>")
+    changed = F.aggregate(spans, first, cut, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
+    return F.when(F.size(spans) > 0, changed).otherwise(text)
+
+
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
-    """docs with every secret in `text` replaced and n_chars counted again; other columns as they are."""
-    key, open_rules = "__secret_key", "__secret_rules"
-    named = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    out = named.join(candidates(keyed(docs), rules).select(F.col("key").alias(key), F.col("rules").alias(open_rules)), key, "left")
-    text = F.col("text")
-    for i, r in enumerate(rules):
-        query = required_trigrams(r.pattern)
-        hit = F.lit(True) if query is None else F.coalesce(open_rules, F.lit(0)).bitwiseAND(F.lit(1 << i)) != 0
-        text = F.when(hit, F.regexp_replace(text, r.scan or longer(r), mark)).otherwise(text)
-    out = out.withColumn("text", text)
+    """docs with every secret that scan() finds in `text` replaced and n_chars counted again; other columns as they are. A null text stays null."""
+    found = bounded(candidates(keyed(docs), rules), MOST_BROADCAST)
+    text = F.col("d.text").cast("string")
+    named = docs.alias("d").join(found.alias("c"), F.xxhash64(F.col("d.doc_id").cast("long"), F.coalesce(text, F.lit(""))) == F.col("c.key"), "left")
+    clean = without_spans(text, matches(text, opened(F.col("c.rules"), rules), rules), mark)
+    out = named.select(*(F.when(F.col("d.text").isNotNull(), clean).alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
-
-
-def longer(rule: Rule) -> str:
-    """The pattern with its last + asking for the least length of the rule's group."""
-    if rule.least == 1 or not re.search(r"\+\)?$", rule.pattern):
-        return rule.pattern
-    fixed = 4 if rule.kind == "access" else 0
-    return re.sub(r"\+(\)?)$", rf"{{{rule.least - fixed},}}\1", rule.pattern)
+    return out
 
 
 def oracle(rules: tuple[Rule, ...] = RULES) -> str:
