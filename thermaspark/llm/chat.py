@@ -2,8 +2,8 @@
 
 A template is any function from turns to a string. Successive prefixes of a conversation are rendered and compared
 with the one before: what a turn adds is its span; where the earlier output changed, the template rewrites history,
-which is reported instead of a span. A turn's text is found inside its span by rendering it once more with a single
-private-use character in its place. Nothing about the template is parsed for this.
+which is reported instead of a span. A turn's text is found inside its span by rendering it once more with a
+private-use character in its place that occurs nowhere else. Nothing about the template is parsed for this.
 
 The template here marks each turn <s>role, line feed, text</s>, users' texts between [INST] and [/INST]. Control
 strings inside texts are broken with a backslash after their first character and backslashes are doubled, which is
@@ -30,7 +30,8 @@ Turn = tuple[str, str]
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]")
 _CONTROL = re.compile("|".join(map(re.escape, CONTROLS)) + r"|\\")
 _TURN = re.compile(r"<s>((?:[^\\\n]|\\.)*)\n((?:[^\\<]|\\.|<(?!/s>))*)</s>", re.S)
-PROBES = ""
+#: Characters that may stand for a text; beyond them a run of the first, longer than any there is.
+PROBES = range(0xE000, 0xF900)
 FORMATTED = "conv_id long, formatted string, loss array<struct<start:long,end:long>>, rewrites boolean"
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
@@ -81,6 +82,11 @@ def common_prefix(a: str, b: str) -> int:
     return low
 
 
+def absent(text: str) -> str:
+    """A string that the text does not hold."""
+    return next((chr(c) for c in PROBES if chr(c) not in text), chr(PROBES[0]) * (1 + max(map(len, re.findall(f"{chr(PROBES[0])}+", text)), default=0)))
+
+
 def spans(render: Callable[[list[Turn]], str], turns: list[Turn]) -> tuple[str, list[tuple[int, int, int, int]], list[int]]:
     """(output, per turn its span and its text's span, turns at which earlier output changed).
 
@@ -93,10 +99,10 @@ def spans(render: Callable[[list[Turn]], str], turns: list[Turn]) -> tuple[str,
         if not now.startswith(before):
             start = common_prefix(before, now)
             rewritten.append(k)
-        probe = next(p for p in PROBES if p not in now and p not in text)
+        probe = absent(now + text)
         other = render([*turns[:k], (role, probe)])
-        at = other.find(probe, common_prefix(now, other) if text else 0)
-        size = len(now) - len(other) + 1
+        at = other.find(probe)
+        size = len(now) - len(other) + len(probe)
         found.append((start, len(now), at, at + size) if at >= 0 and now[:at] == other[:at] else (start, len(now), start, len(now)))
         before = now
     return before, found, rewritten

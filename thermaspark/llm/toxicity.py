@@ -376,11 +376,12 @@ class Scorer:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[list[str], np.ndarray]:
-    """A bounded sample of labelled documents that are not held out; whole texts."""
+    """A bounded sample of labelled documents that are not held out; whole texts. Of rows that share a doc_id, one text."""
     known = labels.filter("toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic")).filter(~held_out(F.col("doc_id")))
     first = [known.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for c in (0, 1)]
     picked = first[0].unionByName(first[1])
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id").collect()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("toxic").alias("toxic")).collect()
     rows = sorted(rows, key=lambda r: (r["doc_id"], r["text"]))
     return [r["text"] for r in rows], np.array([r["toxic"] for r in rows], np.int64)
 

@@ -172,9 +172,12 @@ def read_archives(spark: SparkSession, files: DataFrame) -> DataFrame:
                 rows, seen = [], 0
                 with store.open_input_stream(place, compression=None) as stream:
                     for data in members(stream):
-                        fields, _, _ = parse(data)
+                        fields, _, payload = parse(data)
+                        size = int(fields["x-payload-length"])
+                        if fields["warc-type"] == "response" and size != len(payload):  # a revisit holds no payload
+                            raise DamagedArchive("payload length differs")
                         digest = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()
-                        rows.append({"page_id": number(fields["warc-record-id"]), "payload_bytes": int(fields["x-payload-length"]), "payload_digest": digest, "record_type": fields["warc-type"], "refers_to": number(fields.get("warc-refers-to"))})
+                        rows.append({"page_id": number(fields["warc-record-id"]), "payload_bytes": size, "payload_digest": digest, "record_type": fields["warc-type"], "refers_to": number(fields.get("warc-refers-to"))})
                         seen += 1
                         if len(rows) >= 5000:
                             yield pa.RecordBatch.from_pylist(rows, schema=kinds)
