@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, components, staged, utf8
+from .common import bounded, bounded_batches, components, staged, utf8
 from .shingles import fingerprint, shingle_sets
 
 #: Links: HUNDREDTHS * union <= 100 * intersection.
@@ -39,6 +39,8 @@ COMMON = 64
 PART_BYTES, MOST_PARTS = 2 << 20, 1 << 20
 #: Records that a task gathers before it deals or reduces them; fingerprints that it remembers as dealt.
 GATHERED, REMEMBERED = 1 << 20, 1_000_000
+#: Keys of texts that may be broadcast, 8 bytes each; more are joined by a shuffle of the texts.
+MOST_BROADCAST = 1_000_000
 #: Positions in a block of a list.
 BLOCK = 16
 POSTINGS = "part int, postings binary"
@@ -332,8 +334,7 @@ class Prefixes:
 
 def index_lists(docs: DataFrame, alive: DataFrame, parts: int, hundredths: int) -> DataFrame:
     """(h, fp, n, pos): the lists of the index."""
-    texts = docs.join(alive.select("key").distinct(), "key", "left_semi")
-    packed = spread(texts, parts, None, COMMON, lambda h, fp: ranked(h, fp, COMMON))
+    packed = spread(texts_of(docs, alive), parts, None, COMMON, lambda h, fp: ranked(h, fp, COMMON))
 
     def resend(blob: bytes) -> pa.RecordBatch:
         rec = np.frombuffer(blob, RANKED)
@@ -353,6 +354,11 @@ def index_lists(docs: DataFrame, alive: DataFrame, parts: int, hundredths: int)
 # -- step 3: answers ---------------------------------------------------------------
 
 
+def texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose text has one of keys(key)."""
+    return docs.select("key", "text").join(bounded(keys.select("key").distinct(), MOST_BROADCAST), "key", "left_semi")
+
+
 def set_of(docs: DataFrame, alive: DataFrame, wanted: DataFrame) -> DataFrame:
     """(fp, own: the sorted hashes) of the sets in wanted(fp)."""
 
@@ -363,7 +369,7 @@ def set_of(docs: DataFrame, alive: DataFrame, wanted: DataFrame) -> DataFrame:
 
     keys = alive.join(wanted.select("fp").distinct(), "fp", "left_semi").select("key")
     # a text of many rows is one row before its set is made
-    texts = docs.select("key", "text").join(keys, "key", "left_semi").dropDuplicates(["key", "text"])
+    texts = texts_of(docs, keys).dropDuplicates(["key", "text"])
     return texts.select("text").mapInArrow(run, "fp long, own binary").dropDuplicates(["fp"])
 
 
@@ -482,16 +488,33 @@ def set_links(docs: DataFrame, sizes: DataFrame, parts: int, hundredths: int) ->
     return links.unionByName(derived(deltas, labels, hundredths))
 
 
-def join(docs: DataFrame, hundredths: int = HUNDREDTHS) -> DataFrame:
-    """doc_id, n_shingles, component_id of all documents."""
+def groups(docs: DataFrame, hundredths: int = HUNDREDTHS) -> DataFrame:
+    """doc_id, key (xxhash64 of the text), n_shingles of all documents, and the component of their sets; null without shingles."""
     bounded_batches(docs.sparkSession)
     size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())  # of the files
     parts = 1024 if size >> 60 else min(max(64, size // PART_BYTES), MOST_PARTS)
     own = _own(docs)
     sizes = staged(set_sizes(docs), "sizes")
-    labels = components(set_links(own, sizes, parts, hundredths))
-    joined = sizes.join(labels.select(F.col("node").alias("fp"), "component"), "fp", "left").filter("n_shingles > 0")
-    names = joined.groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("doc_id").alias("component_id"))
-    of = labels.select(F.col("node").alias("fp"), "component")
-    out = sizes.join(of, "fp", "left").withColumn("component", F.coalesce("component", "fp")).join(names, "component", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    labels = components(set_links(own, sizes, parts, hundredths)).select(F.col("node").alias("fp"), "component")
+    named = sizes.join(labels, "fp", "left").select("doc_id", "key", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "fp")).alias("component"))
+    return staged(named, "groups")
+
+
+def join(docs: DataFrame, hundredths: int = HUNDREDTHS) -> DataFrame:
+    """doc_id, n_shingles, component_id of all documents."""
+    named = groups(docs, hundredths)
+    first = named.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("k")).filter("k > 1")
+    out = named.join(first.select("component", "component_id"), "component", "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, hundredths: int = HUNDREDTHS) -> DataFrame:
+    """Of each component the row with the smallest doc_id, nulls last, and then the smallest hash of its text, once. Rows without shingles stay."""
+    named = groups(docs, hundredths).filter("component is not null")
+    first = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("x"), F.count("*").alias("k")).filter("k > 1")
+    others = named.join(first, "component").filter(~F.col("doc_id").eqNullSafe(F.col("x.doc_id")) | (F.col("key") != F.col("x.key")))
+    again = named.groupBy("doc_id", "key").agg(F.count("*").alias("k")).filter("k > 1")
+    row = F.col("doc_id").cast("long").eqNullSafe(F.col("__group_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__group_key"))
+    named_so = lambda df: bounded(df.select(F.col("doc_id").alias("__group_id"), F.col("key").alias("__group_key")).distinct(), MOST_BROADCAST)
+    kept, again = docs.join(named_so(others), row, "left_anti"), named_so(again)
+    return kept.join(again, row, "left_anti").unionByName(kept.join(again, row, "left_semi").dropDuplicates(["doc_id", "text"]))
