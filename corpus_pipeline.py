@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from thermaspark.llm import decontaminate, jaccard, packing, secret_scan, toxicity
 from thermaspark.llm.common import staged, table
@@ -20,27 +19,22 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each component; of repeated rows one; rows without a doc_id stay."""
-    groups = staged(jaccard.join(docs), "groups")
-    gone = groups.filter("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    again = groups.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
-    return kept.dropDuplicates(["doc_id", "text"]) if again.take(1) else kept
+    """Of each group of near copies the row with the smallest doc_id, nulls last, and then the smallest hash of its text, once. Rows without words stay."""
+    return jaccard.one_of_each(docs)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Rows whose text holds no benchmark item, whatever their doc_id; null and empty texts stay."""
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts replaced by [SECRET]."""
+    """All rows, secrets in their texts replaced by [SECRET]; null texts stay null."""
     return secret_scan.redact(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
+    """The pieces of all rows and their places in sequences; a null or empty text is its end id alone."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
