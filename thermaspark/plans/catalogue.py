@@ -66,7 +66,7 @@ SELECT CAST(acq_time AS DATE) AS day, COUNT(*) AS n, ROUND(AVG(l - (x.t2m*frac +
     "s3_obs era5_hourly",
 )
 def minimum_slice(spark: SparkSession, d: str) -> DataFrame:
-    return K.daily_lst_ta(fixture(spark, d, "s3_obs"), fixture(spark, d, "era5_hourly"))
+    return K.daily_lst_ta(fixture(spark, d, "s3_obs"), fixture(spark, d, "era5_hourly"), (F.col("px_id") % 4).cast("int"))
 
 
 # -- A -----------------------------------------------------------------------------
@@ -834,3 +834,6 @@ def a22_find_scenes(spark, d):
     b = b.select("day", "acq_id", F.lit("landsat 8").alias("platform"), F.lit(0.0).alias("minx"), "miny", F.lit(5.0).alias("maxx"), (F.col("miny") + 4).alias("maxy"))
     c = fixture(spark, d, "s2_obs").select(F.date_add("acq_date", 92).alias("day"), F.lit("L8").alias("platform"), F.col("col_hr").cast("double").alias("minx"), (F.col("col_hr") + 0.5).alias("maxx"), F.col("row_hr").cast("double").alias("miny"), (F.col("row_hr") + 0.5).alias("maxy"))
     return A.find_scenes(b, c).groupBy("a.acq_id", "a.day").agg(F.count("*").alias("n"))
+
+
+from . import product_queries  # noqa: E402, F401  registers its own

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import physics as P
 from ..operators import composite, mask, temporal
 
-#: Correction coefficients fitted between the two sensors.
+# Correction coefficients fitted between the two sensors.
 GAIN, OFFSET, DIRECTIONAL = 1.110024074017716, -33.008132822189395, -7.547175199010964
 
 
@@ -38,12 +38,12 @@ def era5_at(obs: DataFrame, hourly: DataFrame, elevation: str | None = None) ->
     return at.withColumn("air_temperature", P.air_temperature(F.col("t_datum"), ea, p, F.col(elevation)))
 
 
-def lst_ta(s3: DataFrame, hourly: DataFrame, gain: float | None = GAIN, offset: float | None = OFFSET, directional: float | None = DIRECTIONAL) -> DataFrame:
-    """Good pixels with corrected land surface temperature minus air temperature."""
+def lst_ta(s3: DataFrame, hourly: DataFrame, cell: Column, gain: float | None = GAIN, offset: float | None = OFFSET, directional: float | None = DIRECTIONAL) -> DataFrame:
+    """Good pixels with corrected land surface temperature minus air temperature; cell: the meteorological cell of a pixel."""
     good = prepare_s3(s3).withColumn("quality", mask.quality_flag(F.col("confidence_in"), F.col("lst_uncertainty"))).filter("quality = 1 AND lst is not null")
-    good = good.withColumn("lst", P.correct_lst(F.col("lst"), F.col("vza"), gain, offset, directional)).withColumn("cell_id", (F.col("px_id") % 4).cast("int"))
+    good = good.withColumn("lst", P.correct_lst(F.col("lst"), F.col("vza"), gain, offset, directional)).withColumn("cell_id", cell)
     return era5_at(good, hourly).withColumn("lst_ta", F.col("lst") - F.col("t2m"))
 
 
-def daily_lst_ta(s3: DataFrame, hourly: DataFrame) -> DataFrame:
-    return lst_ta(s3, hourly).groupBy(F.to_date("acq_time").alias("day")).agg(F.count("*").alias("n"), F.round(F.avg("lst_ta"), 6).alias("lst_ta"))
+def daily_lst_ta(s3: DataFrame, hourly: DataFrame, cell: Column) -> DataFrame:
+    return lst_ta(s3, hourly, cell).groupBy(F.to_date("acq_time").alias("day")).agg(F.count("*").alias("n"), F.round(F.avg("lst_ta"), 6).alias("lst_ta"))
