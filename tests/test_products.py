@@ -55,7 +55,7 @@ def test_samples_and_parameters(spark, tmp_path):
 
 
 def test_the_product_has_values(spark):
-    rows = catalogue.QUERIES["k6_lst_ta_product"](spark, DATA).agg(F.count("*"), F.count_if("lst_ta != -999"), F.countDistinct("acq_id"), F.max(F.abs(F.when(F.col("lst_ta") != -999, F.col("lst_ta"))))).first()
+    rows = catalogue.QUERIES["k6_lst_ta_product"](spark, DATA).agg(F.count("*"), F.count_if(F.col("lst_ta") != -999), F.countDistinct("acq_id"), F.max(F.abs(F.when(F.col("lst_ta") != -999, F.col("lst_ta"))))).first()
     assert rows[0] > 0 and rows[1] > 0.2 * rows[0] and rows[2] > 1 and rows[3] < 6000
 
 
