@@ -154,7 +154,11 @@ def test_shingles_of_short_and_odd_texts():
 
 def test_bucket_counts_links_once():
     x = np.array([[1.0, 0], [0.99, 0.05], [0, 1.0]])
-    rows = np.zeros(3, [("label", "<i8"), ("dim", "<i4"), ("side", "<i4"), ("role", "<i4"), ("tab", "<i4"), ("cls", "<i8"), ("code", "<u8"), ("copies", "<i8")])
+    rows = np.zeros(3, [("label", "<i8"), ("dim", "<i4"), ("side", "<i4"), ("tab", "<i4"), ("cls", "<i8"), ("copies", "<i8")])
     rows["cls"], rows["copies"] = [1, 2, 3], [4, 1, 1]
-    links, forest = near_vectors.bucket_links(rows, x, 2, 2, 0, 0.93)
+    codes = np.array([[5, 1], [5, 1], [5, 2]], np.uint64)
+    links, forest = near_vectors.bucket_links(rows, x, codes, 0.93)
     assert links.tolist() == [1, 4, 0] and forest == [(0, 1)]
+    rows["tab"] = 1  # they met in the table before
+    links, forest = near_vectors.bucket_links(rows, x, codes, 0.93)
+    assert links.tolist() == [0, 0, 0] and not forest

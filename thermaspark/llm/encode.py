@@ -16,8 +16,8 @@ import numpy as np
 
 from .pieces import HashTable, gather, range_hashes, safe_cuts
 
-#: Slots (2^n) of a worker's table, about 80 MB with its ids; bytes handled at once.
-TABLE_BITS, CALL_BYTES = 22, 1 << 20
+#: Slots (2^n) of a worker's table, about 40 MB with its ids; bytes handled at once.
+TABLE_BITS, CALL_BYTES = 21, 1 << 20
 WORD = re.compile(" ?(?:[A-Za-zÀ-ÖØ-öø-ÿ])+")
 
 

@@ -38,7 +38,7 @@ COMMON = 64
 #: Bytes of input for each part of the index, and the most parts.
 PART_BYTES, MOST_PARTS = 2 << 20, 1 << 20
 #: Records that a task gathers before it deals or reduces them; fingerprints that it remembers as dealt.
-GATHERED, REMEMBERED = 1 << 20, 1_000_000
+GATHERED, REMEMBERED = 1 << 18, 1_000_000
 #: Keys of texts that may be broadcast, 8 bytes each; more are joined by a shuffle of the texts.
 MOST_BROADCAST = 1_000_000
 #: Positions in a block of a list.
@@ -171,7 +171,7 @@ def spread(docs: DataFrame, parts: int, cut: Callable[[int], int] | None, enough
                 if not len(s) or f in known:
                     continue
                 known.add(f)
-                own.append(s[: cut(len(s))] if cut else s)
+                own.append(s[: cut(len(s))].copy() if cut else s)  # not a view of the whole set
                 fps.append(f)
                 size += len(own[-1])
             if size >= max(GATHERED, 4 * parts):

@@ -38,7 +38,7 @@ JUNK = 0.1
 HIDDEN, WORD_DIM, CHAR_DIM, ATTEND = 8, 8, 12, 8
 CHAR_BITS = 15
 #: Slots of a worker's table of projected words, and windows run in step.
-TABLE_BITS, STEP_WINDOWS = 19, 2048
+TABLE_BITS, STEP_WINDOWS = 18, 2048
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 
