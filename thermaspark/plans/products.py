@@ -15,7 +15,7 @@ from ..operators import composite, grid, mask, matchup, sharpen, temporal
 from ..sources import catalog
 from . import pipelines
 
-#: Bands that later steps read.
+# Bands that later steps read.
 REQUIRED = {
     "s3": ("lst", "inc", "quality_flag", "vza"),
     "s2": ("b02", "b03", "b04", "b05", "b06", "b07", "b08", "b8a", "b11", "b12", "ndvi"),
