@@ -27,3 +27,15 @@ def test_texts_with_more_words_than_the_table_holds(monkeypatch, bits):
     own = [" ".join(words[i : i + toxicity.WINDOW]) for i in [*range(0, 2000 - toxicity.WINDOW, toxicity.STRIDE), 2000 - toxicity.WINDOW]]
     alone = toxicity.Scorer(weights()).scores(*utf8(pa.array(own, pa.string())))
     assert abs(whole[0] - alone.max()) < 1e-5 and len(set(alone.round(4))) > 10
+
+
+@pytest.mark.parametrize("most", [30, 100, 1000])
+def test_scores_are_the_same_however_few_words_are_run_at_once(monkeypatch, most):
+    texts = ["", " ".join(f"w{i}" for i in range(500)), "one", " \t ", None, "w1 " * 90, "ends with éé words"]
+    raw, offsets = utf8(pa.array(texts, pa.string()))
+    whole = toxicity.Scorer(weights()).scores(raw, offsets)
+    monkeypatch.setattr(toxicity, "RUN_WORDS", most)
+    assert np.allclose(toxicity.Scorer(weights()).scores(raw, offsets), whole, atol=1e-5)
+    for i, text in enumerate(texts):  # each alone, as first and as only text of a batch
+        assert np.allclose(toxicity.Scorer(weights()).scores(*utf8(pa.array([text], pa.string()))), whole[i], atol=1e-5)
+    assert len(toxicity.Scorer(weights()).scores(*utf8(pa.array([], pa.string())))) == 0

@@ -37,8 +37,8 @@ CLEAN_WEIGHT = 6.0
 JUNK = 0.1
 HIDDEN, WORD_DIM, CHAR_DIM, ATTEND = 8, 8, 12, 8
 CHAR_BITS = 15
-#: Slots of a worker's table of projected words, and windows run in step.
-TABLE_BITS, STEP_WINDOWS = 18, 2048
+#: Slots of a worker's table of projected words, words looked up at once, and windows run in step.
+TABLE_BITS, RUN_WORDS, STEP_WINDOWS = 18, 1 << 16, 1024
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 
@@ -318,10 +318,10 @@ class Scorer:
     def __init__(self, w: dict[str, np.ndarray]):
         self.w = w
         self.clear()
+        self.rows = np.zeros((self.table.room, 6 * HIDDEN), np.float32)  # all at once: no copies while it fills
 
     def clear(self) -> None:
         self.table = HashTable(TABLE_BITS)
-        self.rows = np.zeros((4096, 6 * HIDDEN), np.float32)
 
     def entries(self, raw: np.ndarray, h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Rows of words, good until the next call; the caller gives no more words than the table has room for."""
@@ -336,8 +336,6 @@ class Scorer:
             v = Vocabulary(raw, keys, starts[at], ends[at])
             x = v.inputs(np.arange(len(keys)), self.w)[0]
             entry = np.arange(self.table.size, self.table.size + len(keys), dtype=np.int32)
-            while self.table.size + len(keys) > len(self.rows):
-                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
             self.rows[entry, : 3 * HIDDEN] = x @ self.w["Wf"] + self.w["cf"]
             self.rows[entry, 3 * HIDDEN :] = x @ self.w["Wb"] + self.w["cb"]
             self.table.add(keys, entry)
@@ -345,14 +343,16 @@ class Scorer:
         return found
 
     def scores(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        h, starts, ends, at = word_bounds(raw, offsets)
+        if len(offsets) == 1:
+            return np.zeros(0)
+        h, starts, ends, at = in_parts(raw, offsets)
         first, text = windows_of(at)
         n = np.minimum(np.diff(at)[text], WINDOW)
         top = np.full(len(offsets) - 1, -np.inf)
         i = 0
         while i < len(first):
             # windows whose words fit into an empty table, however long the text; at least one
-            j = max(i + 1, int(np.searchsorted(first + n, first[i] + self.table.room, "right")))
+            j = max(i + 1, int(np.searchsorted(first + n, first[i] + min(RUN_WORDS, self.table.room), "right")))
             own = slice(first[i], first[j - 1] + n[j - 1])
             y = self.logits(self.entries(raw, h[own], starts[own], ends[own]), first[i:j] - first[i], n[i:j])
             np.maximum.at(top, text[i:j], y)
