@@ -62,3 +62,12 @@ def test_the_product_has_values(spark):
 def test_reading_is_pushed_down(spark):
     plan = catalogue.QUERIES["a1_read_cells"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_returnflag)" in plan and "EqualTo(l_returnflag,R)" in plan and "l_extendedprice" not in plan
+
+
+def test_regrid_mode_takes_centres_and_of_equal_counts_the_smallest(spark):
+    rows = [(0, c, k) for c, k in enumerate([7, 7, 3, 3, 5, None, 9])]
+    got = grid.regrid_mode(spark.createDataFrame(rows, "row int, col int, k int"), "k", grid.Grid(0, 10.0, 0, -10.0, 7, 1), grid.Grid(0, 25.0, 0, -10.0, 2, 1))
+    # centres 5, 15 | 25, 35, 45 | 55 is missing and 65 lies outside
+    assert sorted(map(tuple, got.collect())) == [(0, 0, 7), (0, 1, 3)]
+    tie = spark.createDataFrame([(0, 0, 8), (0, 1, 2)], "row int, col int, k int")
+    assert grid.regrid_mode(tie, "k", grid.Grid(0, 10.0, 0, -10.0, 2, 1), grid.Grid(0, 20.0, 0, -10.0, 1, 1)).first()["k"] == 2

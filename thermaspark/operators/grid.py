@@ -156,6 +156,13 @@ def block_majority(cells: DataFrame, band: str, factor: int = 2, keys: Sequence[
     return coarse(cells, factor, keys, {band: F.mode(band, True)}, **axes)
 
 
+def regrid_mode(cells: DataFrame, band: str, source: Grid, target: Grid, keys: Sequence[str] = (), source_epsg: int = 4326, target_epsg: int = 4326) -> DataFrame:
+    """The most frequent class of the source cells whose centres lie in a target cell, of equal ones the smallest. Missing classes do not count."""
+    row, col = target.rowcol(*reproject(*source.centre(F.col("row"), F.col("col")), source_epsg, target_epsg))
+    at = cells.filter(F.col(band).isNotNull()).select(*keys, row.alias("row"), col.alias("col"), band)
+    return at.filter(F.col("row").between(0, target.n_rows - 1) & F.col("col").between(0, target.n_cols - 1)).groupBy(*keys, "row", "col").agg(F.mode(band, True).alias(band))
+
+
 def mosaic_first_nonzero(cells: DataFrame, band: str, order: str, keys: Sequence[str] = ("row", "col")) -> DataFrame:
     """Of overlapping tiles the first with a value other than 0, else 0."""
     first = F.min_by(F.when(F.col(band) != 0, F.col(band)), F.when(F.col(band) != 0, F.col(order)))

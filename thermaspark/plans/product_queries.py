@@ -218,6 +218,17 @@ def above_mean(rows: pd.DataFrame, context: dict) -> pd.DataFrame:
     return pd.DataFrame({"px_id": rows["px_id"], "above": rows["lst"] - rows["lst"].mean() + context.get("offset", 0.0)})
 
 
+@query(
+    "SELECT row, col, COALESCE(arg_min(scl, acq_date) FILTER (scl <> 0), 0) AS scl FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY acq_date, row, col ORDER BY n DESC, scl) AS o FROM (SELECT acq_date, CAST(FLOOR((row_hr+0.5e0)*10/25) AS INT) AS row, CAST(FLOOR((col_hr+0.5e0)*10/25) AS INT) AS col, scl, COUNT(*) AS n FROM s2_obs GROUP BY ALL)) WHERE o = 1 GROUP BY 1, 2",
+    "s2_obs",
+)
+def b9_regrid_mode(spark, d):
+    """Classes of every date on cells of 25 m, overlaid in order of dates."""
+    s2 = fixture(spark, d, "s2_obs").select("acq_date", F.col("row_hr").alias("row"), F.col("col_hr").alias("col"), "scl")
+    coarse = G.regrid_mode(s2, "scl", G.Grid(0, 10.0, 0, -10.0, 20, 20), G.Grid(0, 25.0, 0, -25.0, 8, 8), ["acq_date"])
+    return G.mosaic_first_nonzero(coarse, "scl", "acq_date")
+
+
 @query("SELECT px_id, ROUND(lst - AVG(lst) OVER (PARTITION BY acq_id) + 1, 6) AS above FROM s3_obs", "s3_obs")
 def l1_apply_over(spark, d):
     return rounded(X.apply_over(fixture(spark, d, "s3_obs").select("acq_id", "px_id", "lst"), ["acq_id"], above_mean, "px_id long, above double", {"offset": 1.0}))
