@@ -1,12 +1,13 @@
 """Products and chains by hand, and that registered queries have rows."""
 
 import glob
+import random
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from thermaspark.operators import analysis, grid, temporal
+from thermaspark.operators import analysis, grid, mask, temporal
 from thermaspark.plans import catalogue, products
 
 from .conftest import DATA
@@ -71,3 +72,24 @@ def test_regrid_mode_takes_centres_and_of_equal_counts_the_smallest(spark):
     assert sorted(map(tuple, got.collect())) == [(0, 0, 7), (0, 1, 3)]
     tie = spark.createDataFrame([(0, 0, 8), (0, 1, 2)], "row int, col int, k int")
     assert grid.regrid_mode(tie, "k", grid.Grid(0, 10.0, 0, -10.0, 2, 1), grid.Grid(0, 20.0, 0, -10.0, 1, 1)).first()["k"] == 2
+
+
+def test_scl_mask_equals_runs_along_rows_then_columns(spark):
+    """Clouds in blocks on a grid with holes, two dates: eroded, then dilated, each along rows and then columns."""
+    rng = random.Random(5)
+    scene = {(d, r, c): 9 if (r // 4 + c // 5 + d) % 7 == 0 else 1 if (r // 3 * c // 6) % 5 == 1 else 4 for d in (0, 1) for r in range(24) for c in range(30) if rng.random() < 0.95}
+
+    def spread(values, axis, reach, pick):
+        near = lambda k: [tuple(x + o if i == axis else x for i, x in enumerate(k)) for o in range(-reach, reach + 1)]
+        return {k: pick(values[n] for n in near(k) if n in values) for k in values}
+
+    want = {k: 0 for k in scene}
+    for hidden, kernel in ((lambda s: s not in (2, 4, 5, 6, 7), 3), (lambda s: s in (3, 8, 9, 10, 11), 7)):
+        m = {k: int(hidden(s)) for k, s in scene.items()}
+        for reach, pick in ((1, min), (kernel // 2, max)):
+            for axis in (1, 2):
+                m = spread(m, axis, reach, pick)
+        want = {k: max(v, m[k]) for k, v in want.items()}
+    cells = spark.createDataFrame([(*k, s) for k, s in scene.items()], "acq_date int, row_hr int, col_hr int, scl int")
+    got = {tuple(r)[:3]: r["masked"] for r in mask.scl_mask(cells, kernel1=3, kernel2=7).collect()}
+    assert got == want and 0.1 < sum(want.values()) / len(want) < 0.9

@@ -73,11 +73,10 @@ def corrected_orbits(granules: DataFrame, attribute: str = "OrbitCorrectionPerfo
     return granules.filter(F.coalesce(F.col(attribute) != "False", F.lit(True)))
 
 
-def _spread(df: DataFrame, keys: Sequence[str], axis: str, reach: int, value: str, smallest: bool) -> DataFrame:
-    """Running maximum (or minimum) of `value` along one axis, only at cells that exist."""
-    offsets = F.explode(F.sequence(F.lit(-reach), F.lit(reach))).alias("__o")
-    near = df.select(*keys, value, offsets).withColumn(axis, F.col(axis) + F.col("__o").cast("int")).groupBy(*keys).agg((F.min if smallest else F.max)(value).alias(value))
-    return df.drop(value).join(near, list(keys))
+def _spread(df: DataFrame, keys: Sequence[str], axis: str, reach: dict[str, int], smallest: bool) -> DataFrame:
+    """Running maxima (or minima) of columns along one axis, each with its reach, only at cells that exist: one shuffle by line."""
+    line = Window.partitionBy(*(k for k in keys if k != axis)).orderBy(axis)
+    return df.withColumns({c: (F.min if smallest else F.max)(c).over(line.rangeBetween(-n, n)) for c, n in reach.items()})
 
 
 def scl_mask(df: DataFrame, scl: str = "scl", keep: Sequence[int] = (2, 4, 5, 6, 7), bad: Sequence[int] = (3, 8, 9, 10, 11), kernel1: int = 9, kernel2: int = 39, erosion: int = 3, keys: Sequence[str] = ("acq_date", "row_hr", "col_hr")) -> DataFrame:
@@ -88,11 +87,8 @@ def scl_mask(df: DataFrame, scl: str = "scl", keep: Sequence[int] = (2, 4, 5, 6,
     """
     row, col = keys[-2:]
     out = df.select(*keys, (~F.col(scl).isin(*keep)).cast("int").alias("m1"), F.col(scl).isin(*bad).cast("int").alias("m2"))
-    parts = []
-    for name, kernel in (("m1", kernel1), ("m2", kernel2)):
-        part = out.select(*keys, name)
-        for reach, smallest in ((erosion // 2, True), (kernel // 2, False)):
-            for axis in (row, col):
-                part = _spread(part, keys, axis, reach, name, smallest)
-        parts.append(part)
-    return parts[0].join(parts[1], list(keys)).select(*keys, F.greatest("m1", "m2").alias("masked"))
+    out = out.dropna(subset=list(keys))
+    for reach, smallest in (({"m1": erosion // 2, "m2": erosion // 2}, True), ({"m1": kernel1 // 2, "m2": kernel2 // 2}, False)):
+        for axis in (row, col):
+            out = _spread(out, keys, axis, reach, smallest)
+    return out.select(*keys, F.greatest("m1", "m2").alias("masked"))
