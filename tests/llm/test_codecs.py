@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from thermaspark.llm import chat, near_vectors, packing, pieces, rans, secret_scan, shingles, transducer, warc
+from thermaspark.llm import chat, common, near_vectors, packing, pieces, rans, secret_scan, shingles, transducer, warc
 from thermaspark.llm.common import utf8
 from thermaspark.llm.encode import Encoder
 
@@ -162,3 +162,11 @@ def test_bucket_counts_links_once():
     rows["tab"] = 1  # they met in the table before
     links, forest = near_vectors.bucket_links(rows, x, codes, 0.93)
     assert links.tolist() == [0, 0, 0] and not forest
+
+
+def test_a_worker_keeps_the_object_of_one_operator():
+    one = common.kept(list, "a")
+    assert common.kept(list, "a") is one
+    assert common.kept(list, "b") == ["b"] and common.kept(list, "a") is not one
+    assert list(common.lean(lambda batches: (b + 1 for b in batches))(iter([1, 2]))) == [2, 3]
+    assert not common._kept

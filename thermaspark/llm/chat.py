@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, staged
+from .common import bounded_batches, lean, staged
 
 Turn = tuple[str, str]
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]")
@@ -136,7 +136,7 @@ def formatted(conversations: DataFrame, render: Callable[[list[Turn]], str] = te
         if started:
             yield pa.RecordBatch.from_pylist([close(conv, turns)], schema=kinds)
 
-    return rows.mapInArrow(run, FORMATTED)
+    return rows.mapInArrow(lean(run), FORMATTED)
 
 
 def read_back(formatted_rows: DataFrame) -> DataFrame:
@@ -153,7 +153,7 @@ def read_back(formatted_rows: DataFrame) -> DataFrame:
                 rows.append({"conv_id": r["conv_id"], "n_turns": len(turns), "turns_sha256": hashlib.sha256(whole.encode()).hexdigest(), "loss_chars": len(loss), "loss_sha256": hashlib.sha256(loss.encode()).hexdigest(), "formatted_chars": len(r["formatted"])})
             yield pa.RecordBatch.from_pylist(rows, schema=kinds)
 
-    return formatted_rows.select("conv_id", "formatted", "loss").mapInArrow(run, DIGESTS)
+    return formatted_rows.select("conv_id", "formatted", "loss").mapInArrow(lean(run), DIGESTS)
 
 
 def probe_conversation(spark) -> DataFrame:

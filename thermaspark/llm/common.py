@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -78,6 +83,44 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
+# -- workers ---------------------------------------------------------------
+
+#: The one object that this worker process keeps from task to task, under its key.
+_kept: dict[tuple, Any] = {}
+
+
+def kept(make: Callable[..., Any], *args: Any) -> Any:
+    """make(*args), made once in a worker process for tasks of one operator; another's object is let go first."""
+    key = (make.__name__, *args)
+    if key not in _kept:
+        give_back()
+        _kept[key] = make(*args)
+    return _kept[key]
+
+
+def give_back() -> None:
+    """Lets go of what kept() holds and returns freed memory to the system: Spark reuses a worker for other operators' tasks."""
+    _kept.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if os.name == "posix" and hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, for mapInArrow, of a task that starts with nothing kept by others and leaves nothing behind."""
+
+    @functools.wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 # -- files ---------------------------------------------------------------
 
 

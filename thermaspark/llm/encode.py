@@ -10,10 +10,10 @@ from __future__ import annotations
 
 import os
 import re
-from functools import cache
 
 import numpy as np
 
+from .common import kept
 from .pieces import HashTable, gather, range_hashes, safe_cuts
 
 #: Slots (2^n) of a worker's table, about 40 MB with its ids; bytes handled at once.
@@ -127,7 +127,6 @@ class Encoder:
         return flat, np.append(0, np.cumsum(np.concatenate(counts))) if counts else np.zeros(1, np.int64)
 
 
-@cache
 def encoder(path: str) -> Encoder:
-    """One per worker process and file."""
-    return Encoder(path)
+    """One per worker process and file, until a task of another operator comes."""
+    return kept(Encoder, path)

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded, bounded_batches, components, staged, utf8
+from .common import bounded, bounded_batches, components, lean, staged, utf8
 from .shingles import fingerprint, shingle_sets
 
 #: Links: HUNDREDTHS * union <= 100 * intersection.
@@ -84,7 +84,7 @@ def set_sizes(docs: DataFrame) -> DataFrame:
             sets = shingle_sets(*utf8(b.column(1)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) for s in sets], pa.int64())], names=["doc_id", "key", "n_shingles", "fp"])
 
-    return _own(docs).mapInArrow(run, "doc_id long, key long, n_shingles long, fp long")
+    return _own(docs).mapInArrow(lean(run), "doc_id long, key long, n_shingles long, fp long")
 
 
 # -- parts of the index --------------------------------------------------------
@@ -114,7 +114,7 @@ def by_part(packed: DataFrame, reducer: Callable[[int], object], schema: str) ->
         if one is not None:
             yield from one.end()
 
-    return packed.repartition("part").sortWithinPartitions("part").mapInArrow(run, schema)
+    return packed.repartition("part").sortWithinPartitions("part").mapInArrow(lean(run), schema)
 
 
 def starts_of(values: np.ndarray) -> np.ndarray:
@@ -180,7 +180,7 @@ def spread(docs: DataFrame, parts: int, cut: Callable[[int], int] | None, enough
         if size:
             yield from deal()
 
-    return docs.select("text").mapInArrow(run, POSTINGS)
+    return docs.select("text").mapInArrow(lean(run), POSTINGS)
 
 
 class Settled:
@@ -347,7 +347,7 @@ def index_lists(docs: DataFrame, alive: DataFrame, parts: int, hundredths: int)
                 yield dealt(rec, rec["fp"] % parts)
 
     shared = by_part(packed, lambda part: Ranks(parts) if part >= 0 else Settled(resend), POSTINGS)
-    both = shared.unionByName(alive.select("fp", "n").mapInArrow(heads, POSTINGS))
+    both = shared.unionByName(alive.select("fp", "n").mapInArrow(lean(heads), POSTINGS))
     return by_part(both, lambda part: Prefixes(hundredths), "h long, fp long, n int, pos int")
 
 
@@ -370,7 +370,7 @@ def set_of(docs: DataFrame, alive: DataFrame, wanted: DataFrame) -> DataFrame:
     keys = alive.join(wanted.select("fp").distinct(), "fp", "left_semi").select("key")
     # a text of many rows is one row before its set is made
     texts = texts_of(docs, keys).dropDuplicates(["key", "text"])
-    return texts.select("text").mapInArrow(run, "fp long, own binary").dropDuplicates(["fp"])
+    return texts.select("text").mapInArrow(lean(run), "fp long, own binary").dropDuplicates(["fp"])
 
 
 def common_of(s: np.ndarray, t: np.ndarray) -> np.ndarray:
@@ -395,7 +395,7 @@ def differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     one, other = sets.select(F.col("fp").alias("head"), F.col("own").alias("own_head")), sets.select("fp", "own")
     both = pairs.select("head", "fp").join(other, "fp").join(one, "head").select("head", "fp", "own_head", "own")
-    return both.mapInArrow(run, "head long, fp long, n_head int, n int, lost int, delta binary")
+    return both.mapInArrow(lean(run), "head long, fp long, n_head int, n int, lost int, delta binary")
 
 
 def answers(deltas: DataFrame, hundredths: int) -> DataFrame:
@@ -444,7 +444,7 @@ def derived(deltas: DataFrame, labels: DataFrame, hundredths: int) -> DataFrame:
 
     # room: what is left of the head
     rows = known.select("head", "fp", (F.col("n_head") - F.col("lost")).alias("room"), "n", (F.octet_length("delta") / 8).cast("int").alias("size"), (F.col("own") != F.col("of_head")).alias("stray"), "delta")
-    rows = staged(rows.mapInArrow(single, "head long, fp long, room int, n int, size int, stray boolean, e long"), "elements")
+    rows = staged(rows.mapInArrow(lean(single), "head long, fp long, room int, n int, size int, stray boolean, e long"), "elements")
     often = rows.groupBy("head", "e").agg(F.count("*").alias("k")).filter("k > 1")
     order = Window.partitionBy("head", "fp").orderBy("k", "e")
     # differences of one set come first and are not looked up
@@ -466,7 +466,7 @@ def derived(deltas: DataFrame, labels: DataFrame, hundredths: int) -> DataFrame:
 
     one, other = (known.select("head", F.col("fp").alias(c), "n_head", F.col("n").alias(f"n{c}"), F.col("lost").alias(f"lost_{c}"), F.col("delta").alias(f"delta_{c}")) for c in "ab")
     whole = pairs.join(one, ["head", "a"]).join(other.drop("n_head"), ["head", "b"])
-    return whole.select("a", "b", "n_head", "na", "lost_a", "delta_a", "nb", "lost_b", "delta_b").mapInArrow(run, "a long, b long")
+    return whole.select("a", "b", "n_head", "na", "lost_a", "delta_a", "nb", "lost_b", "delta_b").mapInArrow(lean(run), "a long, b long")
 
 
 def set_links(docs: DataFrame, sizes: DataFrame, parts: int, hundredths: int) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, components, staged
+from .common import bounded_batches, components, lean, staged
 
 COSINE, RECALL, SAMPLE, ROUNDS, BITS, BLOCK = 0.93, 0.97, 4096, 40, 64, 1024
 #: Bits of a substring at least, and vectors that a bucket of the largest label has in the mean at most.
@@ -159,7 +159,7 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
                         names=["label", "dim", "tab", "value", "cls", "codes", "copies", "vector"],
                     )
 
-    rows = classes.select("cls", "copies", "label", "embedding").mapInArrow(index, INDEXED)
+    rows = classes.select("cls", "copies", "label", "embedding").mapInArrow(lean(index), INDEXED)
     bucket = ["label", "dim", "tab", "value"]
     counts = rows.groupBy(*bucket).agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK).select(*bucket, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     dealt = rows.join(counts, bucket, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
@@ -209,7 +209,7 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
         if held and (out := close(held)) is not None:
             yield out
 
-    found = staged(dealt.repartition("key").sortWithinPartitions("key").mapInArrow(compare, FOUND), "found")
+    found = staged(dealt.repartition("key").sortWithinPartitions("key").mapInArrow(lean(compare), FOUND), "found")
     links = found.filter("other is null").groupBy("cls").agg(F.sum("links").alias("links"))
     labels = components(found.filter("other is not null").select(F.col("cls").alias("a"), F.col("other").alias("b")))
     named = classes.select("cls", "copies", "first").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))

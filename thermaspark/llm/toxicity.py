@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, utf8
+from .common import bounded_batches, give_back, lean, utf8
 from .pieces import HashTable, gather
 from .shingles import LOWER, WHITE, words
 
@@ -388,6 +388,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[list
 
 def score(docs: DataFrame, weights: dict[str, np.ndarray]) -> DataFrame:
     bounded_batches(docs.sparkSession)
+    give_back()  # what training took
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(weights)
@@ -397,7 +398,7 @@ def score(docs: DataFrame, weights: dict[str, np.ndarray]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out(F.col("doc_id")).alias("held_out"))
-    return own.mapInArrow(run, SCHEMA)
+    return own.mapInArrow(lean(run), SCHEMA)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -408,6 +409,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 def keep_clean(docs: DataFrame, weights: dict[str, np.ndarray]) -> DataFrame:
     """docs without those whose score is 0.5 or more."""
     bounded_batches(docs.sparkSession)
+    give_back()
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -415,4 +417,4 @@ def keep_clean(docs: DataFrame, weights: dict[str, np.ndarray]) -> DataFrame:
         for b in batches:
             yield b.filter(pa.array(scorer.scores(*utf8(b.column(at).cast(pa.string()))) < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

@@ -18,7 +18,6 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -27,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, utf8
+from .common import bounded_batches, kept, utf8
 from .encode import CALL_BYTES, WORD, byte_values
 from .pieces import HashTable, mix, range_hashes, safe_cuts
 
@@ -256,10 +255,9 @@ class Counter:
         return out
 
 
-@cache
 def counter(path: str) -> Counter:
-    """One per worker process and file."""
-    return Counter(path)
+    """One per worker process and file, until a task of another operator comes."""
+    return kept(Counter, path)
 
 
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, fresh, open_fs, staged
+from .common import bounded_batches, fresh, lean, open_fs, staged
 
 REVISIT_BYTES, READ_BYTES, FILE_BYTES = 1000, 1 << 16, 256 << 20
 DATE = "2024-01-01T00:00:00Z"
@@ -154,7 +154,7 @@ def write_archives(pages: DataFrame) -> DataFrame:
             rows.append({"path": path, "records": records})
         yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("path", pa.string()), ("records", pa.int64())]))
 
-    return staged(with_revisits(pages).mapInArrow(run, FILES), "warc-files")
+    return staged(with_revisits(pages).mapInArrow(lean(run), FILES), "warc-files")
 
 
 def read_archives(spark: SparkSession, files: DataFrame) -> DataFrame:
@@ -187,7 +187,7 @@ def read_archives(spark: SparkSession, files: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(rows, schema=kinds)
 
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
-    return files.repartition(tasks).mapInArrow(run, RECORDS)
+    return files.repartition(tasks).mapInArrow(lean(run), RECORDS)
 
 
 def archive(pages: DataFrame) -> DataFrame:
