@@ -93,3 +93,18 @@ def test_scl_mask_equals_runs_along_rows_then_columns(spark):
     cells = spark.createDataFrame([(*k, s) for k, s in scene.items()], "acq_date int, row_hr int, col_hr int, scl int")
     got = {tuple(r)[:3]: r["masked"] for r in mask.scl_mask(cells, kernel1=3, kernel2=7).collect()}
     assert got == want and 0.1 < sum(want.values()) / len(want) < 0.9
+
+
+def test_aeqd_keeps_known_arcs(spark):
+    """A degree of the equator is 111,319.491 m, the first degree of a meridian 110,574.389 m; the centre is 0, 0."""
+    df = spark.createDataFrame([(1.0, 0.0), (0.0, 1.0), (-1.0, 0.0), (0.0, 0.0), (None, 1.0)], "lon double, lat double")
+    rows = [(r["x"], r["y"]) for r in grid.to_aeqd(df, "lon", "lat", 0.0, 0.0).collect()]
+    expected = [(111319.491, 0), (0, 110574.389), (-111319.491, 0), (0, 0)]
+    assert all(abs(a - b) < 2e-3 for got, want in zip(rows, expected, strict=False) for a, b in zip(got, want, strict=True))
+    assert rows[4] == (None, None)
+
+
+def test_padding_is_by_key(spark):
+    df = spark.createDataFrame([("a", 0, 0, 1.0), ("b", 0, 0, 2.0), ("b", 1, 0, 3.0)], "k string, row int, col int, v double")
+    got = {(r["k"], r["row"], r["col"]): r["v"] for r in grid.pad_edges(df, "v", 2, 2, ["k"]).collect()}
+    assert got == {("a", r, c): 1.0 for r in (0, 1) for c in (0, 1)} | {("b", r, c): 2.0 + r for r in (0, 1) for c in (0, 1)}

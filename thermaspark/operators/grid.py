@@ -95,6 +95,51 @@ def reproject(x: Column, y: Column, source: int, target: int) -> tuple[Column, C
     return (lon, lat) if target == 4326 else to_utm(lon, lat, target)
 
 
+def number(v: float) -> str:
+    """A double in SQL, in brackets: two minus signs would begin a comment."""
+    return f"({v!r})" if "e" in repr(v) else f"({v!r}e0)"
+
+
+def aeqd_steps(lon: str, lat: str, lon0: float, lat0: float, rounds: int = 5) -> list[dict[str, str]]:
+    """Columns to add one set after another, in SQL; the last are x and y of to_aeqd()."""
+    f, ratio = number(FLAT), number(1 - FLAT)
+    u1 = math.atan((1 - FLAT) * math.tan(math.radians(lat0)))
+    s1, c1 = number(math.sin(u1)), number(math.cos(u1))
+    steps = [{"__u": f"ATAN({ratio}*TAN(RADIANS({lat})))", "__l": f"RADIANS({lon}-{number(lon0)})"}, {"__su": "SIN(__u)", "__cu": "COS(__u)"}]
+    now = "__l"
+    for i in range(rounds):
+        ss, cs, sa, sg, ca, cm, cc, new = (f"__{n}{i}" for n in ("ss", "cs", "sa", "sg", "ca", "cm", "cc", "l"))
+        steps += [
+            {ss: f"SQRT(POWER(__cu*SIN({now}),2)+POWER({c1}*__su-{s1}*__cu*COS({now}),2))", cs: f"{s1}*__su+{c1}*__cu*COS({now})"},
+            {sg: f"ATAN2({ss},{cs})", sa: f"COALESCE({c1}*__cu*SIN({now})/NULLIF({ss},0e0),0e0)"},
+            {ca: f"1e0-{sa}*{sa}"},
+            {cm: f"COALESCE({cs}-2*{s1}*__su/NULLIF({ca},0e0),0e0)", cc: f"{f}/16*{ca}*(4+{f}*(4-3*{ca}))"},
+            {new: f"__l+(1-{cc})*{f}*{sa}*({sg}+{cc}*{ss}*({cm}+{cc}*{cs}*(2*{cm}*{cm}-1)))"},
+        ]
+        now = new
+    steps += [
+        {"__q": f"{ca}*{number(1 / (1 - FLAT) ** 2 - 1)}"},
+        {"__a": "1+__q/16384*(4096+__q*(-768+__q*(320-175*__q)))", "__b": "__q/1024*(256+__q*(-128+__q*(74-47*__q)))"},
+        {"__d": f"__b*{ss}*({cm}+__b/4*({cs}*(2*{cm}*{cm}-1)-__b/6*{cm}*(4*{ss}*{ss}-3)*(4*{cm}*{cm}-3)))"},
+        {"__s": f"{number(A * (1 - FLAT))}*__a*({sg}-__d)", "__z": f"ATAN2(__cu*SIN({now}),{c1}*__su-{s1}*__cu*COS({now}))"},
+        {"x": "__s*SIN(__z)", "y": "__s*COS(__z)"},
+    ]
+    return steps
+
+
+def to_aeqd(df: DataFrame, lon: str, lat: str, lon0: float, lat0: float) -> DataFrame:
+    """df with x and y, metres east and north in the azimuthal equidistant projection about (lon0, lat0).
+
+    Length and azimuth of the geodesic by Vincenty's inverse formula in a fixed number of rounds, each of which brings
+    it 300 times nearer; not for points near the antipode. A missing coordinate gives missing x and y.
+    """
+    out = df
+    for step in aeqd_steps(lon, lat, lon0, lat0):
+        out = out.withColumns({n: F.expr(e) for n, e in step.items()})
+    valid = F.col(lon).isNotNull() & F.col(lat).isNotNull()
+    return out.select(*df.columns, *(F.when(valid, F.col(c)).alias(c) for c in ("x", "y")))
+
+
 # -- regridding -------------------------------------------------------------------
 
 
@@ -242,12 +287,12 @@ def binomial_smooth(cells: DataFrame, band: str, keys: Sequence[str] = (), row:
 
 
 def pad_edges(cells: DataFrame, band: str, n_rows: int, n_cols: int, keys: Sequence[str] = ()) -> DataFrame:
-    """A grid of n_rows by n_cols; cells beyond the data's last row or column take the nearest."""
-    spark = cells.sparkSession
-    ends = cells.agg(F.max("row").alias("mr"), F.max("col").alias("mc"))
-    full = grid_cells(spark, Grid(0, 1, 0, 1, n_cols, n_rows)).crossJoin(F.broadcast(ends))
-    full = full.select("row", "col", F.least("row", "mr").alias("srow"), F.least("col", "mc").alias("scol"))
-    return full.join(cells.select(*keys, F.col("row").alias("srow"), F.col("col").alias("scol"), band), ["srow", "scol"], "left").select(*keys, "row", "col", band)
+    """A grid of n_rows by n_cols for each key; cells beyond the key's last row or column take the nearest."""
+    ends = cells.groupBy(*keys).agg(F.max("row").alias("mr"), F.max("col").alias("mc"))
+    full = ends.withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1)))).withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(n_cols - 1))))
+    full = full.select(*keys, "row", "col", F.least("row", "mr").alias("srow"), F.least("col", "mc").alias("scol"))
+    own = cells.select(*keys, F.col("row").alias("srow"), F.col("col").alias("scol"), band)
+    return full.join(own, [*keys, "srow", "scol"], "left").select(*keys, "row", "col", band)
 
 
 def terrain(cells: DataFrame, alt: str = "alt", cell_x: float = 20.0, cell_y: float = 20.0, z_factor: float = 1.0, keys: Sequence[str] = (), row: str = "row", col: str = "col") -> DataFrame:

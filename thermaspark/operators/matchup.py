@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import physics as P
@@ -24,9 +24,11 @@ def build_matchups(s3: DataFrame, val: DataFrame, land_cover: DataFrame, keys: t
 
 def align_azimuth(df: DataFrame, by: str = "pair_id") -> DataFrame:
     """Turns the validation azimuths by 180 degrees where a pair's mean solar azimuths differ by 165 to 195; below 10 they stay, anything else is an error."""
-    gap = F.abs(F.avg(F.col("s3_saa") - F.col("validation_saa")).over(Window.partitionBy(by)))
+    means = df.groupBy(F.col(by).alias("__by")).agg(F.avg(F.col("s3_saa") - F.col("validation_saa")).alias("__gap"))
+    gap = F.abs("__gap")
     turn = F.when(gap < 10, 0.0).when(gap.between(165, 195), 180.0).otherwise(F.raise_error(F.lit("azimuths of a pair do not match")).cast("double"))
-    return df.withColumn("__turn", turn).withColumns({c: F.col(c) - F.col("__turn") for c in ("validation_saa", "validation_vaa")}).drop("__turn")
+    met = df.join(means, df[by].eqNullSafe(means["__by"])).withColumn("__turn", turn)
+    return met.withColumns({c: F.col(c) - F.col("__turn") for c in ("validation_saa", "validation_vaa")}).drop("__by", "__gap", "__turn")
 
 
 def difference(a: Column, b: Column) -> Column:

@@ -77,11 +77,11 @@ def apply_sharpener(fine: DataFrame, model: PipelineModel, leaf_models: DataFram
     return fine.select(*keys).join(found, list(keys), "left")
 
 
-def residuals(fine: DataFrame, low: DataFrame, factor: int, keys: Sequence[str] = ()) -> DataFrame:
-    """Per good coarse cell the difference of fourth powers between the coarse temperature and the mean of the fine ones."""
-    mean = fine.groupBy(*keys, F.floor(F.col("row") / factor).cast("int").alias("row"), F.floor(F.col("col") / factor).cast("int").alias("col")).agg(F.avg(F.pow("lst", F.lit(4))).alias("__m"))
+def residuals(fine: DataFrame, low: DataFrame, factor: int, keys: Sequence[str] = (), power: int = 4) -> DataFrame:
+    """Per good coarse cell the difference of fourth powers (power 1: of the values) between the coarse temperature and the mean of the fine ones."""
+    mean = fine.groupBy(*keys, F.floor(F.col("row") / factor).cast("int").alias("row"), F.floor(F.col("col") / factor).cast("int").alias("col")).agg(F.avg(F.pow("lst", F.lit(power))).alias("__m"))
     own = low.filter("quality = 1").select(*keys, "row", "col", F.col("lst").alias("__t"))
-    return own.join(mean, [*keys, "row", "col"]).select(*keys, "row", "col", (F.pow("__t", F.lit(4)) - F.col("__m")).alias("residual"))
+    return own.join(mean, [*keys, "row", "col"]).select(*keys, "row", "col", (F.pow("__t", F.lit(power)) - F.col("__m")).alias("residual"))
 
 
 def correct_residuals(fine: DataFrame, residual: DataFrame, factor: int, keys: Sequence[str] = ()) -> DataFrame:
@@ -92,24 +92,24 @@ def correct_residuals(fine: DataFrame, residual: DataFrame, factor: int, keys: S
     return met.drop("__r", "__c", "residual")
 
 
-def smoothed_residuals(fine: DataFrame, low: DataFrame, factor: int, keys: Sequence[str] = ()) -> DataFrame:
+def smoothed_residuals(fine: DataFrame, low: DataFrame, factor: int, keys: Sequence[str] = (), power: int = 4) -> DataFrame:
     """Per fine cell the residual: of good coarse cells, smoothed, resampled bilinearly, gaps of one cell off the border filled.
 
     Coarse cells that are bad or absent have no residual and give none to their neighbours. Coarse cells are those of the
     fine ones, so that their grid reaches as far and no edge needs padding.
     """
     cells = fine.select(*keys, F.floor(F.col("row") / factor).cast("int").alias("row"), F.floor(F.col("col") / factor).cast("int").alias("col")).distinct()
-    every = binomial_smooth(cells.join(residuals(fine, low, factor, keys), [*keys, "row", "col"], "left"), "residual", keys)
+    every = binomial_smooth(cells.join(residuals(fine, low, factor, keys, power), [*keys, "row", "col"], "left"), "residual", keys)
     n_rows, n_cols = fine.agg(F.coalesce(F.max("row") + 1, F.lit(0)), F.coalesce(F.max("col") + 1, F.lit(0))).first()
     near = regrid(every, fine.sparkSession, Grid(0, 1, 0, 1, n_cols, n_rows), Grid(0, factor, 0, factor, 0, 0), ["residual"], "bilinear", keys)
     own = fine.select(*keys, "row", "col").join(near, [*keys, "row", "col"], "left")
     return fill_edge_missing(own, "residual", keys)
 
 
-def correct_smoothed(fine: DataFrame, residual: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Fine temperatures with their own residual added in fourth powers; without a residual they are missing."""
+def correct_smoothed(fine: DataFrame, residual: DataFrame, keys: Sequence[str] = (), power: int = 4) -> DataFrame:
+    """Fine temperatures with their own residual added in fourth powers, or as it is at power 1; without a residual they are missing."""
     met = fine.join(residual.select(*keys, "row", "col", "residual"), [*keys, "row", "col"], "left")
-    return met.withColumn("lst", F.pow(F.col("residual") + F.pow("lst", F.lit(4)), F.lit(0.25))).drop("residual")
+    return met.withColumn("lst", F.pow(F.col("residual") + F.pow("lst", F.lit(power)), F.lit(1 / power))).drop("residual")
 
 
 def residual_stats(residual: DataFrame) -> DataFrame:

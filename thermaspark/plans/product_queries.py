@@ -9,11 +9,13 @@ from ..fixtures import fixture
 from ..functions import bands as B
 from ..operators import grid as G
 from ..operators import mask as C
+from ..operators import matchup as M
+from ..operators import sharpen as I
 from ..operators import temporal as E
 from ..sources import catalog as A
 from . import pipelines as K
 from . import products as X
-from .catalogue import AIR, DEM, OBS, SESA, dated_features, observations, paired_temperature, query, r6, rounded, scene_pairs
+from .catalogue import AIR, DATED, DEM, OBS, ORACLES, SESA, dated_features, observations, paired_temperature, query, r6, rounded, scene_pairs
 
 
 def table(spark, d, name):
@@ -239,3 +241,52 @@ def l2_with_indices(spark, d):
     out = B.with_indices(fixture(spark, d, "s2_obs"), ["NDVI"], rename={"B08": "b08", "B04": "b04"})
     return out.select("acq_date", "row_hr", "col_hr", r6("NDVI").alias("ndvi"))
 
+
+
+def sql_to_aeqd(source: str, lon: str, lat: str, lon0: float, lat0: float) -> str:
+    for step in G.aeqd_steps(lon, lat, lon0, lat0):
+        source = f"(SELECT *, {', '.join(f'{e} AS {n}' for n, e in step.items())} FROM {source})"
+    return source
+
+
+@query(f"SELECT px_id, ROUND(x, 3) AS x, ROUND(y, 3) AS y FROM {sql_to_aeqd('swath', 'lon', 'lat', 25.0175, -15.01)}", "swath")
+def b3_to_aeqd(spark, d):
+    """Pixels about a point of the swath; tests hold the projection against known arcs."""
+    out = G.to_aeqd(fixture(spark, d, "swath"), "lon", "lat", 25.0175, -15.01)
+    return out.select("px_id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
+
+
+@query("+ c AS (SELECT acq_date, row_hr AS row, col_hr AS col, AVG(b04) AS b04 FROM s2_obs GROUP BY 1, 2, 3), e AS (SELECT acq_date, MAX(row) AS mr, MAX(col) AS mc FROM c GROUP BY 1) SELECT e.acq_date, CAST(r.i AS INT) AS row, CAST(k.i AS INT) AS col, ROUND(b04, 6) AS b04 FROM e CROSS JOIN range(22) r(i) CROSS JOIN range(22) k(i) LEFT JOIN c ON c.acq_date = e.acq_date AND c.row = LEAST(r.i, mr) AND c.col = LEAST(k.i, mc)", "s2_obs")
+def b21_pad_edges(spark, d):
+    return rounded(G.pad_edges(dated_features(spark, d).select("acq_date", "row", "col", "b04"), "b04", 22, 22, ["acq_date"]))
+
+
+@query("SELECT s3_time, s3_saa, validation_saa + CASE WHEN s3_time LIKE '%T213000' THEN -5 ELSE 4 END AS validation_saa, validation_vaa - CASE WHEN s3_time LIKE '%T213000' THEN 180 ELSE 0 END AS validation_vaa FROM matchup", "matchup")
+def g2_align_azimuth(spark, d):
+    """Evening pairs 175 degrees apart, morning pairs 4."""
+    apart = F.when(F.col("s3_time").endswith("T213000"), 175).otherwise(4)
+    m = fixture(spark, d, "matchup").withColumn("validation_saa", F.col("validation_saa") + apart)
+    return M.align_azimuth(m, "s3_time").select("s3_time", "s3_saa", "validation_saa", "validation_vaa")
+
+
+@query(DATED + ", m AS (SELECT acq_date, CAST(FLOOR(row/2) AS INT) AS row, CAST(FLOOR(col/2) AS INT) AS col, AVG(b04) AS b04, STDDEV_POP(b04) AS s04, AVG(b08) AS b08, STDDEV_POP(b08) AS s08 FROM fine GROUP BY 1, 2, 3), k AS (SELECT m.*, day, (s04/b04+s08/b08)/2 AS cv FROM m JOIN pairs USING (acq_date) JOIN low USING (day, row, col)) SELECT acq_date, day, row, col, ROUND(cv, 6) AS cv FROM k WHERE cv > 0 AND cv < (SELECT QUANTILE_CONT(cv, 0.8) FROM k WHERE cv > 0 AND cv < 1000)", "s2_obs s3_obs")
+def i2_auto_cv_samples(spark, d):
+    """Samples below the threshold that is found when none is given."""
+    keys = ["acq_date", "day"]
+    fine = dated_features(spark, d).join(scene_pairs(spark, d), "acq_date")
+    out = I.training_samples(fine, paired_temperature(spark, d), ["b04", "b08"], 2, 0.0, keys)
+    return rounded(out.select(*keys, "row", "col", "cv"))
+
+
+@query()
+def i6_i7_linear_correction(spark, d):
+    """i6_i7_smoothed_correction with residuals of the temperatures themselves."""
+    fine = dated_features(spark, d).select("acq_date", "row", "col", (280 + F.col("b04") * 40).alias("lst")).join(scene_pairs(spark, d), "acq_date")
+    keys = ["acq_date", "day"]
+    return rounded(I.correct_smoothed(fine, I.smoothed_residuals(fine, paired_temperature(spark, d), 2, keys, 1), keys, 1)).select(*keys, "row", "col", "lst")
+
+
+LINEAR = (("AVG(POWER(t,4))", "AVG(t)"), ("POWER(low.lst,4)-m", "low.lst-m"), ("POWER(COALESCE(r, near)+POWER(t,4),0.25)", "COALESCE(r, near)+t"))
+ORACLES["i6_i7_linear_correction"] = ORACLES["i6_i7_smoothed_correction"]
+for power, plain in LINEAR:
+    ORACLES["i6_i7_linear_correction"] = ORACLES["i6_i7_linear_correction"].replace(power, plain)
