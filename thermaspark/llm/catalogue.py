@@ -8,10 +8,11 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, jaccard, near_vectors, packing, rans, secret_scan, toxicity, transducer, warc
+from . import chat, decontaminate, jaccard, near_vectors, packing, rans, secret_scan, sentence_pieces, toxicity, transducer, warc
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -83,4 +84,9 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op10_chat_format"] = chat.ORACLE
 
 
+@query
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.digests(sentence_pieces.encode(table(spark, sf_dir, "documents"), PIECES), PIECES)
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
