@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, jaccard, near_vectors, packing, rans, secret_scan, sentence_pieces, toxicity, transducer, warc
+from . import chat, collocations, decontaminate, jaccard, near_vectors, packing, rans, secret_scan, sentence_pieces, toxicity, transducer, warc
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -84,6 +84,14 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op10_chat_format"] = chat.ORACLE
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_collocations"] = collocations.ORACLE
+
+
 @query
 def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.digests(sentence_pieces.encode(table(spark, sf_dir, "documents"), PIECES), PIECES)
