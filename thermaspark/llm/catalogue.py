@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, collocations, decontaminate, jaccard, near_vectors, packing, rans, secret_scan, sentence_pieces, toxicity, transducer, warc
+from . import chat, collocations, decontaminate, jaccard, near_vectors, packing, prefix_trie, rans, secret_scan, sentence_pieces, toxicity, transducer, warc
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -97,4 +97,12 @@ def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.digests(sentence_pieces.encode(table(spark, sf_dir, "documents"), PIECES), PIECES)
 
 
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op13_prefix_trie"] = prefix_trie.ORACLE
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
