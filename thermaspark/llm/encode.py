@@ -2,8 +2,8 @@
 
 Byte-level BPE files with the usual split pattern cut a text in places that its neighbours alone decide
 (pieces.safe_cuts). So a text's ids are the ids of its pieces, one after another. A worker keeps the ids of pieces
-under a 64-bit hash in a bounded table; the library encodes those that are new. A text with a special string goes
-to the library whole. Two different pieces of one worker share a hash with a probability of about 10^-6.
+in a bounded table, where a piece is found by hash and known by its bytes; the library encodes those that are new.
+A text with a special string goes to the library whole.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import re
 import numpy as np
 
 from .common import kept
-from .pieces import HashTable, gather, range_hashes, safe_cuts
+from .pieces import PieceTable, gather, safe_cuts
 
 #: Slots (2^n) of a worker's table, about 40 MB with its ids; bytes handled at once.
 TABLE_BITS, CALL_BYTES = 21, 1 << 20
@@ -40,11 +40,9 @@ class Encoder:
         self.kind = np.dtype("<u2" if largest < 1 << 16 else "<u4")
         self.specials = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.shown = {b: c for c, b in byte_values().items()}
-        self.bits = bits
-        self._clear()
+        self.table = PieceTable(bits, self._learn, self._forget)
 
-    def _clear(self) -> None:
-        self.table = HashTable(self.bits)
+    def _forget(self) -> None:
         self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
         self.pool, self.used = np.zeros(1 << 18, self.kind), 0
 
@@ -57,16 +55,12 @@ class Encoder:
             return [t.id for t in self.library.model.tokenize(raw.decode("latin-1").translate(self.shown))]
         return self._library(text)
 
-    def _learn(self, h: np.ndarray, pieces: list[bytes]) -> np.ndarray:
-        """Entries for new pieces."""
-        if self.table.size + len(h) > self.table.room:
-            self._clear()
-        first = self.table.size
-        entries = np.arange(first, first + len(h), dtype=np.int32)
+    def _learn(self, pieces: list[bytes], entries: np.ndarray) -> None:
+        """Ids of new pieces."""
         ids = [self._piece(p) for p in pieces]
         lengths = np.array([len(x) for x in ids], np.int64)
         flat = np.fromiter((i for x in ids for i in x), self.kind, int(lengths.sum()))
-        while first + len(h) > len(self.starts):
+        while entries[-1] >= len(self.starts):
             self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
         while self.used + len(flat) > len(self.pool):
             self.pool = np.resize(self.pool, 2 * len(self.pool))
@@ -74,27 +68,11 @@ class Encoder:
         self.lengths[entries] = lengths
         self.pool[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
-        self.table.add(h, entries)
-        return entries
-
-    def _entries(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        h = range_hashes(raw, starts, ends)
-        entries = self.table.find(h)
-        new = np.flatnonzero(entries < 0)
-        if len(new):
-            keys, first, inverse = np.unique(h[new], return_index=True, return_inverse=True)
-            size = self.table.size
-            data = raw.tobytes()
-            found = self._learn(keys, [data[starts[i] : ends[i]] for i in new[first].tolist()])
-            if self.table.size < size + len(keys):  # the table was cleared
-                return self._entries(raw, starts, ends)
-            entries[new] = found[inverse]
-        return entries
 
     def _few(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts = safe_cuts(raw, offsets)
         ends = np.append(starts[1:], len(raw))
-        entries = self._entries(raw, starts, ends)
+        entries = self.table.entries(raw, starts, ends)
         lengths = self.lengths[entries].astype(np.int64)
         ids = self.pool[gather(self.starts[entries], lengths)]
         before = np.append(0, np.cumsum(lengths))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 
@@ -75,6 +76,21 @@ def safe_cuts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def equal_ranges(a: np.ndarray, a_starts: np.ndarray, b: np.ndarray, b_starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether ranges of these sizes hold the same bytes in a and in b; eight bytes of all at a time."""
+    view = lambda x: np.ndarray((len(x) + 1,), "<u8", np.append(x, np.zeros(8, np.uint8)), strides=(1,))
+    la, lb = view(a), view(b)
+    same = np.ones(len(sizes), bool)
+    live, at = np.flatnonzero((sizes > 0) & (sizes <= LONG)), 0
+    while len(live):
+        left = sizes[live] - at
+        same[live] &= ((la[a_starts[live] + at] ^ lb[b_starts[live] + at]) & LANES[np.minimum(left, 8)]) == 0
+        live, at = live[left > 8], at + 8
+    for i in np.flatnonzero(sizes > LONG).tolist():
+        same[i] = np.array_equal(a[a_starts[i] : a_starts[i] + sizes[i]], b[b_starts[i] : b_starts[i] + sizes[i]])
+    return same
+
+
 class HashTable:
     """Maps 64-bit keys (never 0) to entry numbers; open addressing in numpy, bounded."""
 
@@ -112,6 +128,67 @@ class HashTable:
         self.size += len(h)
 
 
+class PieceTable:
+    """Numbers of distinct pieces of text, found by hash and told apart by their bytes; starts anew when full.
+
+    learn(pieces, entries) is called with the bytes of new pieces and their numbers, forget() when the table starts anew.
+    """
+
+    #: Most pieces whose hash belongs to another piece.
+    ODD = 1 << 16
+
+    def __init__(self, bits: int, learn: Callable[[list[bytes], np.ndarray], None], forget: Callable[[], None] = lambda: None):
+        self.bits, self.learn, self.forget = bits, learn, forget
+        self.clear()
+
+    def clear(self) -> None:
+        self.table, self.odd, self.n = HashTable(self.bits), {}, 0
+        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+        self.pool, self.used = np.zeros(1 << 18, np.uint8), 0
+        self.forget()
+
+    def _add(self, pieces: list[bytes]) -> np.ndarray:
+        entries = np.arange(self.n, self.n + len(pieces), dtype=np.int32)
+        sizes, flat = np.array([len(p) for p in pieces], np.int64), np.frombuffer(b"".join(pieces), np.uint8)
+        while self.n + len(pieces) > len(self.starts):
+            self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, 2 * len(self.sizes))
+        while self.used + len(flat) > len(self.pool):
+            self.pool = np.resize(self.pool, 2 * len(self.pool))
+        self.starts[entries], self.sizes[entries] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.pool[self.used : self.used + len(flat)] = flat
+        self.used, self.n = self.used + len(flat), self.n + len(pieces)
+        self.learn(pieces, entries)
+        return entries
+
+    def entries(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The numbers of the pieces raw[start:end]."""
+        if len(self.odd) > self.ODD:
+            self.clear()
+        h = range_hashes(raw, starts, ends)
+        entries = self.table.find(h)
+        new = np.flatnonzero(entries < 0)
+        if len(new):
+            keys, first, inverse = np.unique(h[new], return_index=True, return_inverse=True)
+            if self.table.size and self.table.size + len(keys) > self.table.room:
+                self.clear()
+                return self.entries(raw, starts, ends)
+            while len(keys) > self.table.room:
+                self.table = HashTable(self.table.bits + 1)
+            data = raw.tobytes()
+            found = self._add([data[starts[i] : ends[i]] for i in new[first].tolist()])
+            self.table.add(keys, found)
+            entries[new] = found[inverse]
+        sizes = ends - starts
+        fits = self.sizes[entries] == sizes
+        fits[fits] = equal_ranges(raw, starts[fits], self.pool, self.starts[entries[fits]], sizes[fits])
+        for i in np.flatnonzero(~fits).tolist():  # another piece has this hash
+            piece = raw[starts[i] : ends[i]].tobytes()
+            if piece not in self.odd:
+                self.odd[piece] = int(self._add([piece])[0])
+            entries[i] = self.odd[piece]
+        return entries
+
+
 def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices start..start+length-1 of all ranges, one after another."""
     ends = np.cumsum(lengths)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, kept, utf8
 from .encode import CALL_BYTES, WORD, byte_values
-from .pieces import HashTable, mix, range_hashes, safe_cuts
+from .pieces import HashTable, PieceTable, mix, safe_cuts
 
 MOST_STATES, TABLE_BITS, CHUNK = 250_000, 22, 1 << 20
 #: Text whose split needs no table of Unicode classes.
@@ -133,10 +133,19 @@ class Machine:
             found[new] = entry[inverse]
         return self.next[found], self.emit[found]
 
+    def renewed(self, state: np.ndarray) -> np.ndarray:
+        """The machine starts anew with these states alone; their new numbers."""
+        used, inverse = np.unique(state, return_inverse=True)
+        kept = [self.states[i] for i in used.tolist()]
+        self.clear()
+        for s in kept:
+            if s not in self.number:
+                self.number[s] = len(self.states)
+                self.states.append(s)
+        return np.array([self.number[s] for s in kept], np.int32)[inverse]
+
     def count(self, words: list[bytes]) -> np.ndarray:
         """Tokens of each word of the split pattern, all run in step."""
-        if len(self.states) > MOST_STATES or self.table.size > self.table.room // 2:
-            self.clear()
         size = np.array([len(w) for w in words], np.int64)
         order = np.argsort(-size, kind="stable")
         raw = np.frombuffer(b"".join(words), np.uint8)
@@ -145,6 +154,8 @@ class Machine:
         state, total = np.zeros(len(words), np.int32), np.zeros(len(words), np.int64)
         for j in range(int(size[0]) if len(size) else 0):
             live = int(np.searchsorted(-size, -j, "left"))
+            if len(self.states) > MOST_STATES or self.table.size + live > self.table.room:
+                state[:live] = self.renewed(state[:live])
             state[:live], emitted = self.step(state[:live], raw[at[:live] + j])
             total[:live] += emitted
         out = np.empty_like(total)
@@ -163,11 +174,13 @@ class Counter:
         self.library_split = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         self.special = re.compile("|".join(map(re.escape, sorted(self.machine.specials, key=len, reverse=True))) or "(?!)")
         self.special_bytes = [s.encode() for s in self.machine.specials]
-        self.clear()
-
-    def clear(self) -> None:
-        self.table = HashTable(TABLE_BITS)
         self.counts = np.zeros(1 << 16, np.int32)
+        self.table = PieceTable(TABLE_BITS, self.learn)
+
+    def learn(self, pieces: list[bytes], entries: np.ndarray) -> None:
+        while entries[-1] >= len(self.counts):
+            self.counts = np.resize(self.counts, 2 * len(self.counts))
+        self.counts[entries] = self.of_pieces(pieces)
 
     def of_pieces(self, pieces: list[bytes]) -> np.ndarray:
         words, owner = [], []
@@ -184,22 +197,8 @@ class Counter:
         return np.bincount(np.array(owner, np.int64), self.machine.count(words), len(pieces)).astype(np.int32) if words else np.zeros(len(pieces), np.int32)
 
     def entries(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        h = range_hashes(raw, starts, ends)
-        found = self.table.find(h)
-        new = np.flatnonzero(found < 0)
-        if len(new):
-            keys, first, inverse = np.unique(h[new], return_index=True, return_inverse=True)
-            if self.table.size + len(keys) > self.table.room:
-                self.clear()
-                return self.entries(raw, starts, ends)
-            data = raw.tobytes()
-            counts = self.of_pieces([data[starts[i] : ends[i]] for i in new[first].tolist()])
-            entry = np.arange(self.table.size, self.table.size + len(keys), dtype=np.int32)
-            while len(self.counts) < self.table.size + len(keys):
-                self.counts = np.resize(self.counts, 2 * len(self.counts))
-            self.counts[entry] = counts
-            self.table.add(keys, entry)
-            found[new] = entry[inverse]
+        """Counts of the pieces raw[start:end]."""
+        found = self.table.entries(raw, starts, ends)
         return self.counts[found]
 
     # -- chunk maps -------------------------------------------------------
