@@ -2,7 +2,7 @@
 
 Only a histogram of piece lengths (at most `capacity` numbers) reaches the driver. There, bin completion fills one
 sequence around the longest piece left and uses that filling as often as the histogram allows; the last few pieces
-are packed by branch and bound. The plan, a bounded list of ranges of ranks per length, goes back to the tasks,
+are packed by branch and bound over undominated fillings, best fit of what is left being the incumbent throughout. The plan, a bounded list of ranges of ranks per length, goes back to the tasks,
 which place every piece by its rank among the pieces of its length.
 
 Defined results: a null or empty text is the end id alone; a null doc_id is kept; repeated rows are packed each;
@@ -12,6 +12,7 @@ an empty table gives no rows; other columns of the input are ignored.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,80 +35,111 @@ PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, seque
 
 
 def fillings(counts: np.ndarray, room: int, nodes: int) -> Iterator[tuple[int, tuple[int, ...]]]:
-    """(waste, lengths) of maximal fillings of `room`, longest lengths first; only ever better or equal ones."""
-    best, left = room + 1, nodes
-    stack: list[tuple[int, int, tuple[int, ...]]] = [(room, room, ())]
-    while stack and left:
-        left -= 1
-        rest, most, chosen = stack.pop()
-        usable = np.flatnonzero(counts[1 : min(rest, most) + 1]) + 1
-        usable = [u for u in usable[::-1].tolist() if counts[u] > chosen.count(u)]
+    """(waste, lengths) of fillings of `room` that nothing more can be put behind, longest lengths first, in descending order."""
+    sizes = np.flatnonzero(counts[: room + 1]).tolist()
+    stack: list[tuple[int, int, tuple[int, ...]]] = [(room, len(sizes) - 1, ())]
+    while stack and nodes:
+        nodes -= 1
+        rest, at, chosen = stack.pop()
+        usable = [i for i in range(min(at, bisect_right(sizes, rest) - 1), -1, -1) if sizes[i] and counts[sizes[i]] > chosen.count(sizes[i])]
         if not usable:
-            if rest < best:
-                best = rest
-                yield rest, chosen
-            if best == 0:
-                return
-            continue
-        for u in reversed(usable[:24]):
-            stack.append((rest - u, u, (*chosen, u)))
-
-
-def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[int, ...]]:
-    """Best-fit decreasing: the incumbent of the bounded search."""
-    bins: list[list[int]] = []
-    rooms: list[int] = []
-    for size in range(capacity, 0, -1):
-        for _ in range(int(counts[size])):
-            fit = min((r, i) for i, r in enumerate(rooms) if r >= size) if any(r >= size for r in rooms) else None
-            if fit is None:
-                bins.append([size])
-                rooms.append(capacity - size)
-            else:
-                bins[fit[1]].append(size)
-                rooms[fit[1]] -= size
-    return [tuple(b) for b in bins]
-
-
-def dominated(one: tuple[int, ...], other: tuple[int, ...]) -> bool:
-    """one is dominated if other has at least as many pieces, each at least as long (both longest first)."""
-    return one != other and len(one) <= len(other) and all(a <= b for a, b in zip(one, other, strict=False))
-
-
-def bounded_search(counts: np.ndarray, capacity: int) -> list[tuple[int, ...]]:
-    """Bin completion: branches over undominated fillings around the longest piece; waste bounds prune."""
-    best = best_fit(counts, capacity)
-    total = int((counts * np.arange(len(counts))).sum())
+            yield rest, chosen
+        stack += [(rest - sizes[i], i, (*chosen, sizes[i])) for i in reversed(usable)]
+
+
+def dominated(filling: tuple[int, ...], waste: int, unused: int) -> bool:
+    """Whether some of the filling's pieces, or none, could give way to one unused piece that is longer and fits, or as long and in the place of several.
+
+    Every packing with the filling can then be changed into one with the other filling and no more sequences.
+    `unused` has a bit for each length of which a piece is left.
+    """
+    some, several = 1, 0  # sums of any number of pieces, of two or more
+    for u in filling:
+        several |= several << u | (some & ~1) << u
+        some |= some << u
+    longer, reach = some << 1 if waste else 0, 1  # what exceeds a sum by 1 to waste
+    while reach < waste:
+        step = min(reach, waste - reach)
+        longer |= longer << step
+        reach += step
+    return bool((longer | several) & unused)
+
+
+def completions(counts: np.ndarray, room: int, nodes: int) -> list[tuple[int, tuple[int, ...]]]:
+    """(waste, lengths) of the undominated fillings of `room`, the least waste first."""
+    have = sum(1 << u for u in np.flatnonzero(counts).tolist())
+    out = []
+    for waste, filling in fillings(counts, room, nodes):
+        used = sum(1 << u for u in set(filling) if filling.count(u) == counts[u])
+        if not dominated(filling, waste, have & ~used & ~1):
+            out.append((waste, filling))
+    return sorted(out, key=lambda x: x[0])
+
+
+def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Best-fit decreasing, the incumbent of the search: fillings and how often each is used.
+
+    The tightest sequence that takes a piece is tighter still behind it, so it takes pieces of this length while they fit.
+    """
+    open_at: dict[int, list[tuple[tuple[int, ...], int]]] = {capacity: [((), 1 << 62)]}
+    for size in np.flatnonzero(counts)[::-1].tolist():
+        left = int(counts[size])
+        while left:
+            room = min(r for r in open_at if r >= size)
+            filling, times = open_at[room].pop()
+            each = room // size
+            full = min(times, left // each)
+            moves = [(each, full)] if full else [(left, 1)]
+            for pieces, n in moves:
+                open_at.setdefault(room - pieces * size, []).append((filling + (size,) * pieces, n))
+                times, left = times - n, left - pieces * n
+            if times:
+                open_at[room].append((filling, times))
+            if not open_at[room]:
+                del open_at[room]
+    return [(f, n) for fs in open_at.values() for f, n in fs if f]
+
+
+def used(found: list[tuple[tuple[int, ...], int]]) -> int:
+    return sum(n for _, n in found)
+
+
+def bounded_search(counts: np.ndarray, capacity: int, nodes: int = BOUND_NODES) -> list[tuple[int, ...]]:
+    """Bin completion: branches over the undominated fillings around the longest piece, least waste first; waste bounds prune."""
+    best = [f for f, n in best_fit(counts, capacity) for _ in range(n)]
+    sizes = np.arange(len(counts))
+    total = int((counts * sizes).sum())
     least = -(-total // capacity)
-    left = [BOUND_NODES]
+    left = [nodes]
+    seen: dict[bytes, int] = {}
 
     def go(now: np.ndarray, done: list[tuple[int, ...]], waste: int) -> None:
         nonlocal best
         if len(best) == least or left[0] <= 0:
             return
         left[0] -= 1
-        sizes = np.flatnonzero(now)
-        if not len(sizes):
+        rest = int((now * sizes).sum())
+        if not rest:
             if len(done) < len(best):
                 best = list(done)
             return
-        if len(done) + 1 >= len(best) + (sizes[0] == 0):
-            rest = int((now * np.arange(len(now))).sum())
-            if len(done) + -(-rest // capacity) >= len(best):
-                return
-        top = int(sizes[-1])
+        if len(done) + -(-rest // capacity) >= len(best) or seen.get(key := now.tobytes(), len(best)) <= len(done):
+            return
+        seen[key] = len(done)
+        if len(seen) > 50_000:
+            seen.clear()
+        incumbent = [f for f, n in best_fit(now, capacity) for _ in range(n)]
+        if len(done) + len(incumbent) < len(best):
+            best = [*done, *incumbent]
+        top = int(np.flatnonzero(now)[-1])
         now = now.copy()
         now[top] -= 1
-        found = [f for _, f in fillings(now, capacity - top, 200)] or [()]
-        found = [f for f in found if not any(dominated(f, g) for g in found)]
-        for f in sorted(found, key=lambda f: capacity - top - sum(f)):
-            lost = waste + capacity - top - sum(f)
-            if total + lost > (len(best) - 1) * capacity:
-                continue
+        for lost, f in completions(now, capacity - top, FILL_NODES):
+            if total + waste + lost > (len(best) - 1) * capacity:
+                break
             after = now.copy()
-            for u in f:
-                after[u] -= 1
-            go(after, [*done, (top, *f)], lost)
+            np.subtract.at(after, list(f), 1)
+            go(after, [*done, (top, *f)], waste + lost)
 
     if len(best) > least:
         go(counts.copy(), [], 0)
@@ -115,7 +147,11 @@ def bounded_search(counts: np.ndarray, capacity: int) -> list[tuple[int, ...]]:
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """Fillings and how often each is used; together they hold the histogram's pieces exactly."""
+    """Fillings and how often each is used; together they hold the histogram's pieces exactly.
+
+    A filling of least waste around the longest piece is used as often as its pieces allow, until the last pieces go to
+    the bounded search. Best fit of all that is left, at the start and at every halving, stands where it needs no more.
+    """
     counts = np.zeros(capacity + 1, np.int64)
     for size, n in histogram.items():
         counts[size] = n
@@ -123,18 +159,33 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tupl
     if counts[capacity]:
         out.append(((capacity,), int(counts[capacity])))
         counts[capacity] = 0
-    while counts.sum() > LAST_PIECES:
+    best, again = [*out, *best_fit(counts, capacity)], counts.sum() // 2
+    least = used(out) + -(-int((counts * np.arange(len(counts))).sum()) // capacity)
+    while counts.sum() > LAST_PIECES and used(best) > least:
         top = int(np.flatnonzero(counts)[-1])
         counts[top] -= 1
-        filling = (top, *min(fillings(counts, capacity - top, FILL_NODES), default=(0, ()))[1])
+        filling = (top, *tightest(counts, capacity - top, FILL_NODES))
         counts[top] += 1
-        used, per = np.unique(filling, return_counts=True)
-        times = int((counts[used] // per).min())
-        counts[used] -= per * times
+        kinds, per = np.unique(filling, return_counts=True)
+        times = int((counts[kinds] // per).min())
+        counts[kinds] -= per * times
         out.append((filling, times))
-    if counts.sum():
-        out += [(f, 1) for f in bounded_search(counts, capacity)]
-    return out
+        if counts.sum() <= again:
+            again = counts.sum() // 2
+            best = min(best, [*out, *best_fit(counts, capacity)], key=used)
+    if used(best) > least:
+        best = min(best, [*out, *((f, 1) for f in bounded_search(counts, capacity))], key=used)
+    return best
+
+
+def tightest(counts: np.ndarray, room: int, nodes: int) -> tuple[int, ...]:
+    """A filling of least waste, as far as so many nodes go."""
+    best = (room + 1, ())
+    for waste, filling in fillings(counts, room, nodes):
+        best = min(best, (waste, filling), key=lambda x: x[0])
+        if not waste:
+            break
+    return best[1]
 
 
 def ranges(found: list[tuple[tuple[int, ...], int]]) -> tuple[np.ndarray, ...]:
