@@ -8,7 +8,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from thermaspark.operators import analysis, grid, mask, temporal
+from thermaspark.fixtures import fixture
 from thermaspark.plans import catalogue, products
+from thermaspark.plans import pipelines as K
+from thermaspark.plans import products as X
 
 from .conftest import DATA
 
@@ -60,6 +63,20 @@ def test_the_product_has_values(spark):
     assert rows[0] > 0 and rows[1] > 0.2 * rows[0] and rows[2] > 1 and rows[3] < 6000
 
 
+def test_the_product_comes_with_its_manifest_and_unusable_scenes(spark):
+    s3, fine = fixture(spark, DATA, "s3_obs"), catalogue.dated_features(spark, DATA)
+    cell = (F.floor(F.col("row") / 10) * 2 + F.floor(F.col("col") / 10)).cast("int")
+    last = s3.agg(F.max("acq_id")).first()[0]
+    # an acquisition all of whose pixels are too uncertain
+    spoilt = s3.withColumn("lst_uncertainty", F.when(F.col("acq_id") == last, 9.0).otherwise(F.col("lst_uncertainty")))
+    product, files, unusable = X.lst_ta_product(spoilt, fine, ["b04", "b08"], 2, fixture(spark, DATA, "era5_hourly"), cell, tile="31PDR", trees=2)
+    made = {r["acq_id"]: r["acq_time"] for r in product.select("acq_id", "acq_time").distinct().collect()}
+    left = {r["acq_id"] for r in unusable.collect()}
+    chosen = {r["acq_id"] for r in K.prepare_s3(spoilt).select("acq_id").distinct().collect()}
+    assert made and not left & made.keys() and left | made.keys() == chosen and (last in left) == (last in chosen)
+    assert {r["filename"] for r in files.collect()} == {f"LST-Ta_{t:%Y%m%dT%H%M%S}_31PDR.tif" for t in made.values()}
+
+
 def test_reading_is_pushed_down(spark):
     plan = catalogue.QUERIES["a1_read_cells"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_returnflag)" in plan and "EqualTo(l_returnflag,R)" in plan and "l_extendedprice" not in plan

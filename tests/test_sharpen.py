@@ -58,27 +58,6 @@ def test_smoothed_correction_of_two_scenes(spark):
     assert len(alone) == 210 and all(x["lst"] == got[1, x["row"], x["col"]] or abs(x["lst"] - got[1, x["row"], x["col"]]) < 1e-6 for x in alone)
 
 
-def test_leaf_lines_from_sums(spark):
-    import numpy as np
-
-    rng = np.random.default_rng(2)
-    rows = [(float(a), float(b), float(280 + 30 * a - 12 * b + e)) for a, b, e in zip(rng.random(400), rng.random(400), rng.normal(0, 0.5, 400), strict=True)]
-    df = spark.createDataFrame(rows, "b04 double, b08 double, lst double").selectExpr("*", "1D AS weight")
-    model, lines = I.fit_sharpener(df, ["b04", "b08"], trees=3)
-    by = {}
-    for r in I.leaves(df, model).collect():
-        by.setdefault((r["tree"], r["leaf"]), []).append((r["b04"], r["b08"], r["lst"]))
-    got = {(r["tree"], r["leaf"]): r for r in lines.collect()}
-    assert got.keys() == by.keys()
-    for key, own in by.items():
-        own = np.array(own)
-        x, y = own[:, :2], own[:, 2]
-        c = x - x.mean(axis=0)
-        coef = np.linalg.solve(c.T @ c + 1e-3 * np.eye(2), c.T @ (y - y.mean()))
-        assert np.allclose(got[key]["coef"], coef, atol=1e-6) and abs(got[key]["intercept"] - (y.mean() - coef @ x.mean(axis=0))) < 1e-6
-        assert got[key]["ymin"] == y.min() and got[key]["ymax"] == y.max()
-
-
 def test_sharpening_covers_all_dates(spark):
     from thermaspark.fixtures import fixture
     from thermaspark.plans import catalogue

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import physics as P
+from .quantiles import group_quantiles, hash_sample
 
 # Land-cover classes.
 LAND_COVER = {10: "Tree Cover", 20: "Schrubland", 30: "Grassland", 40: "Cropland", 50: "Built-up", 60: "Bare/Sparse Vegetation", 70: "Snow and Ice", 80: "Permanent Water Bodies", 90: "Herbaceous Wetland"}
@@ -60,15 +61,14 @@ def sample_size(n: Column, full: int = 10_000) -> Column:
 
 def balanced_sample(df: DataFrame, key: Sequence[str], seed: int = 0, full: int = 10_000, by: str = "s3_time") -> DataFrame:
     """Per source all rows if fewer than `full`, else a slowly growing number of them, chosen by a seeded hash of `key`."""
-    sizes = df.groupBy(by).agg(sample_size(F.count("*"), full).alias("__k"))
-    order = Window.partitionBy(by).orderBy(F.xxhash64(F.lit(seed), *key), *key)
-    return df.join(sizes, by).withColumn("__r", F.row_number().over(order)).filter("__r <= __k").drop("__r", "__k")
+    sizes = df.groupBy(by).agg(sample_size(F.count("*"), full).alias("k"))
+    return hash_sample(df, sizes, by, key, seed)
 
 
 def trim_quantiles(df: DataFrame, value: Column, by: str = "s3_time", low: float = 0.1, high: float = 0.9) -> DataFrame:
     """Rows whose value lies between its group's quantiles (linear between ranks, both ends in)."""
     named = df.withColumn("__v", value)
-    ends = named.groupBy(by).agg(F.percentile("__v", F.array(F.lit(low), F.lit(high))).alias("__q"))
+    ends = group_quantiles(named, F.col("__v"), (low, high), [by]).select(by, F.col("q").alias("__q"))
     return named.join(ends, by).filter((F.col("__v") >= F.col("__q")[0]) & (F.col("__v") <= F.col("__q")[1])).drop("__v", "__q")
 
 
@@ -181,8 +181,8 @@ def score_overall_line(df: DataFrame, by: str = "land_cover") -> DataFrame:
 def robust_line(df: DataFrame, key: Sequence[str], hypotheses: int = 64, seed: int = 0) -> DataFrame:
     """slope, intercept, n: the line through two rows that most rows are close to (within the MAD of the target), refitted on them."""
     y, x = F.col("lst_s3hr"), F.col("validation_lst")
-    mid = df.agg(F.median(y).alias("m"))
-    mad = df.crossJoin(F.broadcast(mid)).agg(F.median(F.abs(y - F.col("m"))).alias("mad"))
+    mid = group_quantiles(df, y, (0.5,)).select(F.col("q")[0].alias("m"))
+    mad = group_quantiles(df.crossJoin(F.broadcast(mid)), F.abs(y - F.col("m")), (0.5,)).select(F.col("q")[0].alias("mad"))
     picked = df.orderBy(F.xxhash64(F.lit(seed), *key), *key).limit(2 * hypotheses).select(x.alias("x"), y.alias("y"))
     pairs = picked.withColumn("i", F.row_number().over(Window.orderBy("x", "y")) - 1).withColumn("p", (F.col("i") % hypotheses).cast("int"))
     lines = pairs.groupBy("p").agg(F.min_by("x", "i").alias("x0"), F.min_by("y", "i").alias("y0"), F.max_by("x", "i").alias("x1"), F.max_by("y", "i").alias("y1")).filter("x0 != x1")
@@ -201,9 +201,9 @@ def vza_band_bias(df: DataFrame, key: Sequence[str] | None = None, seed: int = 0
     """Per band of zenith difference the mean of s3 - val and the count; with a key, over as many rows of each band as the smallest has."""
     banded = df.withColumn("band", vza_band(F.col("s3_vza") - F.col("validation_vza")))
     if key:
-        least = banded.groupBy("band").agg(F.count("*").alias("k")).agg(F.min("k").alias("least"))
-        order = Window.partitionBy("band").orderBy(F.xxhash64(F.lit(seed), *key), *key)
-        banded = banded.withColumn("r", F.row_number().over(order)).crossJoin(F.broadcast(least)).filter("r <= least")
+        sizes = banded.groupBy("band").agg(F.count("*").alias("n"))
+        least = sizes.agg(F.min("n").alias("k"))
+        banded = hash_sample(banded, sizes.select("band").crossJoin(F.broadcast(least)), "band", key, seed)
     return banded.groupBy("band").agg(F.avg(F.col("lst_s3hr") - F.col("validation_lst")).alias("bias"), F.count("*").alias("n"))
 
 
@@ -224,7 +224,7 @@ def difference_boxplot(df: DataFrame) -> DataFrame:
     """Per overpass quartiles, whiskers at 10 and 90 %, rows beyond them and the relative width."""
     d = df.withColumn("d", F.col("lst_s3hr") - F.col("validation_lst"))
     names = ("p10", "p25", "p50", "p75", "p90")
-    q = d.groupBy("s3_time").agg(F.percentile("d", F.array(*map(F.lit, (0.1, 0.25, 0.5, 0.75, 0.9)))).alias("q"), F.count("*").alias("n"))
+    q = group_quantiles(d, F.col("d"), (0.1, 0.25, 0.5, 0.75, 0.9), ["s3_time"])
     q = q.select("s3_time", "n", *(F.col("q")[i].alias(c) for i, c in enumerate(names)))
     out = d.join(q, "s3_time").groupBy("s3_time").agg(F.count(F.when((F.col("d") < F.col("p10")) | (F.col("d") > F.col("p90")), 1)).alias("outliers"))
     mean = q.agg(F.avg("n").alias("mean"))
@@ -248,7 +248,7 @@ def estimate_parameters(samples: DataFrame, by: str = "sample_id") -> DataFrame:
 
 def fit_bias_each(samples: DataFrame, by: str) -> DataFrame:
     named = close_views(samples).withColumns({"__v": F.col("lst_s3hr") - F.col("validation_lst")})
-    ends = named.groupBy(by, "s3_time").agg(F.percentile("__v", F.array(F.lit(0.1), F.lit(0.9))).alias("__q"))
+    ends = group_quantiles(named, F.col("__v"), (0.1, 0.9), [by, "s3_time"]).select(by, "s3_time", F.col("q").alias("__q"))
     kept = named.join(ends, [by, "s3_time"]).filter("__v >= __q[0] AND __v <= __q[1]")
     return kept.groupBy(by).agg(F.regr_slope("lst_s3hr", "validation_lst").alias("gain"), F.regr_intercept("lst_s3hr", "validation_lst").alias("offset"), F.regr_r2("lst_s3hr", "validation_lst").alias("r2"))
 

@@ -1,22 +1,15 @@
-"""Thermal sharpening: a bagged forest with a linear model in every leaf, fitted on coarse cells and applied to fine ones."""
+"""Thermal sharpening: for every scene a bagged forest with a line in every leaf, fitted on coarse cells and applied to fine ones."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import forest
 from .grid import Grid, aggregate_to_lowres, binomial_smooth, fill_edge_missing, regrid
-
-LEAF_MODELS = "tree int, leaf int, coef array<double>, intercept double, ymin double, ymax double"
-
+from .quantiles import group_quantiles
 
 def training_samples(fine: DataFrame, low: DataFrame, bands: Sequence[str], factor: int, cv_max: float = 0.8, keys: Sequence[str] = ()) -> DataFrame:
     """Coarse cells with good quality, temperature and features, and a weight of 1 / CV, the mean over bands of deviation over mean."""
@@ -26,7 +19,8 @@ def training_samples(fine: DataFrame, low: DataFrame, bands: Sequence[str], fact
     out = means.join(low, [*keys, "row", "col"]).withColumn("cv", F.coalesce(cv, F.lit(1000.0)))
     limit = F.lit(cv_max)
     if cv_max <= 0:
-        auto = out.filter("quality = 1 AND cv > 0 AND cv < 1000").agg(F.coalesce(F.percentile("cv", 0.8), F.lit(0.0)).alias("__limit"))
+        good = group_quantiles(out.filter("quality = 1 AND cv > 0 AND cv < 1000"), F.col("cv"), (0.8,)).select(F.col("q")[0].alias("q"))
+        auto = good.agg(F.coalesce(F.max("q"), F.lit(0.0)).alias("__limit"))
         out, limit = out.crossJoin(F.broadcast(auto)), F.col("__limit")
     good = (F.col("quality") == 1) & F.col("lst").isNotNull() & (F.col("cv") > 0) & (F.col("cv") < limit)
     for b in bands:
@@ -34,47 +28,37 @@ def training_samples(fine: DataFrame, low: DataFrame, bands: Sequence[str], fact
     return out.filter(good).select(*keys, "row", "col", "lst", "cv", (1 / F.col("cv")).alias("weight"), *(F.col(f"{b}_mean").alias(b) for b in bands))
 
 
-def leaves(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """A row per input row and tree: tree, leaf."""
-    at = model.transform(df).withColumn("leaves", vector_to_array("leaves"))
-    return at.select("*", F.posexplode("leaves").alias("tree", "leaf")).withColumn("leaf", F.col("leaf").cast("int"))
-
-
-def fit_sharpener(samples: DataFrame, features: Sequence[str], trees: int = 30, seed: int = 0, ridge: float = 1e-3) -> tuple[PipelineModel, DataFrame]:
-    """The forest and its leaf models: ridge lines on centred features and the range of the target. A leaf's line comes from sums over its rows."""
-    forest = RandomForestRegressor(featuresCol="features", labelCol="lst", weightCol="weight", numTrees=trees, subsamplingRate=0.8, featureSubsetStrategy="0.8", maxDepth=5, minInstancesPerNode=10, leafCol="leaves", seed=seed)
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-    ready = assembler.transform(samples)
-    model = PipelineModel([assembler, forest.fit(ready)])
-
-    k = len(features)
-    centre = samples.agg(*(F.coalesce(F.avg(f), F.lit(0.0)) for f in (*features, "lst"))).first()
-    x, y = [F.col(f) - centre[i] for i, f in enumerate(features)], F.col("lst") - centre[k]
-    sums = [F.count("*").alias("n"), F.sum(y).alias("y"), F.min("lst").alias("ymin"), F.max("lst").alias("ymax")]
-    sums += [F.array(*(F.sum(v) for v in x)).alias("x"), F.array(*(F.sum(v * y) for v in x)).alias("xy"), F.array(*(F.sum(v * u) for v in x for u in x)).alias("xx")]
-
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            out = []
-            for r in rows.itertuples():
-                mx, my = np.array(r.x) / r.n, r.y / r.n
-                c = np.array(r.xx).reshape(k, k) - r.n * np.outer(mx, mx)
-                coef = np.linalg.solve(c + ridge * np.eye(k), np.array(r.xy) - r.n * mx * my)
-                out.append((r.tree, r.leaf, coef.tolist(), my + centre[k] - coef @ (mx + np.array(centre[:k])), r.ymin, r.ymax))
-            yield pd.DataFrame(out, columns=["tree", "leaf", "coef", "intercept", "ymin", "ymax"])
-
-    return model, leaves(samples, model).groupBy("tree", "leaf").agg(*sums).mapInPandas(solve, LEAF_MODELS)
-
-
-def apply_sharpener(fine: DataFrame, model: PipelineModel, leaf_models: DataFrame, features: Sequence[str], keys: Sequence[str] = ("row", "col"), margin: float = 0.25) -> DataFrame:
-    """keys and lst: the mean over trees of the leaf's line, clamped to its range and a quarter more; cells with a missing feature are missing."""
-    whole = fine.dropna(subset=list(features))
-    at = leaves(whole, model).join(F.broadcast(leaf_models), ["tree", "leaf"])
-    line = sum((F.col("coef")[i] * F.col(f) for i, f in enumerate(features)), F.col("intercept"))
-    room = margin * (F.col("ymax") - F.col("ymin"))
-    bounded = F.least(F.col("ymax") + room, F.greatest(F.col("ymin") - room, line))
-    found = at.groupBy(*keys).agg(F.avg(bounded).alias("lst"))
-    return fine.select(*keys).join(found, list(keys), "left")
+def fit_sharpener(samples: DataFrame, features: Sequence[str], keys: Sequence[str] = (), trees: int = 30, seed: int = 0, cell: Sequence[str] = ("row", "col")) -> DataFrame:
+    """keys, trees, lines: for every scene, told apart by `keys`, a bagged forest of its own with a line in every leaf.
+
+    A tree draws 0.8 of the rows and of the features, grows best first to 30 leaves of at least 10 drawn rows, splitting by
+    weighted squared error; a leaf's Bayesian ridge line goes through all rows that fall into it, unweighted.
+    """
+    if not keys:
+        return fit_sharpener(samples.withColumn("scene", F.lit(0)), features, ["scene"], trees, seed, cell)
+    return forest.fit(samples, keys, features, [*keys, *cell], options=forest.Options(trees=trees, seed=seed))
+
+
+def apply_sharpener(fine: DataFrame, models: DataFrame, features: Sequence[str], keys: Sequence[str] = (), margin: float = 0.25, plain: bool = False) -> DataFrame:
+    """keys, row, col, lst: the mean over trees of the leaf's line, clamped to its range and a quarter more; cells with a missing feature are missing.
+
+    `plain` takes the leaves' own values. Scenes without a model have no rows; unusable_scenes() names them.
+    """
+    if not keys:
+        return apply_sharpener(fine.withColumn("scene", F.lit(0)), models, features, ["scene"], margin, plain).drop("scene")
+    return forest.apply(fine, models, keys, features, margin, plain)
+
+
+def unusable_scenes(scenes: DataFrame, models: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Scenes that gave no sample to train on, so that they are left out."""
+    return scenes.select(*keys).distinct().join(models.select(*keys), list(keys), "left_anti")
+
+
+def trained_scenes(scenes: DataFrame, samples: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys, n, usable: every scene with the number of its samples."""
+    counts = samples.groupBy(*keys).agg(F.count("*").alias("n"))
+    out = scenes.select(*keys).distinct().join(counts, list(keys), "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return out.withColumn("usable", F.col("n") > 0)
 
 
 def residuals(fine: DataFrame, low: DataFrame, factor: int, keys: Sequence[str] = (), power: int = 4) -> DataFrame:

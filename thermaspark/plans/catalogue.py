@@ -717,9 +717,13 @@ def dated_samples(spark, d):
 
 @query()
 def i3_i4_sharpen(spark, d):
-    """One model from the samples of all dates, applied to all cells of all dates."""
-    model, leaf_models = I.fit_sharpener(dated_samples(spark, d), ["b04", "b08"])
-    return I.apply_sharpener(dated_features(spark, d), model, leaf_models, ["b04", "b08"], ["acq_date", "row", "col"])
+    """Every optical date with its nearest day of temperatures is a scene, has its own model, and is sharpened whole."""
+    keys = ["acq_date", "day"]
+    near = E.nearest_date(fixture(spark, d, "s2_obs").select("acq_date"), fixture(spark, d, "s3_obs").select(F.to_date("acq_time").alias("day")), "acq_date", "day")
+    samples = dated_samples(spark, d).join(near.select("acq_date", F.col("nearest").alias("day")).distinct(), keys, "left_semi")
+    models = I.fit_sharpener(samples, ["b04", "b08"], keys)
+    fine = dated_features(spark, d).join(models.select(*keys), "acq_date")
+    return I.apply_sharpener(fine, models, ["b04", "b08"], keys)
 
 
 @query(

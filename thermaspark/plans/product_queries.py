@@ -147,14 +147,22 @@ def scenes(spark, d):
 @query()
 def i5_plain_tree(spark, d):
     fine, low = scenes(spark, d)
-    return X.sharpen_scenes(fine, low, ["b04", "b08"], 2, ["acq_date", "day"], plain=True)
+    return X.sharpen_scenes(fine, low, ["b04", "b08"], 2, ["acq_date", "day"], plain=True)[0]
 
 
 @query()
 def i8_sharpen_scenes(spark, d):
-    """With the correction by residuals."""
+    """A model for each scene, all grown in the same jobs, with the correction by residuals."""
     fine, low = scenes(spark, d)
-    return X.sharpen_scenes(fine, low, ["b04", "b08"], 2, ["acq_date", "day"], residual=True)
+    return X.sharpen_scenes(fine, low, ["b04", "b08"], 2, ["acq_date", "day"], residual=True)[0]
+
+
+@query(DATED + ", m AS (SELECT acq_date, CAST(FLOOR(row/2) AS INT) AS row, CAST(FLOOR(col/2) AS INT) AS col, AVG(b04) AS b04, STDDEV_POP(b04) AS s04, AVG(b08) AS b08, STDDEV_POP(b08) AS s08 FROM fine GROUP BY 1, 2, 3), k AS (SELECT acq_date, day, (s04/b04+s08/b08)/2 AS cv FROM m JOIN pairs USING (acq_date) JOIN low USING (day, row, col)) SELECT acq_date, day, COUNT(*) FILTER (cv > 0 AND cv < 0.15) AS n, COUNT(*) FILTER (cv > 0 AND cv < 0.15) > 0 AS usable FROM pairs LEFT JOIN k USING (acq_date, day) GROUP BY 1, 2", "s2_obs s3_obs")
+def i8_usable_scenes(spark, d):
+    """Scenes with the number of cells that train them, at a threshold that leaves some scenes without any."""
+    fine, low = scenes(spark, d)
+    got = I.training_samples(fine, low, ["b04", "b08"], 2, 0.15, ["acq_date", "day"])
+    return I.trained_scenes(fine, got, ["acq_date", "day"])
 
 
 @query(
@@ -184,7 +192,7 @@ def k5_era5_at(spark, d):
 def k6_lst_ta_product(spark, d):
     """The whole product with sharpening and corrections; minimum_slice is its daily mean without sharpening."""
     s3, cell = fixture(spark, d, "s3_obs"), (F.floor(F.col("row") / 10) * 2 + F.floor(F.col("col") / 10)).cast("int")
-    return X.lst_ta_product(s3, dated_features(spark, d), ["b04", "b08"], 2, fixture(spark, d, "era5_hourly"), cell, K.GAIN, K.OFFSET, K.DIRECTIONAL)
+    return X.lst_ta_product(s3, dated_features(spark, d), ["b04", "b08"], 2, fixture(spark, d, "era5_hourly"), cell, K.GAIN, K.OFFSET, K.DIRECTIONAL, tile="31PDR")[0]
 
 
 @query(

@@ -13,6 +13,7 @@ from ..functions import physics as P
 from ..operators import analysis as H
 from ..operators import composite, grid, mask, matchup, sharpen, temporal
 from ..sources import catalog
+from ..sources.staging import staged
 from . import pipelines
 
 # Bands that later steps read.
@@ -120,20 +121,19 @@ def ndvi_product(s2: DataFrame, tile: str, masked: DataFrame | None = None) -> t
 # -- thermal ----------------------------------------------------------------------------
 
 
-def sharpen_scenes(fine: DataFrame, low: DataFrame, features: Sequence[str], factor: int, keys: Sequence[str], trees: int = 30, cv_max: float = 0.8, residual: bool = False, plain: bool = False) -> DataFrame:
-    """keys, row, col, lst of all scenes: samples, the forest with its leaves' lines, and, if asked for, the correction by residuals.
+def sharpen_scenes(fine: DataFrame, low: DataFrame, features: Sequence[str], factor: int, keys: Sequence[str], trees: int = 30, cv_max: float = 0.8, residual: bool = False, plain: bool = False, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(keys, row, col, lst) of all scenes, and (keys) of the scenes that give nothing to train on and are left out.
 
-    One model is fitted to the samples of all scenes. `plain` takes the forest's own prediction instead of lines.
+    Every scene has a model of its own, all trained in the same jobs. If asked for, temperatures are corrected by
+    residuals; `plain` takes the trees' own values instead of lines.
     """
     got = sharpen.training_samples(fine, low, features, factor, cv_max, keys)
-    model, lines = sharpen.fit_sharpener(got, features, trees)
-    at = [*keys, "row", "col"]
-    if plain:
-        hot = model.transform(fine.dropna(subset=list(features))).select(*at, F.col("prediction").alias("lst"))
-        hot = fine.select(*at).join(hot, at, "left")
-    else:
-        hot = sharpen.apply_sharpener(fine, model, lines, features, at)
-    return sharpen.correct_smoothed(hot, sharpen.smoothed_residuals(hot, low, factor, keys), keys) if residual else hot
+    models = sharpen.fit_sharpener(got, features, keys, trees, seed)
+    hot = sharpen.apply_sharpener(fine, models, features, keys, plain=plain)
+    if residual:
+        hot = staged(hot, "sharpened")
+        hot = sharpen.correct_smoothed(hot, sharpen.smoothed_residuals(hot, low, factor, keys), keys)
+    return hot, sharpen.unusable_scenes(fine, models, keys)
 
 
 def stored_difference(lst: Column, ta: Column) -> Column:
@@ -141,18 +141,42 @@ def stored_difference(lst: Column, ta: Column) -> Column:
     return B.encoded(P.lst_minus_ta(B.decoded(lst, B.band("S3-LST")), ta), B.band("lst-ta"))
 
 
-def lst_ta_product(s3: DataFrame, fine: DataFrame, features: Sequence[str], factor: int, hourly: DataFrame, cell: Column, gain: float | None = None, offset: float | None = None, directional: float | None = None, residual: bool = False) -> DataFrame:
-    """acq_id, acq_time, row, col, lst_ta: scenes selected, sharpened with the optical day nearest to theirs, corrected, and minus air temperature."""
-    good = pipelines.prepare_s3(s3).withColumn("quality", mask.quality_flag(F.col("confidence_in"), F.col("lst_uncertainty"))).withColumn("day", F.to_date("acq_time"))
+def lst_ta_product(
+    s3: DataFrame,
+    fine: DataFrame,
+    features: Sequence[str],
+    factor: int,
+    hourly: DataFrame,
+    cell: Column,
+    gain: float | None = None,
+    offset: float | None = None,
+    directional: float | None = None,
+    residual: bool = False,
+    tile: str = "",
+    trees: int = 30,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(acq_id, acq_time, row, col, lst_ta), the manifest of its files, and the acquisitions that gave nothing to train on.
+
+    Scenes are selected and masked, each is sharpened by its own model with the optical day nearest to it, then corrected,
+    and air temperature is taken off. The selected scenes are written once.
+    """
+    chosen = pipelines.prepare_s3(s3).withColumn("quality", mask.quality_flag(F.col("confidence_in"), F.col("lst_uncertainty"))).withColumn("day", F.to_date("acq_time"))
+    good = staged(chosen.select("acq_id", "acq_time", "day", "row_lr", "col_lr", "lst", "vza", "quality"), "scenes")
     near = temporal.nearest_date(good, fine, "day", "acq_date").select("day", F.col("nearest").alias("acq_date"))
-    scenes = good.join(near, "day").groupBy("acq_id", "acq_date").agg(F.min("acq_time").alias("acq_time"), F.avg("vza").alias("vza"))
+    times = good.groupBy("acq_id", "day").agg(F.min("acq_time").alias("acq_time"), F.avg("vza").alias("vza"))
+    scenes = staged(times.join(near, "day").groupBy("acq_id", "acq_date").agg(F.min("acq_time").alias("acq_time"), F.avg("vza").alias("vza")), "times")
     low = good.select("acq_id", F.col("row_lr").alias("row"), F.col("col_lr").alias("col"), "lst", "quality")
     inputs = fine.join(scenes.select("acq_id", "acq_date"), "acq_date").select("acq_id", "row", "col", *features)
-    hot = sharpen_scenes(inputs, low, features, factor, ["acq_id"], residual=residual).join(scenes, "acq_id")
+    sharp, unusable = sharpen_scenes(inputs, low, features, factor, ["acq_id"], trees, residual=residual)
+    hot = sharp.join(scenes, "acq_id")
     hot = hot.withColumn("lst", P.correct_lst(F.col("lst"), F.col("vza"), gain, offset, directional)).withColumn("cell_id", cell)
     stored = B.encoded(F.col("lst"), B.band("S3-LST"))
     air = temporal.interp_meteo(hot.select("acq_time", "cell_id").distinct(), hourly, ["t2m"])
-    return hot.join(air, ["acq_time", "cell_id"], "left").select("acq_id", "acq_time", "row", "col", stored_difference(stored, F.col("t2m")).alias("lst_ta"))
+    product = hot.join(air, ["acq_time", "cell_id"], "left").select("acq_id", "acq_time", "row", "col", stored_difference(stored, F.col("t2m")).alias("lst_ta"))
+    made = scenes.join(unusable, "acq_id", "left_anti").select("acq_id", "acq_time")
+    path = F.concat(F.lit("LST-Ta_"), F.date_format("acq_time", "yyyyMMdd'T'HHmmss"), F.lit(f"_{tile}.tif"))
+    named = made.select(path.alias("path"), F.col("acq_time").cast("timestamp_ntz").alias("acq_time"), F.lit("Land Surface Temperature - air temperature (K)").alias("description"))
+    return product, catalog.manifest(named), unusable
 
 
 # -- corrections -------------------------------------------------------------------------
