@@ -14,10 +14,10 @@ import re
 import numpy as np
 
 from .common import kept
-from .pieces import PieceTable, gather, safe_cuts
+from .pieces import PieceTable, gather, grown, safe_cuts
 
-#: Slots (2^n) of a worker's table, about 40 MB with its ids; bytes handled at once.
-TABLE_BITS, CALL_BYTES = 21, 1 << 20
+#: Slots (2^n) of a worker's table, about 40 MB with its pieces and ids; bytes handled at once.
+TABLE_BITS, CALL_BYTES = 20, 1 << 20
 WORD = re.compile(" ?(?:[A-Za-zÀ-ÖØ-öø-ÿ])+")
 
 
@@ -43,8 +43,8 @@ class Encoder:
         self.table = PieceTable(bits, self._learn, self._forget)
 
     def _forget(self) -> None:
-        self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
-        self.pool, self.used = np.zeros(1 << 18, self.kind), 0
+        self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int32)
+        self.pool, self.used = np.empty(0, self.kind), 0
 
     def _library(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
@@ -60,10 +60,8 @@ class Encoder:
         ids = [self._piece(p) for p in pieces]
         lengths = np.array([len(x) for x in ids], np.int64)
         flat = np.fromiter((i for x in ids for i in x), self.kind, int(lengths.sum()))
-        while entries[-1] >= len(self.starts):
-            self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
-        while self.used + len(flat) > len(self.pool):
-            self.pool = np.resize(self.pool, 2 * len(self.pool))
+        self.starts, self.lengths = grown(self.starts, int(entries[-1]) + 1), grown(self.lengths, int(entries[-1]) + 1)
+        self.pool = grown(self.pool, self.used + len(flat))
         self.starts[entries] = self.used + np.cumsum(lengths) - lengths
         self.lengths[entries] = lengths
         self.pool[self.used : self.used + len(flat)] = flat

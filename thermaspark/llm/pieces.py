@@ -128,6 +128,15 @@ class HashTable:
         self.size += len(h)
 
 
+def grown(a: np.ndarray, n: int) -> np.ndarray:
+    """a with room for n values at least; what is new is not touched yet."""
+    if n <= len(a):
+        return a
+    out = np.empty(max(n, len(a) + len(a) // 2, 1 << 16), a.dtype)
+    out[: len(a)] = a
+    return out
+
+
 class PieceTable:
     """Numbers of distinct pieces of text, found by hash and told apart by their bytes; starts anew when full.
 
@@ -143,17 +152,15 @@ class PieceTable:
 
     def clear(self) -> None:
         self.table, self.odd, self.n = HashTable(self.bits), {}, 0
-        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
-        self.pool, self.used = np.zeros(1 << 18, np.uint8), 0
+        self.starts, self.sizes = np.empty(0, np.int64), np.empty(0, np.int32)
+        self.pool, self.used = np.empty(0, np.uint8), 0
         self.forget()
 
     def _add(self, pieces: list[bytes]) -> np.ndarray:
         entries = np.arange(self.n, self.n + len(pieces), dtype=np.int32)
         sizes, flat = np.array([len(p) for p in pieces], np.int64), np.frombuffer(b"".join(pieces), np.uint8)
-        while self.n + len(pieces) > len(self.starts):
-            self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, 2 * len(self.sizes))
-        while self.used + len(flat) > len(self.pool):
-            self.pool = np.resize(self.pool, 2 * len(self.pool))
+        self.starts, self.sizes = grown(self.starts, self.n + len(pieces)), grown(self.sizes, self.n + len(pieces))
+        self.pool = grown(self.pool, self.used + len(flat))
         self.starts[entries], self.sizes[entries] = self.used + np.cumsum(sizes) - sizes, sizes
         self.pool[self.used : self.used + len(flat)] = flat
         self.used, self.n = self.used + len(flat), self.n + len(pieces)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, kept, utf8
 from .encode import CALL_BYTES, WORD, byte_values
-from .pieces import HashTable, PieceTable, mix, safe_cuts
+from .pieces import HashTable, PieceTable, grown, mix, safe_cuts
 
 MOST_STATES, TABLE_BITS, CHUNK = 250_000, 22, 1 << 20
 #: Text whose split needs no table of Unicode classes.
@@ -174,12 +174,11 @@ class Counter:
         self.library_split = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         self.special = re.compile("|".join(map(re.escape, sorted(self.machine.specials, key=len, reverse=True))) or "(?!)")
         self.special_bytes = [s.encode() for s in self.machine.specials]
-        self.counts = np.zeros(1 << 16, np.int32)
+        self.counts = np.empty(0, np.int32)
         self.table = PieceTable(TABLE_BITS, self.learn)
 
     def learn(self, pieces: list[bytes], entries: np.ndarray) -> None:
-        while entries[-1] >= len(self.counts):
-            self.counts = np.resize(self.counts, 2 * len(self.counts))
+        self.counts = grown(self.counts, int(entries[-1]) + 1)
         self.counts[entries] = self.of_pieces(pieces)
 
     def of_pieces(self, pieces: list[bytes]) -> np.ndarray:
