@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -13,9 +15,11 @@ from ..operators import matchup as M
 from ..operators import sharpen as I
 from ..operators import temporal as E
 from ..sources import catalog as A
+from ..sources.staging import shared_dir
 from . import pipelines as K
+from . import preprocess as PP
 from . import products as X
-from .catalogue import AIR, DATED, DEM, OBS, ORACLES, SESA, dated_features, observations, paired_temperature, query, r6, rounded, scene_pairs
+from .catalogue import AIR, DATED, DEM, OBS, ORACLES, SESA, dated_features, observations, paired_temperature, query, r6, rounded, scene_pairs, spline_sql
 
 
 def table(spark, d, name):
@@ -298,3 +302,41 @@ LINEAR = (("AVG(POWER(t,4))", "AVG(t)"), ("POWER(low.lst,4)-m", "low.lst-m"), ("
 ORACLES["i6_i7_linear_correction"] = ORACLES["i6_i7_smoothed_correction"]
 for power, plain in LINEAR:
     ORACLES["i6_i7_linear_correction"] = ORACLES["i6_i7_linear_correction"].replace(power, plain)
+
+
+# -- preprocessing as one call -----------------------------------------------------------
+
+
+def preprocessed(spark, d, stage):
+    """Acquisitions of 10 by 10 cells of 0.01 degree, coarse cells of 2.5 times, fine cells of half that size."""
+    s3 = fixture(spark, d, "s3_obs").select("acq_id", "acq_time", F.col("row_lr").alias("row"), F.col("col_lr").alias("col"), "lst", "lst_uncertainty", "confidence_in", "vza")
+    s2 = fixture(spark, d, "s2_obs").select("acq_date", F.col("row_hr").alias("row"), F.col("col_hr").alias("col"), "b04", "b08", "scl")
+    dem = fixture(spark, d, "dem").select(F.col("row_hr").alias("row"), F.col("col_hr").alias("col"), "alt").filter("row < 20")
+    area = lambda size, n: G.Grid(25.0, size, -15.0, -size, n, n)
+    tile = PP.Tile((25.0, -15.1, 25.1, -15.0), area(0.01, 10), 4326, area(0.005, 20), area(0.025, 4), area(0.005, 20), 4326)
+    root = f"{shared_dir(spark)}/thermal/preprocess-{uuid.uuid4().hex}"
+    PP.preprocess(root, s3, s2, dem, tile)
+    return PP.read(spark, root, stage, decoded=False)
+
+
+@query("SELECT acq_id, acq_time, CAST(r AS INT) AS row, CAST(c AS INT) AS col, CAST(TRUNC(lst/0.01e0) AS INT) AS lst, CASE WHEN (confidence_in >> 14) & 1 = 0 AND lst_uncertainty <= 1 THEN 1 ELSE 0 END AS quality_flag FROM s3_obs, range(4) a(r), range(4) b(c) WHERE row_lr = FLOOR((r+0.5)*2.5) AND col_lr = FLOOR((c+0.5)*2.5)", "s3_obs")
+def k4_thermal(spark, d):
+    """Stored temperatures and flags of the source cells at the centres of coarse cells."""
+    return preprocessed(spark, d, "thermal").select("acq_id", "acq_time", "row", "col", F.col("lst").cast("int").alias("lst"), F.col("quality_flag").cast("int").alias("quality_flag"))
+
+
+@query(
+    """+ h AS (SELECT row_hr AS row, col_hr AS col, TRUNC(alt) AS alt FROM dem WHERE row_hr < 20),
+s AS (SELECT h.row, h.col, COUNT(*) AS n, SUM(dc*(2-ABS(dr))*x.alt)/(8*0.005) AS gx, SUM(dr*(2-ABS(dc))*x.alt)/(8*0.005) AS gy FROM h, range(-1, 2) p(dr), range(-1, 2) q(dc), h x WHERE x.row=h.row+dr AND x.col=h.col+dc GROUP BY 1, 2),
+g AS (SELECT row, col, CASE WHEN n=9 THEN ATAN(SQRT(gx*gx+gy*gy)) ELSE 0 END AS slo, CASE WHEN n=9 AND (gx<>0 OR gy<>0) THEN CASE WHEN ATAN2(-gx,gy)<0 THEN ATAN2(-gx,gy)+2*PI() ELSE ATAN2(-gx,gy) END ELSE 0 END AS asp, -15.0-0.005*(row+0.5) AS lat, 25.0+0.005*(col+0.5) AS lon, (row+0.5)/2-0.5 AS fr, (col+0.5)/2-0.5 AS fc FROM s),
+w AS (SELECT g.*, CAST(FLOOR(fr)+i AS INT) AS sr, CAST(FLOOR(fc)+j AS INT) AS sc, {wr} AS wr, {wc} AS wc FROM g, range(-1, 3) x(i), range(-1, 3) y(j)),
+v AS (SELECT acq_id, acq_time, row, col, lat, lon, slo, asp, SUM(wr*wc*vza)/SUM(wr*wc) AS vza FROM w JOIN s3_obs ON row_lr=sr AND col_lr=sc WHERE wr*wc > 0 GROUP BY ALL),
+t AS (SELECT *, dayofyear(acq_time) AS doy, hour(acq_time)+minute(acq_time)/60.0 AS ft FROM v), d AS (SELECT *, RADIANS(23.45)*SIN(2*PI()*doy/365-1.39) AS dec FROM t),
+o AS (SELECT *, RADIANS((12-(ft-(-(0.258*COS(dec)-7.416*SIN(dec)-3.648*COS(2*dec)-9.228*SIN(2*dec))/60.0+(0-lon)/15.0)))*15) AS w FROM d)
+SELECT acq_id, acq_time, row, col, ROUND(SIN(dec)*SIN(RADIANS(lat))*COS(slo)+SIN(dec)*COS(RADIANS(lat))*SIN(slo)*COS(asp)+COS(dec)*COS(RADIANS(lat))*COS(slo)*COS(w)-COS(dec)*SIN(RADIANS(lat))*SIN(slo)*COS(asp)*COS(w)-COS(dec)*SIN(slo)*SIN(asp)*SIN(w), 4) AS inc, ROUND(vza, 3) AS vza FROM o""".replace("{wr}", spline_sql("ABS(fr-FLOOR(fr)-i)")).replace("{wc}", spline_sql("ABS(fc-FLOOR(fc)-j)")),
+    "s3_obs dem",
+)
+def k4_angles(spark, d):
+    """Incidence on the fine grid's slopes and resampled view angles, stored in single precision."""
+    out = preprocessed(spark, d, "angles")
+    return out.select("acq_id", "acq_time", "row", "col", *(F.round(F.col(c).cast("double"), n).alias(c) for c, n in (("inc", 4), ("vza", 3))))
