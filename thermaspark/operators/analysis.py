@@ -232,9 +232,9 @@ def difference_boxplot(df: DataFrame) -> DataFrame:
 
 
 def scatter_frame(df: DataFrame, classes: Sequence[int] | None = None) -> DataFrame:
-    """Paired values with the class name and the axis range of all of them."""
+    """Paired values with the class name, and of all of them the axis range and the line: slope, intercept, r2."""
     some = df.filter(F.col("land_cover").isin(*classes)) if classes else df
-    ends = some.agg(F.least(F.min("lst_s3hr"), F.min("validation_lst")).alias("axis_min"), F.greatest(F.max("lst_s3hr"), F.max("validation_lst")).alias("axis_max"))
+    ends = some.agg(F.least(F.min("lst_s3hr"), F.min("validation_lst")).alias("axis_min"), F.greatest(F.max("lst_s3hr"), F.max("validation_lst")).alias("axis_max"), *(f("lst_s3hr", "validation_lst").alias(n) for n, f in (("slope", F.regr_slope), ("intercept", F.regr_intercept), ("r2", F.regr_r2))))
     return some.select("lst_s3hr", "validation_lst", land_cover_name(F.col("land_cover")).alias("class_name")).crossJoin(F.broadcast(ends))
 
 

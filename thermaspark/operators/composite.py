@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -43,3 +44,32 @@ def interpolate_linear(df: DataFrame, bands: Sequence[str], keys: Sequence[str]
         share = F.datediff(F.col("dekad"), t0) / F.nullif(F.datediff(t1, t0), F.lit(0))
         out[b] = F.coalesce(F.col(b), v0 + (v1 - v0) * share)
     return full.select(*keys, "dekad", *(c.alias(b) for b, c in out.items()))
+
+
+def dekads_between(first: datetime.date, last: datetime.date) -> list[datetime.date]:
+    days = (first + datetime.timedelta(n) for n in range((last - first).days + 1))
+    return [d for d in days if d.day in (1, 11, 21)]
+
+
+def filled_composite(df: DataFrame, bands: Sequence[str], keys: Sequence[str] = ("row_hr", "col_hr"), day: str = "acq_date", ends: tuple[datetime.date, datetime.date] | None = None) -> DataFrame:
+    """keys, dekad and bands: dekad medians of every pixel with gaps between dekads filled linearly in days; ends stay missing.
+
+    Pixels are shuffled once: their medians lie together as one array, and the values at every dekad follow from it. The
+    dekads are those from `ends`, or from the data's first to their last.
+    """
+    if ends is None:
+        ends = tuple(df.agg(F.min(dekad(F.col(day))), F.max(dekad(F.col(day)))).first())
+    axis = dekads_between(*ends) if ends[0] is not None else []
+    spine = F.array(*(F.lit(d) for d in axis)) if axis else F.expr("CAST(array() AS array<date>)")
+    own = df.select(*keys, dekad(F.col(day)).alias("dekad"), *bands).repartition(*keys)
+    medians = own.groupBy(*keys, "dekad").agg(*(F.median(b).alias(b) for b in bands))
+    known = medians.groupBy(*keys).agg(*(F.sort_array(F.collect_list(F.when(F.col(b).isNotNull(), F.struct("dekad", F.col(b).alias("v"))))).alias(f"__{b}") for b in bands))
+
+    def at(b: str, d: Column) -> Column:
+        before, behind = F.filter(f"__{b}", lambda x: x["dekad"] <= d), F.filter(f"__{b}", lambda x: x["dekad"] >= d)
+        one, other = F.get(before, F.size(before) - 1), F.get(behind, F.lit(0))
+        days = F.datediff(other["dekad"], one["dekad"])
+        return F.when(days == 0, one["v"]).otherwise(one["v"] + (other["v"] - one["v"]) * (F.datediff(d, one["dekad"]) / F.nullif(days, F.lit(0))))
+
+    values = F.transform(spine, lambda d: F.struct(d.alias("dekad"), *(at(b, d).alias(b) for b in bands)))
+    return known.select(*keys, F.inline(values))

@@ -28,6 +28,10 @@ class Grid:
     def rowcol(self, x: Column, y: Column) -> tuple[Column, Column]:
         return F.floor((y - self.y0) / self.dy).cast("int"), F.floor((x - self.x0) / self.dx).cast("int")
 
+    def rowcol_up(self, x: Column, y: Column) -> tuple[Column, Column]:
+        """The next row and column rather than the last one begun; equal to rowcol() on a cell's edge."""
+        return F.ceil((y - self.y0) / self.dy).cast("int"), F.ceil((x - self.x0) / self.dx).cast("int")
+
     def fraction(self, x: Column, y: Column) -> tuple[Column, Column]:
         """Row and column with fractions, 0 at the centre of cell 0."""
         return (y - self.y0) / self.dy - 0.5, (x - self.x0) / self.dx - 0.5
@@ -140,6 +144,50 @@ def to_aeqd(df: DataFrame, lon: str, lat: str, lon0: float, lat0: float) -> Data
     return out.select(*df.columns, *(F.when(valid, F.col(c)).alias(c) for c in ("x", "y")))
 
 
+def from_aeqd_steps(x: str, y: str, lon0: float, lat0: float, rounds: int = 6) -> list[dict[str, str]]:
+    """Columns to add one set after another, in SQL; the last are lon and lat of from_aeqd()."""
+    f = number(FLAT)
+    u1 = math.atan((1 - FLAT) * math.tan(math.radians(lat0)))
+    s1, c1 = number(math.sin(u1)), number(math.cos(u1))
+    steps = [
+        {"__s": f"SQRT({x}*{x}+{y}*{y})"},
+        {"__sz": f"COALESCE({x}/NULLIF(__s,0e0),0e0)", "__cz": f"COALESCE({y}/NULLIF(__s,0e0),1e0)"},
+        {"__sa": f"{c1}*__sz", "__g1": f"ATAN2({s1},{c1}*__cz)"},
+        {"__ca": "1e0-__sa*__sa"},
+        {"__q": f"__ca*{number(1 / (1 - FLAT) ** 2 - 1)}"},
+        {"__a": "1+__q/16384*(4096+__q*(-768+__q*(320-175*__q)))", "__b": "__q/1024*(256+__q*(-128+__q*(74-47*__q)))"},
+        {"__g": f"__s/({number(A * (1 - FLAT))}*__a)"},
+    ]
+    now = "__g"
+    for i in range(rounds):
+        m, new = f"__m{i}", f"__n{i}"
+        steps += [
+            {m: f"COS(2*__g1+{now})"},
+            {new: f"__g+__b*SIN({now})*({m}+__b/4*(COS({now})*(2*{m}*{m}-1)-__b/6*{m}*(4*SIN({now})*SIN({now})-3)*(4*{m}*{m}-3)))"},
+        ]
+        now = new
+    across, along = f"({s1}*COS({now})+{c1}*SIN({now})*__cz)", f"({s1}*SIN({now})-{c1}*COS({now})*__cz)"
+    steps += [
+        {"__m": f"COS(2*__g1+{now})", "__c": f"{f}/16*__ca*(4+{f}*(4-3*__ca))", "__l": f"ATAN2(SIN({now})*__sz,{c1}*COS({now})-{s1}*SIN({now})*__cz)"},
+        {"lat": f"DEGREES(ATAN2({across},{number(1 - FLAT)}*SQRT(__sa*__sa+{along}*{along})))", "__d": f"__l-(1-__c)*{f}*__sa*({now}+__c*SIN({now})*(__m+__c*COS({now})*(2*__m*__m-1)))"},
+        {"lon": f"{number(lon0)}+DEGREES(__d)"},
+    ]
+    return steps
+
+
+def from_aeqd(df: DataFrame, x: str, y: str, lon0: float, lat0: float) -> DataFrame:
+    """df with lon and lat of metres east and north in the azimuthal equidistant projection about (lon0, lat0).
+
+    The end of the geodesic by Vincenty's direct formula in a fixed number of rounds. Longitudes run on beyond 180 degrees
+    from lon0; a missing coordinate gives missing lon and lat.
+    """
+    out = df
+    for step in from_aeqd_steps(x, y, lon0, lat0):
+        out = out.withColumns({n: F.expr(e) for n, e in step.items()})
+    valid = F.col(x).isNotNull() & F.col(y).isNotNull()
+    return out.select(*df.columns, *(F.when(valid, F.col(c)).alias(c) for c in ("lon", "lat")))
+
+
 # -- regridding -------------------------------------------------------------------
 
 
@@ -192,6 +240,28 @@ def regrid_average(cells: DataFrame, factor: int, bands: Sequence[str], keys: Se
     return coarse(cells, factor, keys, {b: F.avg(b) for b in bands}, **axes)
 
 
+def shares(axis: str, count: int, start: float, step: float, target_start: float, target_step: float) -> Column:
+    """Of a source cell's place along an axis the target places that it overlaps, each with the overlap in target cells."""
+    ends = [(start + (F.col(axis) + i) * step - target_start) / target_step for i in (0, 1)]
+    low, high = F.least(*ends), F.greatest(*ends)
+    first, last = F.greatest(F.lit(0), F.floor(low)).cast("int"), F.least(F.lit(count - 1), F.ceil(high) - 1).cast("int")
+    places = F.when(first <= last, F.sequence(first, last))
+    return F.transform(places, lambda i: F.struct(i.alias("at"), (F.least(high, i + 1.0) - F.greatest(low, i.cast("double"))).alias("w")))
+
+
+def regrid_area(cells: DataFrame, source: Grid, target: Grid, bands: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Means of the source cells in each target cell, weighted by the area they share; any two grids along the same axes.
+
+    Overlaps along rows and along columns are intervals of indices, so that a source cell knows its target cells. Missing
+    values are left out and the weights renormalised; target cells that nothing overlaps are absent.
+    """
+    rows = F.explode(shares("row", target.n_rows, source.y0, source.dy, target.y0, target.dy)).alias("r")
+    cols = F.explode(shares("col", target.n_cols, source.x0, source.dx, target.x0, target.dx)).alias("c")
+    at = cells.select(*keys, "row", "col", *bands, rows).select(*keys, *bands, "r", cols)
+    at = at.select(*keys, F.col("r.at").alias("row"), F.col("c.at").alias("col"), (F.col("r.w") * F.col("c.w")).alias("w"), *bands).filter("w > 1e-12")
+    return at.groupBy(*keys, "row", "col").agg(*(weighted(b).alias(b) for b in bands))
+
+
 def regrid_max(cells: DataFrame, factor: int, bands: Sequence[str], keys: Sequence[str] = (), **axes: str) -> DataFrame:
     return coarse(cells, factor, keys, {b: F.max(b) for b in bands}, **axes)
 

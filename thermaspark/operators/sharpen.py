@@ -68,14 +68,6 @@ def residuals(fine: DataFrame, low: DataFrame, factor: int, keys: Sequence[str]
     return own.join(mean, [*keys, "row", "col"]).select(*keys, "row", "col", (F.pow("__t", F.lit(power)) - F.col("__m")).alias("residual"))
 
 
-def correct_residuals(fine: DataFrame, residual: DataFrame, factor: int, keys: Sequence[str] = ()) -> DataFrame:
-    """Fine temperatures with their coarse cell's own residual added in fourth powers, 0 where there is none. smoothed_residuals() and correct_smoothed() are the whole step."""
-    at = fine.withColumns({"__r": F.floor(F.col("row") / factor).cast("int"), "__c": F.floor(F.col("col") / factor).cast("int")})
-    own = residual.select(*keys, F.col("row").alias("__r"), F.col("col").alias("__c"), "residual")
-    met = at.join(own, [*keys, "__r", "__c"], "left").withColumn("lst", F.pow(F.coalesce("residual", F.lit(0.0)) + F.pow("lst", F.lit(4)), F.lit(0.25)))
-    return met.drop("__r", "__c", "residual")
-
-
 def smoothed_residuals(fine: DataFrame, low: DataFrame, factor: int, keys: Sequence[str] = (), power: int = 4) -> DataFrame:
     """Per fine cell the residual: of good coarse cells, smoothed, resampled bilinearly, gaps of one cell off the border filled.
 

@@ -133,13 +133,6 @@ def a19_filter_scenes(spark, d):
     return A.filter_scenes(s3, scenes, 20.0).select("px_id", "acq_id")
 
 
-@query("SELECT DISTINCT p_name AS name FROM part WHERE (p_name LIKE '%1%' OR p_name LIKE '%7%') AND p_partkey % 3 <> 0 AND p_name NOT IN (SELECT p_name FROM part WHERE p_partkey % 3 = 0)")
-def a21_missing_products(spark, d):
-    part = spark.read.parquet(f"{d}/part.parquet").select(F.col("p_name").alias("name"), "p_partkey")
-    done = part.filter("p_partkey % 3 = 0").select("name")
-    return A.missing_products(part.filter("p_partkey % 3 != 0"), done, ["1", "7"]).select("name").distinct()
-
-
 # -- B -----------------------------------------------------------------------------
 
 DEM = "+ c AS (SELECT row_hr AS row, col_hr AS col, alt FROM dem)"
@@ -156,6 +149,12 @@ def b1_rowcol(spark, d):
     return fixture(spark, d, "points").select("point_id", r.alias("r"), c.alias("c"))
 
 
+@query("SELECT point_id, CAST(CEIL((lat - (-14.9))/(-0.01)) AS INT) AS r, CAST(CEIL((lon-24.9)/0.01) AS INT) AS c FROM points", "points")
+def b1_rowcol_up(spark, d):
+    r, c = G.Grid(24.9, 0.01, -14.9, -0.01, 100, 100).rowcol_up(F.col("lon"), F.col("lat"))
+    return fixture(spark, d, "points").select("point_id", r.alias("r"), c.alias("c"))
+
+
 @query("SELECT px_id, ROUND(lon, 6) AS lon2, ROUND(lat, 6) AS lat2 FROM swath", "swath")
 def b3_reproject_round_trip(spark, d):
     x, y = G.reproject(F.col("lon"), F.col("lat"), 4326, 32735)
@@ -164,11 +163,6 @@ def b3_reproject_round_trip(spark, d):
     return at.select("px_id", r6(lon).alias("lon2"), r6(lat).alias("lat2"))
 
 
-@query(DEM + ", t AS (SELECT r AS row, q AS col, CAST(FLOOR((r+0.5)*1.5) AS INT) AS sr, CAST(FLOOR((q+0.5)*1.5) AS INT) AS sc FROM range(60) a(r), range(14) b(q)) SELECT CAST(t.row AS INT) AS row, CAST(t.col AS INT) AS col, alt FROM t JOIN c ON c.row=sr AND c.col=sc", "dem")
-def b4_regrid_nearest(spark, d):
-    return G.regrid(cells(spark, d), spark, G.Grid(0, 1.5, 0, 1.5, 14, 60), G.Grid(0, 1, 0, 1, 20, 1000), ["alt"])
-
-
 WEIGHTED = """, t AS (SELECT r AS row, q AS col, (r+0.5)*1.5-0.5 AS fr, (q+0.5)*1.5-0.5 AS fc FROM range(60) a(r), range(14) b(q)),
 n AS (SELECT t.*, CAST(FLOOR(fr)+i AS INT) AS sr, CAST(FLOOR(fc)+j AS INT) AS sc FROM t, range({lo}, {hi}) x(i), range({lo}, {hi}) y(j)),
 w AS (SELECT *, {wr} AS wr, {wc} AS wc FROM (SELECT *, ABS(fr-sr) AS dr, ABS(fc-sc) AS dc FROM n))
@@ -179,17 +173,7 @@ def spline_sql(v: str) -> str:
     return f"CASE WHEN {v}<1 THEN 2.0/3-{v}*{v}+{v}*{v}*{v}/2 WHEN {v}<2 THEN POWER(2-{v},3)/6 ELSE 0 END"
 
 
-@query(DEM + WEIGHTED.format(lo=0, hi=2, wr="GREATEST(0,1-dr)", wc="GREATEST(0,1-dc)"), "dem")
-def b7_regrid_bilinear(spark, d):
-    return rounded(G.regrid(cells(spark, d), spark, G.Grid(0, 1.5, 0, 1.5, 14, 60), G.Grid(0, 1, 0, 1, 20, 1000), ["alt"], "bilinear"))
-
-
-@query(DEM + WEIGHTED.format(lo=-1, hi=3, wr=spline_sql("dr"), wc=spline_sql("dc")), "dem")
-def b5_regrid_cubicspline(spark, d):
-    return rounded(G.regrid(cells(spark, d), spark, G.Grid(0, 1.5, 0, 1.5, 14, 60), G.Grid(0, 1, 0, 1, 20, 1000), ["alt"], "cubicspline"))
-
-
-#: Targets over all of the source; the queries above keep to their first 60 rows.
+#: Targets over all of the source.
 WHOLE = ", e AS (SELECT CAST(CEIL((MAX(row)+1)/1.5) AS BIGINT) AS nr, CAST(CEIL((MAX(col)+1)/1.5) AS BIGINT) AS nc FROM c), t AS (SELECT r AS row, q AS col, (r+0.5)*1.5-0.5 AS fr, (q+0.5)*1.5-0.5 AS fc FROM (SELECT UNNEST(range(nr)) AS r FROM e), (SELECT UNNEST(range(nc)) AS q FROM e))"
 WEIGHTED_WHOLE = WHOLE + "," + WEIGHTED[WEIGHTED.index("\nn AS") :]
 
@@ -216,6 +200,19 @@ def b5_cubicspline_whole(spark, d):
     return rounded(regrid_whole(spark, d, "cubicspline"))
 
 
+@query(
+    DEM + """, o AS (SELECT row, col, alt, UNNEST(range(CAST(FLOOR(row/2.5) AS BIGINT), CAST(CEIL((row+1)/2.5) AS BIGINT))) AS r FROM c), p AS (SELECT *, UNNEST(range(CAST(FLOOR(col/2.5) AS BIGINT), CAST(CEIL((col+1)/2.5) AS BIGINT))) AS q FROM o),
+w AS (SELECT r, q, alt, (LEAST((row+1)/2.5, r+1)-GREATEST(row/2.5, r))*(LEAST((col+1)/2.5, q+1)-GREATEST(col/2.5, q)) AS w FROM p)
+SELECT CAST(r AS INT) AS row, CAST(q AS INT) AS col, ROUND(SUM(w*alt)/SUM(w), 6) AS alt FROM w WHERE w > 1e-12 GROUP BY 1, 2""",
+    "dem",
+)
+def b6_regrid_area(spark, d):
+    """Cells of two and a half source cells."""
+    dem = cells(spark, d)
+    rows, cols = dem.agg(*(F.coalesce(F.max(c) + 1, F.lit(0)) for c in ("row", "col"))).first()
+    return rounded(G.regrid_area(dem, G.Grid(0, 1, 0, 1, cols, rows), G.Grid(0, 2.5, 0, 2.5, math.ceil(cols / 2.5), math.ceil(rows / 2.5)), ["alt"]))
+
+
 @query(agg_sql(3, "ROUND(AVG(alt), 6) AS alt"), "dem")
 def b6_regrid_average(spark, d):
     return rounded(G.regrid_average(cells(spark, d), 3, ["alt"]))
@@ -312,17 +309,6 @@ def b22_worldcover_tiles(spark, d):
     return G.worldcover_tiles(b, 2022).select("tile", "version")
 
 
-@query(
-    """+ g AS (SELECT r AS row, q AS col, 25.0+(q+0.5)*0.0007 AS x, -15.0-(r+0.5)*0.0007 AS y FROM range(30) a(r), range(50) b(q)),
-m AS (SELECT row, col, lst, px_id, ROUND(SQRT(POWER((lon-x)*111320.0*COS(RADIANS(-15.0105)),2)+POWER((lat-y)*111320.0,2)),6) AS far FROM g, swath),
-n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY row, col ORDER BY far, px_id) AS o FROM m WHERE far <= 210)
-SELECT CAST(row AS INT) AS row, CAST(col AS INT) AS col, far AS distance, lst FROM n WHERE o = 1""",
-    "swath",
-)
-def b18_grid_swath(spark, d):
-    return G.grid_swath(fixture(spark, d, "swath"), G.Grid(25.0, 0.0007, -15.0, -0.0007, 50, 30), ["lst"]).select(F.col("row").cast("int"), F.col("col").cast("int"), "distance", "lst")
-
-
 @query(
     """+ e AS (SELECT MIN(lon) AS x0, MAX(lat) AS y0, CAST(FLOOR((MAX(lon)-MIN(lon))/0.0007+1e-6) AS BIGINT)+1 AS nc, CAST(FLOOR((MAX(lat)-MIN(lat))/0.0007+1e-6) AS BIGINT)+1 AS nr FROM swath),
 g AS (SELECT r AS row, q AS col, x0+(q+0.5)*0.0007 AS x, y0-(r+0.5)*0.0007 AS y, RADIANS(y0-0.0007*nr/2) AS mid FROM (SELECT *, UNNEST(range(nr)) AS r FROM e), (SELECT UNNEST(range(nc)) AS q FROM e)),
@@ -332,7 +318,7 @@ SELECT CAST(row AS INT) AS row, CAST(col AS INT) AS col, far AS distance, lst FR
     "swath",
 )
 def b18_swath_whole(spark, d):
-    """The grid from the swath's bounds; b18_grid_swath keeps to 30 rows."""
+    """The grid comes from the swath's bounds."""
     swath = fixture(spark, d, "swath")
     x0, x1, y0, y1 = swath.agg(*(F.coalesce(f(c), F.lit(0.0)) for c, f in (("lon", F.min), ("lon", F.max), ("lat", F.max), ("lat", F.min)))).first()
     g = G.Grid(x0, 0.0007, y0, -0.0007, math.floor((x1 - x0) / 0.0007 + 1e-6) + 1, math.floor((y0 - y1) / 0.0007 + 1e-6) + 1)
@@ -372,19 +358,35 @@ def spread_sql(name: str, source: str, value: str, reach: int, f: str, axis: str
     return f"{name} AS (SELECT a.acq_date, a.row_hr, a.col_hr, {f}(b.{value}) AS {value} FROM {source} a JOIN {source} b ON a.acq_date=b.acq_date AND a.{other}=b.{other} AND b.{axis} BETWEEN a.{axis}-{reach} AND a.{axis}+{reach} GROUP BY 1,2,3)"
 
 
-def scl_sql() -> str:
-    steps = ["m AS (SELECT acq_date, row_hr, col_hr, CASE WHEN scl IN (2,4,5,6,7) THEN 0 ELSE 1 END AS m1, CASE WHEN scl IN (3,8,9,10,11) THEN 1 ELSE 0 END AS m2 FROM s2_obs)"]
+def classes(day: str) -> str:
+    """Scene classes that lie in blocks, so that erosion leaves some: of every date one, of every fourth a cloud; in SQL of both engines."""
+    n = f"CAST(({day})/5 AS INT)"
+    inside = f"row_hr BETWEEN MOD({n}*3,13) AND MOD({n}*3,13)+3 AND col_hr BETWEEN MOD({n}*5,11) AND MOD({n}*5,11)+2"
+    return f"CASE WHEN {inside} THEN CASE WHEN MOD({n},4)=3 THEN 9 ELSE 1 END ELSE 4 END"
+
+
+BLOCKS = classes("acq_date - DATE '2023-10-01'")
+
+
+def scene_classes(spark, d):
+    return fixture(spark, d, "s2_obs").withColumn("scl", F.expr(classes("datediff(acq_date, DATE '2023-10-01')")).cast("int"))
+
+
+def mask_sql() -> str:
+    """CTEs up to z: acq_date, row_hr, col_hr, masked."""
+    steps = [f"o AS (SELECT acq_date, row_hr, col_hr, {BLOCKS} AS scl FROM s2_obs)", "sm AS (SELECT acq_date, row_hr, col_hr, CASE WHEN scl IN (2,4,5,6,7) THEN 0 ELSE 1 END AS m1, CASE WHEN scl IN (3,8,9,10,11) THEN 1 ELSE 0 END AS m2 FROM o)"]
     for v, k in (("m1", 9), ("m2", 39)):
-        last = "m"
+        last = "sm"
         for n, (reach, f, axis) in enumerate(((1, "MIN", "row_hr"), (1, "MIN", "col_hr"), (k // 2, "MAX", "row_hr"), (k // 2, "MAX", "col_hr"))):
             steps.append(spread_sql(f"{v}_{n}", last, v, reach, f, axis))
             last = f"{v}_{n}"
-    return "+ " + ", ".join(steps) + " SELECT acq_date, row_hr, col_hr, GREATEST(m1, m2) AS masked FROM m1_3 JOIN m2_3 USING (acq_date, row_hr, col_hr)"
+    steps.append("z AS (SELECT acq_date, row_hr, col_hr, GREATEST(m1, m2) AS masked FROM m1_3 JOIN m2_3 USING (acq_date, row_hr, col_hr))")
+    return "+ " + ", ".join(steps)
 
 
-@query(scl_sql(), "s2_obs")
+@query(mask_sql() + " SELECT * FROM z", "s2_obs")
 def c6_scl_mask(spark, d):
-    return C.scl_mask(fixture(spark, d, "s2_obs"))
+    return C.scl_mask(scene_classes(spark, d))
 
 
 @query("SELECT row_hr, col_hr, MAX(b08) AS b08 FROM s2_obs GROUP BY 1, 2", "s2_obs")
@@ -409,19 +411,34 @@ def d1_d2_dekad_composite(spark, d):
     return rounded(D.dekad_composite(s2, ["b04", "ndvi"]))
 
 
-@query(
-    DEK + """, x AS (SELECT MIN(dekad) AS a, MAX(dekad) AS b FROM m), s AS (SELECT DISTINCT CAST(DATE_TRUNC('month', CAST(t AS DATE)) AS DATE) + CASE WHEN day(t)<=10 THEN 0 WHEN day(t)<=20 THEN 10 ELSE 20 END AS dekad FROM x, range(a, b + INTERVAL 1 DAY, INTERVAL 1 DAY) r(t)),
-f AS (SELECT p.row_hr, p.col_hr, s.dekad, m.ndvi FROM (SELECT DISTINCT row_hr, col_hr FROM m) p CROSS JOIN s LEFT JOIN m ON m.row_hr=p.row_hr AND m.col_hr=p.col_hr AND m.dekad=s.dekad),
-g AS (SELECT *, LAST_VALUE(ndvi IGNORE NULLS) OVER w AS v0, LAST_VALUE(CASE WHEN ndvi IS NOT NULL THEN dekad END IGNORE NULLS) OVER w AS t0, FIRST_VALUE(ndvi IGNORE NULLS) OVER u AS v1, FIRST_VALUE(CASE WHEN ndvi IS NOT NULL THEN dekad END IGNORE NULLS) OVER u AS t1 FROM f
+def filled_sql(bands, source: str = "m") -> str:
+    """Of dekad medians (row_hr, col_hr, dekad, bands) the values at every dekad, linear between known ones."""
+    full = ", ".join(f"m.{b}" for b in bands)
+    ends = ", ".join(f"LAST_VALUE({b} IGNORE NULLS) OVER w AS v0{b}, LAST_VALUE(CASE WHEN {b} IS NOT NULL THEN dekad END IGNORE NULLS) OVER w AS t0{b}, FIRST_VALUE({b} IGNORE NULLS) OVER u AS v1{b}, FIRST_VALUE(CASE WHEN {b} IS NOT NULL THEN dekad END IGNORE NULLS) OVER u AS t1{b}" for b in bands)
+    out = ", ".join(f"ROUND(COALESCE({b}, v0{b}+(v1{b}-v0{b})*(dekad-t0{b})/CAST(NULLIF(t1{b}-t0{b},0) AS DOUBLE)),6) AS {b}" for b in bands)
+    return f""", x AS (SELECT MIN(dekad) AS a, MAX(dekad) AS b FROM {source}), s AS (SELECT DISTINCT CAST(DATE_TRUNC('month', CAST(t AS DATE)) AS DATE) + CASE WHEN day(t)<=10 THEN 0 WHEN day(t)<=20 THEN 10 ELSE 20 END AS dekad FROM x, range(a, b + INTERVAL 1 DAY, INTERVAL 1 DAY) r(t)),
+f AS (SELECT p.row_hr, p.col_hr, s.dekad, {full} FROM (SELECT DISTINCT row_hr, col_hr FROM {source}) p CROSS JOIN s LEFT JOIN {source} m ON m.row_hr=p.row_hr AND m.col_hr=p.col_hr AND m.dekad=s.dekad),
+g AS (SELECT *, {ends} FROM f
  WINDOW w AS (PARTITION BY row_hr, col_hr ORDER BY dekad ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), u AS (PARTITION BY row_hr, col_hr ORDER BY dekad ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
-SELECT row_hr, col_hr, dekad, ROUND(COALESCE(ndvi, v0+(v1-v0)*(dekad-t0)/CAST(NULLIF(t1-t0,0) AS DOUBLE)),6) AS ndvi FROM g""",
-    "s2_obs",
-)
+SELECT row_hr, col_hr, dekad, {out} FROM g"""
+
+
+@query(DEK + filled_sql(["ndvi"]), "s2_obs")
 def d3_interpolate_linear(spark, d):
     s2 = fixture(spark, d, "s2_obs").withColumn("ndvi", D.ndvi(F.col("b08"), F.col("b04")))
     return rounded(D.interpolate_linear(D.dekad_composite(s2, ["ndvi"]), ["ndvi"]))
 
 
+MEDIANS = "m AS (SELECT row_hr, col_hr, CAST(DATE_TRUNC('month', acq_date) AS DATE) + CASE WHEN day(acq_date)<=10 THEN 0 WHEN day(acq_date)<=20 THEN 10 ELSE 20 END AS dekad, MEDIAN(b04) AS b04, MEDIAN(b08) AS b08, MEDIAN((b08-b04)/NULLIF(b08+b04,0)) AS ndvi FROM {source} GROUP BY 1, 2, 3)"
+
+
+@query("+ " + MEDIANS.format(source="s2_obs") + filled_sql(["b04", "b08", "ndvi"]), "s2_obs")
+def d2_d3_filled_composite(spark, d):
+    """Medians and filling of three bands in one shuffle of the pixels."""
+    s2 = fixture(spark, d, "s2_obs").withColumn("ndvi", D.ndvi(F.col("b08"), F.col("b04")))
+    return rounded(D.filled_composite(s2, ["b04", "b08", "ndvi"]))
+
+
 # -- E -----------------------------------------------------------------------------
 
 
@@ -453,13 +470,6 @@ def e4_integrated_flux(spark, d):
     return rounded(E.integrated_flux(observations(spark, d), fixture(spark, d, "era5_hourly"), "sp", 24, 2.0))
 
 
-@query("+ c AS (SELECT DISTINCT acq_id, acq_time FROM s3_obs) SELECT a.acq_id AS left_id, b.acq_id AS right_id FROM c a JOIN c b ON a.acq_id<b.acq_id AND ABS(epoch_us(a.acq_time)-epoch_us(b.acq_time)) < 120*60*1000000::BIGINT", "s3_obs")
-def e5_simultaneous(spark, d):
-    c = fixture(spark, d, "s3_obs").select("acq_id", "acq_time").distinct()
-    left, right = c.select(F.col("acq_id").alias("left_id"), F.col("acq_time").alias("lt")), c.select(F.col("acq_id").alias("right_id"), F.col("acq_time").alias("rt"))
-    return E.simultaneous(left, right, 120, left_time="lt", right_time="rt").filter("left_id < right_id").select("left_id", "right_id")
-
-
 @query("SELECT a.row_lr, a.col_lr, a.acq_id, a.lst AS left_lst, b.lst AS right_lst FROM s3_obs a JOIN s3_obs b ON a.acq_id+1=b.acq_id AND a.row_lr=b.row_lr AND a.col_lr=b.col_lr WHERE a.lst<>0 AND b.lst<>0", "s3_obs")
 def e8_align_grids(spark, d):
     s3 = fixture(spark, d, "s3_obs")
@@ -621,9 +631,10 @@ def h19_difference_boxplot(spark, d):
     return rounded(H.difference_boxplot(good(spark, d)))
 
 
-@query(GOOD + ", picked AS (SELECT * FROM good WHERE land_cover IN (10, 40)) SELECT lst_s3hr, validation_lst, CASE land_cover WHEN 10 THEN 'Tree Cover' ELSE 'Cropland' END AS class_name, (SELECT LEAST(MIN(lst_s3hr),MIN(validation_lst)) FROM picked) AS axis_min, (SELECT GREATEST(MAX(lst_s3hr),MAX(validation_lst)) FROM picked) AS axis_max FROM picked", "matchup")
+@query(GOOD + ", picked AS (SELECT * FROM good WHERE land_cover IN (10, 40)) SELECT lst_s3hr, validation_lst, CASE land_cover WHEN 10 THEN 'Tree Cover' ELSE 'Cropland' END AS class_name, (SELECT LEAST(MIN(lst_s3hr),MIN(validation_lst)) FROM picked) AS axis_min, (SELECT GREATEST(MAX(lst_s3hr),MAX(validation_lst)) FROM picked) AS axis_max, (SELECT ROUND(REGR_SLOPE(lst_s3hr,validation_lst),6) FROM picked) AS slope, (SELECT ROUND(REGR_INTERCEPT(lst_s3hr,validation_lst),6) FROM picked) AS intercept, (SELECT ROUND(REGR_R2(lst_s3hr,validation_lst),6) FROM picked) AS r2 FROM picked", "matchup")
 def h20_h22_scatter_frame(spark, d):
-    return H.scatter_frame(good(spark, d), [10, 40])
+    out = H.scatter_frame(good(spark, d), [10, 40])
+    return out.withColumns({c: r6(c) for c in ("slope", "intercept", "r2")})
 
 
 @query(
@@ -659,18 +670,6 @@ def h18_difference_distribution(spark, d):
 # -- I, J, K -------------------------------------------------------------------------
 
 
-def fine_features(spark, d):
-    s2 = fixture(spark, d, "s2_obs").filter("acq_date = DATE '2023-10-01'")
-    return s2.groupBy(F.col("row_hr").alias("row"), F.col("col_hr").alias("col")).agg(F.avg("b04").alias("b04"), F.avg("b08").alias("b08"))
-
-
-def low_temperature(spark, d):
-    return fixture(spark, d, "s3_obs").groupBy(F.col("row_lr").alias("row"), F.col("col_lr").alias("col")).agg(F.avg("lst").alias("lst"), F.lit(1).alias("quality"))
-
-
-FEATURES = "+ fine AS (SELECT row_hr AS row, col_hr AS col, AVG(b04) AS b04, AVG(b08) AS b08 FROM s2_obs WHERE acq_date = DATE '2023-10-01' GROUP BY 1, 2), low AS (SELECT row_lr AS row, col_lr AS col, AVG(lst) AS lst FROM s3_obs GROUP BY 1, 2)"
-
-
 def scene_pairs(spark, d):
     """acq_date, day: each optical date with the nearest day of temperatures, and each such day with the nearest optical date."""
     s2 = fixture(spark, d, "s2_obs").select("acq_date")
@@ -697,15 +696,9 @@ ds AS (SELECT DISTINCT CAST(acq_time AS DATE) AS day FROM s3_obs), da AS (SELECT
 pairs AS (SELECT acq_date, (SELECT day FROM ds ORDER BY ABS(day-acq_date), day LIMIT 1) AS day FROM da UNION SELECT (SELECT acq_date FROM da ORDER BY ABS(acq_date-day), acq_date LIMIT 1), day FROM ds)"""
 
 
-@query(FEATURES + ", m AS (SELECT CAST(FLOOR(row/2) AS INT) AS row, CAST(FLOOR(col/2) AS INT) AS col, AVG(b04) AS b04, STDDEV_POP(b04) AS s04, AVG(b08) AS b08, STDDEV_POP(b08) AS s08 FROM fine GROUP BY 1, 2), k AS (SELECT m.*, lst, (s04/b04+s08/b08)/2 AS cv FROM m JOIN low USING (row, col)) SELECT row, col, ROUND(lst,6) AS lst, ROUND(cv,6) AS cv, ROUND(1/cv,5) AS weight, ROUND(b04,6) AS b04, ROUND(b08,6) AS b08 FROM k WHERE cv > 0 AND cv < 0.8", "s2_obs s3_obs")
-def i1_training_samples(spark, d):
-    out = I.training_samples(fine_features(spark, d), low_temperature(spark, d), ["b04", "b08"], 2)
-    return rounded(out.withColumn("weight", F.round("weight", 5)))
-
-
 @query(DATED + ", m AS (SELECT acq_date, CAST(FLOOR(row/2) AS INT) AS row, CAST(FLOOR(col/2) AS INT) AS col, AVG(b04) AS b04, STDDEV_POP(b04) AS s04, AVG(b08) AS b08, STDDEV_POP(b08) AS s08 FROM fine GROUP BY 1, 2, 3), k AS (SELECT m.*, day, lst, (s04/b04+s08/b08)/2 AS cv FROM m JOIN pairs USING (acq_date) JOIN low USING (day, row, col)) SELECT acq_date, day, row, col, ROUND(lst,6) AS lst, ROUND(cv,6) AS cv, ROUND(1/cv,5) AS weight, ROUND(b04,6) AS b04, ROUND(b08,6) AS b08 FROM k WHERE cv > 0 AND cv < 0.8", "s2_obs s3_obs")
 def i1_dated_samples(spark, d):
-    """Samples of all dates; i1_training_samples has those of one date."""
+    """Samples of all dates."""
     out = dated_samples(spark, d)
     return rounded(out.withColumn("weight", F.round("weight", 5)))
 
@@ -726,15 +719,6 @@ def i3_i4_sharpen(spark, d):
     return I.apply_sharpener(fine, models, ["b04", "b08"], keys)
 
 
-@query(
-    FEATURES + ", hr AS (SELECT row, col, 280+b04*40 AS t FROM fine), m AS (SELECT CAST(FLOOR(row/2) AS INT) AS row, CAST(FLOOR(col/2) AS INT) AS col, AVG(POWER(t,4)) AS m FROM hr GROUP BY 1, 2), r AS (SELECT row, col, POWER(lst,4)-m AS r FROM m JOIN low USING (row, col)) SELECT hr.row, hr.col, ROUND(POWER(COALESCE(r,0)+POWER(t,4),0.25),6) AS lst FROM hr LEFT JOIN r ON r.row=FLOOR(hr.row/2) AND r.col=FLOOR(hr.col/2)",
-    "s2_obs s3_obs",
-)
-def i6_i7_residual_correction(spark, d):
-    fine = fine_features(spark, d).select("row", "col", (280 + F.col("b04") * 40).alias("lst"))
-    return rounded(I.correct_residuals(fine, I.residuals(fine, low_temperature(spark, d), 2), 2))
-
-
 @query(
     DATED + f""", hr AS (SELECT acq_date, day, row, col, 280+b04*40 AS t FROM fine JOIN pairs USING (acq_date)),
 m AS (SELECT acq_date, day, CAST(FLOOR(row/2) AS INT) AS row, CAST(FLOOR(col/2) AS INT) AS col, AVG(POWER(t,4)) AS m FROM hr GROUP BY 1, 2, 3, 4),
@@ -750,7 +734,6 @@ SELECT acq_date, day, row, col, ROUND(POWER(COALESCE(r, near)+POWER(t,4),0.25),6
     "s2_obs s3_obs",
 )
 def i6_i7_smoothed_correction(spark, d):
-    """The whole step over all dates; i6_i7_residual_correction is its shortcut on one date."""
     fine = dated_features(spark, d).select("acq_date", "row", "col", (280 + F.col("b04") * 40).alias("lst")).join(scene_pairs(spark, d), "acq_date")
     keys = ["acq_date", "day"]
     return rounded(I.correct_smoothed(fine, I.smoothed_residuals(fine, paired_temperature(spark, d), 2, keys), keys)).select(*keys, "row", "col", "lst")
@@ -788,17 +771,25 @@ def k1_prepare_s3(spark, d):
     return K.prepare_s3(fixture(spark, d, "s3_obs")).select("px_id", "lst")
 
 
-@query()
-def k2_prepare_s2(spark, d):
-    s2 = fixture(spark, d, "s2_obs")
-    return K.prepare_s2(s2, C.scl_mask(s2))
+CLOUDY = "MOD(CAST(({day})/5 AS INT)*37,120)"
+
+
+CLEAR = CLOUDY.format(day="acq_date - DATE '2023-10-01'")
 
 
-@query(AIR + ", o AS (SELECT DISTINCT CAST(MOD(px_id,4) AS INT) AS cell_id, acq_time, 1000.0e0 AS elev FROM s3_obs), x AS (SELECT o.*, g.t2m, g.ea, g.p, t2m-lapse*(0-(z/9.80665+2)) AS td FROM o JOIN g ON g.cell_id=o.cell_id AND g.valid_time=o.acq_time) SELECT cell_id, acq_time, ROUND(t2m,6) AS t2m, ROUND(td,6) AS t_datum FROM x", "s3_obs era5_hourly")
-def k5_era5_on_the_hour(spark, d):
-    hours = fixture(spark, d, "era5_hourly").select("cell_id", F.col("valid_time").alias("acq_time"))
-    obs = observations(spark, d).join(hours, ["cell_id", "acq_time"]).withColumn("elev", F.lit(1000.0))
-    return rounded(K.era5_at(obs, fixture(spark, d, "era5_hourly"), "elev").select("cell_id", "acq_time", "t2m", "t_datum"))
+@query(
+    mask_sql()
+    + f", k AS (SELECT DISTINCT acq_date, row_hr, col_hr, CASE WHEN masked=1 THEN NULL ELSE b04 END AS b04, CASE WHEN masked=1 THEN NULL ELSE b08 END AS b08 FROM s2_obs JOIN z USING (acq_date, row_hr, col_hr) WHERE {CLEAR} <= 95), "
+    + MEDIANS.format(source="k")
+    + filled_sql(["b04", "b08", "ndvi"]),
+    "s2_obs",
+)
+def k2_prepare_s2(spark, d):
+    """Cloudy dates left out, blocks of bad classes masked with production kernels, pixels already on their grid resampled onto it."""
+    s2 = scene_classes(spark, d)
+    cloud = F.expr(CLOUDY.format(day="datediff(acq_date, DATE '2023-10-01')"))
+    g = G.Grid(0, 20.0, 0, -20.0, 20, 20)
+    return rounded(K.prepare_s2(s2, C.scl_mask(s2), scenes=s2.select("acq_date", cloud.alias("cloud_cover")).distinct(), grids=(g, g)))
 
 
 @query(

@@ -14,12 +14,13 @@ from ..operators import mask as C
 from ..operators import matchup as M
 from ..operators import sharpen as I
 from ..operators import temporal as E
+from ..operators import windows as W
 from ..sources import catalog as A
 from ..sources.staging import shared_dir
 from . import pipelines as K
 from . import preprocess as PP
 from . import products as X
-from .catalogue import AIR, DATED, DEM, OBS, ORACLES, SESA, dated_features, observations, paired_temperature, query, r6, rounded, scene_pairs, spline_sql
+from .catalogue import AIR, DATED, DEM, MEDIANS, OBS, ORACLES, SESA, dated_features, filled_sql, observations, paired_temperature, query, r6, rounded, scene_pairs, spline_sql
 
 
 def table(spark, d, name):
@@ -187,7 +188,7 @@ SELECT cell_id, acq_time, ROUND(t2m,6) AS t2m, ROUND(td,6) AS t_datum, ROUND(td
     "s3_obs era5_hourly",
 )
 def k5_era5_at(spark, d):
-    """At all observations, with the air temperature above the ground; k5_era5_on_the_hour has those on the hour."""
+    """At all observations, with the air temperature above the ground."""
     obs = observations(spark, d).withColumn("elev", F.lit(1000.0))
     return rounded(K.era5_at(obs, fixture(spark, d, "era5_hourly"), "elev").select("cell_id", "acq_time", "t2m", "t_datum", "air_temperature"))
 
@@ -205,9 +206,15 @@ SELECT '' AS geometry, strftime(dekad, '%Y-%m-%dT00:00:00Z') AS startTime, strft
     "s2_obs",
 )
 def k7_ndvi_product(spark, d):
+    """The manifest; k7_ndvi_cells has the cells."""
     return X.ndvi_product(fixture(spark, d, "s2_obs"), "31PDR")[1]
 
 
+@query("+ " + MEDIANS.format(source="s2_obs") + filled_sql(["ndvi"]), "s2_obs")
+def k7_ndvi_cells(spark, d):
+    return rounded(X.ndvi_product(fixture(spark, d, "s2_obs"), "31PDR")[0])
+
+
 @query()
 def k8_correction_parameters(spark, d):
     m = fixture(spark, d, "matchup")
@@ -261,6 +268,12 @@ def sql_to_aeqd(source: str, lon: str, lat: str, lon0: float, lat0: float) -> st
     return source
 
 
+def sql_from_aeqd(source: str, x: str, y: str, lon0: float, lat0: float) -> str:
+    for step in G.from_aeqd_steps(x, y, lon0, lat0):
+        source = f"(SELECT *, {', '.join(f'{e} AS {n}' for n, e in step.items())} FROM {source})"
+    return source
+
+
 @query(f"SELECT px_id, ROUND(x, 3) AS x, ROUND(y, 3) AS y FROM {sql_to_aeqd('swath', 'lon', 'lat', 25.0175, -15.01)}", "swath")
 def b3_to_aeqd(spark, d):
     """Pixels about a point of the swath; tests hold the projection against known arcs."""
@@ -340,3 +353,63 @@ def k4_angles(spark, d):
     """Incidence on the fine grid's slopes and resampled view angles, stored in single precision."""
     out = preprocessed(spark, d, "angles")
     return out.select("acq_id", "acq_time", "row", "col", *(F.round(F.col(c).cast("double"), n).alias(c) for c, n in (("inc", 4), ("vza", 3))))
+
+
+# -- grids, windows, files ---------------------------------------------------------------
+
+
+@query(f"+ q AS (SELECT px_id, CAST(MOD(px_id, 41)-20 AS DOUBLE)*500 AS px, CAST(MOD(px_id, 37)-18 AS DOUBLE)*500 AS py FROM swath) SELECT px_id, ROUND(lon, 7) AS lon, ROUND(lat, 7) AS lat FROM {sql_from_aeqd('q', 'px', 'py', 25.0175, -15.01)}", "swath")
+def b3_from_aeqd(spark, d):
+    """Points up to 10 km around a point; tests hold the way there and back below a millimetre."""
+    at = fixture(spark, d, "swath").select("px_id", ((F.col("px_id") % 41 - 20) * 500.0).alias("px"), ((F.col("px_id") % 37 - 18) * 500.0).alias("py"))
+    out = G.from_aeqd(at, "px", "py", 25.0175, -15.01)
+    return out.select("px_id", F.round("lon", 7).alias("lon"), F.round("lat", 7).alias("lat"))
+
+
+@query(
+    """+ hr AS (SELECT row_hr AS row, col_hr AS col, 280+alt/20 AS t FROM dem),
+m AS (SELECT CAST(FLOOR(row/2) AS INT) AS row, CAST(FLOOR(col/2) AS INT) AS col, AVG(POWER(t,4)) AS m FROM hr GROUP BY 1, 2),
+r AS (SELECT row, col, CASE WHEN (row+col) % 4 <> 0 THEN POWER(281.0+((row*7+col*3) % 5),4)-m END AS r FROM m),
+e AS (SELECT MIN(row) AS r0, MAX(row) AS r1, MIN(col) AS c0, MAX(col) AS c1 FROM r),
+x AS (SELECT r.*, (2-ABS(dr))*(2-ABS(dc)) AS w, LEAST(r1, GREATEST(r0, row+dr)) AS sr, LEAST(c1, GREATEST(c0, col+dc)) AS sc FROM r, e, (VALUES (-1),(0),(1)) a(dr), (VALUES (-1),(0),(1)) b(dc)),
+s AS (SELECT x.row, x.col, CASE WHEN MAX(x.r) IS NOT NULL THEN SUM(w*y.r)/SUM(CASE WHEN y.r IS NOT NULL THEN w END) END AS r FROM x JOIN r y ON y.row=sr AND y.col=sc GROUP BY 1, 2),
+q AS (SELECT *, (row+0.5)/2-0.5 AS fr, (col+0.5)/2-0.5 AS fc FROM hr),
+n AS (SELECT q.*, FLOOR(fr)+i AS sr, FLOOR(fc)+j AS sc, (1-ABS(fr-FLOOR(fr)-i))*(1-ABS(fc-FLOOR(fc)-j)) AS w FROM q, range(2) a(i), range(2) b(j)),
+f AS (SELECT n.row, n.col, n.t, SUM(w*s.r)/SUM(CASE WHEN s.r IS NOT NULL THEN w END) AS r FROM n LEFT JOIN s ON s.row=sr AND s.col=sc GROUP BY 1, 2, 3),
+z AS (SELECT f.row, f.col, CASE WHEN COUNT(*)=4 THEN AVG(g.r) END AS near FROM f JOIN f g ON (f.row=g.row AND ABS(f.col-g.col)=1) OR (f.col=g.col AND ABS(f.row-g.row)=1) GROUP BY 1, 2)
+SELECT 0 AS scene, row, col, ROUND(POWER(COALESCE(r, near)+POWER(t,4),0.25),6) AS lst FROM f LEFT JOIN z USING (row, col)""",
+    "dem",
+)
+def b16_windows_correction(spark, d):
+    """Residuals of coarse cells, a quarter of them bad, in windows of 7 by 5 that bring their border along."""
+    fine = fixture(spark, d, "dem").select(F.lit(0).alias("scene"), F.col("row_hr").alias("row"), F.col("col_hr").alias("col"), (280 + F.col("alt") / 20).alias("lst"))
+    rows, cols = fine.agg(*(F.coalesce(F.max(c) + 1, F.lit(0)) for c in ("row", "col"))).first()
+    low = fine.select("scene", F.floor(F.col("row") / 2).cast("int").alias("row"), F.floor(F.col("col") / 2).cast("int").alias("col")).distinct()
+    low = low.select("*", (281.0 + (F.col("row") * 7 + F.col("col") * 3) % 5).alias("lst"), F.when((F.col("row") + F.col("col")) % 4 != 0, 1).otherwise(0).alias("quality"))
+    w = W.Windows(G.Grid(0, 2, 0, 2, -(-cols // 2), -(-rows // 2)), G.Grid(0, 1, 0, 1, cols, rows), 2, 7, 5)
+    return rounded(W.correct_residuals(fine, low, ["scene"], w))
+
+
+@query("SELECT lst_s3hr, s3_vza, s3_vaa, s3_sza, s3_saa, validation_lst, validation_vza, validation_vaa, validation_sza, validation_saa, land_cover, s3_time, validation_cloudmask FROM matchup", "matchup")
+def a8_read_matchups(spark, d):
+    """Match-ups written as CSV and read back, mornings from files with the older names."""
+    m, root = fixture(spark, d, "matchup"), f"{shared_dir(spark)}/thermal/csv-{uuid.uuid4().hex}"
+    early = F.col("s3_time").endswith("T093000")
+    m.filter(~early).write.option("header", "true").csv(f"{root}/now")
+    m.filter(early).withColumnsRenamed({new: old for old, new in A.LEGACY.items()}).write.option("header", "true").csv(f"{root}/then")
+    return A.read_matchups(spark, [f"{root}/now"], [f"{root}/then"]).drop("src_file")
+
+
+@query("SELECT acq_id, CAST(row_lr AS INT) AS row, CAST(col_lr AS INT) AS col, ROUND(lst, 6) AS value, ROUND(25.0+(col_lr+0.5)*0.01, 6) AS x, ROUND(-15.0-(row_lr+0.5)*0.01, 6) AS y FROM s3_obs", "s3_obs")
+def a18_cube_to_cells(spark, d):
+    """Acquisitions as nested arrays, a row of cells each, and back."""
+    lines = fixture(spark, d, "s3_obs").groupBy("acq_id", "row_lr").agg(F.sort_array(F.collect_list(F.struct("col_lr", "lst"))).alias("line"))
+    cube = lines.groupBy("acq_id").agg(F.sort_array(F.collect_list(F.struct("row_lr", F.transform("line", lambda x: x["lst"]).alias("v")))).alias("rows"))
+    cells = A.cube_to_cells(cube.select(F.col("acq_id").alias("acq_time"), F.transform("rows", lambda x: x["v"]).alias("values")), 25.0, 0.01, -15.0, -0.01)
+    return rounded(cells.select(F.col("acq_time").alias("acq_id"), "row", "col", "value", "x", "y"))
+
+
+@query("+ l AS (SELECT DISTINCT CAST(MOD(px_id,4) AS INT) AS cell_id, acq_time, CAST(CAST(acq_time + INTERVAL 2 HOUR AS DATE) AS TIMESTAMP) - INTERVAL 2 HOUR AS s FROM s3_obs), " + OBS.lstrip().removeprefix("+ ") + " SELECT f.cell_id, f.acq_time, ROUND(x.t2m*frac+y.t2m*(1-frac),6) AS t2m, ROUND(COALESCE((SELECT SUM(sp) FROM era5_hourly e WHERE e.cell_id=f.cell_id AND valid_time>l.s AND valid_time<=l.s+INTERVAL 24 HOUR),0)/86400,6) AS sp FROM f JOIN l ON l.cell_id=f.cell_id AND l.acq_time=f.acq_time JOIN era5_hourly x ON x.cell_id=f.cell_id AND x.valid_time=b JOIN era5_hourly y ON y.cell_id=f.cell_id AND y.valid_time=a", "s3_obs era5_hourly")
+def k5_daily_flux(spark, d):
+    """Temperatures in time with the mean flux of the local day."""
+    return rounded(K.era5_at(observations(spark, d), fixture(spark, d, "era5_hourly"), radiation="sp", time_zone=2.0).select("cell_id", "acq_time", "t2m", "sp"))
