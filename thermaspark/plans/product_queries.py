@@ -13,6 +13,7 @@ from ..operators import grid as G
 from ..operators import mask as C
 from ..operators import matchup as M
 from ..operators import sharpen as I
+from ..operators import swath as S
 from ..operators import temporal as E
 from ..operators import windows as W
 from ..sources import catalog as A
@@ -413,3 +414,42 @@ def a18_cube_to_cells(spark, d):
 def k5_daily_flux(spark, d):
     """Temperatures in time with the mean flux of the local day."""
     return rounded(K.era5_at(observations(spark, d), fixture(spark, d, "era5_hourly"), radiation="sp", time_zone=2.0).select("cell_id", "acq_time", "t2m", "sp"))
+
+
+SWATH_E = "+ e AS (SELECT MIN(lon) AS x0, MAX(lat) AS y0, CAST(FLOOR((MAX(lon)-MIN(lon))/0.0007+1e-6) AS BIGINT)+1 AS nc, CAST(FLOOR((MAX(lat)-MIN(lat))/0.0007+1e-6) AS BIGINT)+1 AS nr FROM swath)"
+
+
+def swath_grid(spark, d):
+    found = fixture(spark, d, "swath")
+    x0, x1, y0, y1 = found.agg(*(F.coalesce(f(c), F.lit(0.0)) for c, f in (("lon", F.min), ("lon", F.max), ("lat", F.max), ("lat", F.min)))).first()
+    return found, G.Grid(x0, 0.0007, y0, -0.0007, int((x1 - x0) / 0.0007 + 1e-6) + 1, int((y0 - y1) / 0.0007 + 1e-6) + 1)
+
+
+@query()
+def b18_swath_plane(spark, d):
+    """Nearest pixels in the azimuthal plane about the grid's middle; tests hold it against brute force."""
+    found, g = swath_grid(spark, d)
+    return rounded(S.grid_swath_plane(found, g, ["lst"]))
+
+
+def swath_inputs(spark, d):
+    """Three granules of the swath on as many days, and scenes half a cell fine whose temperatures are 1.1 times the granule's less 30, in the plane of the same grid."""
+    found, g = swath_grid(spark, d)
+    day = F.explode(F.sequence(F.lit(1), F.lit(3))).alias("n")
+    time = F.timestamp_add("DAY", F.col("n"), F.lit("2024-03-01 09:30:00").cast("timestamp_ntz"))
+    angle = lambda k, m: ((F.col("px_id") * k + F.col("n")) % m).cast("double")
+    at = found.select("*", day).select(F.lit("31PDR").alias("tile"), F.concat(F.lit("g"), "n").alias("granule"), time.alias("time"), "n", "px_id", "lon", "lat", "lst")
+    granules = at.withColumns({"vza": angle(7, 25), "vaa": angle(11, 360), "sza": F.lit(30.0), "saa": F.lit(120.0), "cloudmask": F.when(F.col("px_id") % 17 == 0, 1).otherwise(0), "land_fraction": F.lit(1.0)})
+    on_grid = S.grid_swath_plane(granules.drop("time"), g, ["lst", "vza", "vaa"], ["n"])
+    half = F.explode(F.sequence(F.lit(0), F.lit(1)))
+    fine = on_grid.withColumn("i", half).withColumn("j", half)
+    scenes = fine.select(F.lit("31PDR").alias("tile"), F.concat(F.lit("s"), "n").alias("scene"), F.timestamp_add("DAY", F.col("n"), F.lit("2024-03-01 09:34:00").cast("timestamp_ntz")).alias("time"), (2 * F.col("row") + F.col("i")).alias("row"), (2 * F.col("col") + F.col("j")).alias("col"), (1.1 * F.col("lst") - 30).alias("lst"), (F.col("vza") + 3).alias("vza"), ((F.col("vaa") + 90) % 360).alias("vaa"), F.lit(30.0).alias("sza"), F.lit(120.0).alias("saa"))
+    cover = on_grid.select("row", "col", (10 * (1 + (F.col("row") + F.col("col")) % 9)).alias("land_cover")).distinct()
+    return granules.drop("n"), scenes, cover, g
+
+
+@query()
+def k8_parameters_from_swath(spark, d):
+    """From swaths to parameters in one call."""
+    granules, scenes, cover, g = swath_inputs(spark, d)
+    return rounded(X.parameters_from_swath(granules, scenes, cover, g, 2))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import bands as B
 from ..functions import physics as P
 from ..operators import analysis as H
-from ..operators import composite, grid, mask, matchup, sharpen, temporal
+from ..operators import composite, grid, mask, matchup, sharpen, swath, temporal
 from ..sources import catalog
 from ..sources.staging import staged
 from . import pipelines
@@ -206,6 +206,35 @@ def correction_parameters(matchups: DataFrame, key: Sequence[str], seeds: Sequen
     return H.estimate_parameters(samples(H.load_analysis_frame(matchups), key, seeds, full))
 
 
+VALIDATION = ("lst", "vza", "vaa", "sza", "saa", "cloudmask", "land_fraction")
+
+
+def matchups_from_swath(granules: DataFrame, scenes: DataFrame, land_cover: DataFrame, g: grid.Grid, factor: int, minutes: int = 10, radius: float = 210.0, done: DataFrame | None = None) -> DataFrame:
+    """Match-ups of all tiles: swaths on the grid, scenes at the same time averaged onto it, both aligned.
+
+    granules(tile, granule, time, px_id, lon, lat, VALIDATION) are swaths, those without orbit correction left out before.
+    scenes(tile, scene, time, row, col, lst, vza, vaa, sza, saa) lie on a grid `factor` times finer than g, whose cells are
+    averaged in radiance. Azimuths of a pair are turned where its sensors count them differently. Pairs in done(tile,
+    pair_id) are left out; a pair is a granule and a scene.
+    """
+    on_grid = swath.grid_swath_plane(granules.select("tile", "granule", "px_id", "lon", "lat", *VALIDATION), g, VALIDATION, ["tile", "granule"], radius)
+    names = lambda df, name: df.select("tile", F.col(name), F.col("time").alias(f"{name}_time")).distinct()
+    pairs = temporal.simultaneous(names(granules, "granule"), names(scenes, "scene"), minutes, left_time="granule_time", right_time="scene_time", keys=["tile"])
+    pairs = staged(pairs.withColumn("pair_id", F.concat_ws("|", "granule", "scene")), "pairs")
+    low = grid.coarse(scenes, factor, ["tile", "scene"], {"lst": P.brightness(F.avg(P.radiance(F.col("lst"))))} | {a: F.avg(a) for a in matchup.ANGLES})
+    val = on_grid.join(pairs.select("tile", "granule", "pair_id", F.col("granule_time").alias("acq_time")), ["tile", "granule"]).drop("granule", "distance")
+    s3 = low.join(pairs.select("tile", "scene", "pair_id", F.col("scene_time").alias("acq_time")), ["tile", "scene"]).drop("scene")
+    both = compare_tiles(s3, val, land_cover, done)
+    both = matchup.align_azimuth(both.withColumn("__pair", F.struct("tile", "pair_id")), "__pair").drop("__pair")
+    return both.withColumns({c: F.date_format(c, "yyyyMMdd'T'HHmmss") for c in ("s3_time", "validation_time")})
+
+
+def parameters_from_swath(granules: DataFrame, scenes: DataFrame, land_cover: DataFrame, g: grid.Grid, factor: int, seeds: Sequence[int] = (1, 2, 3), full: int = 10_000, minutes: int = 10) -> DataFrame:
+    """sample_id with gain, offset, r2 and the directional parameter, from swaths and scenes in one call. The match-ups are written once."""
+    met = staged(matchups_from_swath(granules, scenes, land_cover, g, factor, minutes), "matchups")
+    return correction_parameters(met, ["tile", "pair_id", "row", "col"], seeds, full)
+
+
 def find_simultaneous(bounds: DataFrame, scenes: DataFrame, imported: DataFrame, kinds: Sequence[str], minutes: int = 10) -> DataFrame:
     """tile, name: scenes(name, time, minx, miny, maxx, maxy) over an acquisition's bounds at most so many minutes apart, of a wanted kind and not imported."""
     met = temporal.simultaneous(bounds, scenes, minutes, True, "acq_time", "time")
