@@ -11,7 +11,8 @@ Documents with the same shingle set are one set. The join looks for sets that ma
    fewest rarer shingles, is the only one whose answers are computed from whole sets. What it joins into one component
    needs no answers of its own. Where a list still holds several components, the others' answers are derived from the
    head's: with D lacking from the head and A added to it, |x & y| = |head| - |Dx| - |Dy| + |Dx & Dy| + |Ax & Ay|, so that
-   sets which do not both link with the head link only if they share differences. Only these are indexed, rarest first.
+   sets which do not both link with the head link only if they share differences. Only these are indexed, rarest first, and
+   those that the same sets have as one block.
 
 Defined results: a null or empty text has no shingles and links with nothing; every row counts as a document, so
 repeated rows come back each, in one component if their texts are alike; a row with a null doc_id comes back, links
@@ -20,6 +21,7 @@ like any other and never names a component; an empty table gives no rows; other
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -423,12 +425,45 @@ def skipped(lists: DataFrame, heads: DataFrame, hundredths: int) -> DataFrame:
     return lists.withColumn("block", block).join(read, ["h", "block"]).filter(fits & (F.col("fp") != F.col("head"))).select("head", "fp").distinct()
 
 
-def derived(deltas: DataFrame, labels: DataFrame, hundredths: int) -> DataFrame:
-    """Links (a, b) between sets of different components, from their differences to a head that they share.
+#: What tells a block of differences from the others of its head: the number of its sets, and two sums of hashes of them.
+BLOCK_ID = ("k", "one", "two")
 
-    Where a and b do not both link with the head, |head| - |Da| - |Db| is below the overlap that they need (`lack`), so
-    the first of all differences that they share has that many at or after it in both.
+
+def placed_blocks(rows: DataFrame) -> DataFrame:
+    """rows(head, fp, ..., e) with the differences of a head that the same sets have, more than one of them, made one block; back: differences of the set from this block on.
+
+    Blocks of few sets come first. A passage that sets lack or have added is one block, whatever its length, so that sets
+    meet once for a passage and not for each of its shingles.
+    """
+    one, two = (F.expr(f"bit_xor(xxhash64(fp, '{secrets.token_hex(8)}'))").alias(n) for n in ("one", "two"))
+    often = rows.groupBy("head", "e").agg(F.count("*").alias("k"), one, two).filter("k > 1")
+    of_set = [c for c in rows.columns if c != "e"]
+    blocks = rows.join(often, ["head", "e"]).groupBy(*of_set, *BLOCK_ID).agg(F.count("*").alias("w"))
+    order = Window.partitionBy("head", "fp").orderBy(*BLOCK_ID).rowsBetween(0, Window.unboundedFollowing)
+    # differences of one set come first and are not looked up
+    return blocks.withColumn("back", F.sum("w").over(order)).drop("w")
+
+
+def meeting(placed: DataFrame, hundredths: int) -> DataFrame:
+    """Strays and sets of their head that meet in a block that may be the first they share.
+
+    Sets of a head fall into classes of like size and like rest of the head. What two classes need to share at least
+    cuts the blocks of either that are worth a look, before any sets meet.
     """
+    steps = [F.floor(20 * F.col(c) / F.col("n_head")).cast("int").alias(n) for c, n in (("n", "size_class"), ("room", "room_class"))]
+    classed = placed.select("*", *steps)
+    each = classed.groupBy("head", "n_head", "size_class", "room_class").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("room").alias("most"))
+    other = each.select("head", F.col("size_class").alias("y_size"), F.col("room_class").alias("y_rest"), *(F.col(c).alias(f"y_{c}") for c in ("low", "high", "most")))
+    need = F.greatest(F.lit(1), overlap(F.col("low"), F.col("y_low"), hundredths) + F.col("n_head") - F.col("most") - F.col("y_most"))
+    fits = (F.col("high") * 100 >= F.col("y_low") * hundredths) & (F.col("y_high") * 100 >= F.col("low") * hundredths)
+    classes = each.join(other, "head").filter(fits).select("head", "size_class", "room_class", "y_size", "y_rest", need.cast("long").alias("need"))
+    looked = classed.join(classes, ["head", "size_class", "room_class"]).filter("back >= need").drop("need")
+    y = looked.select("head", *BLOCK_ID, F.col("size_class").alias("y_size"), F.col("room_class").alias("y_rest"), F.col("y_size").alias("size_class"), F.col("y_rest").alias("room_class"), *(F.col(c).alias(f"y_{c}") for c in ("fp", "room", "n", "back", "stray", "own")))
+    return looked.filter("stray").join(y, ["head", *BLOCK_ID, "size_class", "room_class", "y_size", "y_rest"])
+
+
+def places(deltas: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the differences to heads that some set of theirs is not joined with, their blocks)."""
     label = lambda c, name: labels.select(F.col("node").alias(c), F.col("component").alias(name))
     known = deltas.join(label("fp", "own"), "fp", "left").join(label("head", "of_head"), "head", "left")
     known = known.select("head", "fp", "n_head", "n", "lost", "delta", F.coalesce("own", "fp").alias("own"), F.coalesce("of_head", "head").alias("of_head"))
@@ -445,15 +480,20 @@ def derived(deltas: DataFrame, labels: DataFrame, hundredths: int) -> DataFrame:
     # room: what is left of the head
     rows = known.select("head", "fp", (F.col("n_head") - F.col("lost")).alias("room"), "n", (F.octet_length("delta") / 8).cast("int").alias("size"), (F.col("own") != F.col("of_head")).alias("stray"), "delta")
     rows = staged(rows.mapInArrow(lean(single), "head long, fp long, room int, n int, size int, stray boolean, e long"), "elements")
-    often = rows.groupBy("head", "e").agg(F.count("*").alias("k")).filter("k > 1")
-    order = Window.partitionBy("head", "fp").orderBy("k", "e")
-    # differences of one set come first and are not looked up
-    placed = rows.join(often, ["head", "e"]).withColumn("back", F.count("*").over(Window.partitionBy("head", "fp")) - F.row_number().over(order) + 1)
-    placed = staged(placed.join(known.select("head", "fp", "n_head", "own"), ["head", "fp"]), "places")
-    y = placed.select("head", "e", *(F.col(c).alias(f"y_{c}") for c in ("fp", "room", "n", "back", "stray", "own")))
+    placed = staged(placed_blocks(rows).join(known.select("head", "fp", "n_head", "own"), ["head", "fp"]), "places")
+    return known, placed
+
+
+def derived(deltas: DataFrame, labels: DataFrame, hundredths: int) -> DataFrame:
+    """Links (a, b) between sets of different components, from their differences to a head that they share.
+
+    Where a and b do not both link with the head, |head| - |Da| - |Db| is below the overlap that they need (`lack`), so
+    the first block of differences that they share has that many at or after it in both.
+    """
+    known, placed = places(deltas, labels)
     lack = overlap(F.col("n"), F.col("y_n"), hundredths) + F.col("n_head") - F.col("room") - F.col("y_room")
     sizes = (F.least("n", "y_n") * 100 >= F.greatest("n", "y_n") * hundredths) & (F.least("back", "y_back") >= lack)
-    met = placed.filter("stray").join(y, ["head", "e"]).filter((F.col("own") != F.col("y_own")) & (~F.col("y_stray") | (F.col("fp") < F.col("y_fp"))) & sizes)
+    met = meeting(placed, hundredths).filter((F.col("own") != F.col("y_own")) & (~F.col("y_stray") | (F.col("fp") < F.col("y_fp"))) & sizes)
     pairs = met.groupBy(F.col("fp").alias("a"), F.col("y_fp").alias("b")).agg(F.min("head").alias("head"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
