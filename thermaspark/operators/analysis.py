@@ -178,19 +178,33 @@ def score_overall_line(df: DataFrame, by: str = "land_cover") -> DataFrame:
     return df.crossJoin(F.broadcast(line)).groupBy(by).agg((1 - F.sum(err * err) / (F.var_pop("lst_s3hr") * F.count("*"))).alias("score"))
 
 
-def robust_line(df: DataFrame, key: Sequence[str], hypotheses: int = 64, seed: int = 0) -> DataFrame:
-    """slope, intercept, n: the line through two rows that most rows are close to (within the MAD of the target), refitted on them."""
+def robust_line(df: DataFrame, key: Sequence[str], hypotheses: int = 64, seed: int = 0, order: Column | None = None) -> DataFrame:
+    """slope, intercept, n: the line through two rows that most rows are close to (within the MAD of the target), refitted on them.
+
+    Rows are drawn by `order`, by default a seeded hash of `key`, ties by key. All lines are counted in one pass over the
+    rows; the two medians are selected, so that no task holds the target's values.
+    """
     y, x = F.col("lst_s3hr"), F.col("validation_lst")
-    mid = group_quantiles(df, y, (0.5,)).select(F.col("q")[0].alias("m"))
-    mad = group_quantiles(df.crossJoin(F.broadcast(mid)), F.abs(y - F.col("m")), (0.5,)).select(F.col("q")[0].alias("mad"))
-    picked = df.orderBy(F.xxhash64(F.lit(seed), *key), *key).limit(2 * hypotheses).select(x.alias("x"), y.alias("y"))
-    pairs = picked.withColumn("i", F.row_number().over(Window.orderBy("x", "y")) - 1).withColumn("p", (F.col("i") % hypotheses).cast("int"))
-    lines = pairs.groupBy("p").agg(F.min_by("x", "i").alias("x0"), F.min_by("y", "i").alias("y0"), F.max_by("x", "i").alias("x1"), F.max_by("y", "i").alias("y1")).filter("x0 != x1")
-    lines = lines.select("p", ((F.col("y1") - F.col("y0")) / (F.col("x1") - F.col("x0"))).alias("m")).join(lines.select("p", "x0", "y0"), "p").select("p", "m", (F.col("y0") - F.col("m") * F.col("x0")).alias("c"))
-    tried = df.crossJoin(F.broadcast(lines)).crossJoin(F.broadcast(mad)).filter(F.abs(y - F.col("m") * x - F.col("c")) <= F.col("mad"))
-    best = tried.groupBy("p", "m", "c").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "p").limit(1)
-    inliers = df.crossJoin(F.broadcast(best.select("m", "c"))).crossJoin(F.broadcast(mad)).filter(F.abs(y - F.col("m") * x - F.col("c")) <= F.col("mad"))
-    return inliers.agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.count("*").alias("n"))
+    none = df.sparkSession.createDataFrame([], "slope double, intercept double, n long")
+    mid = group_quantiles(df, y, (0.5,)).first()
+    if mid is None:
+        return none
+    mad = group_quantiles(df, F.abs(y - mid["q"][0]), (0.5,)).first()["q"][0]
+    draw = F.xxhash64(F.lit(seed), *key) if order is None else order
+    picked = sorted(tuple(r) for r in df.orderBy(draw, *key).limit(2 * hypotheses).select(x.cast("double"), y.cast("double")).collect())
+    lines = []
+    for p in range(min(hypotheses, len(picked))):
+        own = picked[p::hypotheses]
+        (x0, y0), (x1, y1) = own[0], own[-1]
+        if x0 != x1:
+            m = (y1 - y0) / (x1 - x0)
+            lines.append((m, y0 - m * x0))
+    if not lines:
+        return none
+    near = lambda m, c: F.abs(y - F.lit(m) * x - F.lit(c)) <= F.lit(mad)
+    counts = df.agg(*(F.count_if(near(m, c)).alias(f"n{i}") for i, (m, c) in enumerate(lines))).first()
+    best = max(range(len(lines)), key=lambda i: (counts[i], -i))
+    return df.filter(near(*lines[best])).agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.count("*").alias("n"))
 
 
 def vza_band(difference: Column) -> Column:

@@ -656,15 +656,34 @@ def h11_fit_directional_rl(spark, d):
     return H.fit_directional_rl(good(spark, d), 1.08, -22.0)
 
 
-@query()
+DRAWN = "md5(concat_ws('|', CAST(s3_vza AS INT), CAST(s3_vaa AS INT), CAST(s3_sza AS INT), CAST(validation_vza AS INT), CAST(validation_vaa AS INT), land_cover, s3_time))"
+
+
+@query(
+    GOOD
+    + f""", v AS (SELECT validation_lst AS x, lst_s3hr AS y FROM good ORDER BY {DRAWN}, validation_lst, lst_s3hr LIMIT 128),
+i AS (SELECT x, y, ROW_NUMBER() OVER (ORDER BY x, y)-1 AS i FROM v), p AS (SELECT i % 64 AS p, arg_min(x, i) AS x0, arg_min(y, i) AS y0, arg_max(x, i) AS x1, arg_max(y, i) AS y1 FROM i GROUP BY 1),
+l AS (SELECT p, (y1-y0)/(x1-x0) AS m, y0-(y1-y0)/(x1-x0)*x0 AS c FROM p WHERE x0 <> x1), q AS (SELECT MEDIAN(lst_s3hr) AS mid FROM good), d AS (SELECT MEDIAN(ABS(lst_s3hr-mid)) AS mad FROM good, q),
+n AS (SELECT p, m, c, COUNT(*) AS n FROM good, l, d WHERE ABS(lst_s3hr-m*validation_lst-c) <= mad GROUP BY 1, 2, 3), b AS (SELECT m, c FROM n ORDER BY n DESC, p LIMIT 1)
+SELECT ROUND(REGR_SLOPE(lst_s3hr, validation_lst), 5) AS slope, ROUND(REGR_INTERCEPT(lst_s3hr, validation_lst), 3) AS intercept, COUNT(*) AS n FROM good, b, d WHERE ABS(lst_s3hr-m*validation_lst-c) <= mad""",
+    "matchup",
+)
 def h16_robust_line(spark, d):
     m = good(spark, d)
-    return H.robust_line(m, m.columns)
+    out = H.robust_line(m, ["validation_lst", "lst_s3hr"], order=F.expr(DRAWN))
+    return out.select(F.round("slope", 5).alias("slope"), F.round("intercept", 3).alias("intercept"), "n")
 
 
-@query()
+@query(
+    GOOD
+    + """, d AS (SELECT land_cover, s3_time, lst_s3hr-validation_lst AS d FROM good), w AS (SELECT land_cover, s3_time, COUNT(*) AS n, STDDEV_SAMP(d)*POWER(COUNT(*), -0.2) AS bw FROM d GROUP BY 1, 2),
+b AS (SELECT land_cover, s3_time, ROUND(d/(15.0e0/199/10))*(15.0e0/199/10) AS bin, COUNT(*) AS k FROM d GROUP BY 1, 2, 3),
+a AS (SELECT b.*, n, bw, i, -7.5e0+i*(15.0e0/199) AS x FROM b JOIN w USING (land_cover, s3_time), range(200) r(i) WHERE bw > 0)
+SELECT land_cover, s3_time, CAST(i AS INT) AS i, ROUND(MIN(x), 6) AS x, ROUND(SUM(k*EXP(-0.5*((x-bin)/bw)*((x-bin)/bw)))/(MIN(n)*MIN(bw)*2.5066282746310002), 6) AS density, MIN(n) AS n, CAST(SUBSTRING(s3_time, 10, 2) AS INT) < 12 AS is_morning FROM a GROUP BY 1, 2, 3""",
+    "matchup",
+)
 def h18_difference_distribution(spark, d):
-    return H.difference_distribution(good(spark, d))
+    return rounded(H.difference_distribution(good(spark, d)))
 
 
 # -- I, J, K -------------------------------------------------------------------------

@@ -225,15 +225,17 @@ def k8_correction_parameters(spark, d):
 @query(
     """+ b AS (SELECT acq_id, acq_id % 5 AS tile, acq_time, -15.0-0.01*MIN(row_lr) AS top, 25.0+0.01*(MAX(col_lr)+1) AS r, -15.0-0.01*(MAX(row_lr)+1) AS bottom, 25.0+0.01*MIN(col_lr) AS l FROM s3_obs GROUP BY 1, 2, 3),
 s AS (SELECT event_type || '_' || event_id AS name, ts, event_id, 25.0+MOD(event_id,20)*0.02 AS x, -15.0-MOD(event_id,15)*0.02 AS y FROM events)
-SELECT DISTINCT tile, name FROM b JOIN s ON ABS(epoch_us(acq_time)-epoch_us(ts)) <= 600000000 AND l <= x+0.005 AND r >= x-0.005 AND bottom <= y+0.005 AND top >= y-0.005 WHERE event_id % 3 <> 0 AND (name LIKE '%view%' OR name LIKE '%click%')""",
+SELECT DISTINCT tile, name FROM b JOIN s ON ABS(epoch_us(acq_time)-epoch_us(ts)) <= 600000000 AND CAST(acq_time AS DATE) = CAST(ts AS DATE) AND event_id % 2 = 0 AND l <= x+0.005 AND r >= x-0.005 AND bottom <= y+0.005 AND top >= y-0.005 WHERE event_id % 3 <> 0 AND (name LIKE '%view%' OR name LIKE '%click%')""",
     "s3_obs",
 )
 def k9_find_simultaneous(spark, d):
+    """Scenes of one platform, under its several names, of the same day."""
     cells = fixture(spark, d, "s3_obs").select("acq_id", (F.col("acq_id") % 5).alias("tile"), F.col("acq_time").cast("timestamp_ntz").alias("acq_time"), F.col("row_lr").alias("row"), F.col("col_lr").alias("col"))
     bounds = X.acquisition_bounds(cells, G.Grid(25.0, 0.01, -15.0, -0.01, 10, 10), 4326, ["acq_id", "tile", "acq_time"])
     x, y = 25.0 + F.col("event_id") % 20 * 0.02, -15.0 - F.col("event_id") % 15 * 0.02
     found = table(spark, d, "events").select(F.concat_ws("_", "event_type", "event_id").alias("name"), F.col("ts").cast("timestamp_ntz").alias("time"), "event_id", (x - 0.005).alias("minx"), (x + 0.005).alias("maxx"), (y - 0.005).alias("miny"), (y + 0.005).alias("maxy"))
-    return X.find_simultaneous(bounds, found, found.filter("event_id % 3 = 0"), ["view", "click"])
+    found = found.withColumn("platform", F.when(F.col("event_id") % 2 == 0, "Landsat 8").otherwise("L9"))
+    return X.find_simultaneous(bounds.withColumn("platform", F.lit("LANDSAT-8")), found, found.filter("event_id % 3 = 0"), ["view", "click"])
 
 
 def above_mean(rows: pd.DataFrame, context: dict) -> pd.DataFrame:

@@ -236,7 +236,10 @@ def parameters_from_swath(granules: DataFrame, scenes: DataFrame, land_cover: Da
 
 
 def find_simultaneous(bounds: DataFrame, scenes: DataFrame, imported: DataFrame, kinds: Sequence[str], minutes: int = 10) -> DataFrame:
-    """tile, name: scenes(name, time, minx, miny, maxx, maxy) over an acquisition's bounds at most so many minutes apart, of a wanted kind and not imported."""
-    met = temporal.simultaneous(bounds, scenes, minutes, True, "acq_time", "time")
-    over = (F.col("left") <= F.col("maxx")) & (F.col("right") >= F.col("minx")) & (F.col("bottom") <= F.col("maxy")) & (F.col("top") >= F.col("miny"))
-    return catalog.missing_products(met.filter(over).select("tile", "name").distinct(), imported, kinds)
+    """tile, name: scenes(name, platform, time, minx, miny, maxx, maxy) of the same day and platform over an acquisition's bounds, at most so many minutes apart, of a wanted kind and not imported."""
+    box = {"left": "minx", "bottom": "miny", "right": "maxx", "top": "maxy"}
+    a = bounds.withColumnsRenamed(box).withColumn("day", F.to_date("acq_time"))
+    b = scenes.withColumn("day", F.to_date("time"))
+    near = catalog.find_scenes(a, b).select("a.tile", "a.acq_time", "b.name", "b.time")
+    apart = F.abs(F.timestamp_diff("MICROSECOND", F.col("acq_time"), F.col("time"))) <= minutes * 60_000_000
+    return catalog.missing_products(near.filter(apart).select("tile", "name").distinct(), imported, kinds)
