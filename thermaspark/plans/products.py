@@ -12,6 +12,7 @@ from ..functions import bands as B
 from ..functions import physics as P
 from ..operators import analysis as H
 from ..operators import composite, grid, mask, matchup, sharpen, swath, temporal
+from ..operators import windows as windowed
 from ..sources import catalog
 from ..sources.staging import staged
 from . import pipelines
@@ -121,14 +122,17 @@ def ndvi_product(s2: DataFrame, tile: str, masked: DataFrame | None = None) -> t
 # -- thermal ----------------------------------------------------------------------------
 
 
-def sharpen_scenes(fine: DataFrame, low: DataFrame, features: Sequence[str], factor: int, keys: Sequence[str], trees: int = 30, cv_max: float = 0.8, residual: bool = False, plain: bool = False, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+def sharpen_scenes(fine: DataFrame, low: DataFrame, features: Sequence[str], factor: int, keys: Sequence[str], trees: int = 30, cv_max: float = 0.8, residual: bool = False, plain: bool = False, seed: int = 0, windows: windowed.Windows | None = None) -> tuple[DataFrame, DataFrame]:
     """(keys, row, col, lst) of all scenes, and (keys) of the scenes that give nothing to train on and are left out.
 
     Every scene has a model of its own, all trained in the same jobs. If asked for, temperatures are corrected by
-    residuals; `plain` takes the trees' own values instead of lines.
+    residuals; `plain` takes the trees' own values instead of lines. With windows, for scenes that share a grid, cells are
+    dealt once for both steps.
     """
     got = sharpen.training_samples(fine, low, features, factor, cv_max, keys)
     models = sharpen.fit_sharpener(got, features, keys, trees, seed)
+    if windows is not None and not plain:
+        return windowed.sharpen(fine, low, models, features, keys, windows, residual), sharpen.unusable_scenes(fine, models, keys)
     hot = sharpen.apply_sharpener(fine, models, features, keys, plain=plain)
     if residual:
         hot = staged(hot, "sharpened")
