@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..fixtures import fixture
 from ..functions import bands as B
+from ..operators import analysis as H
 from ..operators import grid as G
 from ..operators import mask as C
 from ..operators import matchup as M
@@ -455,3 +456,16 @@ def k8_parameters_from_swath(spark, d):
     """From swaths to parameters in one call."""
     granules, scenes, cover, g = swath_inputs(spark, d)
     return rounded(X.parameters_from_swath(granules, scenes, cover, g, 2))
+
+
+@query()
+def a13_write_params(spark, d):
+    """A sample's parameters written, a line each, and read back."""
+    at = f"{shared_dir(spark)}/thermal/params-{uuid.uuid4().hex}"
+    m = fixture(spark, d, "matchup").withColumn("sample_id", F.floor(F.col("land_cover") / 30).cast("int"))
+    found = H.estimate_parameters(m)
+    X.write_params(found, at)
+    return rounded(spark.read.schema(found.schema).json(at))
+
+
+ORACLES["a13_write_params"] = ORACLES["h21_estimate_parameters"]
