@@ -34,7 +34,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all rows and their places in sequences; a null or empty text is its end id alone."""
+    """The pieces of all rows and their places in sequences; a null or empty text is its end id alone, and repeated rows are packed each."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
