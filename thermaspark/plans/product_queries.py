@@ -350,13 +350,13 @@ w AS (SELECT g.*, CAST(FLOOR(fr)+i AS INT) AS sr, CAST(FLOOR(fc)+j AS INT) AS sc
 v AS (SELECT acq_id, acq_time, row, col, lat, lon, slo, asp, SUM(wr*wc*vza)/SUM(wr*wc) AS vza FROM w JOIN s3_obs ON row_lr=sr AND col_lr=sc WHERE wr*wc > 0 GROUP BY ALL),
 t AS (SELECT *, dayofyear(acq_time) AS doy, hour(acq_time)+minute(acq_time)/60.0 AS ft FROM v), d AS (SELECT *, RADIANS(23.45)*SIN(2*PI()*doy/365-1.39) AS dec FROM t),
 o AS (SELECT *, RADIANS((12-(ft-(-(0.258*COS(dec)-7.416*SIN(dec)-3.648*COS(2*dec)-9.228*SIN(2*dec))/60.0+(0-lon)/15.0)))*15) AS w FROM d)
-SELECT acq_id, acq_time, row, col, ROUND(CAST(CAST(SIN(dec)*SIN(RADIANS(lat))*COS(slo)+SIN(dec)*COS(RADIANS(lat))*SIN(slo)*COS(asp)+COS(dec)*COS(RADIANS(lat))*COS(slo)*COS(w)-COS(dec)*SIN(RADIANS(lat))*SIN(slo)*COS(asp)*COS(w)-COS(dec)*SIN(slo)*SIN(asp)*SIN(w) AS FLOAT) AS DOUBLE), 3) AS inc, ROUND(CAST(CAST(vza AS FLOAT) AS DOUBLE), 2) AS vza FROM o""".replace("{wr}", spline_sql("ABS(fr-FLOOR(fr)-i)")).replace("{wc}", spline_sql("ABS(fc-FLOOR(fc)-j)")),
+SELECT acq_id, acq_time, row, col, ROUND(CAST(CAST(SIN(dec)*SIN(RADIANS(lat))*COS(slo)+SIN(dec)*COS(RADIANS(lat))*SIN(slo)*COS(asp)+COS(dec)*COS(RADIANS(lat))*COS(slo)*COS(w)-COS(dec)*SIN(RADIANS(lat))*SIN(slo)*COS(asp)*COS(w)-COS(dec)*SIN(slo)*SIN(asp)*SIN(w) AS FLOAT) AS DOUBLE), 3)+0.0e0 AS inc, ROUND(CAST(CAST(vza AS FLOAT) AS DOUBLE), 2) AS vza FROM o""".replace("{wr}", spline_sql("ABS(fr-FLOOR(fr)-i)")).replace("{wc}", spline_sql("ABS(fc-FLOOR(fc)-j)")),
     "s3_obs dem",
 )
 def k4_angles(spark, d):
     """Incidence on the fine grid's slopes and resampled view angles, stored in single precision."""
     out = preprocessed(spark, d, "angles")
-    return out.select("acq_id", "acq_time", "row", "col", *(F.round(F.col(c).cast("double"), n).alias(c) for c, n in (("inc", 3), ("vza", 2))))
+    return out.select("acq_id", "acq_time", "row", "col", *((F.round(F.col(c).cast("double"), n) + 0.0).alias(c) for c, n in (("inc", 3), ("vza", 2))))
 
 
 # -- grids, windows, files ---------------------------------------------------------------
