@@ -16,9 +16,9 @@ def nearest_date(left: DataFrame, right: DataFrame, left_day: str, right_day: st
     a = left.select(*keys, F.col(left_day).cast("date").alias("__d")).distinct().withColumn("__own", F.lit(True))
     b = right.select(*keys, F.col(right_day).cast("date").alias("__d")).distinct().withColumn("__own", F.lit(False))
     theirs = F.when(~F.col("__own"), F.col("__d"))
-    w = Window.partitionBy(*keys).orderBy("__d", "__own")
-    before = F.last(theirs, True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(theirs, True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    upto = lambda *order: F.last(theirs, True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    # a frame that ends at the last row is read anew for every row: the days to come are read backwards
+    before, after = upto("__d", "__own"), upto(F.desc("__d"), F.desc("__own"))
     both = a.unionByName(b).withColumns({"before": before, "after": after}).filter("__own")
     early = F.col("after").isNull() | (F.datediff("__d", "before") <= F.datediff("after", "__d"))
     return both.select(*keys, F.col("__d").alias(left_day), F.when(F.col("before").isNotNull() & early, F.col("before")).otherwise(F.col("after")).alias("nearest"))
@@ -29,8 +29,9 @@ def bracket(obs: DataFrame, series: DataFrame, time: str, series_time: str, keys
     marks = series.select(*keys, F.col(series_time).alias("__t")).distinct()
     own = obs.select(*keys, F.col(time).alias("__t")).distinct()
     merged = marks.withColumn("__m", F.col("__t")).unionByName(own.withColumn("__m", F.lit(None).cast(series.schema[series_time].dataType)))
-    w = Window.partitionBy(*keys).orderBy("__t")
-    at = merged.withColumns({"before": F.max("__m").over(w.rangeBetween(Window.unboundedPreceding, 0)), "after": F.min("__m").over(w.rangeBetween(0, Window.unboundedFollowing))})
+    upto = lambda f, order: f("__m").over(Window.partitionBy(*keys).orderBy(order).rangeBetween(Window.unboundedPreceding, 0))
+    # a frame that ends at the last row is read anew for every row: times to come are read backwards
+    at = merged.withColumns({"before": upto(F.max, F.asc("__t")), "after": upto(F.min, F.desc("__t"))})
     at = at.filter("__m is null AND before is not null AND after is not null").select(*keys, F.col("__t").alias(time), "before", "after").distinct()
     span = seconds(F.col("before"), F.col("after"))
     return obs.join(at, [*keys, time]).withColumn("frac", F.when(span == 0, 1.0).otherwise(seconds(F.col(time), F.col("after")) / span))
