@@ -80,11 +80,11 @@ def simultaneous(left: DataFrame, right: DataFrame, minutes: int = 10, inclusive
     return a.join(b, [*keys, "__b"]).filter(near).drop("__b")
 
 
-def match_granules(granules: DataFrame, name: str = "name") -> DataFrame:
-    """Granules of the three kinds that share the 25 characters of time and orbit in their names; names without them match nothing."""
+def match_granules(granules: DataFrame, name: str = "name", keys: Sequence[str] = ()) -> DataFrame:
+    """Granules of the three kinds that share the 25 characters of time and orbit in their names, and `keys`; names without them match nothing."""
     tagged = granules.withColumn("kind", F.regexp_extract(name, "(LSTE|GEO|CLOUD)", 1)).withColumn("key", F.regexp_extract(name, r"(\d{5}_\d{3}_\d{8}T\d{6})", 1)).filter("key != ''")
-    parts = [tagged.filter(F.col("kind") == k).select("key", F.col(name).alias(k.lower())) for k in ("LSTE", "GEO", "CLOUD")]
-    return parts[0].join(parts[1], "key").join(parts[2], "key").withColumn("acq_time", F.to_timestamp_ntz(F.substring("key", -15, 15), F.lit("yyyyMMdd'T'HHmmss")))
+    parts = [tagged.filter(F.col("kind") == k).select(*keys, "key", F.col(name).alias(k.lower())) for k in ("LSTE", "GEO", "CLOUD")]
+    return parts[0].join(parts[1], [*keys, "key"]).join(parts[2], [*keys, "key"]).withColumn("acq_time", F.to_timestamp_ntz(F.substring("key", -15, 15), F.lit("yyyyMMdd'T'HHmmss")))
 
 
 def align_grids(left: DataFrame, right: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
