@@ -18,7 +18,7 @@ from ..operators import swath as S
 from ..operators import temporal as E
 from ..operators import windows as W
 from ..sources import catalog as A
-from ..sources.staging import shared_dir
+from ..sources.staging import shared_dir, staged
 from . import pipelines as K
 from . import preprocess as PP
 from . import products as X
@@ -330,7 +330,8 @@ def preprocessed(spark, d, stage):
     area = lambda size, n: G.Grid(25.0, size, -15.0, -size, n, n)
     tile = PP.Tile((25.0, -15.1, 25.1, -15.0), area(0.01, 10), 4326, area(0.005, 20), area(0.025, 4), area(0.005, 20), 4326)
     root = f"{shared_dir(spark)}/thermal/preprocess-{uuid.uuid4().hex}"
-    PP.preprocess(root, s3, s2, dem, tile)
+    # written, or every commit would derive the acquisitions anew
+    PP.preprocess(root, staged(s3, "acquisitions"), s2, dem, tile)
     return PP.read(spark, root, stage, decoded=False)
 
 

@@ -43,11 +43,14 @@ def pending(units: DataFrame, root: str, stage: str) -> DataFrame:
     return units.join(known, "unit", "left").filter(F.when(F.col("__done").isNull(), True).when(same, False).otherwise(refused)).select("unit", *EXTENT)
 
 
-def run_stage(units: DataFrame, root: str, stage: str, make: Callable[[DataFrame], DataFrame], by: Sequence[str] = (), at_once: int = 256) -> int:
-    """Makes what is pending, about `at_once` units to a commit; the number of units made. make(units): the rows of these."""
+def run_stage(units: DataFrame, root: str, stage: str, make: Callable[[DataFrame], DataFrame], by: Sequence[str] = (), at_once: int = 256, passes: int = 4) -> int:
+    """Makes what is pending, `at_once` units or more to a commit; the number of units made. make(units): the rows of these.
+
+    Every commit reads the inputs anew, so that there are no more than `passes` of them, however many units there are.
+    """
     left = pending(units, root, stage)
     n = left.count()
-    parts = -(-n // at_once)
+    parts = min(-(-n // at_once), passes)
     for i in range(parts):
         own = left.filter(F.pmod(F.xxhash64("unit"), F.lit(parts)) == i)
         path = f"{root}/{stage}/{uuid.uuid4().hex}"
