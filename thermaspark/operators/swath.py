@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
-from .grid import Grid, to_aeqd
+from .grid import Grid, grid_cells, to_aeqd
 
 AROUND = tuple((i, j) for i in (-1, 0, 1) for j in (-1, 0, 1))
 
@@ -18,7 +18,8 @@ def nearest(cells: DataFrame, pixels: DataFrame, keys: Sequence[str], bands: Seq
 
     cells(keys, row, col, x, y) look into the nine buckets around them, of `first` metres at the start. Whatever lies
     within a bucket's size is in these, so that a cell whose nearest pixel is no farther has it; the others look again
-    with buckets twice as large.
+    with buckets twice as large. Both sides are shuffled: written tables are small on disk, and Spark would take them for
+    tables that the driver can hold.
     """
     at, size, found, left = [*keys, "row", "col"], first, [], cells.select(*keys, "row", "col", "x", "y")
     offsets = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in AROUND))).alias("o")
@@ -28,7 +29,7 @@ def nearest(cells: DataFrame, pixels: DataFrame, keys: Sequence[str], bands: Seq
         around = around.select(*at, "cx", "cy", (F.col("bx") + F.col("o.i")).alias("bx"), (F.col("by") + F.col("o.j")).alias("by"))
         near = pixels.select(*keys, "px_id", "x", "y", *bands, bucket("x").alias("bx"), bucket("y").alias("by"))
         far = F.round(F.sqrt(F.pow(F.col("x") - F.col("cx"), 2) + F.pow(F.col("y") - F.col("cy"), 2)), 6)
-        met = around.join(near, [*keys, "bx", "by"]).withColumn("distance", far)
+        met = around.join(near.hint("merge"), [*keys, "bx", "by"]).withColumn("distance", far)
         best = met.groupBy(*at).agg(F.min(F.struct("distance", "px_id")).alias("near"), F.min_by(F.struct(*bands), F.struct("distance", "px_id")).alias("own"))
         best = best.select(*at, F.col("near.distance").alias("distance"), *(F.col(f"own.{b}").alias(b) for b in bands))
         last = size >= radius
@@ -38,7 +39,7 @@ def nearest(cells: DataFrame, pixels: DataFrame, keys: Sequence[str], bands: Seq
             break
         sure = staged(sure, "nearest")
         found.append(sure)
-        left = staged(left.join(sure.select(*at), at, "left_anti"), "open")
+        left = staged(left.join(sure.select(*at).hint("merge"), at, "left_anti"), "open")
         size *= 2
     out = found[0]
     for part in found[1:]:
@@ -51,7 +52,8 @@ def grid_swath_plane(swath: DataFrame, g: Grid, bands: Sequence[str], keys: Sequ
     keys_of = list(keys) or ["__all"]
     own = swath if keys else swath.withColumn("__all", F.lit(0))
     lon0, lat0 = g.x0 + g.dx * g.n_cols / 2, g.y0 + g.dy * g.n_rows / 2
-    whole = own.select(*keys_of).distinct().withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(g.n_rows - 1)))).withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(g.n_cols - 1))))
+    # a range: as sequences all rows would be literals of the plan
+    whole = grid_cells(own.sparkSession, g).crossJoin(F.broadcast(own.select(*keys_of).distinct()))
     lon, lat = g.centre(F.col("row"), F.col("col"))
     # written, or joins would push their conditions through every step of the projection
     cells = staged(to_aeqd(whole.withColumns({"lon": lon, "lat": lat}), "lon", "lat", lon0, lat0), "cells")
