@@ -385,12 +385,17 @@ def worldcover_tiles(bounds: DataFrame, year: int) -> DataFrame:
     return at.withColumns({"tile": name, "version": F.lit(version)})
 
 
-def grid_swath(swath: DataFrame, g: Grid, bands: Sequence[str], radius: float = 210.0, metres: float = 111_320.0) -> DataFrame:
-    """Per grid cell the bands of the nearest swath pixel within `radius` metres; pixels are dealt to the cells around them."""
+def grid_swath(swath: DataFrame, g: Grid, bands: Sequence[str], radius: float = 210.0, metres: float = 111_320.0, at_once: int = 2_000_000, side: int = 32) -> DataFrame:
+    """Per grid cell the bands of the nearest swath pixel within `radius` metres; pixels are dealt to the cells around them.
+
+    Pixels go by blocks of cells to so many tasks that each has about `at_once` pairs of a pixel and a cell.
+    """
     mid = math.radians(g.y0 + g.dy * g.n_rows / 2)
     ry, rx = math.ceil(radius / abs(g.dy * metres)), math.ceil(radius / abs(g.dx * metres * math.cos(mid)))
     r, c = g.rowcol(F.col("lon"), F.col("lat"))
-    around = swath.withColumns({"r": r, "c": c}).withColumn("i", F.explode(F.sequence(F.lit(-ry), F.lit(ry)))).withColumn("j", F.explode(F.sequence(F.lit(-rx), F.lit(rx))))
+    tasks = -(-swath.count() * (2 * ry + 1) * (2 * rx + 1) // at_once)
+    placed = swath.withColumns({"r": r, "c": c}).repartition(max(1, tasks), F.floor(F.col("r") / side), F.floor(F.col("c") / side))
+    around = placed.withColumn("i", F.explode(F.sequence(F.lit(-ry), F.lit(ry)))).withColumn("j", F.explode(F.sequence(F.lit(-rx), F.lit(rx))))
     around = around.withColumns({"row": F.col("r") + F.col("i"), "col": F.col("c") + F.col("j")}).filter(F.col("row").between(0, g.n_rows - 1) & F.col("col").between(0, g.n_cols - 1))
     x, y = g.centre(F.col("row"), F.col("col"))
     far = F.sqrt(F.pow((F.col("lon") - x) * metres * math.cos(mid), 2) + F.pow((F.col("lat") - y) * metres, 2))
