@@ -5,6 +5,9 @@ from these sums every scene finds the best splits of its open nodes. A tree grow
 split lowers the weighted squared error most is split next, until it has `max_leaves`. Which leaves that are is known once
 the splits of all nodes on the way are, so a tree needs as many jobs as it is deep, not one for each split. Lines come
 from sums over a leaf's rows. Samples lie in blocks, so that no task holds a scene; models are of bounded size.
+
+A scene whose samples fill no more than one block has nothing to gain from jobs: the task that gets its block grows all
+its trees there, in the same rounds and by the same rules, so that many small scenes need one shuffle of their samples.
 """
 
 from __future__ import annotations
@@ -107,24 +110,28 @@ def best_split(weight: np.ndarray, target: np.ndarray, rows: np.ndarray, min_row
     return float(gain.max()), best, (n[best], n[-1] - n[best], s[best] / w[best], (s[-1] - s[best]) / (w[-1] - w[best]))
 
 
-def bayesian_ridge(n: float, xx: np.ndarray, xy: np.ndarray, yy: float, rounds: int = 300, tolerance: float = 1e-3, prior: float = 1e-6) -> np.ndarray:
-    """Coefficients of a line on centred features from their sums of products: noise and prior precision by evidence maximisation, gamma priors of shape and rate `prior`."""
+def bayesian_ridges(n: np.ndarray, xx: np.ndarray, xy: np.ndarray, yy: np.ndarray, rounds: int = 300, tolerance: float = 1e-3, prior: float = 1e-6) -> np.ndarray:
+    """Coefficients of many lines on centred features, each from its sums of products: noise and prior precision by evidence maximisation, gamma priors of shape and rate `prior`."""
     values, vectors = np.linalg.eigh(xx)
     values = np.maximum(values, 0.0)
-    along = vectors.T @ xy
-    noise, precision = 1.0 / (yy / n + np.finfo(float).eps), 1.0
-    solve = lambda: vectors @ (along / (values + precision / noise))
-    old = None
+    along = np.einsum("lji,lj->li", vectors, xy)
+    noise, precision = 1.0 / (yy / n + np.finfo(float).eps), np.ones(len(n))
+    solve = lambda i: np.einsum("lij,lj->li", vectors[i], along[i] / (values[i] + (precision[i] / noise[i])[:, None]))
+    live, old = np.arange(len(n)), None
     for _ in range(rounds):
-        coef = solve()
-        error = max(0.0, yy - 2 * coef @ xy + coef @ xx @ coef)
-        known = float((noise * values / (precision + noise * values)).sum())
-        precision = (known + 2 * prior) / (coef @ coef + 2 * prior)
-        noise = (n - known + 2 * prior) / (error + 2 * prior)
-        if old is not None and np.abs(old - coef).sum() < tolerance:
-            break
+        coef = solve(live)
+        error = np.maximum(0.0, yy[live] - 2 * (coef * xy[live]).sum(1) + np.einsum("li,lij,lj->l", coef, xx[live], coef))
+        part = noise[live][:, None] * values[live]
+        known = (part / (precision[live][:, None] + part)).sum(1)
+        precision[live] = (known + 2 * prior) / ((coef * coef).sum(1) + 2 * prior)
+        noise[live] = (n[live] - known + 2 * prior) / (error + 2 * prior)
+        if old is not None:
+            moving = ~(np.abs(old - coef).sum(1) < tolerance)
+            live, coef = live[moving], coef[moving]
+            if not len(live):
+                break
         old = coef
-    return solve()
+    return solve(np.arange(len(n)))
 
 
 # -- blocks of rows ------------------------------------------------------------------
@@ -181,7 +188,8 @@ def sums_of_blocks(blocks: DataFrame, models: DataFrame, keys: Sequence[str], n_
                         some = np.flatnonzero(n)
                         node = np.array(unknown)[some // BINS]
                         out.append(np.stack([np.full(len(some), t), node, np.full(len(some), f), some % BINS, np.bincount(cell, weight)[some], np.bincount(cell, weight * y[own])[some], n[some]], 1))
-                table = np.concatenate(out) if out else np.zeros((0, 7))
+                # sums over no rows are whole numbers to bincount, whatever the weights
+                table = np.concatenate(out).astype(np.float64) if out else np.zeros((0, 7))
                 head = [b.column(k).take(pa.array(np.full(len(table), i))) for k in keys]
                 whole = [pa.array(table[:, j].astype(np.int32)) for j in range(4)]
                 yield pa.RecordBatch.from_arrays([*head, *whole, pa.array(table[:, 4]), pa.array(table[:, 5]), pa.array(table[:, 6])], names=[*keys, "tree", "node", "feature", "bin", "w", "wy", "n"])
@@ -214,7 +222,7 @@ def with_splits(models: DataFrame, sums: DataFrame, keys: Sequence[str], options
                 # halfway to the next bin that has drawn rows in this node
                 best[tree, node] = (cut[0], feature, float((here[at[k, 3]] + here[at[k + 1, 3]]) / 2), cut[2], now[4])
         for t, tree in enumerate(scene["trees"]):
-            for node in tree.grown(options.max_leaves)[1]:
+            for node in sorted(tree.grown(options.max_leaves)[1]):
                 gain, feature, cut, sides, value = best.get((t, node), (0.0, None, None, None, 0.0))
                 tree.value[node] = value
                 tree.state[node] = SHUT if feature is None else SPLIT
@@ -250,6 +258,19 @@ def begun(samples: DataFrame, keys: Sequence[str], features: Sequence[str], targ
 # -- lines -----------------------------------------------------------------------------
 
 
+def lines_of(tree: np.ndarray, sums: np.ndarray, centre: np.ndarray, drawn: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Coefficients on all features and intercepts of leaves, from their trees, sums (n, y, yy, x, xy, and products of features, the later one first) and scenes' means."""
+    k = len(drawn[0])
+    n, y, yy, x, xy = sums[0], sums[1], sums[2], sums[3 : 3 + k].T, sums[3 + k : 3 + 2 * k].T
+    xx = np.zeros((len(n), k, k))
+    for at, (p, q) in enumerate((p, q) for p in range(k) for q in range(p + 1)):
+        xx[:, p, q] = xx[:, q, p] = sums[3 + 2 * k + at]
+    coef = bayesian_ridges(n, xx - x[:, :, None] * x[:, None, :] / n[:, None, None], xy - x * (y / n)[:, None], yy - y * y / n)
+    own, whole = np.stack(drawn)[tree], np.zeros((len(n), centre.shape[1] - 1))
+    np.put_along_axis(whole, own, coef, 1)
+    return whole, centre[:, -1] + y / n - (coef * (x / n[:, None] + np.take_along_axis(centre, own, 1))).sum(1)
+
+
 def leaf_lines(blocks: DataFrame, models: DataFrame, keys: Sequence[str], n_features: int, options: Options) -> DataFrame:
     """keys, tree, leaf, coef, intercept, ymin, ymax: the line through all of a leaf's rows, drawn or not, each counted once, on the tree's features."""
     drawn = options.drawn_features(n_features)
@@ -277,20 +298,11 @@ def leaf_lines(blocks: DataFrame, models: DataFrame, keys: Sequence[str], n_feat
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            values = {c: b.column(c).to_numpy() for c in ("tree", *sums)}
-            coefs, starts = [], []
-            for i, centre in enumerate(b.column("centre").to_pylist()):
-                own = drawn[int(values["tree"][i])]
-                n, y = values["n"][i], values["y"][i]
-                x, xy, xx = np.array([values[f"x{j}"][i] for j in range(k)]), np.array([values[f"xy{j}"][i] for j in range(k)]), np.zeros((k, k))
-                for p, q in pairs:
-                    xx[p, q] = xx[q, p] = values[f"xx{p}_{q}"][i]
-                coef = bayesian_ridge(n, xx - np.outer(x, x) / n, xy - x * y / n, values["yy"][i] - y * y / n)
-                whole = np.zeros(n_features)
-                whole[own] = coef
-                coefs.append(whole.tolist())
-                starts.append(centre[-1] + y / n - coef @ (x / n + np.array(centre)[own]))
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in (*keys, "tree", "leaf")), pa.array(coefs, pa.list_(pa.float64())), pa.array(starts, pa.float64()), b.column("ymin"), b.column("ymax")], names=[*keys, "tree", "leaf", "coef", "intercept", "ymin", "ymax"])
+            if not b.num_rows:
+                continue
+            centre = np.array(b.column("centre").to_pylist())
+            coefs, starts = lines_of(b.column("tree").to_numpy(), np.stack([b.column(c).to_numpy() for c in sums]), centre, drawn)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in (*keys, "tree", "leaf")), pa.array(coefs.tolist(), pa.list_(pa.float64())), pa.array(starts), b.column("ymin"), b.column("ymax")], names=[*keys, "tree", "leaf", "coef", "intercept", "ymin", "ymax"])
 
     met = blocks.join(models.select(*keys, "__scene"), list(keys)).select(*keys, "__scene", "data")
     schema = f"{types(blocks, keys)}, tree int, leaf int, ymin double, ymax double, " + ", ".join(f"{c} double" for c in sums)
@@ -330,24 +342,198 @@ def finished(models: DataFrame, lines: DataFrame, keys: Sequence[str], options:
     return trees.join(every, list(keys))
 
 
+# -- scenes of one block -------------------------------------------------------------------
+
+
+def routed(x: np.ndarray, feature: np.ndarray, cut: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """(tree, row): the leaf of every row in every tree; arrays are by (tree, node), feature -1 where a node isn't split."""
+    trees, rows = len(feature), len(x)
+    at = np.zeros(trees * rows, np.int64)
+    tree, row = np.repeat(np.arange(trees), rows), np.tile(np.arange(rows), trees)
+    live = np.flatnonzero(feature[tree, 0] >= 0)
+    while len(live):
+        t, node = tree[live], at[live]
+        at[live] = np.where(x[row[live], feature[t, node]] <= cut[t, node], left[t, node], right[t, node])
+        live = live[feature[t, at[live]] >= 0]
+    return at.reshape(trees, rows)
+
+
+class Grove:
+    """The trees of one scene, whose samples are all at hand, grown together."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, w: np.ndarray, ids: np.ndarray, options: Options, drawn: list[np.ndarray]):
+        n, self.x, self.options, self.drawn = len(x), x, options, drawn
+        ranks = np.maximum(1, np.ceil(np.array([i / (BINS - 1) for i in range(BINS)]) * n).astype(int)) - 1
+        self.values = [np.unique(np.sort(v)[ranks]) for v in x.T]
+        self.centre = np.append(x.mean(0), y.mean())
+        self.y, self.w, self.times = y, w, options.drawn_rows(ids, n)
+        self.bins = [np.searchsorted(v[:-1] + np.diff(v) / 2, own, "left") for v, own in zip(self.values, x.T, strict=True)]
+        self.of_feature = [np.array([f in own for own in self.drawn]) for f in range(x.shape[1])]
+        self.size = np.ones(options.trees, np.int64)
+        self.state, self.feature, self.left = (np.full((options.trees, 64), v) for v in (SHUT, -1, -1))
+        self.cut, self.gain, self.value = (np.zeros((options.trees, 64)) for _ in range(3))
+        self.state[:, 0] = OPEN
+
+    def grown(self) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        """By (tree, node) the features of nodes that are split, -1 of others, and the open nodes; as Tree.grown."""
+        feature, unknown = self.feature.copy(), []
+        splits = (self.state == SPLIT).sum(1)
+        for t in range(self.options.trees):
+            if splits[t] + 1 < self.options.max_leaves:
+                unknown += [(t, v) for v in np.flatnonzero(self.state[t] == OPEN).tolist()]
+                continue
+            tree = Tree()
+            tree.state, tree.left, tree.gain = self.state[t].tolist(), self.left[t].tolist(), self.gain[t].tolist()
+            inner, own = tree.grown(self.options.max_leaves)
+            unknown += [(t, v) for v in sorted(own)]
+            outer = np.ones(feature.shape[1], bool)
+            outer[inner] = False
+            feature[t, outer] = -1
+        return feature, unknown
+
+    def grow(self) -> np.ndarray:
+        """By (tree, node) the features of the nodes that are split in the end."""
+        while True:
+            feature, unknown = self.grown()
+            if not unknown:
+                return feature
+            self.split(unknown, routed(self.x, feature, self.cut, self.left, self.left + 1))
+
+    def split(self, unknown: list[tuple[int, int]], at: np.ndarray) -> None:
+        trees, nodes = np.array(unknown).T
+        place = np.full(self.state.shape, -1)
+        place[trees, nodes] = np.arange(len(unknown))
+        mine = np.take_along_axis(place, at, 1)
+        t, row = np.nonzero((mine >= 0) & (self.times > 0))
+        seg, weight = mine[t, row], self.times[t, row] * self.w[row]
+        target = weight * (self.y[row] - self.centre[-1])
+        total, mass = np.bincount(seg, target, len(unknown)), np.bincount(seg, weight, len(unknown))
+        mean = np.divide(total, mass, out=np.zeros(len(unknown)), where=mass != 0)
+        best, found, cuts = np.zeros(len(unknown)), np.full(len(unknown), -1), np.zeros(len(unknown))
+        sides = np.zeros((4, len(unknown)))
+        for f, values in enumerate(self.values):
+            some, width = self.of_feature[f][t], len(values)
+            if width < 2 or not some.any():
+                continue
+            cell = seg[some] * width + self.bins[f][row[some]]
+            size = len(unknown) * width
+            rows = np.bincount(cell, minlength=size).reshape(-1, width)
+            w, s, n = (np.cumsum(v.reshape(-1, width), 1) for v in (np.bincount(cell, weight[some], size), np.bincount(cell, target[some], size), rows))
+            good = (n >= self.options.min_rows) & (n[:, -1:] - n >= self.options.min_rows) & (w > 0) & (w[:, -1:] - w > 0)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                gains = np.where(good, s**2 / w + (s[:, -1:] - s) ** 2 / (w[:, -1:] - w) - s[:, -1:] ** 2 / w[:, -1:], -np.inf)
+            k = gains.argmax(1)
+            gain = gains[np.arange(len(k)), k]
+            i = np.flatnonzero(gain > best + 1e-9 * np.abs(best))
+            if not len(i):
+                continue
+            k = k[i]
+            best[i], found[i] = gain[i], f
+            # halfway to the next bin that has drawn rows in this node
+            following = ((rows[i] > 0) & (np.arange(width) > k[:, None])).argmax(1)
+            cuts[i] = (values[k] + values[following]) / 2
+            sides[:, i] = n[i, k], n[i, -1] - n[i, k], s[i, k] / w[i, k], (s[i, -1] - s[i, k]) / (w[i, -1] - w[i, k])
+        self.value[trees, nodes] = mean
+        self.state[trees, nodes] = np.where(found >= 0, SPLIT, SHUT)
+        i = np.flatnonzero(found >= 0)
+        if not len(i):
+            return
+        t, v = trees[i], nodes[i]
+        # `unknown` is in order of trees: a tree's children follow one another
+        nth = np.arange(len(i)) - np.searchsorted(t, t)
+        child = self.size[t] + 2 * nth
+        while child.max() + 1 >= self.state.shape[1]:
+            self.state, self.feature, self.left = (np.concatenate([a, np.full(a.shape, v)], 1) for a, v in ((self.state, SHUT), (self.feature, -1), (self.left, -1)))
+            self.cut, self.gain, self.value = (np.concatenate([a, np.zeros(a.shape)], 1) for a in (self.cut, self.gain, self.value))
+        self.feature[t, v], self.cut[t, v], self.gain[t, v], self.left[t, v] = found[i], cuts[i], best[i], child
+        for side in (0, 1):
+            self.state[t, child + side] = np.where(sides[side, i] >= 2 * self.options.min_rows, OPEN, SHUT)
+            self.value[t, child + side] = sides[2 + side, i]
+        self.size += 2 * np.bincount(t, minlength=len(self.size))
+
+    def lines(self, feature: np.ndarray) -> dict[str, np.ndarray]:
+        """tree, leaf, coef, intercept, ymin, ymax through all of a leaf's rows."""
+        trees, n = self.options.trees, len(self.x)
+        at = routed(self.x, feature, self.cut, self.left, self.left + 1)
+        leaves, place = np.unique(np.arange(trees)[:, None] * feature.shape[1] + at, return_inverse=True)
+        place = place.ravel()
+        x, y = self.x - self.centre[:-1], np.tile(self.y - self.centre[-1], trees)
+        own = [np.concatenate([x[:, f[i]] for f in self.drawn]) for i in range(len(self.drawn[0]))]
+        columns = [np.ones(trees * n), y, y * y, *own, *(v * y for v in own), *(own[i] * own[j] for i in range(len(own)) for j in range(i + 1))]
+        low, high = np.full(len(leaves), np.inf), np.full(len(leaves), -np.inf)
+        np.minimum.at(low, place, np.tile(self.y, trees))
+        np.maximum.at(high, place, np.tile(self.y, trees))
+        tree, leaf = np.divmod(leaves, feature.shape[1])
+        coef, start = lines_of(tree, np.stack([np.bincount(place, c, len(leaves)) for c in columns]), np.tile(self.centre, (len(leaves), 1)), self.drawn)
+        return {"tree": tree, "leaf": leaf, "coef": coef, "intercept": start, "ymin": low, "ymax": high}
+
+    def nodes(self, feature: np.ndarray) -> dict[str, np.ndarray]:
+        """tree, node, feature, cut, left, right, value of all nodes that are reached."""
+        inner, reached = feature >= 0, np.zeros(feature.shape, bool)
+        t, v = np.nonzero(inner)
+        reached[:, 0] = True
+        reached[t, self.left[t, v]] = reached[t, self.left[t, v] + 1] = True
+        t, v = np.nonzero(reached)
+        split = inner[t, v]
+        left = np.where(split, self.left[t, v], -1)
+        return {"tree": t, "node": v, "feature": feature[t, v], "cut": self.cut[t, v], "left": left, "right": np.where(split, left + 1, -1), "value": self.value[t, v] + self.centre[-1]}
+
+
+def fit_blocks(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], options: Options) -> DataFrame:
+    """keys, trees, lines of scenes of at most BLOCK_ROWS samples: rows have keys, `columns` (features, target, weight) and `__id`."""
+    k, whole = len(columns) - 2, ("tree", "node", "leaf", "feature", "left", "right")
+    drawn = options.drawn_features(k)
+
+    def nested(found: dict[str, np.ndarray]) -> pa.ListArray:
+        n = len(found["tree"])
+        arrays = [pa.array(v.astype(np.int32)) if c in whole else pa.ListArray.from_arrays(np.arange(0, v.size + 1, k, dtype=np.int32), pa.array(v.ravel())) if v.ndim == 2 else pa.array(v.astype(np.float64)) for c, v in found.items()]
+        return pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.StructArray.from_arrays(arrays, list(found)))
+
+    def run(scene: pa.Table) -> pa.Table:
+        ids = scene.column("__id").to_numpy().astype(np.int64)
+        # sums don't depend on the order in which rows arrive
+        data = np.stack([scene.column(c).to_numpy().astype(np.float64) for c in columns], 1)
+        order = np.lexsort((*data.T, ids))
+        data = data[order]
+        grove = Grove(data[:, :k], data[:, k], data[:, k + 1], ids[order], options, drawn)
+        feature = grove.grow()
+        head = [scene.column(c).slice(0, 1).combine_chunks() for c in keys]
+        return pa.table([*head, nested(grove.nodes(feature)), nested(grove.lines(feature))], names=[*keys, "trees", "lines"])
+
+    # samples are few bytes for the work they make: by bytes alone they would be put together for few tasks
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, *keys).groupBy(*keys).applyInArrow(run, f"{types(rows, keys)}, {MODEL}")
+
+
+# -- fitting -----------------------------------------------------------------------------
+
+
 def fit(samples: DataFrame, keys: Sequence[str], features: Sequence[str], ids: Sequence[str], target: str = "lst", weight: str = "weight", options: Options = Options()) -> DataFrame:
     """keys, trees, lines for every scene that has samples. `ids` tell a scene's rows apart: draws follow from them and the seed.
 
     Samples have no missing values. A scene of few rows has bare roots, whose line goes through all of them.
     """
+    columns = [*features, target, weight]
+    rows = staged(samples.select(*keys, *(F.col(c).cast("double").alias(c) for c in columns), F.xxhash64(*ids).alias("__id")), "rows")
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") > BLOCK_ROWS)
+    large = staged(sizes, "large")
+    if not large.take(1):
+        return staged(fit_blocks(rows, keys, columns, options), "forest")
+    small = fit_blocks(rows.join(large, list(keys), "left_anti"), keys, columns, options)
+    return staged(small.unionByName(_fit_large(rows.join(large, list(keys)), keys, features, target, weight, options)), "forest")
+
+
+def _fit_large(wide: DataFrame, keys: Sequence[str], features: Sequence[str], target: str, weight: str, options: Options) -> DataFrame:
     n_features = len(features)
-    at = begun(samples, keys, features, target, options)
-    sizes = samples.groupBy(*keys).agg(F.count("*").alias("__n"))
-    row = F.xxhash64(*ids)
+    at = begun(wide, keys, features, target, options)
     # an id's 64 bits travel as those of a double
-    wide = samples.join(sizes, list(keys)).select(*keys, *features, target, weight, row.alias("__id"), "__n")
     blocks = staged(_blocks(wide, keys, [*features, target, weight]), "samples")
     models, rest = staged(at, "models"), True
     while rest:
         grown = staged(with_splits(models, sums_of_blocks(blocks, models, keys, n_features, options), keys, options), "models")
         drop_staged(models)
         models, rest = grown, bool(grown.filter("__open").take(1))
-    return staged(finished(models, leaf_lines(blocks, models, keys, n_features, options), keys, options), "forest")
+    return finished(models, leaf_lines(blocks, models, keys, n_features, options), keys, options)
 
 
 def _blocks(wide: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -363,38 +549,55 @@ def _blocks(wide: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Dat
 # -- applying ------------------------------------------------------------------------------
 
 
-def predict(x: np.ndarray, trees: list[dict], lines: list[dict], margin: float, plain: bool) -> np.ndarray:
+@dataclass(frozen=True)
+class Model:
+    """A scene's trees and lines as arrays by (tree, node)."""
+
+    feature: np.ndarray
+    cut: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+    coef: np.ndarray
+    intercept: np.ndarray
+    ymin: np.ndarray
+    ymax: np.ndarray
+
+    @classmethod
+    def read(cls, trees: pa.ListScalar, lines: pa.ListScalar) -> Model:
+        nodes, leaves = trees.values, lines.values
+        column = lambda a, c: a.field(c).to_numpy(zero_copy_only=False)
+        at, of = (column(nodes, "tree"), column(nodes, "node")), (column(leaves, "tree"), column(leaves, "leaf"))
+        shape = (at[0].max() + 1, at[1].max() + 1)
+        grid = {c: np.full(shape, -1) for c in ("feature", "left", "right")} | {c: np.zeros(shape) for c in ("cut", "value", "intercept", "ymin", "ymax")}
+        for c in ("feature", "cut", "left", "right", "value"):
+            grid[c][at] = column(nodes, c)
+        for c in ("intercept", "ymin", "ymax"):
+            grid[c][of] = column(leaves, c)
+        flat = leaves.field("coef").flatten().to_numpy(zero_copy_only=False)
+        grid["coef"] = np.zeros((*shape, len(flat) // len(of[0])))
+        grid["coef"][of] = flat.reshape(len(of[0]), -1)
+        return cls(**grid)
+
+
+#: Rows whose leaves in all trees are looked up at once.
+PREDICT_ROWS = 2048
+
+
+def predict(x: np.ndarray, model: Model, margin: float, plain: bool) -> np.ndarray:
     """The mean over trees of the leaf's line, kept within its range and `margin` of it; plain: of the leaf's value."""
-    total, count = np.zeros(len(x)), 0
-    by_tree: dict[int, list[dict]] = {}
-    for node in trees:
-        by_tree.setdefault(node["tree"], []).append(node)
-    of_leaf: dict[int, list[dict]] = {}
-    for line in lines:
-        of_leaf.setdefault(line["tree"], []).append(line)
-    for t, nodes in by_tree.items():
-        size = max(n["node"] for n in nodes) + 1
-        feature, left, right = (np.full(size, -1) for _ in range(3))
-        cut, value = np.zeros(size), np.zeros(size)
-        for n in nodes:
-            i = n["node"]
-            feature[i], left[i], right[i], cut[i], value[i] = n["feature"], n["left"], n["right"], n["cut"], n["value"]
-        at = np.zeros(len(x), np.int64)
-        live = np.flatnonzero(feature[at] >= 0)
-        while len(live):
-            node = at[live]
-            at[live] = np.where(x[live, feature[node]] <= cut[node], left[node], right[node])
-            live = live[feature[at[live]] >= 0]
-        count += 1
+    out, tree = np.zeros(len(x)), np.arange(len(model.feature))[:, None]
+    for i in range(0, len(x), PREDICT_ROWS):
+        own = x[i : i + PREDICT_ROWS]
+        at = tree, routed(own, model.feature, model.cut, model.left, model.right)
         if plain:
-            total += value[at]
-            continue
-        coef, start, low, high = np.zeros((size, x.shape[1])), np.zeros(size), np.zeros(size), np.zeros(size)
-        for line in of_leaf[t]:
-            i, room = line["leaf"], margin * (line["ymax"] - line["ymin"])
-            coef[i], start[i], low[i], high[i] = line["coef"], line["intercept"], line["ymin"] - room, line["ymax"] + room
-        total += np.minimum(high[at], np.maximum(low[at], start[at] + (coef[at] * x).sum(1)))
-    return total / count
+            found = model.value[at]
+        else:
+            low, high = model.ymin[at], model.ymax[at]
+            room = margin * (high - low)
+            found = np.minimum(high + room, np.maximum(low - room, model.intercept[at] + (model.coef[at] * own).sum(2)))
+        out[i : i + PREDICT_ROWS] = found.sum(0) / len(found)
+    return out
 
 
 def apply(cells: DataFrame, models: DataFrame, keys: Sequence[str], features: Sequence[str], margin: float = 0.25, plain: bool = False, side: int = BLOCK_SIDE) -> DataFrame:
@@ -407,7 +610,7 @@ def apply(cells: DataFrame, models: DataFrame, keys: Sequence[str], features: Se
                 whole = ~np.isnan(x).any(1)
                 lst = np.full(len(x), np.nan)
                 if whole.any():
-                    lst[whole] = predict(x[whole], b.column("trees")[i].as_py(), b.column("lines")[i].as_py(), margin, plain)
+                    lst[whole] = predict(x[whole], Model.read(b.column("trees")[i], b.column("lines")[i]), margin, plain)
                 head = [b.column(k).take(pa.array(np.full(len(x), i))) for k in keys]
                 yield pa.RecordBatch.from_arrays([*head, pa.array(data[:, 0].astype(np.int32)), pa.array(data[:, 1].astype(np.int32)), pa.array(lst, mask=np.isnan(lst))], names=[*keys, "row", "col", "lst"])
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .forest import predict, types
+from .forest import Model, predict, types
 from .grid import Grid
 
 
@@ -194,7 +194,7 @@ Run = Callable[[dict[str, Patch], dict[str, Patch]], dict[str, Patch]]
 
 
 def over_windows(low: DataFrame, low_bands: Sequence[str], fine: DataFrame, fine_bands: Sequence[str], keys: Sequence[str], w: Windows, halo: int, run: Run | Callable, out: Sequence[str], models: DataFrame | None = None) -> DataFrame:
-    """keys, row, col and the bands `out` of the fine cells: run(coarse patches, fine patches) for each window, with a scene's model (trees, lines) as a third argument if models are given.
+    """keys, row, col and the bands `out` of the fine cells: run(coarse patches, fine patches) for each window, with a scene's model as a third argument if models are given.
 
     A chain of steps that reach n coarse cells in all needs a halo of n.
     """
@@ -212,7 +212,7 @@ def over_windows(low: DataFrame, low_bands: Sequence[str], fine: DataFrame, fine
                 above, own = _patches(data, 1, fine_bands, wr, wc, w.fine, (w.rows * w.factor, w.cols * w.factor), halo * w.factor)
                 if not len(own):
                     continue
-                found = run(below, above, *([(b.column("trees")[i].as_py(), b.column("lines")[i].as_py())] if modelled else []))
+                found = run(below, above, *([Model.read(b.column("trees")[i], b.column("lines")[i])] if modelled else []))
                 r, c = own.T
                 head = [b.column(k).take(pa.array(np.full(len(own), i))) for k in keys]
                 first = next(iter(above.values()))
@@ -240,12 +240,12 @@ def correct_residuals(hot: DataFrame, low: DataFrame, keys: Sequence[str], w: Wi
 def sharpen(fine: DataFrame, low: DataFrame, models: DataFrame, features: Sequence[str], keys: Sequence[str], w: Windows, residual: bool = True, margin: float = 0.25, power: int = 4) -> DataFrame:
     """keys, row, col, lst: the models' temperatures and their correction by residuals, from one dealing of both grids."""
 
-    def run(below: dict[str, Patch], above: dict[str, Patch], model: tuple[list[dict], list[dict]]) -> dict[str, Patch]:
+    def run(below: dict[str, Patch], above: dict[str, Patch], model: Model) -> dict[str, Patch]:
         like = above[features[0]]
         x = np.stack([above[f].values.ravel() for f in features], 1)
         whole, lst = ~np.isnan(x).any(1), np.full(len(x), np.nan)
         if whole.any():
-            lst[whole] = predict(x[whole], *model, margin, False)
+            lst[whole] = predict(x[whole], model, margin, False)
         t = like.like(lst.reshape(like.values.shape))
         if not residual:
             return {"lst": t}
