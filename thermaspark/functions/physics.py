@@ -143,8 +143,13 @@ def hotspot_distance(sza: Column, saa: Column, vza: Column, vaa: Column) -> Colu
 
 
 def kernel_hotspot(k: Column, sza: Column, saa: Column, vza: Column, vaa: Column) -> Column:
-    nadir = F.exp(-k * F.tan(F.radians(sza)))
-    return (F.exp(-k * hotspot_distance(sza, saa, vza, vaa)) - nadir) / F.nullif(1 - nadir, F.lit(0.0))
+    return hotspot_at(k, hotspot_distance(sza, saa, vza, vaa), F.tan(F.radians(sza)))
+
+
+def hotspot_at(k: Column, distance: Column, sun: Column) -> Column:
+    """The kernel from what doesn't depend on k: the distance and the tangent of the sun's zenith angle."""
+    nadir = F.exp(-k * sun)
+    return (F.exp(-k * distance) - nadir) / F.nullif(1 - nadir, F.lit(0.0))
 
 
 def model_vinnikov_rl(a: Column, b: Column, k: Column, s3: tuple[Column, ...], val: tuple[Column, ...]) -> Column:
