@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from thermaspark.operators import analysis, matchup
 from thermaspark.operators import grid as G
 from thermaspark.operators import swath as S
 from thermaspark.plans import product_queries, products
@@ -48,3 +49,41 @@ def test_matchups_leave_out_what_is_done_and_what_is_not_simultaneous(spark):
     got = products.matchups_from_swath(granules, late, cover, g, 2, done=done)
     assert {r["pair_id"] for r in got.select("pair_id").distinct().collect()} == {"g3|s3"}
     assert got.filter("s3_time != '20240304T093400' OR land_cover IS NULL").count() == 0
+
+
+def test_nearest_stops_when_no_cell_is_open_and_projects_a_grid_once(spark, monkeypatch):
+    written, own = [], S.staged
+
+    def spy(df, name):
+        out = own(df, name)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(S, "staged", spy)
+    g = G.Grid(25.0, 0.0007, -15.0, -0.0007, 5, 4)
+    pixels = spark.range(40).select((F.col("id") % 2).cast("int").alias("k"), F.col("id").alias("px_id"), F.lit(1.0).alias("v"), (25.0 + ((F.col("id") / 2).cast("int") % 5 + 0.5) * 0.0007).alias("lon"), (-15.0 - ((F.col("id") / 10).cast("int") + 0.5) * 0.0007).alias("lat"))
+    assert S.grid_swath_plane(pixels, g, ["v"], ["k"]).count() == 40
+    assert written == [("places", 20), ("pixels", 40), ("nearest", 40), ("open", 0)]
+
+
+def test_matchups_take_each_side_once(spark):
+    """Joins for columns of the same side would do again whatever made it."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(i):
+        calls.add(1)
+        return i
+
+    count = F.udf(seen, "int").asNondeterministic()
+    angles = {f: F.lit(10.0) for f in ("vza", "vaa", "sza", "saa")}
+    side = spark.range(30).select(F.lit(1).alias("pair_id"), count(F.col("id").cast("int")).alias("row"), F.lit(0).alias("col"), F.when(F.col("id") == 3, 0.0).otherwise(290.0).alias("lst"), F.lit("t").alias("acq_time")).withColumns(angles)
+    plain = spark.range(30).select(F.lit(1).alias("pair_id"), F.col("id").cast("int").alias("row"), F.lit(0).alias("col"), F.lit(280.0).alias("lst"), F.lit("t").alias("acq_time"), F.lit(0).alias("cloudmask"), F.lit(1.0).alias("land_fraction")).withColumns(angles)
+    cover = spark.createDataFrame([(0, 0, 10)], "row int, col int, land_cover int")
+    assert len(matchup.build_matchups(side, plain, cover).collect()) == 29
+    assert calls.value <= 30
+
+
+def test_samples_of_all_seeds_are_those_of_each(spark):
+    df = spark.range(4000).select((F.col("id") % 3).cast("string").alias("s3_time"), F.col("id"))
+    got = sorted((r["sample_id"], r["id"]) for r in products.samples(df, ["id"], (1, 2), 300).collect())
+    assert got == sorted((s, r["id"]) for s in (1, 2) for r in analysis.balanced_sample(df, ["id"], s, 300).collect()) and len(got) > 1800

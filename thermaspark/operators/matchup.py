@@ -6,20 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import physics as P
-from .temporal import align_grids
 
 ANGLES = ("vza", "vaa", "sza", "saa")
 
 
 def build_matchups(s3: DataFrame, val: DataFrame, land_cover: DataFrame, keys: tuple[str, ...] = ("pair_id", "row", "col")) -> DataFrame:
     """One row per pixel at which both sensors have a temperature: both temperatures and angles (azimuths in [0, 360)), land cover, the angle between the views, both times."""
-    both = align_grids(s3, val, keys, "lst")
-    a = s3.select(*keys, *(F.col(c).alias(f"s3_{c}") for c in ANGLES), F.col("acq_time").alias("s3_time"))
-    b = val.select(*keys, *(F.col(c).alias(f"validation_{c}") for c in ANGLES), F.col("acq_time").alias("validation_time"), F.col("cloudmask").alias("validation_cloudmask"), F.col("land_fraction").alias("validation_land_fraction"))
-    out = both.join(a, list(keys)).join(b, list(keys)).join(land_cover.select(*keys[1:], "land_cover"), list(keys[1:]), "left")
+    # each side comes once, as whatever made it would be done again for every further join
+    a, b = (df.filter("lst != 0") for df in (s3, val))
+    a = a.select(*keys, F.col("lst").alias("lst_s3hr"), *(F.col(c).alias(f"s3_{c}") for c in ANGLES), F.col("acq_time").alias("s3_time"))
+    b = b.select(*keys, F.col("lst").alias("validation_lst"), *(F.col(c).alias(f"validation_{c}") for c in ANGLES), F.col("acq_time").alias("validation_time"), F.col("cloudmask").alias("validation_cloudmask"), F.col("land_fraction").alias("validation_land_fraction"))
+    both = a.join(b, list(keys)).select(*keys, "lst_s3hr", "validation_lst", *(c for df in (a, b) for c in df.columns if c not in (*keys, "lst_s3hr", "validation_lst")))
+    out = both.join(land_cover.select(*keys[1:], "land_cover"), list(keys[1:]), "left")
     out = out.withColumn("sesa", P.sun_sensor_angle(F.col("s3_vza"), F.col("validation_vza"), F.col("s3_vaa"), F.col("validation_vaa")))
-    out = out.withColumns({c: P.normalize_angle(F.col(c)) for c in ("s3_vaa", "s3_saa", "validation_vaa", "validation_saa")})
-    return out.withColumnRenamed("left_lst", "lst_s3hr").withColumnRenamed("right_lst", "validation_lst")
+    return out.withColumns({c: P.normalize_angle(F.col(c)) for c in ("s3_vaa", "s3_saa", "validation_vaa", "validation_saa")})
 
 
 def align_azimuth(df: DataFrame, by: str = "pair_id") -> DataFrame:

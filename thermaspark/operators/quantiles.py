@@ -86,35 +86,36 @@ def group_quantiles(df: DataFrame, value: Column, fractions: Sequence[float], by
     return out if by else out.drop("__all")
 
 
-def hash_sample(df: DataFrame, sizes: DataFrame, by: str, key: Sequence[str], seed: int = 0, few: int = FEW) -> DataFrame:
-    """Of each group the first `k` rows by a seeded hash of `key`; sizes: by, k. Groups of at most k rows stay whole.
+def hash_sample(df: DataFrame, sizes: DataFrame, by: str | Sequence[str], key: Sequence[str], seed: int | Column = 0, few: int = FEW) -> DataFrame:
+    """Of each group the first `k` rows by a seeded hash of `key`; sizes: by, k. Groups of at most k rows stay whole. A seed may be a column.
 
     The hash of the last row that stays is selected, not sorted; rows that share it are taken in the order of `key`. Hashes
     are even, so that the k lowest lie almost surely below a little more than k / n of their range. Only these are looked at
     where they are k or more; groups in which they are fewer, for many equal rows, are looked at whole.
     """
-    marked = df.withColumn("__h", F.xxhash64(F.lit(seed), *key))
-    counts = df.groupBy(by).agg(F.count("*").alias("__n"))
-    cut = staged(sizes.join(counts, by).filter("__n > k").select(by, "k", "__n"), "cut")
+    by = [by] if isinstance(by, str) else list(by)
+    marked = df.withColumn("__h", F.xxhash64(seed if isinstance(seed, Column) else F.lit(seed), *key))
+    counts = df.groupBy(*by).agg(F.count("*").alias("__n"))
+    cut = staged(sizes.join(counts, by).filter("__n > k").select(*by, "k", "__n"), "cut")
     share = (F.col("k") + 8 * F.sqrt("k") + 32) / F.col("__n")
     limit = F.when(share < 1, ((F.least(share, F.lit(1.0 - 2**-20)) - 0.5) * 2.0**64).cast("long")).otherwise(F.lit(2**63 - 1))
-    hashes = marked.select(by, "__h").join(cut.filter("k > 0").select(by, "k", limit.alias("__limit")), by)
-    low = staged(hashes.filter("__h <= __limit").groupBy(by, "k", "__h").agg(F.count("*").alias("c")), "low")
-    found = low.groupBy(by, "k").agg(F.sum("c").alias("n")).filter("n >= k").select(by)
-    short = cut.filter("k > 0").join(found, by, "left_anti").select(by)
-    values = low.select(by, "__h", "c")
+    hashes = marked.select(*by, "__h").join(cut.filter("k > 0").select(*by, "k", limit.alias("__limit")), by)
+    low = staged(hashes.filter("__h <= __limit").groupBy(*by, "k", "__h").agg(F.count("*").alias("c")), "low")
+    found = low.groupBy(*by, "k").agg(F.sum("c").alias("n")).filter("n >= k").select(*by)
+    short = cut.filter("k > 0").join(found, by, "left_anti").select(*by)
+    values = low.select(*by, "__h", "c")
     if short.take(1):
-        whole = hashes.join(short, by, "left_semi").groupBy(by, "__h").agg(F.count("*").alias("c"))
+        whole = hashes.join(short, by, "left_semi").groupBy(*by, "__h").agg(F.count("*").alias("c"))
         values = staged(values.join(short, by, "left_anti").unionByName(whole), "low")
-    last = select_ranks(values.withColumnRenamed("__h", "v"), cut.filter("k > 0").select(by, F.lit(0).alias("slot"), (F.col("k") - 1).alias("rank")), [by], few)
-    ends = cut.select(by, "k").join(last.select(by, F.col("value").alias("__end")), by, "left").withColumn("__cut", F.lit(True))
+    last = select_ranks(values.withColumnRenamed("__h", "v"), cut.filter("k > 0").select(*by, F.lit(0).alias("slot"), (F.col("k") - 1).alias("rank")), by, few)
+    ends = cut.select(*by, "k").join(last.select(*by, F.col("value").alias("__end")), by, "left").withColumn("__cut", F.lit(True))
     ends = staged(ends, "ends")
     met = marked.join(ends, by, "left")
     plain = met.filter("__cut IS NULL OR __h < __end").select(*df.columns)
     # a hash is shared by equal rows alone, or nearly; a few rows of a group
     tied = met.filter("__h = __end")
-    before = values.join(ends, by).filter("__h < __end").groupBy(by).agg(F.sum("c").alias("__before"))
-    first = Window.partitionBy(by, "__part").orderBy(*key)
+    before = values.join(ends, by).filter("__h < __end").groupBy(*by).agg(F.sum("c").alias("__before"))
+    first = Window.partitionBy(*by, "__part").orderBy(*key)
     limited = tied.withColumn("__part", F.spark_partition_id()).withColumn("__r", F.row_number().over(first)).filter("__r <= k")
-    kept = limited.join(before, by, "left").withColumn("__r", F.row_number().over(Window.partitionBy(by).orderBy(*key)))
+    kept = limited.join(before, by, "left").withColumn("__r", F.row_number().over(Window.partitionBy(*by).orderBy(*key)))
     return plain.unionByName(kept.filter("__r + coalesce(__before, 0) <= k").select(*df.columns))

@@ -18,8 +18,8 @@ def nearest(cells: DataFrame, pixels: DataFrame, keys: Sequence[str], bands: Seq
 
     cells(keys, row, col, x, y) look into the nine buckets around them, of `first` metres at the start. Whatever lies
     within a bucket's size is in these, so that a cell whose nearest pixel is no farther has it; the others look again
-    with buckets twice as large. Both sides are shuffled: written tables are small on disk, and Spark would take them for
-    tables that the driver can hold.
+    with buckets twice as large, until none is left. Both sides are shuffled: written tables are small on disk, and Spark
+    would take them for tables that the driver can hold.
     """
     at, size, found, left = [*keys, "row", "col"], first, [], cells.select(*keys, "row", "col", "x", "y")
     offsets = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in AROUND))).alias("o")
@@ -40,6 +40,8 @@ def nearest(cells: DataFrame, pixels: DataFrame, keys: Sequence[str], bands: Seq
         sure = staged(sure, "nearest")
         found.append(sure)
         left = staged(left.join(sure.select(*at).hint("merge"), at, "left_anti"), "open")
+        if left.isEmpty():
+            break
         size *= 2
     out = found[0]
     for part in found[1:]:
@@ -53,11 +55,13 @@ def grid_swath_plane(swath: DataFrame, g: Grid, bands: Sequence[str], keys: Sequ
     own = swath if keys else swath.withColumn("__all", F.lit(0))
     lon0, lat0 = g.x0 + g.dx * g.n_cols / 2, g.y0 + g.dy * g.n_rows / 2
     # a range: as sequences all rows would be literals of the plan
-    whole = grid_cells(own.sparkSession, g).crossJoin(F.broadcast(own.select(*keys_of).distinct()))
     lon, lat = g.centre(F.col("row"), F.col("col"))
-    # written, or joins would push their conditions through every step of the projection
-    cells = staged(to_aeqd(whole.withColumns({"lon": lon, "lat": lat}), "lon", "lat", lon0, lat0), "cells")
-    pixels = staged(to_aeqd(own.filter("lon IS NOT NULL AND lat IS NOT NULL").select(*keys_of, "px_id", "lon", "lat", *bands), "lon", "lat", lon0, lat0), "pixels")
+    # written, or joins would push their conditions through every step of the projection; projected once for all keys
+    places = staged(to_aeqd(grid_cells(own.sparkSession, g).withColumns({"lon": lon, "lat": lat}), "lon", "lat", lon0, lat0), "places")
+    cells = places.crossJoin(F.broadcast(own.select(*keys_of).distinct()))
+    # dealt out first: a small file would be one task, and the projection is most of the work
+    placed = own.filter("lon IS NOT NULL AND lat IS NOT NULL").select(*keys_of, "px_id", "lon", "lat", *bands).repartition(*keys_of, "px_id")
+    pixels = staged(to_aeqd(placed, "lon", "lat", lon0, lat0), "pixels")
     step = first or abs(g.dy) * 111_320.0
     out = nearest(cells, pixels, keys_of, bands, radius, step)
     return out if keys else out.drop("__all")

@@ -441,8 +441,11 @@ def swath_inputs(spark, d):
     time = F.timestamp_add("DAY", F.col("n"), F.lit("2024-03-01 09:30:00").cast("timestamp_ntz"))
     angle = lambda k, m: ((F.col("px_id") * k + F.col("n")) % m).cast("double")
     at = found.select("*", day).select(F.lit("31PDR").alias("tile"), F.concat(F.lit("g"), "n").alias("granule"), time.alias("time"), "n", "px_id", "lon", "lat", "lst")
-    granules = at.withColumns({"vza": angle(7, 25), "vaa": angle(11, 360), "sza": F.lit(30.0), "saa": F.lit(120.0), "cloudmask": F.when(F.col("px_id") % 17 == 0, 1).otherwise(0), "land_fraction": F.lit(1.0)})
-    on_grid = S.grid_swath_plane(granules.drop("time"), g, ["lst", "vza", "vaa"], ["n"])
+    seen = {"vza": angle(7, 25), "vaa": angle(11, 360)}
+    granules = at.withColumns(seen | {"sza": F.lit(30.0), "saa": F.lit(120.0), "cloudmask": F.when(F.col("px_id") % 17 == 0, 1).otherwise(0), "land_fraction": F.lit(1.0)})
+    # the granules' pixels lie at the same places, so that a day differs in angles alone
+    nearest = S.grid_swath_plane(found.withColumn("pixel", F.col("px_id")), g, ["pixel", "lst"]).withColumnRenamed("pixel", "px_id")
+    on_grid = nearest.select("row", "col", "px_id", "lst", day).withColumns(seen)
     half = F.explode(F.sequence(F.lit(0), F.lit(1)))
     fine = on_grid.withColumn("i", half).withColumn("j", half)
     scenes = fine.select(F.lit("31PDR").alias("tile"), F.concat(F.lit("s"), "n").alias("scene"), F.timestamp_add("DAY", F.col("n"), F.lit("2024-03-01 09:34:00").cast("timestamp_ntz")).alias("time"), (2 * F.col("row") + F.col("i")).alias("row"), (2 * F.col("col") + F.col("j")).alias("col"), (1.1 * F.col("lst") - 30).alias("lst"), (F.col("vza") + 3).alias("vza"), ((F.col("vaa") + 90) % 360).alias("vaa"), F.lit(30.0).alias("sza"), F.lit(120.0).alias("saa"))
