@@ -2,6 +2,8 @@
 
 import math
 
+import pytest
+
 from thermaspark.operators import sharpen as I
 
 
@@ -70,3 +72,77 @@ def test_sharpening_covers_all_dates(spark):
     assert found.filter("lst between 250 and 350").count() == cells == found.select("acq_date", "row", "col").distinct().count()
     corrected = catalogue.QUERIES["i6_i7_smoothed_correction"](spark, DATA)
     assert corrected.select("acq_date", "row", "col").distinct().count() == cells
+
+
+def odd_scenes():
+    """Scenes of several windows: one begins at a cell below 0, one far from 0, one has holes; gaps of one cell and wider."""
+    fine, low = {}, {}
+    for k, (r0, c0, rows, cols) in enumerate([(-6, 0, 24, 18), (300, 90, 21, 33), (0, 0, 17, 22)]):
+        for r in range(r0, r0 + rows):
+            for c in range(c0, c0 + cols):
+                if k < 2 or (r * 5 + c) % 13 and not (4 <= r < 9 and 6 <= c < 9):
+                    fine[k, r, c] = None if (r * c + r) % 37 == 5 else 290.0 + (r * 7 + c * 3 + k) % 11
+        for r in range(r0 // 3 - 1, (r0 + rows) // 3 + 2):
+            for c in range(c0 // 3 - 1, (c0 + cols) // 3 + 2):
+                if (r * 3 + c) % 8:
+                    low[k, r, c] = (None if (r + c) % 9 == 4 else 295.0 + (r * 5 + c * 2 + k) % 7, 0 if (r * r + c) % 6 in (1, 2) else 1)
+    return fine, low
+
+
+def plain_residuals(fine, low, factor, power):
+    """Of one scene, whose cells may lie anywhere: {(row, col): residual}."""
+    res = {}
+    for r, c in {(r // factor, c // factor) for r, c in fine}:
+        own = [t**power for (a, b), t in fine.items() if (a // factor, b // factor) == (r, c) and t is not None]
+        lst, quality = low.get((r, c), (None, 0))
+        res[r, c] = lst**power - sum(own) / len(own) if quality == 1 and lst is not None and own else None
+    ends = [(min(p[i] for p in res), max(p[i] for p in res)) for i in (0, 1)]
+    at = lambda p: tuple(min(hi, max(lo, x)) for x, (lo, hi) in zip(p, ends))
+    mean = lambda near: sum(w * v for w, v in near if v is not None) / sum(w for w, v in near if v is not None) if any(v is not None for _, v in near) else None
+    smooth = {(r, c): v if v is None else mean([((2 - abs(i)) * (2 - abs(j)), res.get(at((r + i, c + j)))) for i in (-1, 0, 1) for j in (-1, 0, 1)]) for (r, c), v in res.items()}
+    wide = {}
+    for r, c in fine:
+        fr, fc = (r + 0.5) / factor - 0.5, (c + 0.5) / factor - 0.5
+        near = [((1 - abs(fr - a)) * (1 - abs(fc - b)), smooth.get((a, b))) for a in (math.floor(fr), math.floor(fr) + 1) for b in (math.floor(fc), math.floor(fc) + 1)]
+        wide[r, c] = mean([(w, v) for w, v in near if w > 0])
+    cross = lambda r, c: [(r - 1, c), (r + 1, c), (r, c - 1), (r, c + 1)]
+    return {p: v if v is not None or not all(q in wide for q in cross(*p)) else mean([(1, wide[q]) for q in cross(*p)]) for p, v in wide.items()}
+
+
+@pytest.mark.parametrize("side,power", [(35, 4), (1, 1), (2, 4), (3, 1)])
+def test_residuals_of_scenes_anywhere(spark, side, power):
+    fine, low = odd_scenes()
+    f = spark.createDataFrame([(*p, t) for p, t in fine.items()], "k int, row int, col int, lst double").repartition(3)
+    q = spark.createDataFrame([(*p, *v) for p, v in low.items()], "k int, row int, col int, lst double, quality int").repartition(2)
+    found = I.scene_residuals(f, q, 3, ["k"], power, side).collect()
+    got = {(x["k"], x["row"], x["col"]): x["residual"] for x in found}
+    assert len(found) == len(got) and got.keys() == fine.keys()
+    filled = 0
+    for k in (0, 1, 2):
+        want = plain_residuals({(r, c): t for (a, r, c), t in fine.items() if a == k}, {(r, c): v for (a, r, c), v in low.items() if a == k}, 3, power)
+        for p, v in want.items():
+            filled += v is not None
+            assert (got[k, *p] is None) == (v is None) and (v is None or abs(got[k, *p] - v) <= 1e-9 * max(1.0, abs(v))), (k, p)
+    assert 0 < filled < len(fine)
+    if side == 35:
+        whole = {(x["k"], x["row"], x["col"]): x["residual"] for x in I.smoothed_residuals(f, q, 3, ["k"], power).collect()}
+        assert whole == got
+
+
+def test_not_a_number_spreads_and_is_not_missing(spark):
+    """As in SQL: a coarse temperature that is no number takes the cells around it along."""
+    f = spark.createDataFrame([(r, c, 290.0) for r in range(12) for c in range(12)], "row int, col int, lst double")
+    q = spark.createDataFrame([(r, c, float("nan") if (r, c) == (0, 0) else 295.0, 1) for r in range(6) for c in range(6)], "row int, col int, lst double, quality int")
+    got = {(x["row"], x["col"]): x["lst"] for x in I.correct_residuals(f, q, 2).collect()}
+    assert all(math.isnan(got[r, c]) == (r < 5 and c < 5) for r in range(12) for c in range(12))
+    assert abs(got[11, 11] - 295.0) < 1e-9
+
+
+def test_residuals_shuffle_cells_once(spark):
+    """Steps that met their neighbours by joins and groups shuffled each fine cell more than ten times."""
+    fine, low = odd_scenes()
+    f = spark.createDataFrame([(*p, t) for p, t in fine.items()], "k int, row int, col int, lst double")
+    q = spark.createDataFrame([(*p, *v) for p, v in low.items()], "k int, row int, col int, lst double, quality int")
+    plan = I.smoothed_residuals(f, q, 3, ["k"])._jdf.queryExecution().executedPlan().toString()
+    # the ends of scenes are summed up before their two shuffles
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 3

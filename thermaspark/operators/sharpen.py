@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import forest
-from .grid import Grid, aggregate_to_lowres, binomial_smooth, fill_edge_missing, regrid
+from .grid import CROSS, aggregate_to_lowres
 from .quantiles import group_quantiles
 
 def training_samples(fine: DataFrame, low: DataFrame, bands: Sequence[str], factor: int, cv_max: float = 0.8, keys: Sequence[str] = ()) -> DataFrame:
@@ -61,25 +63,128 @@ def trained_scenes(scenes: DataFrame, samples: DataFrame, keys: Sequence[str]) -
     return out.withColumn("usable", F.col("n") > 0)
 
 
-def residuals(fine: DataFrame, low: DataFrame, factor: int, keys: Sequence[str] = (), power: int = 4) -> DataFrame:
-    """Per good coarse cell the difference of fourth powers (power 1: of the values) between the coarse temperature and the mean of the fine ones."""
-    mean = fine.groupBy(*keys, F.floor(F.col("row") / factor).cast("int").alias("row"), F.floor(F.col("col") / factor).cast("int").alias("col")).agg(F.avg(F.pow("lst", F.lit(power))).alias("__m"))
-    own = low.filter("quality = 1").select(*keys, "row", "col", F.col("lst").alias("__t"))
-    return own.join(mean, [*keys, "row", "col"]).select(*keys, "row", "col", (F.pow("__t", F.lit(power)) - F.col("__m")).alias("residual"))
+#: Coarse cells a side of a window, and those around it that a residual depends on: smoothing one, bilinear weights one, filled gaps one.
+SIDE, HALO = 35, 3
+#: Kinds of rows in a window.
+COARSE, FINE, ENDS = 0, 1, 2
+
+
+def _padded(values: np.ndarray) -> np.ndarray:
+    return np.pad(values, 1)
+
+
+def _smoothed(own: np.ndarray, known: np.ndarray, rows: np.ndarray, cols: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """3 by 3 weights 1-2-1 by 1-2-1 around known cells; beyond the ends of the scene lies the edge cell again."""
+    values, there, total, weight = _padded(np.where(known, own, 0.0)), _padded(known), np.zeros(own.shape), np.zeros(own.shape)
+    for dr in (-1, 0, 1):
+        for dc in (-1, 0, 1):
+            at = np.ix_(np.clip(rows + dr, ends[0, 0], ends[1, 0]) - rows[0] + 1, np.clip(cols + dc, ends[0, 1], ends[1, 1]) - cols[0] + 1)
+            total += (2 - abs(dr)) * (2 - abs(dc)) * values[at]
+            weight += (2 - abs(dr)) * (2 - abs(dc)) * there[at]
+    return total / np.where(weight > 0, weight, 1.0)
+
+
+def _bilinear(own: np.ndarray, known: np.ndarray, factor: int) -> tuple[np.ndarray, np.ndarray]:
+    """On all fine cells the value and whether there is one; missing neighbours are left out and weights renormalised."""
+    values, there, shape = _padded(np.where(known, own, 0.0)), _padded(known), (own.shape[0] * factor, own.shape[1] * factor)
+    total, weight = np.zeros(shape), np.zeros(shape)
+    fr, fc = ((np.arange(n) + 0.5) / factor - 0.5 for n in shape)
+    for i in (0, 1):
+        for j in (0, 1):
+            r, c = np.floor(fr) + i, np.floor(fc) + j
+            part, at = np.outer(1 - np.abs(fr - r), 1 - np.abs(fc - c)), np.ix_(r.astype(int) + 1, c.astype(int) + 1)
+            met = there[at] & (part > 0)
+            total += np.where(met, part * values[at], 0.0)
+            weight += np.where(met, part, 0.0)
+    return total / np.where(weight > 0, weight, 1.0), weight > 0
+
+
+def _filled(values: np.ndarray, known: np.ndarray, present: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Missing cells whose four neighbours are cells of the scene take the mean of those that have a value."""
+    if known[present].all():
+        return values, known
+    h, w = values.shape
+    v, k, p = _padded(np.where(known, values, 0.0)), _padded(known & present), _padded(present)
+    cross = [(slice(1 + r, 1 + r + h), slice(1 + c, 1 + c + w)) for r, c in CROSS]
+    total, n, cells = (sum(x[at] for at in cross) for x in (np.where(k, v, 0.0), k.astype(int), p.astype(int)))
+    gap = ~known & (cells == 4) & (n > 0)
+    return np.where(gap, total / np.maximum(n, 1), values), known | gap
+
+
+def _window_residuals(kind: np.ndarray, row: np.ndarray, col: np.ndarray, value: np.ndarray, known: np.ndarray, factor: int, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Residuals of the rows `own`, fine cells of a window that has all cells around it, and whether they are known."""
+    fine, ends = kind == FINE, np.sort(np.stack([row[kind == ENDS], col[kind == ENDS]], 1), 0)
+    r, c, v, k = row[fine], col[fine], value[fine], known[fine]
+    cr, cc = r // factor, c // factor
+    r0, c0, h, w = cr.min(), cc.min(), cr.max() - cr.min() + 1, cc.max() - cc.min() + 1
+    at = (cr - r0) * w + cc - c0
+    n, total = np.bincount(at[k], minlength=h * w), np.bincount(at[k], v[k], minlength=h * w)
+    good = (kind == COARSE) & known & (row >= r0) & (row < r0 + h) & (col >= c0) & (col < c0 + w)
+    low, met = np.zeros(h * w), np.zeros(h * w, bool)
+    place = (row[good] - r0) * w + col[good] - c0
+    low[place], met[place] = value[good], True
+    met &= n > 0
+    residual, met = (low - total / np.maximum(n, 1)).reshape(h, w), met.reshape(h, w)
+    smooth = _smoothed(residual, met, r0 + np.arange(h), c0 + np.arange(w), ends)
+    present = np.zeros((h * factor, w * factor), bool)
+    present[r - r0 * factor, c - c0 * factor] = True
+    out, there = _filled(*_bilinear(smooth, met, factor), present)
+    place = row[own] - r0 * factor, col[own] - c0 * factor
+    return out[place], there[place]
+
+
+def scene_residuals(fine: DataFrame, low: DataFrame, factor: int, keys: Sequence[str] = (), power: int = 4, side: int = SIDE) -> DataFrame:
+    """Per fine cell keys, row, col, `raised`, its temperature in fourth powers (power 1: as it is), and `residual` as of smoothed_residuals().
+
+    Cells of both grids are dealt by one shuffle to windows of `side` coarse cells a side, each with the cells around it;
+    with them go the ends of the scene, which may have any extent. A task holds one window at a time.
+    """
+    # windows begin HALO cells before cell 0, so that a scene that begins there is in no window before it
+    window = lambda c, cell, shift: F.floor((F.col(c) + shift * cell) / (side * cell)).cast("int")
+    own = [window(c, factor, HALO).alias(a) for c, a in (("row", "wr"), ("col", "wc"))]
+
+    def dealt(df: DataFrame, kind: int, cell: int, value: Column) -> DataFrame:
+        reach = lambda c: F.explode(F.sequence(window(c, cell, 0), window(c, cell, 2 * HALO)))
+        at = df.select(*keys, F.lit(kind).alias("kind"), F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), value.alias("raised"), reach("row").alias("wr"))
+        return at.withColumn("wc", reach("col"))
+
+    raised = F.pow(F.col("lst"), F.lit(power))
+    coarse = lambda c: F.floor(F.col(c) / factor).cast("int")
+    corners = [(f, n, c) for f, n in ((F.min, "first"), (F.max, "last")) for c in ("row", "col")]
+    # temperatures are counted so that both readings of `fine` ask for the same columns, and Spark makes and shuffles them once
+    ends = fine.groupBy(*keys, *own).agg(*(f(coarse(c)).alias(f"{n}_{c}") for f, n, c in corners), F.count("lst").cast("double").alias("raised"))
+    ends = ends.select(*keys, "wr", "wc", "raised", *(f(f"{n}_{c}").over(Window.partitionBy(*keys)).alias(f"{n}_{c}") for f, n, c in corners))
+    at = F.explode(F.array(*(F.struct(F.col(f"{n}_row").alias("row"), F.col(f"{n}_col").alias("col")) for n in ("first", "last")))).alias("at")
+    ends = ends.select(*keys, "wr", "wc", "raised", at).select(*keys, F.lit(ENDS).alias("kind"), "at.row", "at.col", "raised", "wr", "wc")
+    cells = dealt(fine, FINE, factor, raised).unionByName(dealt(low.filter("quality = 1"), COARSE, 1, raised)).unionByName(ends)
+
+    def run(rows: pa.Table) -> pa.Table:
+        kind, row, col, wr, wc, value = (rows.column(c).to_numpy() for c in ("kind", "row", "col", "wr", "wc", "raised"))
+        size, shift = side * factor, HALO * factor
+        own = (kind == FINE) & ((row + shift) // size == wr) & ((col + shift) // size == wc)
+        out = rows.select([*keys, "row", "col", "raised"]).filter(pa.array(own))
+        residual, there = np.zeros(0), np.zeros(0, bool)
+        if own.any():
+            residual, there = _window_residuals(kind, row, col, value, rows.column("raised").is_valid().to_numpy(), factor, own)
+        return out.append_column("residual", pa.array(residual, pa.float64(), mask=~there))
+
+    head = f"{forest.types(fine, keys)}, " if keys else ""
+    return cells.groupBy(*keys, "wr", "wc").applyInArrow(run, f"{head}row int, col int, raised double, residual double")
 
 
 def smoothed_residuals(fine: DataFrame, low: DataFrame, factor: int, keys: Sequence[str] = (), power: int = 4) -> DataFrame:
-    """Per fine cell the residual: of good coarse cells, smoothed, resampled bilinearly, gaps of one cell off the border filled.
+    """Per fine cell the residual, in fourth powers (power 1: of the values): of good coarse cells, smoothed, resampled bilinearly, gaps of one cell off the border filled.
 
-    Coarse cells that are bad or absent have no residual and give none to their neighbours. Coarse cells are those of the
-    fine ones, so that their grid reaches as far and no edge needs padding.
+    Of a good coarse cell it is the difference between its temperature and the mean of its fine cells. Coarse cells that are
+    bad or absent have no residual and give none to their neighbours. Coarse cells are those of the fine ones, so that their
+    grid reaches as far and no edge needs padding.
     """
-    cells = fine.select(*keys, F.floor(F.col("row") / factor).cast("int").alias("row"), F.floor(F.col("col") / factor).cast("int").alias("col")).distinct()
-    every = binomial_smooth(cells.join(residuals(fine, low, factor, keys, power), [*keys, "row", "col"], "left"), "residual", keys)
-    n_rows, n_cols = fine.agg(F.coalesce(F.max("row") + 1, F.lit(0)), F.coalesce(F.max("col") + 1, F.lit(0))).first()
-    near = regrid(every, fine.sparkSession, Grid(0, 1, 0, 1, n_cols, n_rows), Grid(0, factor, 0, factor, 0, 0), ["residual"], "bilinear", keys)
-    own = fine.select(*keys, "row", "col").join(near, [*keys, "row", "col"], "left")
-    return fill_edge_missing(own, "residual", keys)
+    return scene_residuals(fine, low, factor, keys, power).select(*keys, "row", "col", "residual")
+
+
+def correct_residuals(fine: DataFrame, low: DataFrame, factor: int, keys: Sequence[str] = (), power: int = 4) -> DataFrame:
+    """keys, row, col, lst: correct_smoothed() with smoothed_residuals(), from one dealing of the cells."""
+    return scene_residuals(fine, low, factor, keys, power).select(*keys, "row", "col", F.pow(F.col("residual") + F.col("raised"), F.lit(1 / power)).alias("lst"))
 
 
 def correct_smoothed(fine: DataFrame, residual: DataFrame, keys: Sequence[str] = (), power: int = 4) -> DataFrame:

@@ -310,7 +310,7 @@ def i6_i7_linear_correction(spark, d):
     """i6_i7_smoothed_correction with residuals of the temperatures themselves."""
     fine = dated_features(spark, d).select("acq_date", "row", "col", (280 + F.col("b04") * 40).alias("lst")).join(scene_pairs(spark, d), "acq_date")
     keys = ["acq_date", "day"]
-    return rounded(I.correct_smoothed(fine, I.smoothed_residuals(fine, paired_temperature(spark, d), 2, keys, 1), keys, 1)).select(*keys, "row", "col", "lst")
+    return rounded(I.correct_residuals(fine, paired_temperature(spark, d), 2, keys, 1)).select(*keys, "row", "col", "lst")
 
 
 LINEAR = (("AVG(POWER(t,4))", "AVG(t)"), ("POWER(low.lst,4)-m", "low.lst-m"), ("POWER(COALESCE(r, near)+POWER(t,4),0.25)", "COALESCE(r, near)+t"))
