@@ -146,3 +146,17 @@ def test_residuals_shuffle_cells_once(spark):
     plan = I.smoothed_residuals(f, q, 3, ["k"])._jdf.queryExecution().executedPlan().toString()
     # the ends of scenes are summed up before their two shuffles
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 3
+
+
+@pytest.mark.parametrize("rows", [1, 7, 500])
+def test_windows_that_go_on_in_the_next_batch(spark, rows):
+    fine, low = odd_scenes()
+    f = spark.createDataFrame([(*p, t) for p, t in fine.items()], "k int, row int, col int, lst double")
+    q = spark.createDataFrame([(*p, *v) for p, v in low.items()], "k int, row int, col int, lst double, quality int")
+    found = lambda: sorted(tuple(x) for x in I.smoothed_residuals(f, q, 3, ["k"]).fillna(-1e9).collect())
+    want = found()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        assert all(a[:3] == b[:3] and abs(a[3] - b[3]) <= 1e-9 * abs(b[3]) for a, b in zip(found(), want, strict=True))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,33 +71,39 @@ COARSE, FINE, ENDS = 0, 1, 2
 
 
 def _padded(values: np.ndarray) -> np.ndarray:
-    return np.pad(values, 1)
+    out = np.zeros((values.shape[0] + 2, values.shape[1] + 2), values.dtype)
+    out[1:-1, 1:-1] = values
+    return out
 
 
-def _smoothed(own: np.ndarray, known: np.ndarray, rows: np.ndarray, cols: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """3 by 3 weights 1-2-1 by 1-2-1 around known cells; beyond the ends of the scene lies the edge cell again."""
-    values, there, total, weight = _padded(np.where(known, own, 0.0)), _padded(known), np.zeros(own.shape), np.zeros(own.shape)
-    for dr in (-1, 0, 1):
-        for dc in (-1, 0, 1):
-            at = np.ix_(np.clip(rows + dr, ends[0, 0], ends[1, 0]) - rows[0] + 1, np.clip(cols + dc, ends[0, 1], ends[1, 1]) - cols[0] + 1)
-            total += (2 - abs(dr)) * (2 - abs(dc)) * values[at]
-            weight += (2 - abs(dr)) * (2 - abs(dc)) * there[at]
-    return total / np.where(weight > 0, weight, 1.0)
+def _smoothed(own: np.ndarray, known: np.ndarray, edges: Sequence[bool]) -> np.ndarray:
+    """3 by 3 weights 1-2-1 by 1-2-1 around known cells; beyond those of the four edges that are the scene's lies the edge cell again."""
+    sums = []
+    for v in (_padded(np.where(known, own, 0.0)), _padded(known.astype(float))):
+        for edge, at, of in zip(edges, (np.s_[0], np.s_[-1], np.s_[:, 0], np.s_[:, -1]), (np.s_[1], np.s_[-2], np.s_[:, 1], np.s_[:, -2])):
+            if edge:
+                v[at] = v[of]
+        v = v[:-2] + 2 * v[1:-1] + v[2:]
+        sums.append(v[:, :-2] + 2 * v[:, 1:-1] + v[:, 2:])
+    return sums[0] / np.where(sums[1] > 0, sums[1], 1.0)
+
+
+def _linear(n: int, factor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the fine places along n coarse ones the two that they lie between, in padded cells, and the weight of the second. Where that is 0, both are the first."""
+    f = (np.arange(n * factor) + 0.5) / factor - 0.5
+    first = np.floor(f).astype(int)
+    part = f - first
+    return first + 1, first + 1 + (part > 0), part
 
 
 def _bilinear(own: np.ndarray, known: np.ndarray, factor: int) -> tuple[np.ndarray, np.ndarray]:
     """On all fine cells the value and whether there is one; missing neighbours are left out and weights renormalised."""
-    values, there, shape = _padded(np.where(known, own, 0.0)), _padded(known), (own.shape[0] * factor, own.shape[1] * factor)
-    total, weight = np.zeros(shape), np.zeros(shape)
-    fr, fc = ((np.arange(n) + 0.5) / factor - 0.5 for n in shape)
-    for i in (0, 1):
-        for j in (0, 1):
-            r, c = np.floor(fr) + i, np.floor(fc) + j
-            part, at = np.outer(1 - np.abs(fr - r), 1 - np.abs(fc - c)), np.ix_(r.astype(int) + 1, c.astype(int) + 1)
-            met = there[at] & (part > 0)
-            total += np.where(met, part * values[at], 0.0)
-            weight += np.where(met, part, 0.0)
-    return total / np.where(weight > 0, weight, 1.0), weight > 0
+    (r0, r1, pr), (c0, c1, pc) = (_linear(n, factor) for n in own.shape)
+    sums = []
+    for v in (_padded(np.where(known, own, 0.0)), _padded(known.astype(float))):
+        v = v[r0] * (1 - pr)[:, None] + v[r1] * pr[:, None]
+        sums.append(v[:, c0] * (1 - pc) + v[:, c1] * pc)
+    return sums[0] / np.where(sums[1] > 0, sums[1], 1.0), sums[1] > 0
 
 
 def _filled(values: np.ndarray, known: np.ndarray, present: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +132,7 @@ def _window_residuals(kind: np.ndarray, row: np.ndarray, col: np.ndarray, value:
     low[place], met[place] = value[good], True
     met &= n > 0
     residual, met = (low - total / np.maximum(n, 1)).reshape(h, w), met.reshape(h, w)
-    smooth = _smoothed(residual, met, r0 + np.arange(h), c0 + np.arange(w), ends)
+    smooth = _smoothed(residual, met, (r0 == ends[0, 0], r0 + h - 1 == ends[1, 0], c0 == ends[0, 1], c0 + w - 1 == ends[1, 1]))
     present = np.zeros((h * factor, w * factor), bool)
     present[r - r0 * factor, c - c0 * factor] = True
     out, there = _filled(*_bilinear(smooth, met, factor), present)
@@ -133,11 +140,18 @@ def _window_residuals(kind: np.ndarray, row: np.ndarray, col: np.ndarray, value:
     return out[place], there[place]
 
 
+def _starts(rows: pa.RecordBatch, keys: Sequence[str], before: pa.RecordBatch | None) -> np.ndarray:
+    """Rows whose keys differ from those of the row before them; `before` ends with the one before the first."""
+    both = rows.select(keys) if before is None else pa.Table.from_batches([before.slice(before.num_rows - 1).select(keys), rows.select(keys)]).combine_chunks().to_batches()[0]
+    ends = [pc.run_end_encode(c).run_ends.to_numpy()[:-1] for c in both.columns]
+    return np.unique(np.concatenate(ends)) - (before is not None)
+
+
 def scene_residuals(fine: DataFrame, low: DataFrame, factor: int, keys: Sequence[str] = (), power: int = 4, side: int = SIDE) -> DataFrame:
     """Per fine cell keys, row, col, `raised`, its temperature in fourth powers (power 1: as it is), and `residual` as of smoothed_residuals().
 
     Cells of both grids are dealt by one shuffle to windows of `side` coarse cells a side, each with the cells around it;
-    with them go the ends of the scene, which may have any extent. A task holds one window at a time.
+    with them go the ends of the scene, which may have any extent. A task reads its windows one after another.
     """
     # windows begin HALO cells before cell 0, so that a scene that begins there is in no window before it
     window = lambda c, cell, shift: F.floor((F.col(c) + shift * cell) / (side * cell)).cast("int")
@@ -158,18 +172,34 @@ def scene_residuals(fine: DataFrame, low: DataFrame, factor: int, keys: Sequence
     ends = ends.select(*keys, "wr", "wc", "raised", at).select(*keys, F.lit(ENDS).alias("kind"), "at.row", "at.col", "raised", "wr", "wc")
     cells = dealt(fine, FINE, factor, raised).unionByName(dealt(low.filter("quality = 1"), COARSE, 1, raised)).unionByName(ends)
 
-    def run(rows: pa.Table) -> pa.Table:
+    def solved(rows: pa.Table, starts: Sequence[int]) -> Iterator[pa.RecordBatch]:
         kind, row, col, wr, wc, value = (rows.column(c).to_numpy() for c in ("kind", "row", "col", "wr", "wc", "raised"))
-        size, shift = side * factor, HALO * factor
+        known, size, shift = rows.column("raised").is_valid().to_numpy(), side * factor, HALO * factor
         own = (kind == FINE) & ((row + shift) // size == wr) & ((col + shift) // size == wc)
+        residual, there = np.zeros(len(own)), np.zeros(len(own), bool)
+        for i, j in zip(starts, [*starts[1:], len(own)]):
+            if own[i:j].any():
+                at = slice(i, j)
+                residual[at][own[at]], there[at][own[at]] = _window_residuals(kind[at], row[at], col[at], value[at], known[at], factor, own[at])
         out = rows.select([*keys, "row", "col", "raised"]).filter(pa.array(own))
-        residual, there = np.zeros(0), np.zeros(0, bool)
-        if own.any():
-            residual, there = _window_residuals(kind, row, col, value, rows.column("raised").is_valid().to_numpy(), factor, own)
-        return out.append_column("residual", pa.array(residual, pa.float64(), mask=~there))
+        yield from out.append_column("residual", pa.array(residual[own], pa.float64(), mask=~there[own])).combine_chunks().to_batches()
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []  # of the window that the last batch ended in
+        for b in batches:
+            starts = _starts(b, [*keys, "wr", "wc"], held[-1] if held else None)
+            if len(starts):
+                n = sum(h.num_rows for h in held)
+                if n or starts[-1]:
+                    yield from solved(pa.Table.from_batches([*held, b.slice(0, starts[-1])]), [0, *(starts[:-1] + n)])
+                held, b = [], b.slice(starts[-1])
+            held.append(b)
+        if held:
+            yield from solved(pa.Table.from_batches(held), [0])
 
     head = f"{forest.types(fine, keys)}, " if keys else ""
-    return cells.groupBy(*keys, "wr", "wc").applyInArrow(run, f"{head}row int, col int, raised double, residual double")
+    at = [*keys, "wr", "wc"]
+    return cells.repartition(*at).sortWithinPartitions(*at).mapInArrow(each, f"{head}row int, col int, raised double, residual double")
 
 
 def smoothed_residuals(fine: DataFrame, low: DataFrame, factor: int, keys: Sequence[str] = (), power: int = 4) -> DataFrame:
