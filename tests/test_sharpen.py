@@ -139,7 +139,7 @@ def test_not_a_number_spreads_and_is_not_missing(spark):
 
 
 def test_residuals_shuffle_cells_once(spark):
-    """Steps that met their neighbours by joins and groups shuffled each fine cell more than ten times."""
+    """Steps that met their neighbours by joins and groups shuffled cells anew for each step."""
     fine, low = odd_scenes()
     f = spark.createDataFrame([(*p, t) for p, t in fine.items()], "k int, row int, col int, lst double")
     q = spark.createDataFrame([(*p, *v) for p, v in low.items()], "k int, row int, col int, lst double, quality int")
