@@ -1,9 +1,11 @@
 """Sharpening against plain versions of the reference's steps, on scenes with missing and bad coarse cells."""
 
+import itertools
 import math
 
 import pytest
 
+from thermaspark.operators import grid as G
 from thermaspark.operators import sharpen as I
 
 
@@ -160,3 +162,23 @@ def test_windows_that_go_on_in_the_next_batch(spark, rows):
         assert all(a[:3] == b[:3] and abs(a[3] - b[3]) <= 1e-9 * abs(b[3]) for a, b in zip(found(), want, strict=True))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_found_threshold_leaves_out_all_cells_that_are_like_it(spark):
+    """Coarse cells of the same values in every order of rows: they have one CV, which is the threshold."""
+    same, low = [0.2366, 0.2383, 0.2706, 0.2723], [0.5, 0.5, 0.51, 0.5]
+    cells = [*itertools.permutations(same), *itertools.permutations(low)][:30]
+    rows = [(2 * k + i // 2, i % 2, v) for k, values in enumerate(cells) for i, v in enumerate(values)]
+    fine = spark.createDataFrame(rows, "row int, col int, b double").coalesce(1)
+    temperature = spark.createDataFrame([(k, 0, 300.0, 1) for k in range(len(cells))], "row int, col int, lst double, quality int")
+    got = I.training_samples(fine, temperature, ["b"], 2, 0.0).collect()
+    assert {x["row"] for x in got} == set(range(24, 30)) and len({x["cv"] for x in got}) == 1
+
+
+def test_steady_means_are_those_of_any_order(spark):
+    rows = [(0, c, v) for c, v in enumerate((0.1, None, 0.1, 0.1))] + [(2, c, None) for c in range(4)] + [(4, c, 1e8 + c) for c in range(4)]
+    cells = spark.createDataFrame(rows, "row int, col int, b double")
+    got, want = ({x["row"]: (x["b_mean"], x["b_std"]) for x in f(cells, (2, 4), ["b"]).collect()} for f in (G.steady_to_lowres, G.aggregate_to_lowres))
+    # flat cells have no deviation at all, or they would train
+    assert got[0][1] == 0 and got[1] == want[1] == (None, None)
+    assert all(got[k] == pytest.approx(want[k], rel=1e-12) for k in (0, 2))

@@ -289,6 +289,21 @@ def aggregate_to_lowres(cells: DataFrame, factor: int | tuple[float, float], ban
     return coarse(cells, factor, keys, {f"{b}_{n}": f(b) for b in bands for n, f in (("mean", F.avg), ("std", F.stddev_pop))}, **axes)
 
 
+def steady_to_lowres(cells: DataFrame, factor: int | tuple[float, float], bands: Sequence[str], keys: Sequence[str] = (), **axes: str) -> DataFrame:
+    """aggregate_to_lowres, to the last bit the same for the same values, in whatever order rows arrive: a coarse cell's values are added in ascending order."""
+
+    def add(s: Column, x: Column) -> Column:
+        n, apart = s["n"] + 1, x - s["mean"]
+        mean = s["mean"] + apart / n
+        return F.struct(n.alias("n"), (s["sum"] + x).alias("sum"), mean.alias("mean"), (s["squares"] + apart * (x - mean)).alias("squares"))
+
+    none = F.struct(F.lit(0).alias("n"), *(F.lit(0.0).alias(f) for f in ("sum", "mean", "squares")))
+    end = lambda s: F.when(s["n"] > 0, F.struct((s["sum"] / s["n"]).alias("mean"), F.sqrt(s["squares"] / s["n"]).alias("std")))
+    # a coarse cell has no more values than fine cells, so that these fit into a row
+    out = coarse(cells, factor, keys, {b: F.aggregate(F.sort_array(F.collect_list(F.col(b).cast("double"))), none, add, end) for b in bands}, **axes)
+    return out.select(*(c for c in out.columns if c not in bands), *(F.col(b)[n].alias(f"{b}_{n}") for b in bands for n in ("mean", "std")))
+
+
 def regrid_in_radiance(cells: DataFrame, factor: int, band: str, maxima: Sequence[str] = (), keys: Sequence[str] = (), **axes: str) -> DataFrame:
     """Temperature averaged as radiance; masks by their maximum."""
     from ..functions.physics import brightness, radiance

@@ -11,12 +11,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import forest
-from .grid import CROSS, aggregate_to_lowres
+from .grid import CROSS, aggregate_to_lowres, steady_to_lowres
 from .quantiles import group_quantiles
 
 def training_samples(fine: DataFrame, low: DataFrame, bands: Sequence[str], factor: int, cv_max: float = 0.8, keys: Sequence[str] = ()) -> DataFrame:
-    """Coarse cells with good quality, temperature and features, and a weight of 1 / CV, the mean over bands of deviation over mean."""
-    means = aggregate_to_lowres(fine, factor, bands, keys)
+    """Coarse cells with good quality, temperature and features, and a weight of 1 / CV, the mean over bands of deviation over mean.
+
+    Without a cv_max it is found, and is as a rule the CV of some cells. These are left out with all that are like them, so
+    that CVs must not differ by the order in which rows were added.
+    """
+    means = (aggregate_to_lowres if cv_max > 0 else steady_to_lowres)(fine, factor, bands, keys)
     nonzero = lambda b: F.when(F.col(f"{b}_mean") == 0, 1e-6).otherwise(F.col(f"{b}_mean"))
     cv = sum((F.col(f"{b}_std") / nonzero(b) for b in bands), F.lit(0.0)) / len(bands)
     out = means.join(low, [*keys, "row", "col"]).withColumn("cv", F.coalesce(cv, F.lit(1000.0)))
